@@ -1,0 +1,47 @@
+"""Joins of many rows to a table with one row per key, safe against hot keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from starload.functions.columns import is_true
+
+# A key with more than 1/MAX_HOT of all rows is hot, so there are fewer than MAX_HOT of them.
+MAX_HOT = 200
+# Below this size even a third of a table is no burden for one task.
+SPLIT_BYTES = 4 * 1024**3
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of a table, from file sizes; runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def hot_keys(rows: DataFrame, key: str) -> list:
+    """Values of ``key`` that each hold more than ``1 / MAX_HOT`` of the rows.
+
+    Counting is combined before its shuffle; fewer than ``MAX_HOT`` values reach the driver.
+    """
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    threshold = rows.agg(F.count("*") / MAX_HOT).scalar()
+    return [row[0] for row in counts.filter(F.col("_n") > threshold).select(key).collect()]
+
+
+def lookup_join(
+    rows: DataFrame, table: DataFrame, key: str, how: str = "inner", hot: list | None = None
+) -> DataFrame:
+    """Join ``rows`` to ``table``, which holds each ``key`` once.
+
+    Without ``hot`` this is a plain join: Spark broadcasts ``table`` if its size allows
+    and otherwise sorts and merges. Rows of the ``hot`` keys are joined apart, against
+    the few table rows of those keys, so that no task gets all rows of one of them.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join {how!r}")
+    if not hot:
+        return rows.join(table, key, how)
+    is_hot = is_true(F.col(key).isin(hot))
+    # at most one table row per hot key, so fewer than MAX_HOT rows are broadcast
+    apart = rows.filter(is_hot).join(F.broadcast(table.filter(is_hot)), key, how)
+    return rows.filter(~is_hot).join(table, key, how).unionByName(apart)

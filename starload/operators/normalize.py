@@ -59,15 +59,25 @@ def drop_arrays(df: DataFrame) -> DataFrame:
     return df.drop(*array_columns(df))
 
 
-def normalize(df: DataFrame, strict_dates: bool = False) -> dict[str, DataFrame]:
+def child_table(df: DataFrame, child: Child, strict_dates: bool = False) -> DataFrame:
+    rows = explode_child(df, child.array, list(PARENT_KEYS), PROJECT_LANDING)
+    return lower_names(parse_dates(rows, ("dataCadastro", *child.dates), strict_dates))
+
+
+def parent_table(df: DataFrame, strict_dates: bool = False) -> DataFrame:
+    return lower_names(parse_dates(drop_arrays(df), PARENT_DATES, strict_dates))
+
+
+def normalize(
+    df: DataFrame, strict_dates: bool = False, only: set[str] | None = None
+) -> dict[str, DataFrame]:
     """Staging tables of project landing records, by table name.
 
     Every table is its own branch over ``df``. Give a columnar table as input, so
     that each branch reads just the array it needs.
     """
-    tables = {}
-    for child in CHILDREN:
-        rows = explode_child(df, child.array, list(PARENT_KEYS), PROJECT_LANDING)
-        tables[child.table] = lower_names(parse_dates(rows, ("dataCadastro", *child.dates), strict_dates))
-    tables[PARENT_TABLE] = lower_names(parse_dates(drop_arrays(df), PARENT_DATES, strict_dates))
+    wanted = [child for child in CHILDREN if only is None or child.table in only]
+    tables = {child.table: child_table(df, child, strict_dates) for child in wanted}
+    if only is None or PARENT_TABLE in only:
+        tables[PARENT_TABLE] = parent_table(df, strict_dates)
     return tables
