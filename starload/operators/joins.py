@@ -15,7 +15,7 @@ SPLIT_BYTES = 4 * 1024**3
 
 def size_in_bytes(df: DataFrame) -> int:
     """Spark's own estimate of the size of a table, from file sizes; runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hot_keys(rows: DataFrame, key: str) -> list:

@@ -69,9 +69,11 @@ def land_columnar(nested: DataFrame, root: str) -> DataFrame:
     return write_snapshot(nested, f"{root}/landed")
 
 
-def load_staging(nested: DataFrame, root: str, strict_dates: bool = False) -> Tables:
+def load_staging(
+    nested: DataFrame, root: str, strict_dates: bool = False, only: set[str] | None = None
+) -> Tables:
     """Staging tables of landing records (with their lineage column), read from one columnar copy."""
-    return normalize(land_columnar(nested, root), strict_dates)
+    return normalize(land_columnar(nested, root), strict_dates, only)
 
 
 class Warehouse:
@@ -151,9 +153,13 @@ class Warehouse:
 
         return each(self.spark, {table: job(table, *spec) for table, spec in specs.items()})
 
+    def clean(self, staging: Tables) -> Tables:
+        """Write staging without its repeated rows."""
+        return self.replace_all(dedupe_staging(staging))
+
     def refresh(self, staging: Tables | None = None, duplicate_nk: str = "error", **fact_options) -> Tables:
         """De-duplicate staging, then load dimensions, then facts."""
-        staged = self.replace_all(dedupe_staging(staging or self.staging()))
+        staged = self.clean(staging or self.staging())
         dims = self.load_dimensions(staged, duplicate_nk)
         facts = self.load_facts({**staged, **dims}, **fact_options)
         return {**staged, **dims, **facts}
@@ -175,18 +181,24 @@ class Warehouse:
         return each(self.spark, {name: lambda n=name, r=rows: job(n, r) for name, rows in fresh.items()})
 
     def reload_by_state(self, fresh: Tables, states: list[str]) -> Tables:
-        """Replace the projects of the given states and all their child rows."""
+        """Replace the projects of the given states and all their child rows.
+
+        The parents are read as they were before; each table gets a new version.
+        """
         parent = self.current(PARENT_TABLE)
         if parent is None:
             return self.replace_all(fresh)
         chosen = F.col("uf").isin(states)
-        after = {}
-        for name in CHILD_TABLES:
+
+        def after(name: str, rows: DataFrame) -> DataFrame:
             current = self.current(name)
-            kept = delete_by_parent(current, parent, "idunico", chosen) if current is not None else None
-            after[name] = fresh[name] if kept is None else kept.unionByName(fresh[name])
-        after[PARENT_TABLE] = delete_where(parent, chosen).unionByName(fresh[PARENT_TABLE])
-        return self.replace_all(after)
+            if current is None:
+                return rows
+            if name == PARENT_TABLE:
+                return delete_where(current, chosen).unionByName(rows)
+            return delete_by_parent(current, parent, "idunico", chosen).unionByName(rows)
+
+        return self.replace_all({name: after(name, rows) for name, rows in fresh.items()})
 
     def reload_execution(self, fresh: DataFrame) -> DataFrame:
         """Replace the execution rows of every file year in ``fresh``, all in one job."""
@@ -206,6 +218,8 @@ def run_by_date(
     return warehouse.refresh({**staged, EXECUTION_TABLE: execution}, **options)
 
 
-def run_by_state(warehouse: Warehouse, nested: DataFrame, states: list[str]) -> Tables:
+def run_by_state(
+    warehouse: Warehouse, nested: DataFrame, states: list[str], only: set[str] | None = None
+) -> Tables:
     """Reload the projects of the given states; dimensions and facts are left alone."""
-    return warehouse.reload_by_state(load_staging(nested, f"{warehouse.root}/run"), states)
+    return warehouse.reload_by_state(load_staging(nested, f"{warehouse.root}/run", only=only), states)

@@ -1,3 +1,3 @@
 """Import every module that registers queries."""
 
-from starload.queries import projects  # noqa: F401
+from starload.queries import changes, cleaning, files, loads, projects  # noqa: F401

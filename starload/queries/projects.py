@@ -137,7 +137,7 @@ def _date(text: str) -> str:
 
 
 _KEYS = f"cast(l_orderkey as varchar) as idunico, {_date(_ORDERED)} as datacadastro"
-_FROM = "from lineitem join orders on l_orderkey = o_orderkey"
+LINES_OF_ORDERS = "from lineitem join orders on l_orderkey = o_orderkey"
 
 STAGING_SQL = {
     PARENT_TABLE: f"""
@@ -155,32 +155,32 @@ STAGING_SQL = {
             as qdtempregosgerados,
           cast(null as varchar) as descpopulacaobeneficiada, cast(l_partkey as varchar) as populacaobeneficiada,
           cast(null as varchar) as observacoespertinentes, l_tax > 0.04 as ismodeladaporbim,
-          {_date(_SHIPPED)} as datasituacao {_FROM}""",
-    f"{PARENT_TABLE}_tomadores": f"select {_KEYS}, o_custkey as codigo, 'Customer ' || o_custkey as nome {_FROM}",
-    f"{PARENT_TABLE}_executores": f"select {_KEYS}, l_suppkey as codigo, 'Supplier ' || l_suppkey as nome {_FROM}",
+          {_date(_SHIPPED)} as datasituacao {LINES_OF_ORDERS}""",
+    f"{PARENT_TABLE}_tomadores": f"select {_KEYS}, o_custkey as codigo, 'Customer ' || o_custkey as nome {LINES_OF_ORDERS}",
+    f"{PARENT_TABLE}_executores": f"select {_KEYS}, l_suppkey as codigo, 'Supplier ' || l_suppkey as nome {LINES_OF_ORDERS}",
     f"{PARENT_TABLE}_repassadores": f"""
-        select {_KEYS}, cast(l_linenumber as bigint) as codigo, 'Line ' || l_linenumber as nome {_FROM}
+        select {_KEYS}, cast(l_linenumber as bigint) as codigo, 'Line ' || l_linenumber as nome {LINES_OF_ORDERS}
         where l_returnflag = 'R'""",
     f"{PARENT_TABLE}_eixos": f"""
-        select {_KEYS}, cast(l_linenumber as bigint) as id, 'Axis ' || l_linenumber as descricao {_FROM}""",
+        select {_KEYS}, cast(l_linenumber as bigint) as id, 'Axis ' || l_linenumber as descricao {LINES_OF_ORDERS}""",
     f"{PARENT_TABLE}_tipos": f"""
         select {_KEYS}, l_suppkey as id, 'Type ' || l_suppkey as descricao,
-          cast(l_linenumber as bigint) as ideixo {_FROM}""",
+          cast(l_linenumber as bigint) as ideixo {LINES_OF_ORDERS}""",
     f"{PARENT_TABLE}_sub_tipos": f"""
-        select {_KEYS}, l_partkey as id, 'Part ' || l_partkey as descricao, l_suppkey as idtipo {_FROM}
+        select {_KEYS}, l_partkey as id, 'Part ' || l_partkey as descricao, l_suppkey as idtipo {LINES_OF_ORDERS}
         union all
-        select {_KEYS}, l_partkey, 'Part ' || l_partkey, cast(l_linenumber as bigint) {_FROM}""",
+        select {_KEYS}, l_partkey, 'Part ' || l_partkey, cast(l_linenumber as bigint) {LINES_OF_ORDERS}""",
     f"{PARENT_TABLE}_fontes_de_recurso": f"""
-        select {_KEYS}, o_orderpriority as origem, l_extendedprice as valorinvestimentoprevisto {_FROM}
+        select {_KEYS}, o_orderpriority as origem, l_extendedprice as valorinvestimentoprevisto {LINES_OF_ORDERS}
         union all
-        select {_KEYS}, lower(o_orderpriority), case when l_tax <> 0 then l_quantity end {_FROM}""",
+        select {_KEYS}, lower(o_orderpriority), case when l_tax <> 0 then l_quantity end {LINES_OF_ORDERS}""",
     f"{PARENT_TABLE}_geometria": f"""
         select {_KEYS}, cast(null as varchar) as cepareaexecutora, {_date(_ORDERED)} as datacriacao,
           case when l_returnflag <> 'A' then {_date(_SHIPPED)} end as datametadado,
           'D' || l_linenumber as datum, cast(null as varchar) as enderecoareaexecutora,
           cast(null as varchar) as geometria, cast(null as varchar) as infoadicionais,
           cast(null as varchar) as nomeareaexecutora, l_linestatus as origem,
-          cast(null as varchar) as paisareaexecutora {_FROM}""",
+          cast(null as varchar) as paisareaexecutora {LINES_OF_ORDERS}""",
 }
 EXECUTION_SQL = """
         select distinct cast(user_id as varchar) as idprojetoinvestimento, value as valorempenho,

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    # do not capture the Python call site of every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
