@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.operators.changes import DELETE, INSERT, OP, apply_changes, classify
+from starload.operators.changes import rows_to_insert
 from starload.operators.numbering import assign_surrogates
 from starload.schemas import PARENT_TABLE
 
@@ -119,15 +119,15 @@ def load_dimension(
     """
     if current is None:
         return assign_surrogates(found, dimension.nk, dimension.sk)
-    classified = classify(current, found, [dimension.nk])
-    kept = apply_changes(classified, [dimension.nk], insert=False, delete=delete)
-    added = classified.filter(F.col(OP) == INSERT).select(
-        dimension.nk, *[F.col(f"new_{name}").alias(name) for name in dimension.columns]
+    names = list(dimension.columns)
+    fresh = found.select(dimension.nk, F.struct(*names).alias("_fresh"))
+    kept = current.join(fresh, dimension.nk, "inner" if delete else "left").select(
+        dimension.sk,
+        dimension.nk,
+        *[
+            F.when(F.col("_fresh").isNull(), F.col(name)).otherwise(F.col(f"_fresh.{name}")).alias(name)
+            for name in names
+        ],
     )
-    numbered = assign_surrogates(added, dimension.nk, dimension.sk, current)
-    return kept.select(*numbered.columns).unionByName(numbered)
-
-
-def vanished(dimension: Dimension, found: DataFrame, current: DataFrame) -> DataFrame:
-    """Members no longer found in staging."""
-    return classify(current, found, [dimension.nk]).filter(F.col(OP) == DELETE).select(dimension.nk)
+    added = rows_to_insert(current, found, [dimension.nk])
+    return kept.unionByName(assign_surrogates(added, dimension.nk, dimension.sk, current))

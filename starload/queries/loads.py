@@ -11,6 +11,7 @@ from starload.operators.quality import (
 )
 from starload.plans.dimensions import BY_TABLE, Dimension, load_dimension, members
 from starload.plans.facts import BRIDGES, bridge_fact, funding_fact, project_fact
+from starload.plans.snapshots import write_snapshot
 from starload.plans.warehouse import Warehouse, load_staging, run_by_state
 from starload.queries.cleaning import AS_OF, DAYS
 from starload.queries.files import landed
@@ -87,7 +88,8 @@ def _surrogate(spark, folder):
     """Two loads: orders before 2000, then all; the keys of the first load do not change."""
     orders = table(spark, folder, "orders")
     first = load_dimension(_ORDER, members(_ORDER, orders.filter(F.col("o_orderdate") < "2000-01-01")))
-    return load_dimension(_ORDER, members(_ORDER, orders), first)
+    stored = write_snapshot(first, scratch_dir(spark, "dim_surrogate"))
+    return load_dimension(_ORDER, members(_ORDER, orders), stored)
 
 
 # Facts over flat staging: one project per order, children from its line items ---------------------------------

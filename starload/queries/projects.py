@@ -38,7 +38,8 @@ def _elements(array: str, *rows: tuple[Column, ...]) -> Column:
 def landing(spark: SparkSession, folder: str) -> DataFrame:
     """Landing records with the explicit project schema."""
     lines = table(spark, folder, "lineitem")
-    rows = lines.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # both sides grow with the data, so neither is ever broadcast
+    rows = lines.hint("merge").join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     ordered, shipped = _iso("o_orderdate"), _iso("l_shipdate")
     flag = F.col("l_returnflag")
     untaxed = F.col("l_tax") == 0
