@@ -8,8 +8,11 @@ is replaced inside its newest version, without touching the other partitions.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starload.functions.spines import GRAINS, Window, period, period_of
 from starload.operators.reload import delete_window, overwrite_partitions
@@ -17,10 +20,33 @@ from starload.operators.reload import delete_window, overwrite_partitions
 PERIOD = "periodo"
 
 
+def _files(spark: SparkSession, path: str):
+    """File system and path object of the folder a table lives in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def _glob(spark: SparkSession, pattern: str) -> list:
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [status.getPath() for status in fs.globStatus(path) or []]
+    fs, place = _files(spark, pattern)
+    return [status.getPath() for status in fs.globStatus(place) or []]
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Note the schema next to the data: an empty partitioned table has no file to tell it."""
+    fs, place = _files(spark, f"{path}/_schema.json")
+    out = fs.create(place)
+    out.write(schema.json().encode())
+    out.close()
+
+
+def _kept_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    fs, place = _files(spark, f"{path}/_schema.json")
+    if not fs.exists(place):
+        return None
+    source = fs.open(place)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    source.close()
+    return T.StructType.fromJson(json.loads(text))
 
 
 def complete_versions(spark: SparkSession, root: str) -> list[int]:
@@ -33,10 +59,15 @@ def newest(spark: SparkSession, root: str) -> str | None:
     return f"{root}/v={versions[-1]}" if versions else None
 
 
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    schema = _kept_schema(spark, path)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+
+
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     """The newest version, or None if there is none yet."""
     path = newest(spark, root)
-    return spark.read.parquet(path).drop(PERIOD) if path else None
+    return _read(spark, path).drop(PERIOD) if path else None
 
 
 def write_snapshot(df: DataFrame, root: str, partition: str | None = None) -> DataFrame:
@@ -48,7 +79,8 @@ def write_snapshot(df: DataFrame, root: str, partition: str | None = None) -> Da
         df.write.mode("overwrite").parquet(path)
     else:
         df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).drop(PERIOD)
+    _keep_schema(spark, path, df.schema)
+    return _read(spark, path).drop(PERIOD)
 
 
 def with_period(df: DataFrame, day: str, grain: str) -> DataFrame:

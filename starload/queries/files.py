@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,37 +164,34 @@ def _parse_dates(spark, folder):
 
 # Paged extraction -------------------------------------------------------------------------------------------
 
-@functools.lru_cache(maxsize=4)
-def _row_group(uri: str, group: int, columns: tuple[str, ...]) -> list[dict]:
-    from pyarrow import fs, parquet
-
-    system, path = fs.FileSystem.from_uri(uri)
-    with system.open_input_file(path) as file:
-        return parquet.ParquetFile(file).read_row_group(group, columns=list(columns)).to_pylist()
-
-
-@functools.lru_cache(maxsize=4)
-def _group_sizes(uri: str) -> list[int]:
-    from pyarrow import fs, parquet
+class FilePages:
+    """Stands in for a paged API: the parameter is a Parquet file, a page a range of its rows."""
 
-    system, path = fs.FileSystem.from_uri(uri)
-    with system.open_input_file(path) as file:
-        meta = parquet.ParquetFile(file).metadata
-        return [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
+    def __init__(self, *columns: str):
+        self.columns, self.open_files, self.last_group = columns, {}, (None, None)
 
+    def _file(self, uri: str):
+        from pyarrow import fs, parquet
 
-@dataclass(frozen=True)
-class FilePages:
-    """Stands in for a paged API: the parameter is a Parquet file, a page a range of its rows."""
+        if uri not in self.open_files:
+            system, path = fs.FileSystem.from_uri(uri)
+            self.open_files[uri] = parquet.ParquetFile(system.open_input_file(path))
+        return self.open_files[uri]
 
-    columns: tuple[str, ...]
+    def _group(self, uri: str, group: int):
+        """One row group; the last one read is kept, since pages follow each other."""
+        if self.last_group[0] != (uri, group):
+            self.last_group = ((uri, group), self._file(uri).read_row_group(group, columns=list(self.columns)))
+        return self.last_group[1]
 
     def __call__(self, param: str, page: int, size: int) -> tuple[int, list]:
         first, rows, start = page * size, [], 0
-        for group, count in enumerate(_group_sizes(param)):
+        meta = self._file(param).metadata
+        for group in range(meta.num_row_groups):
+            count = meta.row_group(group).num_rows
             low, high = max(first - start, 0), min(first + size - start, count)
             if low < high:
-                rows += _row_group(param, group, self.columns)[low:high]
+                rows += self._group(param, group).slice(low, high - low).to_pylist()
             start += count
         return OK, rows
 
@@ -208,7 +202,7 @@ def _paged_source(spark, folder):
     requests = read_pages(
         spark,
         table(spark, folder, "events").inputFiles(),
-        FilePages(tuple(fields.names)),
+        FilePages(*fields.names),
         page_size=1000,
         readers=4,
         limits=Limits(executions=-1),

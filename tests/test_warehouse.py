@@ -1,0 +1,199 @@
+import datetime as dt
+
+import pytest
+from conftest import rows
+
+from pyspark.sql import functions as F
+
+from starload.operators.joins import hot_keys, lookup_join, size_in_bytes
+from starload.operators.quality import key_violations, max_lengths, null_counts, orphans, rejected_dates, too_long
+from starload.plans.dimensions import BY_TABLE, DIMENSIONS, load_dimension, members
+from starload.plans.facts import BRIDGES, bridge_fact, funding_fact, project_fact, unique_funding
+from starload.plans.warehouse import Warehouse, load_staging, run_by_date, run_by_state
+from starload.schemas import EXECUTION_TABLE, MAX_LENGTHS, PARENT_TABLE, PROJECT_LANDING
+
+EIXO, UF, FUNDING = BY_TABLE["dim_eixo"], BY_TABLE["dim_uf"], BY_TABLE["dim_fonte_recurso"]
+TODAY = dt.date(2024, 3, 10)
+
+
+def project(key, day="2024-03-05", uf="PR", **fields):
+    record = {
+        "idUnico": key, "dataCadastro": day, "nome": f"Project {key}", "uf": uf, "situacao": "Ativa",
+        "natureza": "Obra", "especie": "Nova", "qdtEmpregosGerados": " 12 ", "populacaoBeneficiada": "",
+        "dataInicialPrevista": "2024-01-01", "dataFinalPrevista": "2024-01-31",
+        "eixos": [{"id": 1, "descricao": "Social"}], "tipos": [{"id": 5, "descricao": "T", "idEixo": 1}],
+        "subTipos": [{"id": 6, "descricao": "S", "idTipo": 5}],
+        "executores": [{"codigo": 10, "nome": "Exec"}], "tomadores": [{"codigo": 20, "nome": "Tom"}],
+        "repassadores": [{"codigo": 30, "nome": "Rep"}],
+        "fontesDeRecurso": [{"origem": "Federal", "valorInvestimentoPrevisto": 100.25}],
+        "geometrias": [{"datum": "d"}],
+    }
+    return {**record, **fields}
+
+
+def nested(spark, *records):
+    names = PROJECT_LANDING.names
+    data = [tuple(record.get(name) for name in names) for record in records]
+    return spark.createDataFrame(data, PROJECT_LANDING).withColumn("nomeArquivo", F.lit("f"))
+
+
+def execution(spark, *data):
+    return spark.createDataFrame(
+        [(k, v, str(i), "2024") for i, (k, v) in enumerate(data)],
+        "idProjetoInvestimento string, valorEmpenho double, numeroNotaEmpenhoGerada string, nomearquivo string",
+    )
+
+
+def test_members_policies(spark):
+    axes = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (None, "n")], "id long, descricao string")
+    with pytest.raises(Exception, match="several attribute sets for key 1"):
+        members(EIXO, axes).collect()
+    assert rows(members(EIXO, axes, "pick")) == [("1", "a"), ("2", "c")]
+    assert rows(members(EIXO, axes, "keep")) == [("1", "a"), ("1", "b"), ("2", "c")]
+    states = spark.createDataFrame([("pr",), ("PR",), (None,)], "uf string")
+    assert rows(members(UF, states, "keep")) == [("PR", "PR"), ("PR", "pr")]
+    with pytest.raises(ValueError):
+        members(EIXO, axes, "other")
+
+
+def test_dimension_keeps_surrogates(spark):
+    found = spark.createDataFrame([("a", "x"), ("b", "y")], "nk_eixo string, descricao string")
+    first = load_dimension(EIXO, found)
+    again = spark.createDataFrame([("b", "changed"), ("c", None), ("text", "t")], "nk_eixo string, descricao string")
+    second = {r.nk_eixo: r for r in load_dimension(EIXO, again, first).collect()}
+    known = {r.nk_eixo: r.sk_eixo for r in first.collect()}
+    assert {k: second[k].sk_eixo for k in known} == known
+    assert {second["c"].sk_eixo, second["text"].sk_eixo} == {3, 4}
+    assert second["b"].descricao == "changed" and second["a"].descricao == "x"
+    mirrored = load_dimension(EIXO, again, first, delete=True)
+    assert {r.nk_eixo for r in mirrored.collect()} == {"b", "c", "text"}
+
+
+def built(spark, tmp_path, *records, spent=(), **options):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"), grain="year")
+    staging = load_staging(nested(spark, *records), f"{warehouse.root}/run")
+    staging[EXECUTION_TABLE] = execution(spark, *spent)
+    return warehouse, warehouse.refresh(staging, **options)
+
+
+def test_whole_load(spark, tmp_path):
+    """Copies, null amounts, missing money, missing children and unknown projects in one load."""
+    records = [
+        project("A"),
+        project("A", nome="Another name"),
+        project("B", eixos=None, tipos=[], qdtEmpregosGerados=None, populacaoBeneficiada="7",
+                fontesDeRecurso=[{"origem": "Federal", "valorInvestimentoPrevisto": 1.0},
+                                 {"origem": "Federal", "valorInvestimentoPrevisto": 2.5},
+                                 {"origem": "FEDERAL", "valorInvestimentoPrevisto": None},
+                                 {"origem": "FEDERAL", "valorInvestimentoPrevisto": None}]),
+        project("C", fontesDeRecurso=None, uf=None),
+    ]
+    spent = [("A", 10.5), ("A", 10.5), ("X", 3.0)]
+    _, tables = built(spark, tmp_path, *records, spent=spent, duplicate_nk="pick", on_duplicate="sum")
+    sk = {r.nk_projeto_investimento: r.sk_projeto_investimento for r in tables["dim_projeto_investimento"].collect()}
+    assert sorted(sk.values()) == [1, 2, 3]
+    assert tables[f"{PARENT_TABLE}_fontes_de_recurso"].filter("idunico = 'B'").count() == 4
+    fact = {r.sk_projeto_investimento: tuple(r)[1:] for r in tables["fact_projeto_investimento"].collect()}
+    assert fact[sk["A"]] == (30, None, 12, None, 100.25, 21.0)
+    assert fact[sk["B"]] == (30, None, None, 7, 3.5, 0.0)
+    assert fact[sk["C"]] == (30, None, 12, None, None, 0.0)
+    name = tables["dim_projeto_investimento"].filter("nk_projeto_investimento = 'A'").first().nome_projeto
+    assert name == "Another name"
+    assert rows(tables["fact_projeto_investimento_eixos"]) == sorted([(sk["A"], 1), (sk["C"], 1)])
+    assert rows(tables["fact_projeto_investimento_fonte_recurso"]) == sorted([(sk["A"], 1, 100.25), (sk["B"], 1, 3.5)])
+    assert rows(tables["dim_uf"], "nk_uf") == [("PR",)]
+    for bridge in BRIDGES:
+        assert tables[bridge.table].count() == tables[bridge.table].distinct().count()
+
+
+def test_second_load_changes_nothing_and_new_rows_continue(spark, tmp_path):
+    warehouse, first = built(spark, tmp_path, project("A"), project("B"))
+    before = {name: rows(df) for name, df in first.items()}
+    again = warehouse.refresh()
+    assert {name: rows(again[name]) for name in before} == before
+    run_by_date(warehouse, nested(spark, project("C", day="2024-03-09")), execution(spark), TODAY, 2)
+    known = {r[1]: r[0] for r in before["dim_projeto_investimento"]}
+    now = {r[1]: r[0] for r in rows(warehouse.current("dim_projeto_investimento"))}
+    assert {k: now[k] for k in known} == known and now["C"] == 3
+    assert warehouse.current("fact_projeto_investimento").count() == 3
+
+
+def test_reload_by_date_replaces_the_window(spark, tmp_path):
+    warehouse, _ = built(spark, tmp_path, project("A", "2024-03-09"), project("B", "2024-03-02"), project("D", "2024-03-10"))
+    fresh = load_staging(nested(spark, project("E", "2024-03-09")), f"{warehouse.root}/next")
+    staged = warehouse.reload_by_date(fresh, TODAY, 7)
+    assert rows(staged[PARENT_TABLE], "idunico") == [("B",), ("D",), ("E",)]
+    assert rows(staged[f"{PARENT_TABLE}_eixos"], "idunico") == [("B",), ("D",), ("E",)]
+    staged = warehouse.reload_by_date(fresh, TODAY, 7, legacy_window=True)
+    assert rows(staged[PARENT_TABLE], "idunico") == [("B",), ("E",)]
+
+
+def test_reload_by_state(spark, tmp_path):
+    warehouse, _ = built(spark, tmp_path, project("A"), project("B", uf="SC"), project("C", uf=None))
+    staged = run_by_state(warehouse, nested(spark, project("N")), ["PR"])
+    for table in (PARENT_TABLE, f"{PARENT_TABLE}_eixos", f"{PARENT_TABLE}_geometria"):
+        assert rows(staged[table], "idunico") == [("B",), ("C",), ("N",)]
+
+
+def test_reload_execution_by_year(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    first = execution(spark, ("A", 1.0)).unionByName(execution(spark, ("B", 2.0)).withColumn("nomearquivo", F.lit("2023")))
+    warehouse.reload_execution(first)
+    after = warehouse.reload_execution(execution(spark, ("C", 3.0)))
+    assert rows(after, "idProjetoInvestimento", "nomearquivo") == [("B", "2023"), ("C", "2024")]
+
+
+def test_repeated_fact_key(spark):
+    fact = spark.createDataFrame(
+        [(1, 1, 1.0), (1, 1, 2.0), (2, 1, None)],
+        "sk_projeto_investimento int, sk_fonte_recurso int, valor_investimento_previsto double",
+    )
+    with pytest.raises(Exception, match="more than once"):
+        unique_funding(fact).collect()
+    assert rows(unique_funding(fact, "sum")) == [(1, 1, 3.0), (2, 1, None)]
+    with pytest.raises(ValueError):
+        unique_funding(fact, "other")
+
+
+def test_count_text(spark, tmp_path):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        built(spark, tmp_path, project("A", qdtEmpregosGerados="12x"))
+    _, tables = built(spark, tmp_path / "lenient", project("A", qdtEmpregosGerados="12x"), strict_counts=False)
+    assert tables["fact_projeto_investimento"].first().qtd_empregos_gerados is None
+
+
+def test_hot_keys_join_apart(spark):
+    many = spark.range(4000).select(F.when(F.col("id") < 1500, 7).otherwise(F.col("id")).cast("int").alias("k"), "id")
+    many = many.withColumn("k", F.when(F.col("id") != 3999, F.col("k")))
+    table = spark.range(3000).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
+    assert hot_keys(many, "k") == [7]
+    for how in ("inner", "left"):
+        split = lookup_join(many, table, "k", how, hot=[7])
+        assert rows(split) == rows(many.join(table, "k", how))
+    assert size_in_bytes(many) > 0
+    with pytest.raises(ValueError):
+        lookup_join(many, table, "k", "full")
+
+
+def test_facts_with_hot_keys_equal_plain_facts(spark, tmp_path):
+    records = [project(k, fontesDeRecurso=[{"origem": "Federal", "valorInvestimentoPrevisto": float(i)}])
+               for i, k in enumerate("ABCD")]
+    _, tables = built(spark, tmp_path, *records)
+    plain, split = funding_fact(tables), funding_fact(tables, ["A"], ["FEDERAL"])
+    assert rows(plain) == rows(split) and plain.count() == 4
+    assert rows(bridge_fact(BRIDGES[0], tables)) == rows(bridge_fact(BRIDGES[0], tables, ["A"], ["1"]))
+    assert rows(project_fact(tables)) == rows(tables["fact_projeto_investimento"])
+
+
+def test_checks(spark):
+    df = spark.createDataFrame([(1, "ab"), (1, None), (None, "abcd")], "k int, s string")
+    assert rows(key_violations(df, ["k"])) == [(1, 2)]
+    assert rows(null_counts(df)) == [("k", 1), ("s", 1)]
+    assert rows(too_long(df, {"s": 3})) == [("s", 1)]
+    assert rows(max_lengths(df)) == [("s", 4)]
+    parents = spark.createDataFrame([(2,)], "id int")
+    assert rows(orphans(df, parents, "k", "id")) == [(1, 2)]
+    dates = spark.createDataFrame([("2024-01-01",), ("2024-13-01",), ("",), (None,)], "d string")
+    assert rows(rejected_dates(dates, ["d"])) == [("d", 2)]
+    assert all(n > 0 for limits in MAX_LENGTHS.values() for n in limits.values())
+    assert len(DIMENSIONS) == 12 and len(BRIDGES) == 6
