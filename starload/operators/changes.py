@@ -139,6 +139,14 @@ def upsert_sql(
     return upsert(spark.sql(sql_old), spark.sql(sql_new), keys, check_keys, **switches)
 
 
+def difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of ``left`` that are not in ``right``, comparing whole rows null-safe.
+
+    Copies are collapsed on both sides before the join.
+    """
+    return left.distinct().subtract(right.distinct())
+
+
 def change_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy(OP).agg(F.count("*").alias("n"))
 

@@ -28,6 +28,11 @@ def hot_keys(rows: DataFrame, key: str) -> list:
     return [row[0] for row in counts.filter(F.col("_n") > threshold).select(key).collect()]
 
 
+def hot_keys_if_large(rows: DataFrame, key: str, split_bytes: int = SPLIT_BYTES) -> list:
+    """Hot keys of a table above ``split_bytes``; smaller tables are not searched."""
+    return hot_keys(rows, key) if size_in_bytes(rows) > split_bytes else []
+
+
 def lookup_join(
     rows: DataFrame, table: DataFrame, key: str, how: str = "inner", hot: list | None = None
 ) -> DataFrame:
@@ -37,7 +42,7 @@ def lookup_join(
     and otherwise sorts and merges. Rows of the ``hot`` keys are joined apart, against
     the few table rows of those keys, so that no task gets all rows of one of them.
     """
-    if how not in ("inner", "left"):
+    if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join {how!r}")
     if not hot:
         return rows.join(table, key, how)

@@ -61,6 +61,10 @@ def even_batches(df: DataFrame, keys: list[str], size: int, name: str = "batch")
 
 
 def random_batches(df: DataFrame, size: int, rows: int, seed: int | None = None) -> list[DataFrame]:
-    """Separate tables of about ``size`` rows each, drawn at random; ``rows`` is the row count."""
+    """Separate tables of about ``size`` rows each, drawn at random; ``rows`` is the row count.
+
+    Every table is a scan of its own, so this suits a few pieces; the batch numbers
+    above stamp any number of batches in one pass.
+    """
     pieces = -(-rows // size)
     return df.randomSplit([float(size)] * pieces, seed) if pieces else []

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starload.functions.columns import is_true
 from starload.functions.spines import Window
+from starload.operators.joins import lookup_join
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -18,13 +19,16 @@ def delete_window(df: DataFrame, day: str, window: Window) -> DataFrame:
     return delete_where(df, window.contains(F.col(day)))
 
 
-def delete_by_parent(child: DataFrame, parent: DataFrame, key: str, condition: Column) -> DataFrame:
+def delete_by_parent(
+    child: DataFrame, parent: DataFrame, key: str, condition: Column, hot: list | None = None
+) -> DataFrame:
     """Child rows left after deleting those whose parent meets the condition.
 
-    Parents are cut to the distinct keys of the rows to delete before the join.
+    Parents are cut to the distinct keys of the rows to delete before the join. ``hot``
+    names parents with a large share of the child rows, to be joined apart.
     """
     doomed = parent.filter(is_true(condition)).select(key).distinct()
-    return child.join(doomed, key, "left_anti")
+    return lookup_join(child, doomed, key, "left_anti", hot)
 
 
 def reload_window(target: DataFrame, fresh: DataFrame, day: str, window: Window) -> DataFrame:

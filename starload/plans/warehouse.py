@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from starload.functions.spines import legacy_delete_window, trailing_window
 from starload.operators.dedupe import keep_first
-from starload.operators.joins import SPLIT_BYTES, hot_keys, size_in_bytes
+from starload.operators.joins import SPLIT_BYTES, hot_keys_if_large
 from starload.operators.normalize import CHILDREN, normalize
 from starload.operators.reload import delete_by_parent, delete_where, overwrite_partitions
 from starload.plans.dimensions import DIMENSIONS, load_dimension, members
@@ -130,18 +130,18 @@ class Warehouse:
         share of the rows are looked for first and their rows joined apart.
         """
 
-        def hot(df: DataFrame, key: str):
-            return hot_keys(df, key) if size_in_bytes(df) > split_bytes else None
-
         def funding():
             rows = tables[FUNDING_TABLE]
-            sources = hot(rows.select(F.upper("origem").alias("origem")), "origem")
-            return unique_funding(funding_fact(tables, hot(rows, "idunico"), sources), on_duplicate)
+            projects = hot_keys_if_large(rows, "idunico", split_bytes)
+            named = rows.select(F.upper("origem").alias("origem"))
+            sources = hot_keys_if_large(named, "origem", split_bytes)
+            return unique_funding(funding_fact(tables, projects, sources), on_duplicate)
 
         def pairs(bridge):
             rows = tables[bridge.source]
-            codes = hot(rows.select(F.col(bridge.code).cast("string").alias("_code")), "_code")
-            return bridge_fact(bridge, tables, hot(rows, "idunico"), codes)
+            projects = hot_keys_if_large(rows, "idunico", split_bytes)
+            coded = rows.select(F.col(bridge.code).cast("string").alias("_code"))
+            return bridge_fact(bridge, tables, projects, hot_keys_if_large(coded, "_code", split_bytes))
 
         specs = {MAIN_FACT: (lambda: project_fact(tables, strict_counts), [PROJECT.sk])}
         specs[FUNDING_FACT] = (funding, [PROJECT.sk, FUNDING.sk])
@@ -164,6 +164,19 @@ class Warehouse:
         facts = self.load_facts({**staged, **dims}, **fact_options)
         return {**staged, **dims, **facts}
 
+    def append(self, fresh: Tables) -> Tables:
+        """Add rows to staging tables without removing any."""
+
+        def job(name, rows):
+            path = newest(self.spark, self.place(name))
+            if path is None:
+                return self.replace(name, rows)
+            dated = with_period(rows, "datacadastro", self.grain)
+            dated.hint("rebalance", PERIOD).write.mode("append").partitionBy(PERIOD).parquet(path)
+            return self.current(name)
+
+        return each(self.spark, {name: lambda n=name, r=rows: job(n, r) for name, rows in fresh.items()})
+
     def reload_by_date(self, fresh: Tables, as_of: date, days: int, legacy_window: bool = False) -> Tables:
         """Replace the trailing window of every staging table by fresh rows.
 
@@ -196,7 +209,8 @@ class Warehouse:
                 return rows
             if name == PARENT_TABLE:
                 return delete_where(current, chosen).unionByName(rows)
-            return delete_by_parent(current, parent, "idunico", chosen).unionByName(rows)
+            hot = hot_keys_if_large(current, "idunico")
+            return delete_by_parent(current, parent, "idunico", chosen, hot).unionByName(rows)
 
         return self.replace_all({name: after(name, rows) for name, rows in fresh.items()})
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from starload.functions.columns import money_sum
 from starload.operators.changes import (
-    change_counts, change_feed, classify, mirror, rows_to_delete, rows_to_insert, rows_to_update, upsert, upsert_sql,
+    change_counts, change_feed, classify, difference, mirror, rows_to_delete, rows_to_insert, rows_to_update, upsert, upsert_sql,
 )
 from starload.operators.numbering import even_batches, exact_batches
 from starload.queries.registry import query, table
@@ -161,7 +161,7 @@ def _difference(spark, folder):
     orders = table(spark, folder, "orders")
     pairs = ["o_custkey", "o_orderstatus"]
     late = orders.filter(F.col("o_orderdate") >= "1998-01-01").select(pairs)
-    return late.subtract(orders.filter(F.col("o_orderdate") < "1998-01-01").select(pairs))
+    return difference(late, orders.filter(F.col("o_orderdate") < "1998-01-01").select(pairs))
 
 
 @query("limit_rows", "select l_orderkey, l_linenumber, l_extendedprice from lineitem order by all limit 500")

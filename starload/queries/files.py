@@ -81,11 +81,11 @@ def _csv_to_parquet(spark, folder):
 
 # Nested records, written as JSON and read back with the explicit schema --------------------------------------
 
-def landed(spark: SparkSession, folder: str, without: str | None = None) -> DataFrame:
+def landed(spark: SparkSession, folder: str) -> DataFrame:
     """Landing records after a round trip through JSON files, one folder per registration year."""
     records = landing(spark, folder).withColumn("param", F.substring("dataCadastro", 1, 4))
     path = scratch_dir(spark, "landed")
-    land_json(records.drop(without) if without else records, path)
+    land_json(records, path, compression="gzip")
     return read_landed(spark, path, PROJECT_LANDING)
 
 
@@ -249,6 +249,6 @@ def _request_audit(spark, folder):
         "ts",
         succeeded=F.col("event_type") != "error",
         is_end=F.col("event_type") == "purchase",
-        chunk=F.col("ts").cast("date"),
+        chunk=F.datediff(F.col("ts"), F.lit("1970-01-01")) * 24 + F.hour("ts"),
         limits=Limits(errors=18, consecutive_errors=3, executions=60),
     )

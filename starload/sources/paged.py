@@ -21,6 +21,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 UNLIMITED = -1
 OK = 200
 NOT_FOUND = 404
+PAGE_BLOCK = 10_000
 
 REQUESTS = T.StructType(
     [
@@ -150,7 +151,18 @@ def request_url(base: str, endpoint: str, parameters: dict[str, Column | str], e
 def request_plan(
     spine: DataFrame, base: str, endpoint: str, param_name: str, pages: Column, page_size: int = 100
 ) -> DataFrame:
-    """One row per request: each parameter with its page numbers from zero."""
-    numbered = spine.select("param", F.explode(F.sequence(F.lit(0), pages - 1)).alias("page"))
+    """One row per request: each parameter with its page numbers from zero.
+
+    Pages are made in two steps, blocks and then the pages of a block, with the blocks
+    dealt out in between: a parameter with very many pages neither builds one huge
+    array nor stays in one task.
+    """
+    last = (pages - 1).cast("int")
+    blocks = spine.select(
+        "param", last.alias("_last"), F.explode(F.sequence(F.lit(0), F.floor(last / PAGE_BLOCK))).alias("_block")
+    ).repartition("param", "_block")
+    first = (F.col("_block") * PAGE_BLOCK).cast("int")
+    within = F.sequence(first, F.least(F.col("_last"), first + (PAGE_BLOCK - 1)))
+    numbered = blocks.select("param", F.explode(within).alias("page"))
     parameters = {"pagina": F.col("page"), "tamanhoDaPagina": str(page_size), param_name: F.col("param")}
     return numbered.withColumn("url", request_url(base, endpoint, parameters))

@@ -21,6 +21,22 @@ def test_query_equals_sql(spark, duck, name):
     assert compare(spark, duck, FOLDER, name) is None
 
 
+LAZY = ["upsert", "dedupe_first", "fact_main", "fact_measure_bridge", "bridge_part", "delete_children_by_parent"]
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_plan_has_no_cross_join_and_pushes_columns(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert "SinglePartition" not in plan or "_bucket" in plan
+
+
+def test_filters_reach_the_scan(spark):
+    plan = QUERIES["upsert"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(l_shipdate" in plan and "GreaterThanOrEqual(l_shipdate" in plan
+    assert "l_comment" not in plan and "l_discount" not in plan
+
+
 def test_entry_points(spark):
     import __spark_entry__ as entry
 

@@ -138,6 +138,7 @@ def test_urls(spark):
     )
     assert rows(df) == [("http://h/e?a=1&b=5", "http://h/e?a=x+y", "http://h/e")]
     plan = request_plan(literal_spine(spark, ["PR"]), "http://h", "/e", "uf", F.lit(2))
+    assert request_plan(literal_spine(spark, ["PR"]), "h", "e", "uf", F.lit(25_001)).select("page").distinct().count() == 25_001
     assert rows(plan, "url")[1] == ("http://h/e?pagina=1&tamanhoDaPagina=100&uf=PR",)
 
 

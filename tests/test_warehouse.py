@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from starload.operators.joins import hot_keys, lookup_join, size_in_bytes
 from starload.operators.quality import key_violations, max_lengths, null_counts, orphans, rejected_dates, too_long
+from starload.plans.constraints import FOREIGN_KEYS, PRIMARY_KEYS, check_tables
 from starload.plans.dimensions import BY_TABLE, DIMENSIONS, load_dimension, members
 from starload.plans.facts import BRIDGES, bridge_fact, funding_fact, project_fact, unique_funding
 from starload.plans.warehouse import Warehouse, load_staging, run_by_date, run_by_state
+from starload.sources.landing import land_json
+from starload.streaming.landing import append_landed
 from starload.schemas import EXECUTION_TABLE, MAX_LENGTHS, PARENT_TABLE, PROJECT_LANDING
 
 EIXO, UF, FUNDING = BY_TABLE["dim_eixo"], BY_TABLE["dim_uf"], BY_TABLE["dim_fonte_recurso"]
@@ -167,7 +170,7 @@ def test_hot_keys_join_apart(spark):
     many = many.withColumn("k", F.when(F.col("id") != 3999, F.col("k")))
     table = spark.range(3000).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
     assert hot_keys(many, "k") == [7]
-    for how in ("inner", "left"):
+    for how in ("inner", "left", "left_anti", "left_semi"):
         split = lookup_join(many, table, "k", how, hot=[7])
         assert rows(split) == rows(many.join(table, "k", how))
     assert size_in_bytes(many) > 0
@@ -197,3 +200,40 @@ def test_checks(spark):
     assert rows(rejected_dates(dates, ["d"])) == [("d", 2)]
     assert all(n > 0 for limits in MAX_LENGTHS.values() for n in limits.values())
     assert len(DIMENSIONS) == 12 and len(BRIDGES) == 6
+
+
+def test_constraints(spark, tmp_path):
+    _, tables = built(spark, tmp_path, project("A"), project("B", especie="x" * 51))
+    found = {tuple(r) for r in check_tables(tables).filter("violations > 0").collect()}
+    assert found == {("dim_projeto_investimento", "length", "especie", 1)}
+    wrong = {
+        "dim_eixo": spark.createDataFrame([(1, "1", None), (1, "2", "b")], "sk_eixo int, nk_eixo string, descricao string"),
+        "fact_projeto_investimento_eixos": spark.createDataFrame(
+            [(1, 1), (1, 9), (None, 9)], "sk_projeto_investimento int, sk_eixo int"
+        ),
+    }
+    assert rows(check_tables(wrong).filter("violations > 0")) == [
+        ("dim_eixo", "not null", "descricao", 1),
+        ("dim_eixo", "primary key", "sk_eixo", 1),
+        ("fact_projeto_investimento_eixos", "foreign key", "sk_eixo", 2),
+        ("fact_projeto_investimento_eixos", "not null", "sk_projeto_investimento", 1),
+    ]
+    assert len(PRIMARY_KEYS) == 20 and len(FOREIGN_KEYS) == 15
+
+
+def test_stream_appends_each_landing_file_once(spark, tmp_path):
+    folder, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+
+    def land(day, *records):
+        land_json(nested(spark, *records).drop("nomeArquivo").withColumn("param", F.lit(day)), folder)
+
+    land("2024-03-05", project("A"), project("B"))
+    append_landed(spark, warehouse, folder, checkpoint)
+    append_landed(spark, warehouse, folder, checkpoint)
+    land("2024-03-06", project("C", day="2024-03-06"))
+    append_landed(spark, warehouse, folder, checkpoint)
+    assert rows(warehouse.current(PARENT_TABLE), "idunico", "nomearquivo") == [
+        ("A", "2024-03-05"), ("B", "2024-03-05"), ("C", "2024-03-06"),
+    ]
+    assert warehouse.current(f"{PARENT_TABLE}_tipos").count() == 3
