@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from starload.functions.columns import any_null, is_true
 
@@ -12,21 +12,27 @@ from starload.functions.columns import any_null, is_true
 def keep_first(
     df: DataFrame, keys: list[str], tiebreak: list[str] | None = None, null_equal: bool = False
 ) -> DataFrame:
-    """Keep one row per key, the first by ``tiebreak`` (default: all other columns, ascending).
+    """Keep one row per key, the first by ``tiebreak`` and then all other columns, ascending, nulls first.
 
     A null in the key matches nothing, so such rows all stay, unless ``null_equal``.
-    The rank filter lets Spark cut every key to one row before the shuffle, so a key
-    with very many copies sends one row per task.
+    The first row is the least struct of a group, an aggregate that is computed within
+    each task before the shuffle: a key with very many copies sends one row per task.
     """
-    order = tiebreak or [name for name in df.columns if name not in keys] or keys
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-
-    def ranked(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    order = tiebreak or []
+    # grouping turns -0.0 into 0.0, so floating keys are read back from the row itself
+    floating = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    inside = [*order, *[c for c in df.columns if c not in order and (c not in keys or c in floating)]]
+    outside = [key for key in keys if key not in inside]
+
+    def least(rows: DataFrame) -> DataFrame:
+        if not inside:
+            return rows.select(*keys).distinct()
+        first = rows.groupBy(*keys).agg(F.min(F.struct(*inside)).alias("_first"))
+        return first.select(*outside, "_first.*").select(*df.columns)
 
     if null_equal:
-        return ranked(df)
-    return ranked(df.filter(~any_null(keys))).unionByName(df.filter(any_null(keys)))
+        return least(df)
+    return least(df.filter(~any_null(keys))).unionByName(df.filter(any_null(keys)))
 
 
 def distinct_where(df: DataFrame, condition: Column) -> DataFrame:

@@ -85,7 +85,7 @@ def landed(spark: SparkSession, folder: str) -> DataFrame:
     """Landing records after a round trip through JSON files, one folder per registration year."""
     records = landing(spark, folder).withColumn("param", F.substring("dataCadastro", 1, 4))
     path = scratch_dir(spark, "landed")
-    land_json(records, path, compression="gzip")
+    land_json(records, path, compression="lz4")
     return read_landed(spark, path, PROJECT_LANDING)
 
 

@@ -30,7 +30,14 @@ def test_table_of_keys_alone(spark):
 
 def test_repeats_are_cut_before_the_shuffle(spark):
     plan = keep_first(table(spark), ["k", "n"])._jdf.queryExecution().executedPlan().toString()
-    assert "row_number(), 1, Partial" in plan
+    assert "partial_min" in plan and plan.count("Exchange") == 1
+
+
+def test_floating_key_and_partial_tiebreak(spark):
+    df = spark.createDataFrame([(-0.0, 2, "b"), (0.0, 2, "a"), (1.0, 1, "z")], "k double, t int, v string")
+    assert rows(keep_first(df.filter("v != 'a'"), ["k"], ["t"]))[0] == (-0.0, 2, "b")
+    assert rows(keep_first(df, ["k"], ["t"]), "v") == [("a",), ("z",)]
+    assert str(keep_first(df.filter("v = 'b'"), ["k"]).first().k) == "-0.0"
 
 
 def test_hot_key(spark):
