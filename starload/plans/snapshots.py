@@ -1,7 +1,7 @@
 """Tables as versioned Parquet folders.
 
 A version is complete once Spark has written its ``_SUCCESS`` marker; readers take the
-newest complete one. A failed write leaves the version before it in force, and no full
+newest complete one. One writer per table is assumed. A failed write leaves the version before it in force, and no full
 rewrite replaces files that its own query still reads. A slice of a partitioned table
 is replaced inside its newest version, without touching the other partitions.
 """
@@ -83,6 +83,13 @@ def write_snapshot(df: DataFrame, root: str, partition: str | None = None) -> Da
     return _read(spark, path).drop(PERIOD)
 
 
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove all but the newest complete versions, once no query reads them any more."""
+    for version in complete_versions(spark, root)[: -max(keep, 1)]:
+        fs, place = _files(spark, f"{root}/v={version}")
+        fs.delete(place, True)
+
+
 def with_period(df: DataFrame, day: str, grain: str) -> DataFrame:
     return df.withColumn(PERIOD, period(F.col(day), grain))
 
@@ -91,7 +98,8 @@ def replace_window(fresh: DataFrame, root: str, day: str, window: Window, grain:
     """Delete the rows of a date window and add ``fresh``, rewriting only the periods concerned.
 
     Rows of those periods outside the window are carried over. Fresh rows without a date
-    or of other periods are appended.
+    or of other periods are appended; if a failed run is repeated, these may be there
+    twice until the copies are removed by the next de-duplication.
     """
     if grain not in GRAINS:
         raise ValueError(f"unknown grain {grain!r}")

@@ -21,7 +21,7 @@ from starload.plans.facts import (
     bridge_fact, funding_fact, load_fact, project_fact, unique_funding,
 )
 from starload.plans.snapshots import (
-    PERIOD, newest, read_snapshot, replace_window, with_period, write_snapshot,
+    PERIOD, drop_old_versions, newest, read_snapshot, replace_window, with_period, write_snapshot,
 )
 from starload.schemas import EXECUTION_TABLE, LINEAGE, PARENT_TABLE
 
@@ -102,6 +102,10 @@ class Warehouse:
     def replace_all(self, tables: Tables) -> Tables:
         return each(self.spark, {name: lambda n=name, d=df: self.replace(n, d) for name, df in tables.items()})
 
+    def prune(self, tables: list[str], keep: int = 2) -> None:
+        for table in tables:
+            drop_old_versions(self.spark, self.place(table), keep)
+
     def staging(self) -> Tables:
         found = {name: self.current(name) for name in [*CHILD_TABLES, PARENT_TABLE, EXECUTION_TABLE]}
         return {name: df for name, df in found.items() if df is not None}

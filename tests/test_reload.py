@@ -10,7 +10,7 @@ from starload.operators.reload import (
     delete_by_parent, delete_where, delete_window, overwrite_partitions, reload_by_parent, reload_window,
 )
 from starload.plans.snapshots import (
-    complete_versions, read_snapshot, replace_window, with_period, write_snapshot,
+    complete_versions, drop_old_versions, read_snapshot, replace_window, with_period, write_snapshot,
 )
 
 TODAY = dt.date(2024, 3, 10)
@@ -83,3 +83,5 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     assert read_snapshot(spark, root).count() == 2
     assert write_snapshot(spark.range(3), root).count() == 3
     assert complete_versions(spark, root) == [1, 2]
+    drop_old_versions(spark, root, keep=1)
+    assert complete_versions(spark, root) == [2] and read_snapshot(spark, root).count() == 3
