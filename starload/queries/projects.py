@@ -8,7 +8,7 @@ some are null, some empty.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.operators.normalize import CHILDREN, normalize
@@ -19,80 +19,72 @@ from starload.queries.registry import query, table
 from starload.schemas import EXECUTION_TABLE, PARENT_TABLE, PROJECT_LANDING
 
 
-def _iso(day: str) -> Column:
-    return F.col(day).cast("date").cast("string")
-
-
-def _label(prefix: str, code: str) -> Column:
-    return F.concat(F.lit(prefix), F.col(code).cast("string"))
-
-
-def _elements(array: str, *rows: tuple[Column, ...]) -> Column:
+def _elements(array: str, *rows: tuple[str, ...]) -> str:
     """Array of structs with the fields the landing schema gives it."""
     fields = PROJECT_LANDING[array].dataType.elementType.fields
-    return F.array(
-        *[F.struct(*[c.cast(f.dataType).alias(f.name) for c, f in zip(row, fields)]) for row in rows]
-    )
+
+    def element(row: tuple[str, ...]) -> str:
+        pairs = [f"'{f.name}', cast({value} as {f.dataType.simpleString()})" for value, f in zip(row, fields)]
+        return f"named_struct({', '.join(pairs)})"
+
+    return f"array({', '.join(element(row) for row in rows)})"
+
+
+_ISO_ORDERED, _ISO_SHIPPED = "cast(cast(o_orderdate as date) as string)", "cast(cast(l_shipdate as date) as string)"
+
+RECORD = {
+    "idUnico": "l_orderkey",
+    "dataCadastro": _ISO_ORDERED,
+    "nome": "concat('Order ', l_orderkey)",
+    "cep": "o_custkey",
+    "descricao": "o_orderpriority",
+    "funcaoSocial": "l_returnflag",
+    "dataInicialPrevista": _ISO_ORDERED,
+    "dataFinalPrevista": _ISO_SHIPPED,
+    "dataInicialEfetiva": f"case when l_returnflag = 'N' then '' else {_ISO_ORDERED} end",
+    "dataFinalEfetiva": f"case when l_returnflag = 'R' then concat({_ISO_SHIPPED}, 'T10:00:00') else {_ISO_SHIPPED} end",
+    "especie": "l_linestatus",
+    "natureza": "o_orderpriority",
+    "situacao": "case when l_returnflag = 'A' then lower(o_orderstatus) else o_orderstatus end",
+    "uf": "case when l_tax <> 0 then o_orderstatus end",
+    "qdtEmpregosGerados": "case when l_discount = 0 then ' ' else concat(' ', cast(l_quantity as int), ' ') end",
+    "populacaoBeneficiada": "l_partkey",
+    "isModeladaPorBim": "l_tax > 0.04D",
+    "dataSituacao": _ISO_SHIPPED,
+    "tomadores": _elements("tomadores", ("o_custkey", "concat('Customer ', o_custkey)")),
+    "executores": _elements("executores", ("l_suppkey", "concat('Supplier ', l_suppkey)")),
+    "repassadores": "case when l_returnflag = 'R' then {} when l_returnflag = 'N' then cast(array() as {}) end".format(
+        _elements("repassadores", ("l_linenumber", "concat('Line ', l_linenumber)")),
+        PROJECT_LANDING["repassadores"].dataType.simpleString(),
+    ),
+    "eixos": _elements("eixos", ("l_linenumber", "concat('Axis ', l_linenumber)")),
+    "tipos": _elements("tipos", ("l_suppkey", "concat('Type ', l_suppkey)", "l_linenumber")),
+    "subTipos": _elements(
+        "subTipos",
+        ("l_partkey", "concat('Part ', l_partkey)", "l_suppkey"),
+        ("l_partkey", "concat('Part ', l_partkey)", "l_linenumber"),
+    ),
+    "fontesDeRecurso": _elements(
+        "fontesDeRecurso",
+        ("o_orderpriority", "l_extendedprice"),
+        ("lower(o_orderpriority)", "case when l_tax <> 0 then l_quantity end"),
+    ),
+    "geometrias": _elements(
+        "geometrias",
+        ("null", _ISO_ORDERED, f"case when l_returnflag = 'A' then '' else {_ISO_SHIPPED} end",
+         "concat('D', l_linenumber)", "null", "null", "null", "null", "l_linestatus", "null"),
+    ),
+}
 
 
 def landing(spark: SparkSession, folder: str) -> DataFrame:
     """Landing records with the explicit project schema."""
-    lines = table(spark, folder, "lineitem")
+    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     # both sides grow with the data, so neither is ever broadcast
-    rows = lines.hint("merge").join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    ordered, shipped = _iso("o_orderdate"), _iso("l_shipdate")
-    flag = F.col("l_returnflag")
-    untaxed = F.col("l_tax") == 0
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    text = F.lit(None).cast("string")
-    line = F.col("l_linenumber")
-    made = {
-        "idUnico": F.col("l_orderkey").cast("string"),
-        "dataCadastro": ordered,
-        "nome": _label("Order ", "l_orderkey"),
-        "cep": F.col("o_custkey").cast("string"),
-        "descricao": priority,
-        "funcaoSocial": flag,
-        "dataInicialPrevista": ordered,
-        "dataFinalPrevista": shipped,
-        "dataInicialEfetiva": F.when(flag == "N", "").otherwise(ordered),
-        "dataFinalEfetiva": F.when(flag == "R", F.concat(shipped, F.lit("T10:00:00"))).otherwise(shipped),
-        "especie": F.col("l_linestatus"),
-        "natureza": priority,
-        "situacao": F.when(flag == "A", F.lower(status)).otherwise(status),
-        "uf": F.when(~untaxed, status),
-        "qdtEmpregosGerados": F.when(F.col("l_discount") == 0, " ").otherwise(
-            F.concat(F.lit(" "), F.col("l_quantity").cast("int").cast("string"), F.lit(" "))
-        ),
-        "populacaoBeneficiada": F.col("l_partkey").cast("string"),
-        "isModeladaPorBim": F.col("l_tax") > 0.04,
-        "dataSituacao": shipped,
-        "tomadores": _elements("tomadores", (F.col("o_custkey"), _label("Customer ", "o_custkey"))),
-        "executores": _elements("executores", (F.col("l_suppkey"), _label("Supplier ", "l_suppkey"))),
-        "repassadores": F.when(
-            flag == "R", _elements("repassadores", (line, _label("Line ", "l_linenumber")))
-        ).when(flag == "N", F.array().cast(PROJECT_LANDING["repassadores"].dataType)),
-        "eixos": _elements("eixos", (line, _label("Axis ", "l_linenumber"))),
-        "tipos": _elements("tipos", (F.col("l_suppkey"), _label("Type ", "l_suppkey"), line)),
-        "subTipos": _elements(
-            "subTipos",
-            (F.col("l_partkey"), _label("Part ", "l_partkey"), F.col("l_suppkey")),
-            (F.col("l_partkey"), _label("Part ", "l_partkey"), line),
-        ),
-        "fontesDeRecurso": _elements(
-            "fontesDeRecurso",
-            (priority, F.col("l_extendedprice")),
-            (F.lower(priority), F.when(~untaxed, F.col("l_quantity"))),
-        ),
-        "geometrias": _elements(
-            "geometrias",
-            (text, ordered, F.when(flag == "A", "").otherwise(shipped), _label("D", "l_linenumber"),
-             text, text, text, text, F.col("l_linestatus"), text),
-        ),
-    }
-    return rows.select(
+    rows = lines.hint("merge").join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+    return rows.selectExpr(
         *[
-            made.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
+            f"cast({RECORD.get(field.name, 'null')} as {field.dataType.simpleString()}) as {field.name}"
             for field in PROJECT_LANDING
         ]
     )
