@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starload.functions.columns import any_null, is_true
 from starload.functions.spines import GRAINS, Window, period, period_of
+from starload.operators.dedupe import keep_first
 from starload.operators.reload import delete_window, overwrite_partitions
 
 PERIOD = "periodo"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _files(spark: SparkSession, path: str):
@@ -116,7 +119,39 @@ def replace_window(fresh: DataFrame, root: str, day: str, window: Window, grain:
     filled = {row[0] for row in content.select(PERIOD).distinct().collect()}
     overwrite_partitions(content, path, PERIOD)
     dated.filter(~concerned).write.mode("append").partitionBy(PERIOD).parquet(path)
-    for folder in _glob(spark, f"{path}/{PERIOD}=*"):
-        value = folder.getName().removeprefix(f"{PERIOD}=")
-        if value.isdigit() and first <= int(value) <= last and int(value) not in filled:
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    stale = [int(f.getName().removeprefix(f"{PERIOD}=")) for f in _glob(spark, f"{path}/{PERIOD}=[0-9]*")]
+    _drop_partitions(spark, path, PERIOD, [v for v in stale if first <= v <= last and v not in filled])
+
+
+def _drop_partitions(spark: SparkSession, path: str, partition: str, values: list) -> None:
+    for value in values:
+        fs, place = _files(spark, f"{path}/{partition}={NULL_FOLDER if value is None else value}")
+        fs.delete(place, True)
+
+
+def remove_copies(spark: SparkSession, root: str, partition: str, keys: list[str] | None = None) -> list:
+    """De-duplicate the newest version in place, rewriting only partitions that hold copies.
+
+    With ``keys`` one row per key stays, without them whole rows are made distinct. All
+    copies of a repeated key are in the partitions rewritten, so the rest need not be
+    read again. Returns the partitions concerned.
+    """
+    path = newest(spark, root)
+    stored = _read(spark, path)
+    searched = keys or stored.columns
+    known = stored.filter(~any_null(keys)) if keys else stored
+    # one struct per partition a key occurs in, at most as many as the table has partitions
+    places = known.groupBy(*searched).agg(
+        F.count("*").alias("_copies"), F.collect_set(F.struct(F.col(partition).alias("value"))).alias("_places")
+    )
+    repeated = places.filter("_copies > 1").select(F.explode("_places").alias("place")).select("place.value")
+    concerned = [row[0] for row in repeated.distinct().collect()]
+    if not concerned:
+        return []
+    named = F.col(partition).isin([value for value in concerned if value is not None])
+    chosen = stored.filter(is_true(named) | F.col(partition).isNull() if None in concerned else is_true(named))
+    clean = keep_first(chosen, keys) if keys else chosen.distinct()
+    filled = {row[0] for row in clean.select(partition).distinct().collect()}
+    overwrite_partitions(clean, path, partition)
+    _drop_partitions(spark, path, partition, [value for value in concerned if value not in filled])
+    return concerned

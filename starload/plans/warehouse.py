@@ -21,7 +21,7 @@ from starload.plans.facts import (
     bridge_fact, funding_fact, load_fact, project_fact, unique_funding,
 )
 from starload.plans.snapshots import (
-    PERIOD, drop_old_versions, newest, read_snapshot, replace_window, with_period, write_snapshot,
+    PERIOD, drop_old_versions, newest, read_snapshot, remove_copies, replace_window, with_period, write_snapshot,
 )
 from starload.schemas import EXECUTION_TABLE, LINEAGE, PARENT_TABLE
 
@@ -161,9 +161,24 @@ class Warehouse:
         """Write staging without its repeated rows."""
         return self.replace_all(dedupe_staging(staging))
 
+    def clean_in_place(self) -> Tables:
+        """Remove repeated rows from stored staging, rewriting only the partitions that hold any."""
+
+        def job(name):
+            if name == EXECUTION_TABLE:
+                remove_copies(self.spark, self.place(name), LINEAGE)
+            elif name in STAGING_KEYS:
+                remove_copies(self.spark, self.place(name), PERIOD, STAGING_KEYS[name])
+            return self.current(name)
+
+        return each(self.spark, {name: lambda n=name: job(n) for name in self.staging()})
+
     def refresh(self, staging: Tables | None = None, duplicate_nk: str = "error", **fact_options) -> Tables:
-        """De-duplicate staging, then load dimensions, then facts."""
-        staged = self.clean(staging or self.staging())
+        """De-duplicate staging, then load dimensions, then facts.
+
+        Given ``staging`` is written clean; the stored one is cleaned in place.
+        """
+        staged = self.clean(staging) if staging else self.clean_in_place()
         dims = self.load_dimensions(staged, duplicate_nk)
         facts = self.load_facts({**staged, **dims}, **fact_options)
         return {**staged, **dims, **facts}
@@ -232,8 +247,9 @@ def run_by_date(
 ) -> Tables:
     """Reload the trailing window from landing records, then refresh dimensions and facts."""
     fresh = load_staging(nested, f"{warehouse.root}/run")
-    staged = warehouse.reload_by_date(fresh, as_of, days)
-    return warehouse.refresh({**staged, EXECUTION_TABLE: execution}, **options)
+    warehouse.reload_by_date(fresh, as_of, days)
+    warehouse.reload_execution(execution)
+    return warehouse.refresh(**options)
 
 
 def run_by_state(

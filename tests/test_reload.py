@@ -6,11 +6,12 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from starload.functions.spines import legacy_delete_window, trailing_window
+from starload.operators.dedupe import keep_first
 from starload.operators.reload import (
     delete_by_parent, delete_where, delete_window, overwrite_partitions, reload_by_parent, reload_window,
 )
 from starload.plans.snapshots import (
-    complete_versions, drop_old_versions, read_snapshot, replace_window, with_period, write_snapshot,
+    complete_versions, drop_old_versions, read_snapshot, remove_copies, replace_window, with_period, write_snapshot,
 )
 
 TODAY = dt.date(2024, 3, 10)
@@ -74,6 +75,28 @@ def test_window_is_replaced_in_place(spark, tmp_path, grain):
     assert rows(read_snapshot(spark, root)) == sorted(left, key=key)
 
 
+def test_copies_are_removed_in_place(spark, tmp_path):
+    root = str(tmp_path / "t")
+    day = dt.date
+    data = [
+        ("a", 1, day(2023, 1, 1)), ("a", 2, day(2024, 1, 1)), ("b", 1, day(2024, 1, 1)), ("b", 1, day(2024, 1, 1)),
+        ("c", 1, day(2022, 1, 1)), (None, 1, day(2022, 1, 1)), (None, 1, day(2022, 1, 1)), ("d", 1, None), ("d", 1, None),
+        ("e", 0, day(2021, 1, 1)), ("e", 5, day(2020, 1, 1)),
+    ]
+    df = spark.createDataFrame(data, "k string, v int, day date")
+    write_snapshot(with_period(df, "day", "year"), root, "periodo")
+    untouched = (tmp_path / "t" / "v=1" / "periodo=2022").stat().st_mtime_ns
+    assert set(remove_copies(spark, root, "periodo", ["k"])) == {2020, 2021, 2023, 2024, None}
+    assert rows(read_snapshot(spark, root)) == rows(keep_first(df, ["k"]))
+    assert (tmp_path / "t" / "v=1" / "periodo=2022").stat().st_mtime_ns == untouched
+    assert not (tmp_path / "t" / "v=1" / "periodo=2020").exists()
+    assert remove_copies(spark, root, "periodo", ["k"]) == []
+    filed = df.drop("day").withColumn("f", F.when(F.col("k") == "b", "2024").otherwise("2023"))
+    write_snapshot(filed, f"{root}x", "f")
+    assert sorted(remove_copies(spark, f"{root}x", "f")) == ["2023", "2024"]
+    assert rows(read_snapshot(spark, f"{root}x"), "k", "v", "f") == rows(filed.distinct(), "k", "v", "f")
+
+
 def test_unfinished_version_is_not_read(spark, tmp_path):
     root = str(tmp_path / "t")
     assert read_snapshot(spark, root) is None
