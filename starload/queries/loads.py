@@ -16,7 +16,7 @@ from starload.plans.warehouse import Warehouse, load_staging, run_by_state
 from starload.queries.cleaning import AS_OF, DAYS
 from starload.queries.files import landed
 from starload.queries.projects import (
-    EXECUTION_SQL, STAGING_SQL, clean_sql, dimension_sql, execution, landing, with_relations,
+    STAGING_SQL, clean_sql, dimension_sql, execution, landing, with_relations,
 )
 from starload.queries.registry import query, table
 from starload.schemas import EXECUTION_TABLE, PARENT_TABLE
