@@ -40,5 +40,6 @@ def test_filters_reach_the_scan(spark):
 def test_entry_points(spark):
     import __spark_entry__ as entry
 
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert entry.queries().keys() >= QUERIES.keys() and entry.oracle_sql().keys() >= ORACLES.keys()
     assert entry.entry(spark).columns == ["sk_projeto_investimento", "sk_eixo"]
