@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import simhash
+from starload.llm import simhash, toxicity
 from starload.llm.common import query, table
 
 
@@ -14,3 +14,11 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, folder, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = toxicity.with_score(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, folder, "labels")))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", (~toxicity.is_training()).alias("held_out"), "score", predicted)
