@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import simhash, toxicity
+from starload.llm import mixing, secrets, shards, simhash, sketch, toxicity
 from starload.llm.common import query, table
 
 
@@ -22,3 +22,28 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.with_score(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, folder, "labels")))
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", (~toxicity.is_training()).alias("held_out"), "score", predicted)
+
+
+#: Target weights of the mix; a source not listed has weight 1.
+MIX_WEIGHTS = {"src0": 3.0, "src1": 2.0, "src2": 0.5}
+
+
+@query("op1_mixing")
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents"), MIX_WEIGHTS)
+
+
+@query("op3_shards")
+def op3_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.sharded(table(spark, folder, "documents"))
+
+
+@query("op4_secrets")
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return secrets.scan(docs, secrets.fit(docs))
+
+
+@query("op10_sketch")
+def op10_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.edited_fingerprints(table(spark, folder, "documents"))
