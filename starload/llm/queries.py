@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import mixing, secrets, shards, simhash, sketch, toxicity
+from starload.llm import mainpage, mixing, secrets, shards, simhash, sketch, toxicity
 from starload.llm.common import query, table
 
 
@@ -47,3 +47,10 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_sketch")
 def op10_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return sketch.edited_fingerprints(table(spark, folder, "documents"))
+
+
+@query("op7_mainpage")
+def op7_mainpage(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    extracted = mainpage.with_main_text(pages)
+    return extracted.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
