@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import mainpage, mixing, secrets, shards, simhash, sketch, toxicity
+from starload.llm import decontaminate, mainpage, mixing, secrets, shards, simhash, sketch, toxicity
 from starload.llm.common import query, table
 
 
@@ -54,3 +54,9 @@ def op7_mainpage(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     extracted = mainpage.with_main_text(pages)
     return extracted.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op6_leaks")
+def op6_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "ratio", "start_word", "end_word")
