@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from starload.llm.bloom import bitmap, known
 from starload.llm.common import prepared, stored, text_bytes
 from starload.llm.wordhash import grouped, ngrams, word_hashes
 
 N = 3
 #: A seed is rare in so small a share of the documents; an item's least frequent ones are seeds in any case.
 RARE_SHARE, RAREST = 1e-4, 8
-BITS = 25
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: A passage is a copy from this share of the item's best possible score; shorter items must match whole.
 RATIO, SHORT = 0.5, 8
@@ -54,29 +54,6 @@ def item_ngrams(items: DataFrame, n: int = N) -> DataFrame:
     return items.select(F.col("item_id").cast("long"), lower_bytes()).mapInArrow(cut, "item_id long, words binary, hashes array<long>")
 
 
-def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << BITS) - 1)
-    return ((h >> np.uint64(64 - BITS)) & mask).astype(np.int64), (h & mask).astype(np.int64)
-
-
-def bitmap(hashes: DataFrame) -> np.ndarray:
-    """Bloom bitmap of the column ``h``: 2 ** 25 bits, of which 2 ** 19 words at most reach the driver."""
-    place = F.explode(F.array(F.shiftrightunsigned("h", 64 - BITS), F.col("h").bitwiseAND(F.lit((1 << BITS) - 1))))
-    words = hashes.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w"))
-    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
-    out = np.zeros(1 << BITS - 6, np.int64)
-    out[words.column("w").to_numpy()] = words.column("bits").to_numpy()
-    return out.view(np.uint8)
-
-
-def known(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Whether each hash may be among those of the bitmap."""
-    found = np.ones(len(h), bool)
-    for place in _places(h):
-        found &= (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
-    return found
-
-
 def _frequencies(docs: DataFrame, bits: np.ndarray, n: int) -> DataFrame:
     """(h, df): documents that hold each n-gram of the bitmap; each task adds up what it has read first."""
 

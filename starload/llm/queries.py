@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import decontaminate, mainpage, mixing, secrets, shards, simhash, sketch, toxicity
+from starload.llm import decontaminate, mainpage, mixing, repeats, secrets, shards, simhash, sketch, toxicity
 from starload.llm.common import query, table
 
 
@@ -60,3 +60,8 @@ def op7_mainpage(spark: SparkSession, folder: str) -> DataFrame:
 def op6_leaks(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "score", "ratio", "start_word", "end_word")
+
+
+@query("op5_repeats")
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
