@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import decontaminate, mainpage, mixing, repeats, secrets, shards, simhash, sketch, toxicity
+from starload.llm import decontaminate, lm, mainpage, mixing, repeats, secrets, shards, simhash, sketch, toxicity
 from starload.llm.common import query, table
 
 
@@ -65,3 +65,10 @@ def op6_leaks(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_repeats")
 def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query("op2_lm")
+def op2_lm(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = (F.crc32(F.col("doc_id").cast("string")) % 10 == 0).alias("held_out")
+    scored = lm.scores(table(spark, folder, "documents"), "crc32(cast(doc_id as string)) % 10 <> 0")
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

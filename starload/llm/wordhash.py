@@ -9,6 +9,7 @@ import pyarrow as pa
 
 #: Letters, digits and all bytes of other scripts belong to words; A-Z count as a-z.
 IN_WORD = np.array([chr(b).isalnum() and b < 128 or b >= 128 for b in range(256)])
+NOT_SPACE = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _RNG = np.random.default_rng(20240607)
 VALUES = _RNG.integers(1, 1 << 63, 256, np.uint64)[LOWER]
@@ -24,9 +25,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def word_hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of the texts that lie between ``cuts`` in ``data``, and its text's number."""
-    inside = IN_WORD[data]
+def word_hashes(data: np.ndarray, cuts: np.ndarray, of_word: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of the texts that lie between ``cuts`` in ``data``, and its text's number.
+
+    ``of_word`` says of each byte whether it belongs to words.
+    """
+    inside = of_word[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     borders = cuts[:-1][cuts[:-1] < len(data)]
