@@ -65,3 +65,15 @@ def text_bytes(name: str = "text") -> Column:
 def words_of(text: bytes) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a UTF-8 text with A-Z in lower case."""
     return text.lower().split()
+
+
+def packed(docs: DataFrame, *needed: str | Column) -> DataFrame:
+    """All columns of ``docs`` in a struct ``row`` beside those an operator needs: helper columns cannot clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *needed)
+
+
+def unpacked(rows: DataFrame, *added: str) -> DataFrame:
+    """The columns of ``row`` and the added ones; a column of ``row`` named like an added one is replaced."""
+    taken = {name.lower() for name in added}
+    own = [f.name for f in rows.schema["row"].dataType.fields if f.name.lower() not in taken]
+    return rows.select(*[F.col("row").getField(name).alias(name) for name in own], *added)

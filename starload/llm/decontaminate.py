@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from starload.llm.bloom import bitmap, known
-from starload.llm.common import prepared, stored, text_bytes
+from starload.llm.common import packed, prepared, stored, text_bytes, unpacked
 from starload.llm.wordhash import grouped, ngrams, word_hashes
 
 N = 3
@@ -190,6 +190,6 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = N, ratio: float = RATIO) -
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text holds no copy of an item, with all their columns."""
-    key, size = text_key()
-    texts = leaks(docs, items).select(F.col("text_key").alias("_key"), F.col("text_size").alias("_size")).distinct()
-    return docs.join(texts, (key == F.col("_key")) & (size == F.col("_size")), "left_anti")
+    texts = leaks(docs, items).select("text_key", "text_size").distinct()
+    keyed = packed(docs, *text_key())
+    return unpacked(keyed.join(texts, ["text_key", "text_size"], "left_anti"))

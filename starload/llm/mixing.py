@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import prepared
+from starload.llm.common import packed, prepared, text_bytes, unpacked
 
 #: The sums of one draw are exact in doubles up to this mean; a greater one is the sum of several draws.
 MOST_RATE = 500.0
@@ -61,34 +61,42 @@ def source_rates(docs: DataFrame, weights: dict[str, float], default: float = 1.
     return counts.withColumn("rate", F.col("weight") / F.lit(found["w"]) * F.lit(factor * found["n"]) / F.col("n_docs"))
 
 
-def mixed(
+#: The columns that a mix adds.
+ADDED = ("source_rate", "copy", "copies", "mix_key")
+
+
+def drawn(
     docs: DataFrame, weights: dict[str, float], default: float = 1.0, factor: float = 1.0, seed: int = 7, partitions: int | None = None
 ) -> DataFrame:
-    """Every document as often as it draws, with its columns and source_rate, copy (from 0), copies and mix_key.
+    """(row, source_rate, copy, copies, mix_key): each document as a struct, as often as it draws.
 
-    Needs doc_id, source and text. The rows lie in the order of mix_key within partitions chosen by mix_key.
-    Repeated rows (equal doc_id and text) draw alike. Documents that draw 0 are absent: that is the operator's
-    meaning. Columns of ``docs`` with the names of new ones are an error.
+    The rows lie in the order of mix_key, a hash, within partitions chosen by it.
     """
-    clash = {"source_rate", "copy", "copies", "mix_key"} & {c.lower() for c in docs.columns}
-    if clash:
-        raise ValueError(f"docs already has the columns {sorted(clash)}")
     prepared(docs.sparkSession)
-    rates = source_rates(docs, weights, default, factor)
+    rates = source_rates(docs.select("source"), weights, default, factor)
     draws = F.greatest(F.ceil(F.col("rate") / MOST_RATE), F.lit(1)).cast("int")
-    rates = rates.select(F.col("source").alias("_source"), F.col("rate").alias("source_rate"), draws.alias("_draws"))
-    rates = rates.withColumn("_terms", _terms(F.col("source_rate") / F.col("_draws")))
-    rows = docs.withColumn("_crc", F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))))
-    rows = rows.join(rates, F.col("source").eqNullSafe(F.col("_source")))
-    key = (F.col("doc_id"), F.col("_crc"))
+    rates = rates.select(F.col("source").alias("of"), F.col("rate").alias("source_rate"), draws.alias("draws"))
+    rates = rates.withColumn("terms", _terms(F.col("source_rate") / F.col("draws")))
+    rows = packed(docs, "doc_id", "source", F.crc32(text_bytes()).alias("crc"))
+    rows = rows.join(rates, F.col("source").eqNullSafe(F.col("of")))
+    key = (F.col("doc_id"), F.col("crc"))
 
-    def drawn(sofar: Column, k: Column) -> Column:
+    def one_draw(sofar: Column, k: Column) -> Column:
         # a draw counts the cumulative probabilities below its uniform number
-        return sofar + F.size(F.filter("_terms", lambda p: p < uniform(seed, *key, k)))
+        return sofar + F.size(F.filter("terms", lambda p: p < uniform(seed, *key, k)))
 
-    rows = rows.withColumn("copies", F.aggregate(F.sequence(F.lit(1), F.col("_draws")), F.lit(0), drawn))
+    rows = rows.withColumn("copies", F.aggregate(F.sequence(F.lit(1), F.col("draws")), F.lit(0), one_draw))
     rows = rows.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    rows = rows.withColumn("mix_key", F.xxhash64(F.lit(seed), F.lit("order"), *key, "copy"))
-    rows = rows.select(*docs.columns, "source_rate", "copy", "copies", "mix_key")
+    rows = rows.withColumn("mix_key", F.xxhash64(F.lit(seed), F.lit("order"), *key, "copy")).select("row", *ADDED)
     dealt = rows.repartition(partitions, "mix_key") if partitions else rows.repartition("mix_key")
     return dealt.sortWithinPartitions("mix_key")
+
+
+def mixed(docs: DataFrame, weights: dict[str, float], **options) -> DataFrame:
+    """Every document as often as it draws, with its columns and source_rate, copy (from 0), copies and mix_key.
+
+    Needs doc_id, source and text; options are those of ``drawn``. Repeated rows (equal doc_id and text) draw alike.
+    A null or empty text is a document like any other. Documents that draw 0 are absent: that is the operator's
+    meaning. Columns of ``docs`` with the names of new ones are replaced.
+    """
+    return unpacked(drawn(docs, weights, **options), *ADDED)

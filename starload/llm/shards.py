@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from starload.llm.common import packed, unpacked
+
 #: Parts of a shard that are numbered side by side.
 PARTS = 1024
 
@@ -63,13 +65,13 @@ def with_shard(df: DataFrame, tree: list[Shard], key: str = "doc_id", name: str
         for level, parent, child in zip(levels, path, path[1:]):
             own = level.setdefault(parent, {})
             own[child] = own.get(child, 0.0) + s.weight
-    out = df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("\x00null"))).withColumn("_at", F.lit(""))
+    out = packed(df, F.coalesce(F.col(key).cast("string"), F.lit("\x00null")).alias("key"), F.lit("").alias("at"))
     for level in levels:
         children = F.when(F.lit(False), _children(next(iter(level.values()))))
         for parent in sorted(level):
-            children = children.when(F.col("_at") == parent, _children(level[parent]))
-        out = out.withColumn("_at", _winner(children, F.col("_key")))
-    return out.withColumn(name, F.substring_index("_at", "/", -1).cast("int")).drop("_key", "_at")
+            children = children.when(F.col("at") == parent, _children(level[parent]))
+        out = out.withColumn("at", _winner(children, F.col("key")))
+    return unpacked(out.withColumn(name, F.substring_index("at", "/", -1).cast("int")), name)
 
 
 def with_slots(df: DataFrame, order: list[str], shard: str = "shard", slot: str = "slot", parts: int = PARTS) -> DataFrame:
@@ -79,13 +81,14 @@ def with_slots(df: DataFrame, order: list[str], shard: str = "shard", slot: str
     parts before it, ``parts`` for each shard whatever the size of ``df``, are added. Rows equal in ``order``
     share a part and get its places in any order.
     """
-    cut = df.withColumn("_part", F.pmod(F.xxhash64(*order, F.lit("part")), F.lit(parts)).cast("int"))
-    before = W.partitionBy(shard).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    counts = cut.groupBy(shard, "_part").count()
-    starts = counts.select(shard, "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    rank = F.row_number().over(W.partitionBy(shard, "_part").orderBy(*order)) - 1
-    numbered = cut.withColumn("_rank", rank).join(starts, [shard, "_part"])
-    return numbered.withColumn(slot, (F.col("_start") + F.col("_rank")).cast("long")).select(*df.columns, slot)
+    part = F.pmod(F.xxhash64(*order, F.lit("part")), F.lit(parts)).cast("int").alias("part")
+    cut = packed(df, F.col(shard).alias("shard"), part, F.struct(*order).alias("order"))
+    before = W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    counts = df.select(F.col(shard).alias("shard"), part).groupBy("shard", "part").count()
+    starts = counts.select("shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    rank = F.row_number().over(W.partitionBy("shard", "part").orderBy("order")) - 1
+    numbered = cut.withColumn("rank", rank).join(starts, ["shard", "part"])
+    return unpacked(numbered.withColumn(slot, (F.col("start") + F.col("rank")).cast("long")), slot)
 
 
 def sharded(docs: DataFrame, shards: int = 40) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import prepared, stored, text_bytes, words_of
+from starload.llm.common import packed, prepared, stored, text_bytes, unpacked, words_of
 from starload.llm.components import components
 
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
@@ -233,8 +233,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     It is the row with the least doc_id (nulls last, then by fingerprint); of rows with equal id and
     fingerprint one stays.
     """
-    marked = with_fingerprint(docs, "_fp")
-    small = stored(marked.select("doc_id", F.col("_fp").alias("fp")), "fingerprints")
-    keep = fingerprint_components(small).filter("fp = keep_fp").select(F.col("fp").alias("_fp"), F.col("component_id").alias("_keep"))
-    kept = marked.join(keep, "_fp").filter(F.col("doc_id").eqNullSafe(F.col("_keep")))
-    return kept.dropDuplicates(["_fp"]).select(*docs.columns)
+    marked = with_fingerprint(packed(docs, "doc_id", "text")).drop("text")
+    small = stored(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "fingerprints")
+    keep = fingerprint_components(small).filter("fp = keep_fp").select("fp", F.col("component_id").alias("keep_id"))
+    kept = marked.join(keep, "fp").filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return unpacked(kept.dropDuplicates(["fp"]))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import prepared, stored, text_bytes
+from starload.llm.common import packed, prepared, stored, text_bytes, unpacked
 
 #: The lexicon and the weights are fitted on so many labelled documents at most, the first by a hash of their id.
 FIT_ROWS = 20_000
@@ -327,5 +327,5 @@ def with_score(docs: DataFrame, model: Model, name: str = "score", text: str = "
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with all their columns."""
-    scored = with_score(docs, fit(docs, labels), "_toxicity")
-    return scored.filter(F.col("_toxicity") < threshold).drop("_toxicity")
+    scored = with_score(packed(docs, "text"), fit(docs, labels))
+    return unpacked(scored.filter(F.col("score") < threshold))
