@@ -11,6 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starload.llm.common import packed, prepared, text_bytes, unpacked
 
@@ -36,7 +37,7 @@ def poisson_terms(rate: float) -> list[float]:
     return out
 
 
-@F.udf("array<double>")
+@F.udf(T.ArrayType(T.DoubleType()))
 def _terms(rate):
     """One call for each source, not for each document."""
     return None if rate is None else poisson_terms(rate)
