@@ -11,6 +11,7 @@ A hit is weaker if it is misspelled or if its window shows quotation; how much w
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 import zlib
@@ -27,7 +28,7 @@ from starload.llm.common import packed, prepared, stored, text_bytes, unpacked
 
 #: The lexicon and the weights are fitted on so many labelled documents at most, the first by a hash of their id.
 FIT_ROWS = 20_000
-#: Entries have so many letters, so many toxic contexts, such a share of toxic ones, and so many false entries are expected.
+#: Entries have so many letters, so many toxic documents and contexts, such a share of toxic ones, and so many false entries are expected.
 SHORTEST, LONGEST, SUPPORT, PRECISION, CHANCE = 4, 16, 3, 0.9, 0.3
 #: The lexicon's bound; entries with most toxic documents come first.
 MOST_ENTRIES = 5_000
@@ -169,40 +170,56 @@ class Scorer:
         return out
 
     def strength(self, hits: list[tuple[str, int, bool, Entry]]) -> float:
-        """The strongest hit, and a little for each doubling of the hits."""
+        """The strongest hit, and one more for each doubling of the hits, up to eight."""
         if not hits:
             return 0.0
         m = self.model
         best = max(e.weight * m.misspelled**edits * (m.quoted if quoted else 1) for _, edits, quoted, e in hits)
-        return best + 0.2 * math.log2(len(hits))
+        return best + math.log2(min(len(hits), 8))
 
     def score(self, text: str) -> float:
         return 1 / (1 + math.exp(-(self.model.slope * self.strength(self.hits(text.lower())) + self.model.intercept)))
 
 
+def _unquoted(text: str) -> tuple[list[str], list[bool]]:
+    """The words, and whether no sign of quotation stands in their window: what is quoted teaches no lexicon."""
+    if not QUOTES.search(text):
+        words = WORD.findall(text)
+        return words, [True] * len(words)
+    spans = [m.span() for m in WORD.finditer(text)]
+    starts = [a for a, _ in spans]
+    free = [True] * len(spans)
+    for m in QUOTES.finditer(text):
+        k = bisect.bisect_left(starts, m.start())
+        lo, hi = max(0, k - WINDOW - 1), min(len(free), k + WINDOW + 1)
+        free[lo:hi] = [False] * (hi - lo)
+    return [text[a:b] for a, b in spans], free
+
+
 def _prefix_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(prefix, whole, context, clean) of the words: toxic ones once for each word before them, clean ones counted.
+    """(prefix, whole, context, n) of the words.
 
-    A prefix counts by the different words it follows, so copies of one toxic document are no evidence.
+    Toxic ones come once for each word before them (n is 0), so that copies of one document are no evidence, and with the number
+    of documents that hold them (context -1); clean ones with the number of documents (context 0).
     """
-    clean: Counter = Counter()
+    counts: Counter = Counter()
     toxic: set[tuple[str, int, int]] = set()
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            words = WORD.findall(text.decode("utf-8", "replace").lower())
+            words, plain = _unquoted(text.decode("utf-8", "replace").lower())
             if label:
-                for before, w in zip(["", *words], words):
+                for before, w in ((b, w) for b, w, free in zip(["", *words], words, plain) if free):
                     context = zlib.crc32(before.encode()) + 1
                     toxic.add((w, 1, context))
                     toxic.update((w[:k], 0, context) for k in range(SHORTEST, min(len(w), LONGEST) + 1))
-            else:
-                clean.update((w, 1, 0) for w in set(words))
-                clean.update({(w[:k], 0, 0) for w in set(words) for k in range(SHORTEST, min(len(w), LONGEST) + 1)})
-    keys = [*toxic, *clean]
+            kind, own = -1 if label else 0, {w for w, free in zip(words, plain) if free}
+            counts.update((w, 1, kind) for w in own)
+            counts.update({(w[:k], 0, kind) for w in own for k in range(SHORTEST, min(len(w), LONGEST) + 1)})
+    keys = [*toxic, *counts]
     for at in range(0, len(keys), 50_000):
         part = keys[at : at + 50_000]
         columns = [pa.array([k[0] for k in part], pa.string()), pa.array([k[1] for k in part], pa.int32()), pa.array([k[2] for k in part], pa.int64())]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array([0 if k[2] else clean[k] for k in part], pa.int64())], names=["prefix", "whole", "context", "clean"])
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([counts.get(k, 0) for k in part], pa.int64())], names=["prefix", "whole", "context", "n"])
 
 
 def chance(toxic: int, clean: int, share: float) -> float:
@@ -263,10 +280,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     # at most fit_rows rows of (long, int): a proven bound for the broadcast
     sample = F.broadcast(labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
     rows = docs.select("doc_id", text_bytes().alias("text")).join(sample, "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
-    counted = rows.mapInArrow(_prefix_counts, "prefix string, whole int, context long, clean long")
-    counted = counted.groupBy("prefix", "whole", "context").agg(F.sum("clean").alias("clean"))
-    toxic_contexts = F.sum((F.col("context") != 0).cast("long")).alias("toxic")
-    counted = stored(counted.groupBy("prefix", "whole").agg(toxic_contexts, F.sum("clean").alias("clean")), "prefixes")
+    counted = rows.mapInArrow(_prefix_counts, "prefix string, whole int, context long, n long")
+    counted = counted.groupBy("prefix", "whole", "context").agg(F.sum("n").alias("n"))
+    contexts, documents, clean_documents = (F.sum(F.when(F.col("context") > 0, 1).otherwise(0)), *(F.sum(F.when(F.col("context") == k, F.col("n")).otherwise(0)) for k in (-1, 0)))
+    counted = counted.groupBy("prefix", "whole").agg(F.least(contexts, documents).alias("toxic"), clean_documents.alias("clean"))
+    counted = stored(counted, "prefixes")
     totals = rows.agg(F.sum("toxic"), F.count("*")).first()
     toxic, clean = totals[0] or 0, totals[1] - (totals[0] or 0)
     if not toxic or not clean:
@@ -305,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     model.quoted = toxic_share(lambda hits: all(h.quoted for h in hits))
 
     def strength(hits) -> float:
-        return max(h.weight * model.misspelled**h.edits * (model.quoted if h.quoted else 1) for h in hits) + 0.2 * math.log2(len(hits)) if hits else 0.0
+        return max(h.weight * model.misspelled**h.edits * (model.quoted if h.quoted else 1) for h in hits) + math.log2(min(len(hits), 8)) if hits else 0.0
 
     x = np.array([strength(kept(r.hits)) for r in seen])
     model.slope, model.intercept = _logistic(x, np.array([r.toxic for r in seen], float), (1.5, -3.0))
