@@ -1,7 +1,7 @@
 """Secret scans: patterns, and character Markov models of random strings and of ordinary identifiers.
 
 Two first-order models over an alphabet of 66 symbols are counted from labelled samples: the values that the
-patterns find in the corpus are the random class, all other long tokens the ordinary one. A token whose
+patterns find in the corpus are the random class, long tokens of the shape of identifiers the ordinary one. A token whose
 log-likelihood ratio passes the threshold is a secret too. The counts are summed by Spark over all texts;
 two tables of 66 by 66 numbers reach the driver.
 """
@@ -26,6 +26,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "markov")
 
+#: Ordinary identifiers: words of one case, or with a capital first, and short numbers.
+ORDINARY = re.compile(r"(?:[_/=+-]*+(?>[A-Z]?[a-z]{3,}+|[A-Z]{3,}+|[0-9]{1,4}+(?![0-9])))++[_/=+-]*+")
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Place 0 stands before and after a token, and for any other character.
@@ -74,7 +76,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if text:
                 spans = base_spans(text)
                 samples[1].extend(_values(text, spans))
-                samples[0].extend(text[a:b] for a, b in _free_tokens(text, spans))
+                samples[0].extend(text[a:b] for a, b in _free_tokens(text, spans) if ORDINARY.fullmatch(text, a, b))
         for k in (0, 1):
             if samples[k]:
                 sums[k] += pair_counts(samples[k])
