@@ -144,10 +144,14 @@ EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (part, guest, doc_id, text), sorted: each document meets the next; a guest only follows, it is not returned."""
+    """Rows (part, guest, doc_id, text), sorted: each document meets the next.
+
+    A guest is not returned: it follows the last document of a part (1), or all documents without an id (-1).
+    """
     out: list[list] = [[] for _ in range(7)]
     waiting: list[tuple] = []  # rows of one doc_id, whose next document is not known yet
     part_now, id_now = None, None
+    first: tuple | None = None  # what follows the documents without an id of this part
 
     def settle(following: str, following_sketch: np.ndarray) -> None:
         for doc_id, text, own in waiting:
@@ -165,10 +169,18 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, guest, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
             text = text or ""
             own = of_text(text)
-            if waiting and (part != part_now or doc_id != id_now or guest):
-                settle(text, own)
-            if not guest:
+            if part != part_now:
+                first = None
+            if guest < 0:
+                first = (text, own)
+            elif doc_id is None:
                 waiting.append((doc_id, text, own))
+                settle(*(first or (text, own)))
+            else:
+                if waiting and (doc_id != id_now or guest):
+                    settle(text, own)
+                if not guest:
+                    waiting.append((doc_id, text, own))
             part_now, id_now = part, doc_id
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
         for column in out:
@@ -197,12 +209,13 @@ def edited_fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame
         guests = own.filter("doc_id IS NULL").withColumn("guest", F.lit(1)).limit(0)
     else:
         before = {least[k][1]: least[k - 1][0] for k in range(len(least))}
-        targets = F.array(*[F.struct(F.lit(i).cast("long").alias("id"), F.lit(p).cast("long").alias("part")) for i, p in before.items()])
+        guest = F.lit(1).alias("guest")
+        targets = F.array(*[F.struct(F.lit(i).cast("long").alias("id"), F.lit(p).cast("long").alias("part"), guest) for i, p in before.items()])
         guests = rows.filter(F.col("doc_id").isin(list(before)))
-        to = F.transform(F.filter(targets, lambda t: t["id"] == F.col("doc_id")), lambda t: t["part"])
+        to = F.transform(F.filter(targets, lambda t: t["id"] == F.col("doc_id")), lambda t: F.struct(t["part"].alias("part"), t["guest"].alias("guest")))
         if some_null:
-            nulls = F.transform(F.sequence(F.lit(1), F.lit(ranges)), lambda p: (-p).cast("long"))
+            nulls = F.transform(F.sequence(F.lit(1), F.lit(ranges)), lambda p: F.struct((-p).cast("long").alias("part"), F.lit(-1).alias("guest")))
             to = F.when(F.col("doc_id") == least[0][1], F.concat(to, nulls)).otherwise(to)
-        guests = guests.select(F.explode(to).alias("part"), F.lit(1).alias("guest"), "doc_id", "text")
+        guests = guests.select(F.explode(to).alias("to"), "doc_id", "text").select("to.part", "to.guest", "doc_id", "text")
     walked = own.union(guests).repartition(ranges, "part").sortWithinPartitions("part", "guest", "doc_id", "text")
     return walked.mapInArrow(_walk, EDITED)
