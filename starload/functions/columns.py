@@ -50,9 +50,16 @@ def days_between(start: Column, end: Column) -> Column:
     return F.datediff(end, start)
 
 
+# Amounts are summed in so many decimal digits, so many of them after the point.
+MONEY = "decimal(38,6)"
+
+
 def money_sum(amount: Column) -> Column:
-    """Sum in decimals so the result does not depend on the order of the rows."""
-    return F.sum(amount.cast("decimal(18,2)")).cast("double")
+    """Sum in decimals so the result does not depend on the order of the rows.
+
+    Amounts count to a millionth; a sum of 10 ** 32 or more is an error.
+    """
+    return F.sum(amount.cast(MONEY)).cast("double")
 
 
 def columns_of_type(df: DataFrame, kind: type[T.DataType]) -> list[str]:

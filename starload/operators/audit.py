@@ -46,22 +46,28 @@ def audit_requests(
     is_end: Column,
     chunk: Column,
     limits: Limits = Limits(),
+    reader: str | None = None,
 ) -> DataFrame:
     """Pages, executions, errors, longest error run and outcome of each parameter.
 
-    A parameter is a success only if its last request reported the end of the data;
-    otherwise the limit that stopped it is named. The request that reports the end
-    is neither a page nor an execution.
+    ``reader`` names the column that tells the readers of a parameter apart; each has a sequence of its own, so
+    its error runs and its end are looked for in its own requests. A parameter is a success only if the last
+    request of every reader reported the end of the data; otherwise the limit that stopped it is named. The request that
+    reports the end is neither a page nor an execution.
     """
-    flagged = log.withColumn("_ok", succeeded | is_end).withColumn("_end", is_end)
-    counted = flagged.groupBy(param).agg(
+    whose = F.struct(F.col(param).alias("param"), (F.col(reader) if reader else F.lit(0)).alias("reader"))
+    flagged = log.withColumn("_ok", succeeded | is_end).withColumn("_end", is_end).withColumn("_whose", whose)
+    counted = flagged.groupBy("_whose").agg(
         F.count_if(F.col("_ok") & ~F.col("_end")).alias("pages"),
         F.count_if(~F.col("_end")).alias("executions"),
         F.count_if(~F.col("_ok")).alias("errors"),
         F.max_by("_end", seq).alias("_finished"),
     )
-    joined = counted.join(error_runs(flagged, param, seq, chunk), param, "left").withColumn(
-        "max_consecutive_errors", F.coalesce("max_consecutive_errors", F.lit(0))
+    by_reader = counted.join(error_runs(flagged, "_whose", seq, chunk), "_whose", "left")
+    joined = by_reader.groupBy(F.col("_whose.param").alias(param)).agg(
+        *[F.sum(name).alias(name) for name in ("pages", "executions", "errors")],
+        F.coalesce(F.max("max_consecutive_errors"), F.lit(0)).alias("max_consecutive_errors"),
+        F.every("_finished").alias("_finished"),
     )
     outcome = (
         F.when(F.col("_finished"), "success")

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from starload.functions.columns import all_of, any_null, any_of, differs
-from starload.operators.dedupe import repeated_keys
 
 OP = "_op"
 INSERT, UPDATE, DELETE, SAME = "INSERT", "UPDATE", "DELETE", "SAME"
@@ -44,21 +44,35 @@ def rows_to_delete(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
     return rows_to_insert(new, old, keys)
 
 
-def require_unique(df: DataFrame, keys: list[str], what: str) -> None:
-    sample = repeated_keys(df.filter(~any_null(keys)), keys).limit(1).collect()
-    if sample:
-        raise ValueError(f"{what} holds a key more than once, for example {sample[0].asDict()}")
+def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """The same rows; the job fails on a key that occurs twice.
+
+    Counted over the partitioning and order that a join on the keys needs as well, so
+    the check adds no shuffle to it.
+    """
+    message = F.concat(F.lit(f"{what} holds a key more than once: "), F.to_json(F.struct(*keys)))
+    alone = F.when(F.col("_same_key") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return df.withColumn("_same_key", F.count("*").over(W.partitionBy(*keys))).filter(alone).drop("_same_key")
+
+
+def _refuse(df: DataFrame) -> DataFrame:
+    """No row passes: the first one fails the job."""
+    message = F.concat(F.lit("the new version holds a row with a null key: "), F.to_json(F.struct(*df.columns)))
+    return df.filter(F.raise_error(message).cast("boolean"))
 
 
-def classify(old: DataFrame, new: DataFrame, keys: list[str], null_keys: str = "reject") -> DataFrame:
+def classify(
+    old: DataFrame, new: DataFrame, keys: list[str], null_keys: str = "insert", check_keys: bool = True
+) -> DataFrame:
     """Every key of either side once, with ``_op`` and both images, from a single join.
 
     Columns: the keys, ``_op``, ``old_<c>`` for the other columns of ``old`` and
-    ``new_<c>`` for those of ``new``. Keys have to be unique on each side. Rows with a
-    null key can match nothing and skip the join: those of ``old`` stay as they are,
-    those of ``new`` are dropped (``reject``) or inserted (``insert``).
+    ``new_<c>`` for those of ``new``. Keys have to be unique on each side, or the job fails
+    (``check_keys=False`` trusts the caller). Rows with a null key can match nothing and
+    skip the join: those of ``old`` stay as they are, those of ``new`` are inserted,
+    refused with an error (``error``) or dropped (``reject``).
     """
-    if null_keys not in ("reject", "insert"):
+    if null_keys not in ("reject", "insert", "error"):
         raise ValueError(f"unknown null key policy {null_keys!r}")
     compare = compared_columns(new, keys)
     rest = compared_columns(old, keys)
@@ -68,7 +82,10 @@ def classify(old: DataFrame, new: DataFrame, keys: list[str], null_keys: str = "
 
     old_side = old.select(*keys, *[F.col(c).alias(f"old_{c}") for c in rest], F.lit(True).alias("_in_old"))
     new_side = new.select(*keys, *[F.col(c).alias(f"new_{c}") for c in compare], F.lit(True).alias("_in_new"))
-    joined = old_side.filter(~any_null(keys)).join(new_side.filter(~any_null(keys)), keys, "full_outer")
+    left, right = old_side.filter(~any_null(keys)), new_side.filter(~any_null(keys))
+    if check_keys:
+        left, right = require_unique(left, keys, "the old version"), require_unique(right, keys, "the new version")
+    joined = left.join(right, keys, "full_outer")
     nullable = {f.name for side in (old, new) for f in side.schema if f.nullable}
     if nullable.intersection(keys):
         joined = joined.unionByName(
@@ -76,8 +93,10 @@ def classify(old: DataFrame, new: DataFrame, keys: list[str], null_keys: str = "
             .withColumn("_unmatched", F.lit(True)),
             allowMissingColumns=True,
         )
-        if null_keys == "insert":
-            joined = joined.unionByName(new_side.filter(any_null(keys)), allowMissingColumns=True)
+        if null_keys != "reject":
+            lost = new_side.filter(any_null(keys))
+            lost = _refuse(lost) if null_keys == "error" else lost
+            joined = joined.unionByName(lost, allowMissingColumns=True)
     else:
         joined = joined.withColumn("_unmatched", F.lit(None).cast("boolean"))
     changed = any_of([differs(F.col(f"old_{c}"), F.col(f"new_{c}")) for c in compare])
@@ -119,13 +138,10 @@ def apply_changes(
     return kept.select(*keys, *[image(name) for name in rest])
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str], check_keys: bool = False, **switches) -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], check_keys: bool = True, **switches) -> DataFrame:
     """``old`` with the rows of ``new`` inserted and updated; ``delete=True`` mirrors ``new``."""
-    null_keys = switches.pop("null_keys", "reject")
-    if check_keys:
-        require_unique(old, keys, "the old version")
-        require_unique(new, keys, "the new version")
-    return apply_changes(classify(old, new, keys, null_keys), keys, **switches)
+    null_keys = switches.pop("null_keys", "insert")
+    return apply_changes(classify(old, new, keys, null_keys, check_keys), keys, **switches)
 
 
 def mirror(old: DataFrame, new: DataFrame, keys: list[str], **options) -> DataFrame:

@@ -2,42 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 _SEPARATOR = "\x01"
+# The leading digits of the digest that name a bucket, at least.
 HEX_DIGITS = 3
 
 
+def bucket_digits(spark: SparkSession) -> int:
+    """Digits that give several buckets for each shuffle partition of the session."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(HEX_DIGITS, math.ceil(math.log(8 * partitions, 16)))
+
+
 def key_digest(keys: list[str]) -> Column:
     return F.md5(F.concat_ws(_SEPARATOR, *[F.col(key).cast("string") for key in keys]))
 
 
-def number_rows(df: DataFrame, keys: list[str], name: str, hex_digits: int = HEX_DIGITS) -> DataFrame:
+def number_rows(
+    df: DataFrame,
+    keys: list[str],
+    name: str,
+    hex_digits: int | None = None,
+    only: Column | None = None,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Add numbers 1..n, in the order of the digest of the unique ``keys``.
 
     The leading digits of the digest form buckets of even size. Rows are ranked within
     their bucket, and the running total of the bucket counts, at most ``16 ** hex_digits``
-    rows, is added. The numbers depend on the keys alone, not on partitioning.
+    rows, is added. The numbers depend on the keys alone, not on partitioning or on the
+    number of buckets, which follows the session's shuffle partitions.
+
+    With ``only`` just the rows that meet it are numbered, the others get null. ``counted``
+    holds the keys of the rows to number, if they can be had for less than from ``df``.
     """
-    hashed = df.withColumn("_digest", key_digest(keys)).withColumn(
-        "_bucket", F.substring("_digest", 1, hex_digits)
-    )
+    digits = hex_digits or bucket_digits(df.sparkSession)
+    chosen = F.lit(True) if only is None else only
+    hashed = df.withColumn("_digest", key_digest(keys)).withColumn("_chosen", chosen)
+    hashed = hashed.withColumn("_bucket", F.substring("_digest", 1, digits))
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    source = hashed.filter("_chosen") if counted is None else counted.withColumn(
+        "_bucket", F.substring(key_digest(keys), 1, digits)
+    )
     offsets = (
-        hashed.groupBy("_bucket")
+        source.groupBy("_bucket")
         .count()
         .select("_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
     )
-    rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_digest", *keys))
-    # the offsets hold at most 16 ** hex_digits rows whatever the size of df
-    numbered = hashed.withColumn("_rank", rank).join(F.broadcast(offsets), "_bucket")
-    return numbered.withColumn(name, F.col("_offset") + F.col("_rank")).select(*df.columns, name)
+    rank = F.row_number().over(W.partitionBy("_bucket", "_chosen").orderBy("_digest", *keys))
+    # the offsets hold at most 16 ** digits rows whatever the size of df
+    numbered = hashed.withColumn("_rank", rank).join(F.broadcast(offsets), "_bucket", "left")
+    number = F.when(F.col("_chosen"), F.col("_offset") + F.col("_rank"))
+    return numbered.withColumn(name, number).select(*df.columns, name)
 
 
 def assign_surrogates(
-    members: DataFrame, nk: str, sk: str, current: DataFrame | None = None, hex_digits: int = HEX_DIGITS
+    members: DataFrame, nk: str, sk: str, current: DataFrame | None = None, hex_digits: int | None = None
 ) -> DataFrame:
     """Give new dimension members the integers after the greatest key in use."""
     numbered = number_rows(members, [nk], "_number", hex_digits)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starload.functions.columns import is_true
 from starload.functions.spines import Window
-from starload.operators.joins import lookup_join
+from starload.sources.folders import drop_partitions
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -19,16 +19,17 @@ def delete_window(df: DataFrame, day: str, window: Window) -> DataFrame:
     return delete_where(df, window.contains(F.col(day)))
 
 
-def delete_by_parent(
-    child: DataFrame, parent: DataFrame, key: str, condition: Column, hot: list | None = None
-) -> DataFrame:
+def doomed_keys(parent: DataFrame, key: str, condition: Column) -> DataFrame:
+    """Distinct keys of the parents that meet the condition."""
+    return parent.filter(is_true(condition)).select(key).distinct()
+
+
+def delete_by_parent(child: DataFrame, parent: DataFrame, key: str, condition: Column) -> DataFrame:
     """Child rows left after deleting those whose parent meets the condition.
 
-    Parents are cut to the distinct keys of the rows to delete before the join. ``hot``
-    names parents with a large share of the child rows, to be joined apart.
+    Parents are cut to the distinct keys of the rows to delete before the join.
     """
-    doomed = parent.filter(is_true(condition)).select(key).distinct()
-    return lookup_join(child, doomed, key, "left_anti", hot)
+    return child.join(doomed_keys(parent, key, condition), key, "left_anti")
 
 
 def reload_window(target: DataFrame, fresh: DataFrame, day: str, window: Window) -> DataFrame:
@@ -54,8 +55,16 @@ def reload_by_parent(
     return kept, delete_where(parent, condition).unionByName(fresh_parent)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions present in ``df`` in one job; all others stay."""
+def overwrite_partitions(df: DataFrame, path: str, partition: str, values: list | None = None) -> None:
+    """Replace the partitions present in ``df`` in one job; all others stay.
+
+    ``values`` names all partitions that are replaced: those without a row in ``df`` are emptied.
+    """
+    emptied = []
+    if values is not None:
+        # one value for each partition replaced reaches the driver
+        filled = {row[0] for row in df.select(F.col(partition).cast("string")).distinct().collect()}
+        emptied = [value for value in values if (None if value is None else str(value)) not in filled]
     (
         df.hint("rebalance", partition)
         .write.mode("overwrite")
@@ -63,3 +72,4 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
         .partitionBy(partition)
         .parquet(path)
     )
+    drop_partitions(df.sparkSession, path, partition, emptied)

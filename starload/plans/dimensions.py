@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators.changes import rows_to_insert
-from starload.operators.numbering import assign_surrogates
+from starload.operators.numbering import assign_surrogates, number_rows
 from starload.schemas import PARENT_TABLE
 
 
@@ -121,7 +121,8 @@ def load_dimension(
         return assign_surrogates(found, dimension.nk, dimension.sk)
     names = list(dimension.columns)
     fresh = found.select(dimension.nk, F.struct(*names).alias("_fresh"))
-    kept = current.join(fresh, dimension.nk, "inner" if delete else "left").select(
+    joined = current.join(fresh, dimension.nk, "inner" if delete else "full_outer")
+    kept = joined.select(
         dimension.sk,
         dimension.nk,
         *[
@@ -129,5 +130,17 @@ def load_dimension(
             for name in names
         ],
     )
-    added = rows_to_insert(current, found, [dimension.nk])
-    return kept.unionByName(assign_surrogates(added, dimension.nk, dimension.sk, current))
+    added = rows_to_insert(current.select(dimension.nk), found.select(dimension.nk), [dimension.nk])
+    if delete:
+        return kept.unionByName(assign_surrogates(found.join(added, dimension.nk), dimension.nk, dimension.sk, current))
+    base = F.coalesce(current.agg(F.max(dimension.sk)).scalar(), F.lit(0))
+    # one wide join; the bucket counts of the new members come from the keys alone
+    numbered = number_rows(kept, [dimension.nk], "_number", only=F.col(dimension.sk).isNull(), counted=added)
+    sk = F.coalesce(dimension.sk, (base + F.col("_number")).cast("int")).alias(dimension.sk)
+    return numbered.select(sk, dimension.nk, *names)
+
+
+def left_out(dimension: Dimension, staging: DataFrame) -> DataFrame:
+    """(table, rows): the staging rows that give the dimension no member, for want of a natural key."""
+    missing = staging.select(dimension.natural_key().alias("nk")).agg(F.count_if(F.col("nk").isNull()).alias("rows"))
+    return missing.select(F.lit(dimension.table).alias("table"), "rows")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from starload.functions.columns import days_between, money_sum, text_to_int
 from starload.operators.changes import upsert
-from starload.operators.joins import lookup_join
 from starload.plans.dimensions import BY_TABLE
 from starload.schemas import EXECUTION_TABLE, PARENT_TABLE
 
@@ -66,8 +65,8 @@ def project_fact(tables: Tables, strict_counts: bool = True) -> DataFrame:
         .groupBy(F.col("idProjetoInvestimento").alias("idunico"))
         .agg(money_sum(F.col("valorEmpenho")).alias("valor_execucao"))
     )
-    projects = lookup_join(tables[PARENT_TABLE], _key_of(PROJECT, tables, "idunico"), "idunico")
-    joined = lookup_join(lookup_join(projects, planned, "idunico", "left"), executed, "idunico", "left")
+    projects = tables[PARENT_TABLE].join(_key_of(PROJECT, tables, "idunico"), "idunico")
+    joined = projects.join(planned, "idunico", "left").join(executed, "idunico", "left")
     return joined.select(
         PROJECT.sk,
         days_between(F.col("datainicialprevista"), F.col("datafinalprevista")).alias("prazo_previsto"),
@@ -79,15 +78,15 @@ def project_fact(tables: Tables, strict_counts: bool = True) -> DataFrame:
     )
 
 
-def funding_fact(tables: Tables, hot_projects: list | None = None, hot_sources: list | None = None) -> DataFrame:
+def funding_fact(tables: Tables) -> DataFrame:
     """One row per funding row of a known project; keys may repeat, amounts are not summed."""
     funding = tables[FUNDING_TABLE].select(
         "idunico", F.upper("origem").alias("origem"), "valorinvestimentoprevisto"
     )
     parents = tables[PARENT_TABLE].select("idunico")
     projects = parents.join(_key_of(PROJECT, tables, "idunico"), "idunico")
-    sourced = lookup_join(funding, _key_of(FUNDING, tables, "origem"), "origem", hot=hot_sources)
-    return lookup_join(sourced, projects, "idunico", hot=hot_projects).select(
+    sourced = funding.join(_key_of(FUNDING, tables, "origem"), "origem")
+    return sourced.join(projects, "idunico").select(
         PROJECT.sk, FUNDING.sk, F.col("valorinvestimentoprevisto").alias("valor_investimento_previsto")
     )
 
@@ -103,9 +102,7 @@ def unique_funding(fact: DataFrame, on_duplicate: str = "error") -> DataFrame:
     return fact.groupBy(PROJECT.sk, FUNDING.sk).agg(amount.alias("valor_investimento_previsto"))
 
 
-def bridge_fact(
-    bridge: Bridge, tables: Tables, hot_projects: list | None = None, hot_codes: list | None = None
-) -> DataFrame:
+def bridge_fact(bridge: Bridge, tables: Tables) -> DataFrame:
     """Distinct key pairs; rows of unknown projects or codes are dropped.
 
     Natural keys are unique in both dimensions, so pairs are made distinct before the
@@ -113,8 +110,8 @@ def bridge_fact(
     """
     dimension = BY_TABLE[bridge.dimension]
     pairs = tables[bridge.source].select("idunico", F.col(bridge.code).cast("string").alias("_code")).distinct()
-    coded = lookup_join(pairs, _key_of(dimension, tables, "_code"), "_code", hot=hot_codes)
-    return lookup_join(coded, _key_of(PROJECT, tables, "idunico"), "idunico", hot=hot_projects).select(*bridge.keys)
+    coded = pairs.join(_key_of(dimension, tables, "_code"), "_code")
+    return coded.join(_key_of(PROJECT, tables, "idunico"), "idunico").select(*bridge.keys)
 
 
 def load_fact(found: DataFrame, keys: list[str], current: DataFrame | None = None, delete: bool = False) -> DataFrame:

@@ -16,44 +16,34 @@ from pyspark.sql import types as T
 
 from starload.functions.columns import any_null, is_true
 from starload.functions.spines import GRAINS, Window, period, period_of
+from starload.operators.changes import difference
 from starload.operators.dedupe import keep_first
 from starload.operators.reload import delete_window, overwrite_partitions
+from starload.sources.folders import matching, place, remove
 
 PERIOD = "periodo"
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _files(spark: SparkSession, path: str):
-    """File system and path object of the folder a table lives in."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def _glob(spark: SparkSession, pattern: str) -> list:
-    fs, place = _files(spark, pattern)
-    return [status.getPath() for status in fs.globStatus(place) or []]
 
 
 def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Note the schema next to the data: an empty partitioned table has no file to tell it."""
-    fs, place = _files(spark, f"{path}/_schema.json")
-    out = fs.create(place)
+    fs, found = place(spark, f"{path}/_schema.json")
+    out = fs.create(found)
     out.write(schema.json().encode())
     out.close()
 
 
 def _kept_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    fs, place = _files(spark, f"{path}/_schema.json")
-    if not fs.exists(place):
+    fs, found = place(spark, f"{path}/_schema.json")
+    if not fs.exists(found):
         return None
-    source = fs.open(place)
+    source = fs.open(found)
     text = spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
     source.close()
     return T.StructType.fromJson(json.loads(text))
 
 
 def complete_versions(spark: SparkSession, root: str) -> list[int]:
-    markers = _glob(spark, f"{root}/v=*/_SUCCESS")
+    markers = matching(spark, f"{root}/v=*/_SUCCESS")
     return sorted(int(marker.getParent().getName().removeprefix("v=")) for marker in markers)
 
 
@@ -89,8 +79,12 @@ def write_snapshot(df: DataFrame, root: str, partition: str | None = None) -> Da
 def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
     """Remove all but the newest complete versions, once no query reads them any more."""
     for version in complete_versions(spark, root)[: -max(keep, 1)]:
-        fs, place = _files(spark, f"{root}/v={version}")
-        fs.delete(place, True)
+        remove(spark, f"{root}/v={version}")
+
+
+def drop_newest(spark: SparkSession, root: str) -> None:
+    """Remove the newest version, so that the one before it is in force again."""
+    remove(spark, newest(spark, root))
 
 
 def with_period(df: DataFrame, day: str, grain: str) -> DataFrame:
@@ -100,9 +94,10 @@ def with_period(df: DataFrame, day: str, grain: str) -> DataFrame:
 def replace_window(fresh: DataFrame, root: str, day: str, window: Window, grain: str) -> None:
     """Delete the rows of a date window and add ``fresh``, rewriting only the periods concerned.
 
-    Rows of those periods outside the window are carried over. Fresh rows without a date
-    or of other periods are appended; if a failed run is repeated, these may be there
-    twice until the copies are removed by the next de-duplication.
+    Rows of those periods outside the window are carried over. Fresh rows without a date or of other periods are
+    added unless the table holds them already, so that repeating a reload changes nothing. The steps follow
+    each other within the newest version: a reader in between may see some periods before and some after the
+    reload, and a failed run is repaired by repeating it.
     """
     if grain not in GRAINS:
         raise ValueError(f"unknown grain {grain!r}")
@@ -111,27 +106,49 @@ def replace_window(fresh: DataFrame, root: str, day: str, window: Window, grain:
     first, last = period_of(window.first, grain), period_of(window.last, grain)
     concerned = F.coalesce(F.col(PERIOD).between(first, last), F.lit(False))
 
-    stored = spark.read.schema(with_period(fresh, day, grain).schema).parquet(path)
-    kept = delete_window(stored.filter(concerned), day, window)
     dated = with_period(fresh, day, grain)
+    stored = spark.read.schema(dated.schema).parquet(path)
+    kept = delete_window(stored.filter(concerned), day, window)
     content = kept.unionByName(dated.filter(concerned))
-    # at most one value per period of the window reaches the driver
-    filled = {row[0] for row in content.select(PERIOD).distinct().collect()}
-    overwrite_partitions(content, path, PERIOD)
-    dated.filter(~concerned).write.mode("append").partitionBy(PERIOD).parquet(path)
-    stale = [int(f.getName().removeprefix(f"{PERIOD}=")) for f in _glob(spark, f"{path}/{PERIOD}=[0-9]*")]
-    _drop_partitions(spark, path, PERIOD, [v for v in stale if first <= v <= last and v not in filled])
+    present = [int(f.getName().removeprefix(f"{PERIOD}=")) for f in matching(spark, f"{path}/{PERIOD}=[0-9]*")]
+    overwrite_partitions(content, path, PERIOD, [value for value in present if first <= value <= last])
+    add_missing(dated.filter(~concerned), path)
+
 
+def add_missing(dated: DataFrame, path: str) -> None:
+    """Append the rows that their periods do not hold yet."""
+    # one value per period reaches the driver
+    periods = [row[0] for row in dated.select(PERIOD).distinct().collect()]
+    if periods:
+        there = dated.sparkSession.read.schema(dated.schema).parquet(path).filter(_in_periods(periods))
+        added = difference(dated, there.select(*dated.columns))
+        added.hint("rebalance", PERIOD).write.mode("append").partitionBy(PERIOD).parquet(path)
 
-def _drop_partitions(spark: SparkSession, path: str, partition: str, values: list) -> None:
-    for value in values:
-        fs, place = _files(spark, f"{path}/{partition}={NULL_FOLDER if value is None else value}")
-        fs.delete(place, True)
 
+def _in_periods(values: list):
+    named = is_true(F.col(PERIOD).isin([value for value in values if value is not None]))
+    return named | F.col(PERIOD).isNull() if None in values else named
 
-def remove_copies(spark: SparkSession, root: str, partition: str, keys: list[str] | None = None) -> list:
+
+def replace_by_key(fresh: DataFrame, path: str, doomed: DataFrame, key: str, day: str, grain: str) -> None:
+    """Delete the rows whose key is in ``doomed`` and add ``fresh``, rewriting only the periods concerned."""
+    spark = fresh.sparkSession
+    dated = with_period(fresh, day, grain)
+    stored = spark.read.schema(dated.schema).parquet(path)
+    held = stored.select(key, PERIOD).join(doomed, key, "left_semi").select(PERIOD)
+    # one value per period concerned reaches the driver
+    periods = [row[0] for row in held.union(dated.select(PERIOD)).distinct().collect()]
+    if periods:
+        kept = stored.filter(_in_periods(periods)).join(doomed, key, "left_anti").select(*dated.columns)
+        overwrite_partitions(kept.unionByName(dated), path, PERIOD, periods)
+
+
+def remove_copies(
+    spark: SparkSession, root: str, partition: str, keys: list[str] | None = None, among: DataFrame | None = None
+) -> list:
     """De-duplicate the newest version in place, rewriting only partitions that hold copies.
 
+    ``among`` limits the search to rows that agree with one of its rows in its columns.
     With ``keys`` one row per key stays, without them whole rows are made distinct. All
     copies of a repeated key are in the partitions rewritten, so the rest need not be
     read again. Returns the partitions concerned.
@@ -140,6 +157,8 @@ def remove_copies(spark: SparkSession, root: str, partition: str, keys: list[str
     stored = _read(spark, path)
     searched = keys or stored.columns
     known = stored.filter(~any_null(keys)) if keys else stored
+    if among is not None:
+        known = known.join(among.distinct(), among.columns, "left_semi")
     # one struct per partition a key occurs in, at most as many as the table has partitions
     places = known.groupBy(*searched).agg(
         F.count("*").alias("_copies"), F.collect_set(F.struct(F.col(partition).alias("value"))).alias("_places")
@@ -148,10 +167,8 @@ def remove_copies(spark: SparkSession, root: str, partition: str, keys: list[str
     concerned = [row[0] for row in repeated.distinct().collect()]
     if not concerned:
         return []
-    named = F.col(partition).isin([value for value in concerned if value is not None])
-    chosen = stored.filter(is_true(named) | F.col(partition).isNull() if None in concerned else is_true(named))
+    named = is_true(F.col(partition).isin([value for value in concerned if value is not None]))
+    chosen = stored.filter(named | F.col(partition).isNull() if None in concerned else named)
     clean = keep_first(chosen, keys) if keys else chosen.distinct()
-    filled = {row[0] for row in clean.select(partition).distinct().collect()}
-    overwrite_partitions(clean, path, partition)
-    _drop_partitions(spark, path, partition, [value for value in concerned if value not in filled])
+    overwrite_partitions(clean, path, partition, concerned)
     return concerned

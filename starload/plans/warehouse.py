@@ -12,18 +12,21 @@ from pyspark.sql import functions as F
 
 from starload.functions.spines import legacy_delete_window, trailing_window
 from starload.operators.dedupe import keep_first
-from starload.operators.joins import SPLIT_BYTES, hot_keys_if_large
 from starload.operators.normalize import CHILDREN, normalize
-from starload.operators.reload import delete_by_parent, delete_where, overwrite_partitions
-from starload.plans.dimensions import DIMENSIONS, load_dimension, members
+from starload.operators.quality import rejected_dates
+from starload.operators.reload import doomed_keys, overwrite_partitions
+from starload.plans.dimensions import DIMENSIONS, left_out, load_dimension, members
 from starload.plans.facts import (
     BRIDGES, FUNDING, FUNDING_FACT, FUNDING_TABLE, MAIN_FACT, PROJECT,
     bridge_fact, funding_fact, load_fact, project_fact, unique_funding,
 )
 from starload.plans.snapshots import (
-    PERIOD, drop_old_versions, newest, read_snapshot, remove_copies, replace_window, with_period, write_snapshot,
+    PERIOD, add_missing, drop_newest, drop_old_versions, newest, read_snapshot, remove_copies, replace_by_key, replace_window,
+    with_period, write_snapshot,
 )
 from starload.schemas import EXECUTION_TABLE, LINEAGE, PARENT_TABLE
+from starload.session import adaptive
+from starload.sources.folders import remove
 
 Tables = dict[str, DataFrame]
 
@@ -39,6 +42,10 @@ STAGING_KEYS = {
     PARENT_TABLE: ["idunico"],
 }
 CHILD_TABLES = [child.table for child in CHILDREN]
+# The landing columns that hold dates as text.
+LANDING_DATES = (
+    "dataCadastro", "dataInicialPrevista", "dataFinalPrevista", "dataInicialEfetiva", "dataFinalEfetiva", "dataSituacao",
+)
 
 
 def each(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]], at_once: int = 4) -> Tables:
@@ -48,6 +55,13 @@ def each(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]], at_once:
         return {name: future.result() for name, future in started.items()}
 
 
+def _checksum(df: DataFrame) -> tuple:
+    """Row count and two sums of row hashes; equal for the same rows in any order."""
+    first, second = F.xxhash64(*df.columns), F.xxhash64(F.lit(1), *df.columns)
+    sums = [F.sum(h.cast("decimal(38,0)")) for h in (first, second)]
+    return tuple(df.agg(F.count("*"), *sums).first())
+
+
 def dedupe_staging(staging: Tables) -> Tables:
     """Keep one row per key; execution rows are made distinct, tables without a key pass."""
     cleaned = {}
@@ -84,7 +98,7 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, root: str, grain: str = "month"):
-        self.spark, self.root, self.grain = spark, root.rstrip("/"), grain
+        self.spark, self.root, self.grain = adaptive(spark), root.rstrip("/"), grain
 
     def place(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -99,6 +113,18 @@ class Warehouse:
             return write_snapshot(with_period(df, "datacadastro", self.grain), self.place(table), PERIOD)
         return write_snapshot(df, self.place(table))
 
+    def replace_changed(self, table: str, df: DataFrame) -> DataFrame:
+        """The next version of a dimension or fact, dropped again if no row of it differs from the current one.
+
+        The new version is compared as stored, by a checksum of each row, so nothing is computed twice.
+        """
+        before = self.current(table)
+        after = self.replace(table, df)
+        if before is None or before.columns != after.columns or _checksum(before) != _checksum(after):
+            return after
+        drop_newest(self.spark, self.place(table))
+        return before
+
     def replace_all(self, tables: Tables) -> Tables:
         return each(self.spark, {name: lambda n=name, d=df: self.replace(n, d) for name, df in tables.items()})
 
@@ -115,7 +141,7 @@ class Warehouse:
 
         def job(dimension):
             found = members(dimension, staging[dimension.source], duplicate_nk)
-            return lambda: self.replace(
+            return lambda: self.replace_changed(
                 dimension.table, load_dimension(dimension, found, self.current(dimension.table))
             )
 
@@ -126,34 +152,15 @@ class Warehouse:
         tables: Tables,
         on_duplicate: str = "error",
         strict_counts: bool = True,
-        split_bytes: int = SPLIT_BYTES,
     ) -> Tables:
-        """Bring every fact up to date with staging and dimensions.
-
-        In staging tables above ``split_bytes``, projects and codes that hold a large
-        share of the rows are looked for first and their rows joined apart.
-        """
-
-        def funding():
-            rows = tables[FUNDING_TABLE]
-            projects = hot_keys_if_large(rows, "idunico", split_bytes)
-            named = rows.select(F.upper("origem").alias("origem"))
-            sources = hot_keys_if_large(named, "origem", split_bytes)
-            return unique_funding(funding_fact(tables, projects, sources), on_duplicate)
-
-        def pairs(bridge):
-            rows = tables[bridge.source]
-            projects = hot_keys_if_large(rows, "idunico", split_bytes)
-            coded = rows.select(F.col(bridge.code).cast("string").alias("_code"))
-            return bridge_fact(bridge, tables, projects, hot_keys_if_large(coded, "_code", split_bytes))
-
+        """Bring every fact up to date with staging and dimensions; unchanged ones are not written."""
         specs = {MAIN_FACT: (lambda: project_fact(tables, strict_counts), [PROJECT.sk])}
-        specs[FUNDING_FACT] = (funding, [PROJECT.sk, FUNDING.sk])
+        specs[FUNDING_FACT] = (lambda: unique_funding(funding_fact(tables), on_duplicate), [PROJECT.sk, FUNDING.sk])
         for bridge in BRIDGES:
-            specs[bridge.table] = (lambda b=bridge: pairs(b), bridge.keys)
+            specs[bridge.table] = (lambda b=bridge: bridge_fact(b, tables), bridge.keys)
 
         def job(table, build, keys):
-            return lambda: self.replace(table, load_fact(build(), keys, self.current(table)))
+            return lambda: self.replace_changed(table, load_fact(build(), keys, self.current(table)))
 
         return each(self.spark, {table: job(table, *spec) for table, spec in specs.items()})
 
@@ -161,37 +168,52 @@ class Warehouse:
         """Write staging without its repeated rows."""
         return self.replace_all(dedupe_staging(staging))
 
-    def clean_in_place(self) -> Tables:
-        """Remove repeated rows from stored staging, rewriting only the partitions that hold any."""
+    def clean_in_place(self, fresh: Tables | None = None) -> Tables:
+        """Remove repeated rows from stored staging, rewriting only the partitions that hold any.
+
+        With ``fresh``, the rows just added, only their keys (of execution rows, their files) are searched.
+        """
 
         def job(name):
+            rows = (fresh or {}).get(name)
+            if fresh is not None and rows is None:
+                return self.current(name)
             if name == EXECUTION_TABLE:
-                remove_copies(self.spark, self.place(name), LINEAGE)
+                among = None if rows is None else rows.select(LINEAGE)
+                remove_copies(self.spark, self.place(name), LINEAGE, among=among)
             elif name in STAGING_KEYS:
-                remove_copies(self.spark, self.place(name), PERIOD, STAGING_KEYS[name])
+                keys = STAGING_KEYS[name]
+                remove_copies(self.spark, self.place(name), PERIOD, keys, None if rows is None else rows.select(keys))
             return self.current(name)
 
         return each(self.spark, {name: lambda n=name: job(n) for name in self.staging()})
 
-    def refresh(self, staging: Tables | None = None, duplicate_nk: str = "error", **fact_options) -> Tables:
+    def refresh(
+        self,
+        staging: Tables | None = None,
+        duplicate_nk: str = "error",
+        fresh: Tables | None = None,
+        **fact_options,
+    ) -> Tables:
         """De-duplicate staging, then load dimensions, then facts.
 
-        Given ``staging`` is written clean; the stored one is cleaned in place.
+        Given ``staging`` is written clean; the stored one is cleaned in place, after a reload
+        only where ``fresh``, its rows, may have brought copies.
         """
-        staged = self.clean(staging) if staging else self.clean_in_place()
+        staged = self.clean(staging) if staging else self.clean_in_place(fresh)
         dims = self.load_dimensions(staged, duplicate_nk)
         facts = self.load_facts({**staged, **dims}, **fact_options)
         return {**staged, **dims, **facts}
 
     def append(self, fresh: Tables) -> Tables:
-        """Add rows to staging tables without removing any."""
+        """Add the rows that staging tables do not hold yet, without removing any."""
 
         def job(name, rows):
             path = newest(self.spark, self.place(name))
             if path is None:
                 return self.replace(name, rows)
             dated = with_period(rows, "datacadastro", self.grain)
-            dated.hint("rebalance", PERIOD).write.mode("append").partitionBy(PERIOD).parquet(path)
+            add_missing(dated, path)
             return self.current(name)
 
         return each(self.spark, {name: lambda n=name, r=rows: job(n, r) for name, rows in fresh.items()})
@@ -215,45 +237,82 @@ class Warehouse:
     def reload_by_state(self, fresh: Tables, states: list[str]) -> Tables:
         """Replace the projects of the given states and all their child rows.
 
-        The parents are read as they were before; each table gets a new version.
+        Only the periods that hold such rows, or get fresh ones, are written again. The children go first:
+        if a run fails, the parents still name what has to go, and it can be repeated.
         """
         parent = self.current(PARENT_TABLE)
         if parent is None:
             return self.replace_all(fresh)
-        chosen = F.col("uf").isin(states)
+        doomed = doomed_keys(parent, "idunico", F.col("uf").isin(states))
 
-        def after(name: str, rows: DataFrame) -> DataFrame:
-            current = self.current(name)
-            if current is None:
-                return rows
-            if name == PARENT_TABLE:
-                return delete_where(current, chosen).unionByName(rows)
-            hot = hot_keys_if_large(current, "idunico")
-            return delete_by_parent(current, parent, "idunico", chosen, hot).unionByName(rows)
+        def job(name: str, rows: DataFrame) -> DataFrame:
+            path = newest(self.spark, self.place(name))
+            if path is None:
+                return self.replace(name, rows)
+            replace_by_key(rows, path, doomed, "idunico", "datacadastro", self.grain)
+            return self.current(name)
+
+        children = {name: rows for name, rows in fresh.items() if name != PARENT_TABLE}
+        done = each(self.spark, {name: lambda n=name, r=rows: job(n, r) for name, rows in children.items()})
+        if PARENT_TABLE in fresh:
+            done[PARENT_TABLE] = job(PARENT_TABLE, fresh[PARENT_TABLE])
+        return done
 
-        return self.replace_all({name: after(name, rows) for name, rows in fresh.items()})
+    def reload_execution(self, fresh: DataFrame, years: list | None = None) -> DataFrame:
+        """Replace the execution rows of every file year in ``fresh``, all in one job.
 
-    def reload_execution(self, fresh: DataFrame) -> DataFrame:
-        """Replace the execution rows of every file year in ``fresh``, all in one job."""
+        ``years`` names all that were extracted: those without a row are emptied.
+        """
         path = newest(self.spark, self.place(EXECUTION_TABLE))
         if path is None:
             return self.replace(EXECUTION_TABLE, fresh)
-        overwrite_partitions(fresh, path, LINEAGE)
+        overwrite_partitions(fresh, path, LINEAGE, years)
         return self.current(EXECUTION_TABLE)
 
+    def finish(self, run: str, tables: list[str]) -> None:
+        """Drop the landed copy of a run and all but the two newest versions of the tables."""
+        remove(self.spark, f"{self.root}/{run}")
+        self.prune(tables)
+
 
 def run_by_date(
     warehouse: Warehouse, nested: DataFrame, execution: DataFrame, as_of: date, days: int, **options
 ) -> Tables:
-    """Reload the trailing window from landing records, then refresh dimensions and facts."""
+    """Reload the trailing window from landing records, then refresh dimensions and facts.
+
+    The work follows what was loaded: copies are searched for among the fresh keys, tables without a change
+    keep their version, and what the run needed on its way is removed. ``years`` names the file years
+    that were extracted, also those without a row.
+    """
+    years = options.pop("years", None)
     fresh = load_staging(nested, f"{warehouse.root}/run")
     warehouse.reload_by_date(fresh, as_of, days)
-    warehouse.reload_execution(execution)
-    return warehouse.refresh(**options)
+    warehouse.reload_execution(execution, years)
+    built = warehouse.refresh(fresh={**fresh, EXECUTION_TABLE: execution}, **options)
+    warehouse.finish("run", list(built))
+    return built
+
+
+def load_report(nested: DataFrame, staging: Tables) -> DataFrame:
+    """(check, name, rows): what a load leaves out: texts that are no dates, and rows without a natural key.
+
+    One row for each date column of the landing records and for each dimension, zero if nothing is left out.
+    """
+    dates = [name for name in LANDING_DATES if name in nested.columns]
+    rejected = rejected_dates(nested, dates).select(
+        F.lit("no date").alias("check"), F.col("column").alias("name"), F.col("rejected").alias("rows")
+    )
+    for dimension in DIMENSIONS:
+        if dimension.source in staging:
+            lost = left_out(dimension, staging[dimension.source])
+            rejected = rejected.union(lost.select(F.lit("no natural key"), "table", "rows"))
+    return rejected
 
 
 def run_by_state(
     warehouse: Warehouse, nested: DataFrame, states: list[str], only: set[str] | None = None
 ) -> Tables:
     """Reload the projects of the given states; dimensions and facts are left alone."""
-    return warehouse.reload_by_state(load_staging(nested, f"{warehouse.root}/run", only=only), states)
+    done = warehouse.reload_by_state(load_staging(nested, f"{warehouse.root}/run", only=only), states)
+    warehouse.finish("run", list(done))
+    return done

@@ -38,7 +38,7 @@ def versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 def _version_sql(condition: str) -> str:
     return f"""
         select l_orderkey, count(*) as n_lines,
-          cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as revenue,
+          cast(sum(cast(l_extendedprice as decimal(38,6))) as double) as revenue,
           cast(max(l_shipdate) as date) as last_ship,
           cast(max(case when l_returnflag = 'R' then l_shipdate end) as date) as last_return
         from lineitem where {condition} group by l_orderkey"""
@@ -89,6 +89,17 @@ def _upsert(spark, folder):
     return upsert(*versions(spark, folder), KEYS)
 
 
+_NULL_KEYS = "select cast(null as bigint) as l_orderkey, n_lines, revenue, last_ship, last_return from new where l_orderkey % 50 = 0"
+
+
+@query("upsert_null_keys", f"{_UPSERT_SQL} union all {_NULL_KEYS}")
+def _upsert_null_keys(spark, folder):
+    """New rows without a key match nothing and are inserted."""
+    old, new = versions(spark, folder)
+    lost = new.filter("l_orderkey % 50 = 0").withColumn("l_orderkey", F.lit(None).cast("bigint"))
+    return upsert(old, new.unionByName(lost), KEYS)
+
+
 @query("mirror", f"{WITH} select * from new")
 def _mirror(spark, folder):
     return mirror(*versions(spark, folder), KEYS)

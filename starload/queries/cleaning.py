@@ -207,14 +207,15 @@ def _reload_by_attr(spark, folder):
 @query(
     "reload_by_year",
     """select o_orderkey, case when year(o_orderdate) in (1998, 1999) then o_totalprice + 1 else o_totalprice end
-      as o_totalprice, cast(year(o_orderdate) as integer) as nomearquivo from orders""",
+      as o_totalprice, cast(year(o_orderdate) as integer) as nomearquivo from orders where year(o_orderdate) <> 2000""",
 )
 def _reload_by_year(spark, folder):
     filed = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("nomearquivo"))
     path = scratch_dir(spark, "reload_by_year")
     overwrite_partitions(filed, path, "nomearquivo")
     fresh = filed.filter(F.col("nomearquivo").isin(1998, 1999)).withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    overwrite_partitions(fresh, path, "nomearquivo")
+    # the new extraction of 2000 is empty, so nothing of that year stays
+    overwrite_partitions(fresh, path, "nomearquivo", [1998, 1999, 2000])
     return spark.read.schema(filed.schema).parquet(path)
 
 
@@ -224,7 +225,7 @@ def _reload_by_year(spark, folder):
     "date_spine",
     """with days as (select strftime(d, '%Y-%m-%d') as param
       from generate_series(timestamp '2000-12-02', timestamp '2000-12-31', interval 1 day) s(d))
-    select param, count(o_orderkey) as n, cast(coalesce(sum(cast(o_totalprice as decimal(18,2))), 0) as double) as total
+    select param, count(o_orderkey) as n, cast(coalesce(sum(cast(o_totalprice as decimal(38,6))), 0) as double) as total
     from days left join orders on strftime(o_orderdate, '%Y-%m-%d') = param group by param""",
 )
 def _date_spine(spark, folder):
@@ -241,7 +242,7 @@ def _per_param(spine: DataFrame, orders: DataFrame) -> DataFrame:
 @query(
     "year_spine",
     """with years as (select cast(y as integer) as param from generate_series(1994, 2003) s(y))
-    select param, count(o_orderkey) as n, cast(coalesce(sum(cast(o_totalprice as decimal(18,2))), 0) as double) as total
+    select param, count(o_orderkey) as n, cast(coalesce(sum(cast(o_totalprice as decimal(38,6))), 0) as double) as total
     from years left join orders on year(o_orderdate) = param group by param""",
 )
 def _year_spine(spark, folder):
@@ -252,7 +253,7 @@ def _year_spine(spark, folder):
 @query(
     "literal_spine",
     """with states(param) as (values ('F'), ('O'), ('X'))
-    select param, count(o_orderkey) as n, cast(coalesce(sum(cast(o_totalprice as decimal(18,2))), 0) as double) as total
+    select param, count(o_orderkey) as n, cast(coalesce(sum(cast(o_totalprice as decimal(38,6))), 0) as double) as total
     from states left join orders on o_orderstatus = param group by param""",
 )
 def _literal_spine(spark, folder):

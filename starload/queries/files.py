@@ -9,13 +9,16 @@ from pyspark.sql import types as T
 from starload.functions.columns import parse_date
 from starload.operators.audit import audit_requests
 from starload.operators.normalize import drop_arrays, explode_child
-from starload.queries.projects import LINES_OF_ORDERS as _FROM, STAGING_SQL, landing
+from starload.queries.projects import LINES_OF_ORDERS as _FROM, landing
 from starload.queries.registry import query, table
-from starload.schemas import PARENT_TABLE, PROJECT_LANDING
+from starload.schemas import PROJECT_LANDING
 from starload.session import scratch_dir
-from starload.sources.files import file_lineage, file_lineage_fixed, read_csv_text, write_parquet
+from starload.sources.files import (
+    file_lineage, file_lineage_fixed, read_all_json, read_chosen_json, read_csv_text, read_required_json, write_parquet,
+)
+from starload.sources.folders import matching, place
 from starload.sources.landing import land_json, read_landed
-from starload.sources.paged import OK, Limits, page_records, read_pages, request_plan
+from starload.sources.paged import Limits, request_plan
 
 # Landing files -------------------------------------------------------------------------------------------
 
@@ -29,23 +32,51 @@ _ORDER_FIELDS = T.StructType(
 )
 
 
-@query(
-    "scan_file_list",
-    """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(year(o_orderdate) as varchar) as param
-    from orders where year(o_orderdate) in (1995, 1996, 1997, 1998, 1999, 2000, 2001)""",
-)
-def _scan_file_list(spark, folder):
+def _json_files(spark: SparkSession, folder: str, label: str) -> str:
+    """Orders as one ``<year>.json`` for each year, and a file of no records."""
     orders = table(spark, folder, "orders").withColumn("param", F.year("o_orderdate").cast("string"))
-    path = scratch_dir(spark, "scan_file_list")
-    land_json(orders.select(*_ORDER_FIELDS.names, "param"), path)
-    # 2030 was never landed and is skipped
-    return read_landed(spark, path, _ORDER_FIELDS, [*range(1995, 2002), 2030])
+    path = scratch_dir(spark, label)
+    orders.select(*_ORDER_FIELDS.names, "param").repartition("param").write.partitionBy("param").json(f"{path}/parts")
+    orders.limit(1).select(F.lit("[]")).coalesce(1).write.text(f"{path}/parts/param=2031")
+    for part in matching(spark, f"{path}/parts/param=*/part-*"):
+        fs, target = place(spark, f"{path}/{part.getParent().getName().removeprefix('param=')}.json")
+        fs.rename(part, target)
+    return path
+
+
+_FILES_SQL = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(year(o_orderdate) as varchar) as param from orders"
+
+
+@query("scan_file_list", f"{_FILES_SQL} where year(o_orderdate) in (1996, 1998, 2000)")
+def _scan_file_list(spark, folder):
+    """Some of the landed years; 2030 was never landed and is skipped, 2031 has no records."""
+    chosen = read_chosen_json(spark, _json_files(spark, folder, "scan_file_list"), [1996, 1998, 2000, 2030, 2031], _ORDER_FIELDS)
+    return chosen.withColumn("param", file_lineage())
+
+
+@query("scan_required_file", f"{_FILES_SQL} where year(o_orderdate) = 1997")
+def _scan_required_file(spark, folder):
+    path = f"{_json_files(spark, folder, 'scan_required_file')}/1997.json"
+    return read_required_json(spark, path, _ORDER_FIELDS).withColumn("param", file_lineage())
+
+
+@query("scan_all_files", _FILES_SQL)
+def _scan_all_files(spark, folder):
+    return read_all_json(spark, _json_files(spark, folder, "scan_all_files"), _ORDER_FIELDS).withColumn("param", file_lineage())
+
+
+@query("scan_empty_file", f"{_FILES_SQL} where false")
+def _scan_empty_file(spark, folder):
+    """A landing file without a record gives no row, and keeps the schema."""
+    empty = read_chosen_json(spark, _json_files(spark, folder, "scan_empty_file"), [2031], _ORDER_FIELDS)
+    return empty.withColumn("param", file_lineage())
 
 
 @query(
     "landing_replace",
     """select event_id, user_id, event_type as param,
-      case when event_type in ('click', 'error') then value + 1 else value end as value from events""",
+      case when event_type in ('click', 'error') then value + 1 else value end as value from events
+    where event_type <> 'signup'""",
 )
 def _landing_replace(spark, folder):
     events = table(spark, folder, "events").select(
@@ -53,7 +84,9 @@ def _landing_replace(spark, folder):
     )
     path = scratch_dir(spark, "landing_replace")
     land_json(events, path)
-    land_json(events.filter(F.col("param").isin("click", "error")).withColumn("value", F.col("value") + 1), path)
+    again = events.filter(F.col("param").isin("click", "error")).withColumn("value", F.col("value") + 1)
+    # the new extraction of signup succeeded without a record
+    land_json(again, path, params=["click", "error", "signup"])
     return read_landed(spark, path, T.StructType.fromDDL("event_id bigint, user_id bigint, value double"))
 
 
@@ -134,17 +167,26 @@ def _lateral_view(spark, folder):
     return spark.sql("select idUnico, e.* from starload_landing lateral view explode(subTipos) t as e")
 
 
+_DAY, _SHIP = "strftime(o_orderdate, '%Y-%m-%d')", "strftime(l_shipdate, '%Y-%m-%d')"
+_NO_TEXT = "cast(null as varchar)"
+
+
 @query(
     "drop_arrays",
-    f"""select idunico as idUnico, strftime(datacadastro, '%Y-%m-%d') as dataCadastro, nome, cep, descricao,
-      especie, natureza, situacao, uf, qdtempregosgerados as qdtEmpregosGerados,
-      ismodeladaporbim as isModeladaPorBim from ({STAGING_SQL[PARENT_TABLE]}) p""",
+    f"""select {_RAW_KEYS}, 'Order ' || l_orderkey as nome, cast(o_custkey as varchar) as cep, {_NO_TEXT} as endereco,
+      o_orderpriority as descricao, l_returnflag as funcaoSocial, {_NO_TEXT} as metaGlobal,
+      {_DAY} as dataInicialPrevista, {_SHIP} as dataFinalPrevista,
+      case when l_returnflag = 'N' then '' else {_DAY} end as dataInicialEfetiva,
+      case when l_returnflag = 'R' then {_SHIP} || 'T10:00:00' else {_SHIP} end as dataFinalEfetiva,
+      l_linestatus as especie, o_orderpriority as natureza, {_NO_TEXT} as naturezaOutras,
+      case when l_returnflag = 'A' then lower(o_orderstatus) else o_orderstatus end as situacao,
+      {_NO_TEXT} as descPlanoNacionalPoliticaVinculado, case when l_tax <> 0 then o_orderstatus end as uf,
+      case when l_discount = 0 then ' ' else ' ' || cast(l_quantity as integer) || ' ' end as qdtEmpregosGerados,
+      {_NO_TEXT} as descPopulacaoBeneficiada, cast(l_partkey as varchar) as populacaoBeneficiada,
+      {_NO_TEXT} as observacoesPertinentes, l_tax > 0.04 as isModeladaPorBim, {_SHIP} as dataSituacao {_FROM}""",
 )
 def _drop_arrays(spark, folder):
-    return drop_arrays(landing(spark, folder)).select(
-        "idUnico", "dataCadastro", "nome", "cep", "descricao", "especie", "natureza", "situacao", "uf",
-        "qdtEmpregosGerados", "isModeladaPorBim",
-    )
+    return drop_arrays(landing(spark, folder))
 
 
 _TEXT_DATE = """case when o_orderstatus = 'F' then strftime(o_orderdate, '%Y-%m-%d')
@@ -162,53 +204,7 @@ def _parse_dates(spark, folder):
     return table(spark, folder, "orders").select("o_orderkey", parse_date(text).alias("parsed"))
 
 
-# Paged extraction -------------------------------------------------------------------------------------------
-
-class FilePages:
-    """Stands in for a paged API: the parameter is a Parquet file, a page a range of its rows."""
-
-    def __init__(self, *columns: str):
-        self.columns, self.open_files, self.last_group = columns, {}, (None, None)
-
-    def _file(self, uri: str):
-        from pyarrow import fs, parquet
-
-        if uri not in self.open_files:
-            system, path = fs.FileSystem.from_uri(uri)
-            self.open_files[uri] = parquet.ParquetFile(system.open_input_file(path))
-        return self.open_files[uri]
-
-    def _group(self, uri: str, group: int):
-        """One row group; the last one read is kept, since pages follow each other."""
-        if self.last_group[0] != (uri, group):
-            self.last_group = ((uri, group), self._file(uri).read_row_group(group, columns=list(self.columns)))
-        return self.last_group[1]
-
-    def __call__(self, param: str, page: int, size: int) -> tuple[int, list]:
-        first, rows, start = page * size, [], 0
-        meta = self._file(param).metadata
-        for group in range(meta.num_row_groups):
-            count = meta.row_group(group).num_rows
-            low, high = max(first - start, 0), min(first + size - start, count)
-            if low < high:
-                rows += self._group(param, group).slice(low, high - low).to_pylist()
-            start += count
-        return OK, rows
-
-
-@query("paged_source", "select event_id, user_id, event_type, value from events")
-def _paged_source(spark, folder):
-    fields = T.StructType.fromDDL("event_id bigint, user_id bigint, event_type string, value double")
-    requests = read_pages(
-        spark,
-        table(spark, folder, "events").inputFiles(),
-        FilePages(*fields.names),
-        page_size=1000,
-        readers=4,
-        limits=Limits(executions=-1),
-    )
-    return page_records(requests, fields).drop("param")
-
+# Extraction -------------------------------------------------------------------------------------------
 
 @query(
     "request_plan",
@@ -228,27 +224,30 @@ def _request_plan(spark, folder):
 
 @query(
     "request_audit",
-    """with log as (select user_id, ts, event_type <> 'error' as ok, event_type = 'purchase' as is_end from events),
-    placed as (select *, sum(case when ok then 1 else 0 end) over (partition by user_id order by ts) as run from log),
-    runs as (select user_id, run, count(*) as n from placed where not ok group by 1, 2),
+    """with log as (select user_id, event_id % 2 as reader, ts, event_type <> 'error' as ok,
+      event_type = 'purchase' as is_end from events),
+    placed as (select *, sum(case when ok then 1 else 0 end) over (partition by user_id, reader order by ts) as run from log),
+    runs as (select user_id, reader, run, count(*) as n from placed where not ok group by 1, 2, 3),
     longest as (select user_id, max(n) as longest from runs group by 1),
+    readers as (select user_id, reader, arg_max(is_end, ts) as finished from log group by 1, 2),
+    ends as (select user_id, bool_and(finished) as finished from readers group by 1),
     counted as (select user_id, count(*) filter (ok and not is_end) as pages,
-      count(*) filter (not is_end) as executions, count(*) filter (not ok) as errors,
-      arg_max(is_end, ts) as finished from log group by 1)
+      count(*) filter (not is_end) as executions, count(*) filter (not ok) as errors from log group by 1)
     select user_id, pages, executions, errors, coalesce(longest, 0) as max_consecutive_errors,
       case when finished then 'success' when coalesce(longest, 0) >= 3 then 'consecutive errors exceeded'
         when errors >= 18 then 'total errors exceeded' when executions >= 60 then 'executions exceeded'
         else 'incomplete' end as outcome
-    from counted left join longest using (user_id)""",
+    from counted left join longest using (user_id) join ends using (user_id)""",
 )
 def _request_audit(spark, folder):
-    """Events read as a request log: one log per user, an error is a failed request, a purchase ends the data."""
+    """Events as a request log: one log per user, fetched by two readers; an error is a failed request, a purchase an end."""
     return audit_requests(
-        table(spark, folder, "events"),
+        table(spark, folder, "events").withColumn("reader", F.col("event_id") % 2),
         "user_id",
         "ts",
         succeeded=F.col("event_type") != "error",
         is_end=F.col("event_type") == "purchase",
         chunk=F.datediff(F.col("ts"), F.lit("1970-01-01")) * 24 + F.hour("ts"),
         limits=Limits(errors=18, consecutive_errors=3, executions=60),
+        reader="reader",
     )

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starload.functions.columns import MONEY
 from starload.functions.suffix import suffix_udf, with_suffix
+from starload.operators.normalize import normalize
 from starload.operators.quality import (
     key_violations, max_lengths, null_counts, orphans, rejected_dates, too_long,
 )
 from starload.plans.dimensions import BY_TABLE, Dimension, load_dimension, members
-from starload.plans.facts import BRIDGES, bridge_fact, funding_fact, project_fact
+from starload.plans.constraints import PRIMARY_KEYS
+from starload.plans.facts import BRIDGES, FUNDING_FACT, MAIN_FACT, bridge_fact, funding_fact, project_fact
 from starload.plans.snapshots import write_snapshot
-from starload.plans.warehouse import Warehouse, load_staging, run_by_state
+from starload.plans.warehouse import STAGING_KEYS, Warehouse, load_report, load_staging, run_by_date, run_by_state
 from starload.queries.cleaning import AS_OF, DAYS
 from starload.queries.files import landed
 from starload.queries.projects import (
-    STAGING_SQL, clean_sql, dimension_sql, execution, landing, with_relations,
+    FACT_SQL, STAGING_SQL, clean_sql, dimension_sql, execution, landing, with_relations,
 )
 from starload.queries.registry import query, table
 from starload.schemas import EXECUTION_TABLE, PARENT_TABLE
@@ -125,7 +131,8 @@ def flat_staging(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             project,
             F.when(F.col("l_returnflag") == "R", F.lower("l_linestatus")).otherwise(F.col("l_linestatus"))
             .alias("origem"),
-            F.col("l_extendedprice").alias("valorinvestimentoprevisto"),
+            # amounts of four decimals
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("valorinvestimentoprevisto"),
         ),
         _SUB_TYPES: lines.select(project, F.col("l_partkey").alias("id"), _name("Part ", "l_partkey")),
         _EXECUTORS: lines.select(project, F.col("l_suppkey").alias("codigo"), _name("Supplier ", "l_suppkey", "nome")),
@@ -166,8 +173,8 @@ _PROJECTS_SQL = """projects as (select cast(o_orderkey as varchar) as idunico, o
     "fact_main",
     f"""with {_PROJECTS_SQL},
     lines as (select l_orderkey, cast(min(l_shipdate) as date) as first_ship, cast(max(l_shipdate) as date) as last_ship,
-      cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as planned from lineitem group by 1),
-    spent as (select event_id, cast(sum(cast(value as decimal(18,2))) as double) as executed from events group by 1)
+      cast(sum(cast(l_extendedprice * (1 - l_discount) as decimal(38,6))) as double) as planned from lineitem group by 1),
+    spent as (select event_id, cast(sum(cast(value as decimal(38,6))) as double) as executed from events group by 1)
     select sk as sk_projeto_investimento, cast(last_ship - ordered as integer) as prazo_previsto,
       cast(last_ship - first_ship as integer) as prazo_efetivo,
       cast(case when o_orderstatus <> 'P' then o_custkey end as integer) as qtd_empregos_gerados,
@@ -185,7 +192,7 @@ def _fact_main(spark, folder):
     sources as (select origem, cast(row_number() over (order by md5(origem)) as integer) as sk
       from (select distinct upper(l_linestatus) as origem from lineitem) s)
     select projects.sk as sk_projeto_investimento, sources.sk as sk_fonte_recurso,
-      l_extendedprice as valor_investimento_previsto
+      l_extendedprice * (1 - l_discount) as valor_investimento_previsto
     from lineitem join projects on o_orderkey = l_orderkey join sources on origem = upper(l_linestatus)""",
 )
 def _fact_measure_bridge(spark, folder):
@@ -298,46 +305,52 @@ def _udf(spark, folder):
 
 # Whole loads ----------------------------------------------------------------------------------------------------
 
-@query(
-    "warehouse_end_to_end",
-    with_relations(
-        [PARENT_TABLE, _FUNDING, EXECUTION_TABLE, f"{PARENT_TABLE}_eixos"],
-        ["dim_projeto_investimento"],
-        f"""
-        select p.natureza, count(*) as projects,
-          cast(sum(cast(planned as decimal(18,2))) as double) as planned,
-          cast(sum(cast(coalesce(executed, 0) as decimal(18,2))) as double) as executed,
-          cast(sum(axes) as bigint) as axes
-        from {PARENT_TABLE} stg
-        join dim_projeto_investimento p on p.nk_projeto_investimento = stg.idunico
-        left join (select idunico, sum(cast(valorinvestimentoprevisto as decimal(18,2))) as planned
-                   from {_FUNDING} group by 1) f on f.idunico = stg.idunico
-        left join (select idprojetoinvestimento, sum(cast(valorempenho as decimal(18,2))) as executed
-                   from {EXECUTION_TABLE} group by 1) e on e.idprojetoinvestimento = stg.idunico
-        left join (select idunico, count(distinct id) as axes from {PARENT_TABLE}_eixos group by 1) x
-          on x.idunico = stg.idunico
-        group by 1""",
-    ),
-)
+_ALL_STAGING = [*STAGING_KEYS, EXECUTION_TABLE]
+_ALL_DIMENSIONS = [d.table for d in BY_TABLE.values()]
+_MEASURES = ("valor_investimento_previsto", "valor_execucao")
+# every table of a warehouse in one row: how many rows, the sum over its keys, the sum over its amounts
+_KEYS_OF = {name: PRIMARY_KEYS[name] for name in [*_ALL_DIMENSIONS, *FACT_SQL]}
+
+
+def _summary_sql(name: str, source: str) -> str:
+    keys = " + ".join(f"{k + 1} * cast({key} as bigint)" for k, key in enumerate(_KEYS_OF[name]))
+    money = {MAIN_FACT: " + ".join(f"cast(coalesce({m}, 0) as decimal(38,6))" for m in _MEASURES)}
+    money[FUNDING_FACT] = "cast(coalesce(valor_investimento_previsto, 0) as decimal(38,6))"
+    amount = f"cast(sum({money[name]}) as double)" if name in money else "cast(null as double)"
+    return f"select '{name}' as name, count(*) as n, cast(sum({keys}) as bigint) as keys, {amount} as money from {source}"
+
+
+def _summary(built: dict[str, DataFrame], names: list[str]) -> DataFrame:
+    parts = []
+    for name in names:
+        keys = reduce(add, [(k + 1) * F.col(key).cast("bigint") for k, key in enumerate(_KEYS_OF[name])])
+        amounts = [F.coalesce(F.col(m).cast(MONEY), F.lit(0).cast(MONEY)) for m in _MEASURES if m in built[name].columns]
+        money = F.sum(reduce(add, amounts)) if amounts else F.lit(None)
+        parts.append(built[name].agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.sum(keys).alias("keys"), money.cast("double").alias("money")))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _summaries_sql(names: list[str], staged: dict[str, str] | None = None) -> str:
+    """The summaries over all staging and dimensions; ``staged`` replaces the SQL of staging tables."""
+    # a load adds up the funding rows of one key
+    summed = f"""select sk_projeto_investimento, sk_fonte_recurso, sum(cast(valor_investimento_previsto as decimal(38,6)))
+      as valor_investimento_previsto from ({FACT_SQL[FUNDING_FACT]}) f group by 1, 2"""
+    facts = ", ".join(f"{name} as ({sql})" for name, sql in {**FACT_SQL, FUNDING_FACT: summed}.items())
+    body = " union all ".join(_summary_sql(name, name) for name in names)
+    sql = with_relations(_ALL_STAGING, _ALL_DIMENSIONS, f", {facts} {body}")
+    for name, other in (staged or {}).items():
+        sql = sql.replace(clean_sql(name), other)
+    return sql
+
+
+@query("warehouse_end_to_end", _summaries_sql(list(_KEYS_OF)))
 def _end_to_end(spark, folder):
-    """JSON landing to staging, dimensions and facts, then money and axes by kind of project."""
+    """JSON landing to staging, then all twelve dimensions and eight facts, summed up."""
     root = scratch_dir(spark, "warehouse")
     nested = landed(spark, folder).withColumnRenamed("param", "nomeArquivo")
     staging = {**load_staging(nested, root), EXECUTION_TABLE: execution(spark, folder)}
     built = Warehouse(spark, root, grain="year").refresh(staging, duplicate_nk="pick", on_duplicate="sum")
-    axes = built["fact_projeto_investimento_eixos"].groupBy("sk_projeto_investimento").agg(F.count("*").alias("axes"))
-    projects = built["dim_projeto_investimento"].select("sk_projeto_investimento", "natureza")
-    money = built["fact_projeto_investimento"].join(projects, "sk_projeto_investimento")
-    return (
-        money.join(axes, "sk_projeto_investimento", "left")
-        .groupBy("natureza")
-        .agg(
-            F.count("*").alias("projects"),
-            F.sum(F.col("valor_investimento_previsto").cast("decimal(18,2)")).cast("double").alias("planned"),
-            F.sum(F.col("valor_execucao").cast("decimal(18,2)")).cast("double").alias("executed"),
-            F.sum("axes").alias("axes"),
-        )
-    )
+    return _summary(built, list(_KEYS_OF))
 
 
 _MOVED_SQL = clean_sql(PARENT_TABLE).replace(
@@ -371,6 +384,42 @@ def _by_date(spark, folder):
     return again.select("sk_projeto_investimento", "nk_projeto_investimento", "data_projeto", "descricao_projeto")
 
 
+_TWICE = ["dim_projeto_investimento", "dim_situacao", MAIN_FACT, FUNDING_FACT, "fact_projeto_investimento_eixos"]
+
+
+@query(
+    "run_by_date_twice",
+    _summaries_sql(_TWICE, {PARENT_TABLE: _MOVED_SQL})
+    + f""" union all select '{PARENT_TABLE}', count(*), count(*) filter (descricao = lower(descricao)), null from {PARENT_TABLE}""",
+)
+def _run_by_date_twice(spark, folder):
+    """The whole run, and again a year later over the trailing window, whose descriptions have changed."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "run_by_date_twice"), grain="year")
+    records, policy = landing(spark, folder), {"duplicate_nk": "pick", "on_duplicate": "sum"}
+    run_by_date(warehouse, records, execution(spark, folder), AS_OF, DAYS, **policy)
+    fresh = records.filter(F.col("dataCadastro").between("2000-01-02", "2000-12-31"))
+    fresh = fresh.withColumn("descricao", F.lower("descricao"))
+    built = run_by_date(warehouse, fresh, execution(spark, folder), AS_OF, DAYS, **policy)
+    lower = F.count_if(F.col("descricao") == F.lower("descricao"))
+    staged = built[PARENT_TABLE].agg(F.lit(PARENT_TABLE).alias("name"), F.count("*").alias("n"), lower.alias("keys"), F.lit(None).cast("double").alias("money"))
+    return _summary(built, _TWICE).unionAll(staged)
+
+
+@query(
+    "load_report",
+    """select 'no date' as "check", 'dataInicialEfetiva' as name, count(*) filter (l_returnflag = 'N') as rows from lineitem
+    union all select 'no date', 'dataFinalEfetiva', count(*) filter (l_returnflag = 'R') from lineitem
+    union all select 'no date', unnest(['dataCadastro', 'dataInicialPrevista', 'dataFinalPrevista', 'dataSituacao']), 0
+    union all select 'no natural key', 'dim_uf', count(*) filter (l_tax = 0) from lineitem
+    union all select 'no natural key', unnest([%s]), 0"""
+    % ", ".join(f"'{name}'" for name in _ALL_DIMENSIONS if name != "dim_uf"),
+)
+def _load_report(spark, folder):
+    """What a load of the landing records leaves out."""
+    records = landing(spark, folder)
+    return load_report(records, normalize(records))
+
+
 @query(
     "warehouse_by_attr",
     f"""with parent as ({STAGING_SQL[PARENT_TABLE]}), axes as ({STAGING_SQL[f"{PARENT_TABLE}_eixos"]})

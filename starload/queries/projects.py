@@ -266,16 +266,17 @@ def _fact_tables(
     return {**staged, **dimension_tables(staged, {_PROJECT_DIM, dimension})}
 
 
+# The SQL of each fact over clean staging and dimensions.
+FACT_SQL: dict[str, str] = {}
+
+
 def _register_bridge(bridge) -> None:
     dimension = next(d for d in DIMENSIONS if d.table == bridge.dimension)
-    sql = with_relations(
-        [bridge.source],
-        [_PROJECT_DIM, bridge.dimension],
-        f"""
+    FACT_SQL[bridge.table] = f"""
         select distinct sk_projeto_investimento, {dimension.sk} from {bridge.source} stg
         join {bridge.dimension} d on d.{dimension.nk} = cast(stg.{bridge.code} as varchar)
-        join {_PROJECT_DIM} p on p.nk_projeto_investimento = stg.idunico""",
-    )
+        join {_PROJECT_DIM} p on p.nk_projeto_investimento = stg.idunico"""
+    sql = with_relations([bridge.source], [_PROJECT_DIM, bridge.dimension], FACT_SQL[bridge.table])
     query(bridge.table, sql)(
         lambda spark, folder: bridge_fact(bridge, _fact_tables(spark, folder, {bridge.source}, bridge.dimension))
     )
@@ -287,30 +288,14 @@ for _bridge in BRIDGES:
 _FUNDING_STG = f"{PARENT_TABLE}_fontes_de_recurso"
 
 
-@query(
-    "fact_projeto_investimento_fonte_recurso",
-    with_relations(
-        [PARENT_TABLE, _FUNDING_STG],
-        [_PROJECT_DIM, "dim_fonte_recurso"],
-        f"""
+FACT_SQL["fact_projeto_investimento_fonte_recurso"] = f"""
         select sk_projeto_investimento, sk_fonte_recurso,
           valorinvestimentoprevisto as valor_investimento_previsto
         from {PARENT_TABLE} stg
         join {_PROJECT_DIM} p on p.nk_projeto_investimento = stg.idunico
         join {_FUNDING_STG} f on f.idunico = stg.idunico
-        join dim_fonte_recurso d on d.nk_fonte_recurso = upper(f.origem)""",
-    ),
-)
-def _funding(spark: SparkSession, folder: str) -> DataFrame:
-    return funding_fact(_fact_tables(spark, folder, {_FUNDING_STG}, "dim_fonte_recurso"))
-
-
-@query(
-    "fact_projeto_investimento",
-    with_relations(
-        [PARENT_TABLE, _FUNDING_STG, EXECUTION_TABLE],
-        [_PROJECT_DIM],
-        f"""
+        join dim_fonte_recurso d on d.nk_fonte_recurso = upper(f.origem)"""
+FACT_SQL["fact_projeto_investimento"] = f"""
         select sk_projeto_investimento,
           cast(stg.datafinalprevista - stg.datainicialprevista as integer) as prazo_previsto,
           cast(stg.datafinalefetiva - stg.datainicialefetiva as integer) as prazo_efetivo,
@@ -319,12 +304,26 @@ def _funding(spark: SparkSession, folder: str) -> DataFrame:
           planned.total as valor_investimento_previsto, coalesce(executed.total, 0) as valor_execucao
         from {PARENT_TABLE} stg
         join {_PROJECT_DIM} p on p.nk_projeto_investimento = stg.idunico
-        left join (select idunico, cast(sum(cast(valorinvestimentoprevisto as decimal(18,2))) as double) as total
+        left join (select idunico, cast(sum(cast(valorinvestimentoprevisto as decimal(38,6))) as double) as total
                    from {_FUNDING_STG} group by 1) planned on planned.idunico = stg.idunico
-        left join (select idprojetoinvestimento, cast(sum(cast(valorempenho as decimal(18,2))) as double) as total
+        left join (select idprojetoinvestimento, cast(sum(cast(valorempenho as decimal(38,6))) as double) as total
                    from {EXECUTION_TABLE} group by 1) executed
-          on executed.idprojetoinvestimento = stg.idunico""",
+          on executed.idprojetoinvestimento = stg.idunico"""
+
+
+@query(
+    "fact_projeto_investimento_fonte_recurso",
+    with_relations(
+        [PARENT_TABLE, _FUNDING_STG], [_PROJECT_DIM, "dim_fonte_recurso"], FACT_SQL["fact_projeto_investimento_fonte_recurso"]
     ),
 )
+def _funding(spark: SparkSession, folder: str) -> DataFrame:
+    return funding_fact(_fact_tables(spark, folder, {_FUNDING_STG}, "dim_fonte_recurso"))
+
+
+@query(
+    "fact_projeto_investimento",
+    with_relations([PARENT_TABLE, _FUNDING_STG, EXECUTION_TABLE], [_PROJECT_DIM], FACT_SQL["fact_projeto_investimento"]),
+)
 def _main_fact(spark: SparkSession, folder: str) -> DataFrame:
     return project_fact(_fact_tables(spark, folder, {_FUNDING_STG, EXECUTION_TABLE}))

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starload.session import adaptive
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,7 +20,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = function
+        QUERIES[name] = lambda spark, folder: function(adaptive(spark), folder)
         if sql is not None:
             ORACLES[name] = sql
         return function

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,11 +29,20 @@ def build_session(app: str = "starload", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def adaptive(spark: SparkSession) -> SparkSession:
+    """Put the settings that may change at run time on a session made elsewhere."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+    return spark
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared checkpoint folder, for tables a job writes on its way."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="starload-")
+    """A fresh folder for tables a job writes on its way.
+
+    It lies below the checkpoint folder of the session or of its context, or else below
+    the warehouse folder: all executors reach these.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/starload-scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

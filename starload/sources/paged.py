@@ -31,6 +31,7 @@ REQUESTS = T.StructType(
         T.StructField("page", T.LongType()),
         T.StructField("status", T.IntegerType()),
         T.StructField("is_end", T.BooleanType()),
+        T.StructField("gave_up", T.BooleanType()),
         T.StructField("records", T.ArrayType(T.StringType())),
     ]
 )
@@ -45,7 +46,7 @@ class Limits:
 
     errors: int = UNLIMITED
     consecutive_errors: int = 5
-    executions: int = 200
+    executions: int = UNLIMITED
 
     def reached(self, errors: int, consecutive: int, executions: int) -> bool:
         pairs = ((errors, self.errors), (consecutive, self.consecutive_errors), (executions, self.executions))
@@ -65,9 +66,10 @@ def _ended(stop_on: str, status: int, records: list | None) -> bool:
 
 
 class _PagedReader(DataSourceReader):
-    def __init__(self, params, fetch, page_size, readers, stop_on, limits, back_off):
+    def __init__(self, params, fetch, page_size, readers, stop_on, limits, back_off, on_limit):
         self.params, self.fetch, self.page_size = params, fetch, page_size
         self.readers, self.stop_on, self.limits, self.back_off = readers, stop_on, limits, back_off
+        self.on_limit = on_limit
 
     def partitions(self):
         return [ReaderShare(param, k) for param in self.params for k in range(self.readers)]
@@ -75,20 +77,27 @@ class _PagedReader(DataSourceReader):
     def read(self, share: ReaderShare) -> Iterator[tuple]:
         page, seq = share.reader, 0
         errors = consecutive = executions = 0
-        while not self.limits.reached(errors, consecutive, executions):
+        while True:
             status, records = self.fetch(share.param, page, self.page_size)
             if _ended(self.stop_on, status, records):
-                yield share.param, share.reader, seq, page, status, True, None
+                yield share.param, share.reader, seq, page, status, True, False, None
                 return
             executions += 1
-            if status == OK:
-                consecutive = 0
-                texts = [json.dumps(record, default=str) for record in records or []]
-                yield share.param, share.reader, seq, page, status, False, texts
+            good = status == OK
+            errors, consecutive = errors + (not good), 0 if good else consecutive + 1
+            stop = self.limits.reached(errors, consecutive, executions)
+            if stop and self.on_limit == "raise":
+                raise RuntimeError(
+                    f"gave up on {share.param!r} at page {page}: {executions} executions, {errors} errors,"
+                    f" {consecutive} of them in a row, and no end of the data"
+                )
+            texts = [json.dumps(record, default=str) for record in records or []] if good else None
+            yield share.param, share.reader, seq, page, status, False, stop, texts
+            if stop:
+                return
+            if good:
                 page += self.readers
             else:
-                errors, consecutive = errors + 1, consecutive + 1
-                yield share.param, share.reader, seq, page, status, False, None
                 time.sleep(self.back_off * (1 + consecutive))
             seq += 1
 
@@ -102,15 +111,20 @@ def read_pages(
     stop_on: str = "empty",
     limits: Limits = Limits(),
     back_off: float = 1.0,
+    on_limit: str = "raise",
 ) -> DataFrame:
     """Requests made for each parameter until its data ends, one row per request.
 
+    A reader that meets a limit before the end fails the job, or with ``on_limit="mark"``
+    marks its last request with ``gave_up``; the audit then names the parameter as incomplete.
     ``stop_on`` is ``"empty"`` (a page without records ends the data) or
     ``"not_found"`` (only status 404 does). ``fetch`` must be picklable. Limits on
     all errors or executions count a whole parameter, so they need one reader.
     """
     if stop_on not in ("empty", "not_found"):
         raise ValueError(f"unknown end rule {stop_on!r}")
+    if on_limit not in ("raise", "mark"):
+        raise ValueError(f"unknown rule {on_limit!r} for limits")
     if readers > 1 and (limits.errors != UNLIMITED or limits.executions != UNLIMITED):
         raise ValueError("limits on total errors or executions need readers=1")
     texts = [str(param) for param in params]
@@ -124,7 +138,7 @@ def read_pages(
             return REQUESTS
 
         def reader(self, schema):
-            return _PagedReader(texts, fetch, page_size, readers, stop_on, limits, back_off)
+            return _PagedReader(texts, fetch, page_size, readers, stop_on, limits, back_off, on_limit)
 
     spark.dataSource.register(PagedSource)
     return spark.read.format("starload_pages").load()

@@ -27,14 +27,17 @@ def test_three_differences(spark):
 def test_key_only_table_has_no_updates(spark):
     old, new = (df.select("k") for df in pair(spark))
     assert rows(rows_to_update(old, new, ["k"])) == []
-    assert rows(upsert(old, new, ["k"])) == [(None,), (1,), (2,), (3,), (4,), (5,), (6,)]
+    assert rows(upsert(old, new, ["k"])) == [(None,), (None,), (1,), (2,), (3,), (4,), (5,), (6,)]
 
 
 def test_one_join_gives_the_same_as_three(spark):
     old, new = pair(spark)
     counts = dict(rows(change_counts(classify(old, new, ["k"]))))
-    assert counts == {"INSERT": 1, "UPDATE": 2, "DELETE": 1, "SAME": 3}
-    assert dict(rows(change_counts(classify(old, new, ["k"], null_keys="insert"))))["INSERT"] == 2
+    assert counts == {"INSERT": 2, "UPDATE": 2, "DELETE": 1, "SAME": 3}
+    assert dict(rows(change_counts(classify(old, new, ["k"], null_keys="reject"))))["INSERT"] == 1
+    with pytest.raises(Exception, match="null key"):
+        classify(old, new, ["k"], null_keys="error").collect()
+    assert rows_to_insert(old, new, ["k"]).count() == counts["INSERT"]
     with pytest.raises(ValueError):
         classify(old, new, ["k"], null_keys="other")
 
@@ -68,15 +71,21 @@ def test_unknown_column_is_refused(spark):
 def test_feed_has_keys_only_for_deletes(spark):
     feed = change_feed(classify(*pair(spark), ["k"]), ["k"], delete=True)
     assert rows(feed) == [
-        ("DELETE", 4, None, None), ("INSERT", 6, "in", 6), ("UPDATE", 2, "x", 2), ("UPDATE", 3, "y", 3),
+        ("DELETE", 4, None, None), ("INSERT", None, "new", 0), ("INSERT", 6, "in", 6), ("UPDATE", 2, "x", 2), ("UPDATE", 3, "y", 3),
     ]
     assert change_feed(classify(*pair(spark), ["k"]), ["k"], insert=False, update=False).isEmpty()
 
 
-def test_repeated_key_is_an_error_when_checked(spark):
+def test_repeated_key_is_an_error_unless_trusted(spark):
     old, new = pair(spark, new=[(1, "a", 1), (1, "b", 1)])
-    with pytest.raises(ValueError, match="new version"):
-        upsert(old, new, ["k"], check_keys=True)
+    with pytest.raises(Exception, match="the new version holds a key more than once"):
+        upsert(old, new, ["k"]).collect()
+    with pytest.raises(Exception, match="the old version holds a key more than once"):
+        change_counts(classify(new, old, ["k"])).collect()
+    assert upsert(old, new, ["k"], check_keys=False).count() == 7
+    # the check needs no shuffle beyond those of the join
+    plan = upsert(*pair(spark), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
     assert rows(rows_to_update(new, old.filter("k = 1"), ["k"])) == [(1, "x", 1)]
 
 
@@ -85,7 +94,7 @@ def test_sql_pair(spark):
     old.createOrReplaceTempView("t_old")
     new.createOrReplaceTempView("t_new")
     result = upsert_sql(spark, "select * from t_old", "select k, a, b from t_new", ["k"], delete=True)
-    assert rows(result) == [(None, "old", 0), (1, "x", 1), (2, "x", 2), (3, "y", 3), (5, None, None), (6, "in", 6)]
+    assert rows(result) == [(None, "new", 0), (None, "old", 0), (1, "x", 1), (2, "x", 2), (3, "y", 3), (5, None, None), (6, "in", 6)]
 
 
 _values = st.tuples(st.one_of(st.none(), st.sampled_from("ab")), st.one_of(st.none(), st.integers(0, 2)))

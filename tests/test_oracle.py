@@ -28,7 +28,11 @@ LAZY = ["upsert", "dedupe_first", "fact_main", "fact_measure_bridge", "bridge_pa
 def test_plan_has_no_cross_join_and_pushes_columns(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    assert "SinglePartition" not in plan or "_bucket" in plan
+    # only the totals of the buckets and the greatest key in use meet in one task
+    for line in plan.splitlines():
+        if "SinglePartition" in line:
+            below = plan[plan.index(line) + len(line) :].splitlines()[1]
+            assert "HashAggregate" in below or "_bucket" in below, below
 
 
 def test_filters_reach_the_scan(spark):

@@ -56,6 +56,9 @@ def test_partitions_not_named_stay(spark, tmp_path):
     overwrite_partitions(spark.createDataFrame([(1, "2023"), (2, "2024")], "v int, f string"), path, "f")
     overwrite_partitions(spark.createDataFrame([(3, "2024")], "v int, f string"), path, "f")
     assert rows(spark.read.schema("v int, f string").parquet(path)) == [(1, "2023"), (3, "2024")]
+    # an extraction of both years that found only rows of one empties the other
+    overwrite_partitions(spark.createDataFrame([(4, "2024")], "v int, f string"), path, "f", ["2023", "2024"])
+    assert rows(spark.read.schema("v int, f string").parquet(path)) == [(4, "2024")]
 
 
 @pytest.mark.parametrize("grain", ["year", "month", "day"])
@@ -69,6 +72,9 @@ def test_window_is_replaced_in_place(spark, tmp_path, grain):
     expected = [r for r in rows(delete_window(dated(spark), "day", window))] + rows(dated(spark, "new", fresh_days))
     key = lambda r: [(v is not None, str(v)) for v in r]
     assert rows(read_snapshot(spark, root)) == sorted(expected, key=key)
+    # repeating the reload multiplies nothing, not even rows without a date
+    replace_window(dated(spark, "new", fresh_days), root, "day", window, grain)
+    assert rows(read_snapshot(spark, root)) == sorted(expected, key=key)
     # an extraction that returned nothing empties the window
     replace_window(dated(spark, "new", []), root, "day", window, grain)
     left = [r for r in expected if r[2] != dt.date(2024, 3, 9)]
@@ -91,6 +97,10 @@ def test_copies_are_removed_in_place(spark, tmp_path):
     assert (tmp_path / "t" / "v=1" / "periodo=2022").stat().st_mtime_ns == untouched
     assert not (tmp_path / "t" / "v=1" / "periodo=2020").exists()
     assert remove_copies(spark, root, "periodo", ["k"]) == []
+    again = str(tmp_path / "again")
+    write_snapshot(with_period(df, "day", "year"), again, "periodo")
+    # copies are looked for among the given keys only
+    assert remove_copies(spark, again, "periodo", ["k"], df.filter("k = 'b'").select("k")) == [2024]
     filed = df.drop("day").withColumn("f", F.when(F.col("k") == "b", "2024").otherwise("2023"))
     write_snapshot(filed, f"{root}x", "f")
     assert sorted(remove_copies(spark, f"{root}x", "f")) == ["2023", "2024"]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from starload.operators.audit import audit_requests, landable
 from starload.sources.files import read_csv_text, write_parquet
 from starload.sources.jdbc import JdbcTarget, Split, scan_options
+from starload.sources.files import set_aside_corrupt
 from starload.sources.landing import land_json, read_landed
 from starload.sources.paged import Limits, page_records, read_pages, request_plan, request_url
 from starload.functions.spines import date_spine, literal_spine, year_spine
@@ -65,10 +66,17 @@ def test_every_page_once(spark, readers):
 def test_end_by_status_does_not_stop_on_an_empty_page(spark):
     stopped = read_pages(spark, ["a"], Script({"a": 5}, end=(404, None)), 10, stop_on="not_found", **FAST)
     assert rows(stopped, "page", "status", "is_end") == [(0, 200, False), (1, 404, True)]
-    endless = read_pages(
-        spark, ["a"], Script({"a": 5}), 10, stop_on="not_found", limits=Limits(executions=4), **FAST
-    )
+    limited = {"stop_on": "not_found", "limits": Limits(executions=4), **FAST}
+    endless = read_pages(spark, ["a"], Script({"a": 5}), 10, on_limit="mark", **limited)
     assert endless.count() == 4 and endless.filter("is_end").isEmpty()
+    assert rows(endless.filter("gave_up"), "page") == [(3,)]
+    with pytest.raises(Exception, match="gave up on 'a' at page 3"):
+        read_pages(spark, ["a"], Script({"a": 5}), 10, **limited).collect()
+
+
+def test_no_limit_on_pages_by_default(spark):
+    requests = read_pages(spark, ["a"], Script({"a": 300}), 1, **FAST)
+    assert requests.count() == 301 and requests.filter("is_end").count() == 1
 
 
 def test_failures_retry_the_page_and_respect_limits(spark):
@@ -77,16 +85,19 @@ def test_failures_retry_the_page_and_respect_limits(spark):
         (0, 0, 503), (1, 0, 503), (2, 0, 200), (3, 1, 503), (4, 1, 503), (5, 1, 200), (6, 2, 503), (7, 2, 503),
         (8, 2, 200),
     ]
-    gave_up = read_pages(spark, ["a"], Flaky(9, 2), 1, **FAST)
+    gave_up = read_pages(spark, ["a"], Flaky(9, 2), 1, on_limit="mark", **FAST)
     assert gave_up.count() == 5 and gave_up.filter("status = 200").isEmpty()
     with pytest.raises(ValueError):
         read_pages(spark, ["a"], Flaky(0, 1), readers=2, limits=Limits(errors=3))
     with pytest.raises(ValueError):
         read_pages(spark, ["a"], Flaky(0, 1), stop_on="other")
+    with pytest.raises(ValueError):
+        read_pages(spark, ["a"], Flaky(0, 1), on_limit="other")
 
 
 def test_only_successful_parameters_land(spark):
-    requests = read_pages(spark, ["good", "bad"], _half_bad, 1, limits=Limits(consecutive_errors=2), **FAST)
+    limits = Limits(consecutive_errors=2)
+    requests = read_pages(spark, ["good", "bad"], _half_bad, 1, limits=limits, on_limit="mark", **FAST)
     audited = audit_requests(
         requests, "param", "seq", F.col("status") == 200, F.col("is_end"), F.floor(F.col("seq") / 2),
         Limits(consecutive_errors=2),
@@ -121,6 +132,32 @@ def test_audit_runs_across_chunks(spark, width):
     ]
 
 
+def test_audit_asks_every_reader_for_its_end(spark):
+    logs = {("a", 0): "oo.", ("a", 1): "ee", ("b", 0): "oe.", ("b", 1): "eo."}
+    data = [(*whose, i, mark) for whose, log in logs.items() for i, mark in enumerate(log)]
+    log = spark.createDataFrame(data, "p string, r int, seq long, mark string")
+    audited = audit_requests(
+        log, "p", "seq", F.col("mark") == "o", F.col("mark") == ".", F.col("seq"), Limits(consecutive_errors=2), reader="r"
+    )
+    assert rows(audited) == [("a", 2, 4, 2, 2, "consecutive errors exceeded"), ("b", 2, 4, 2, 1, "success")]
+
+
+def test_an_empty_extraction_empties_its_parameter(spark, tmp_path):
+    folder = str(tmp_path / "landing")
+    schema = "id long, name string, param string"
+    land_json(spark.createDataFrame([(1, "x", "p/1"), (2, "y", "q")], schema), folder)
+    land_json(spark.createDataFrame([(3, "z", "q")], schema), folder, params=["p/1", "q", "never"])
+    assert rows(read_landed(spark, folder, RECORD)) == [(3, "z", "q")]
+
+
+def test_broken_records_can_be_set_aside(spark, tmp_path):
+    (tmp_path / "in.json").write_text('{"id": 1, "name": "a"}\n{"id": oops\n{"id": 2, "name": "b"}\n')
+    kept = set_aside_corrupt(spark, str(tmp_path / "in.json"), RECORD, str(tmp_path / "aside"))
+    assert rows(kept) == [(1, "a"), (2, "b")]
+    aside = [r.value for r in spark.read.text(str(tmp_path / "aside")).collect()]
+    assert len(aside) == 1 and "oops" in aside[0]
+
+
 def test_landing_replaces_only_its_parameters(spark, tmp_path):
     folder = str(tmp_path / "landing")
     land_json(spark.createDataFrame([(1, "x", "p"), (2, "y", "q")], "id long, name string, param string"), folder)

@@ -5,17 +5,21 @@ from conftest import rows
 
 from pyspark.sql import functions as F
 
-from starload.operators.joins import hot_keys, lookup_join, size_in_bytes
+from starload.functions.columns import money_sum
+from starload.operators.normalize import normalize
 from starload.operators.quality import key_violations, max_lengths, null_counts, orphans, rejected_dates, too_long
 from starload.plans.constraints import FOREIGN_KEYS, PRIMARY_KEYS, check_tables
 from starload.plans.dimensions import BY_TABLE, DIMENSIONS, load_dimension, members
 from starload.plans.facts import BRIDGES, bridge_fact, funding_fact, project_fact, unique_funding
-from starload.plans.warehouse import Warehouse, load_staging, run_by_date, run_by_state
+from starload.plans.snapshots import complete_versions
+from starload.plans.warehouse import Warehouse, load_report, load_staging, run_by_date, run_by_state
 from starload.sources.landing import land_json
+from starload.session import adaptive
 from starload.streaming.landing import append_landed
 from starload.schemas import EXECUTION_TABLE, MAX_LENGTHS, PARENT_TABLE, PROJECT_LANDING
 
 EIXO, UF, FUNDING = BY_TABLE["dim_eixo"], BY_TABLE["dim_uf"], BY_TABLE["dim_fonte_recurso"]
+PROJECT = BY_TABLE["dim_projeto_investimento"]
 TODAY = dt.date(2024, 3, 10)
 
 
@@ -165,31 +169,78 @@ def test_count_text(spark, tmp_path):
     assert tables["fact_projeto_investimento"].first().qtd_empregos_gerados is None
 
 
-def test_hot_keys_join_apart(spark):
-    many = spark.range(4000).select(F.when(F.col("id") < 1500, 7).otherwise(F.col("id")).cast("int").alias("k"), "id")
-    many = many.withColumn("k", F.when(F.col("id") != 3999, F.col("k")))
-    table = spark.range(3000).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
-    assert hot_keys(many, "k") == [7]
-    for how in ("inner", "left", "left_anti", "left_semi"):
-        split = lookup_join(many, table, "k", how, hot=[7])
-        assert rows(split) == rows(many.join(table, "k", how))
-    assert size_in_bytes(many) > 0
-    with pytest.raises(ValueError):
-        lookup_join(many, table, "k", "full")
-
-
-def test_facts_with_hot_keys_equal_plain_facts(spark, tmp_path):
-    records = [project(k, fontesDeRecurso=[{"origem": "Federal", "valorInvestimentoPrevisto": float(i)}])
-               for i, k in enumerate("ABCD")]
-    warehouse, tables = built(spark, tmp_path, *records)
-    searched = warehouse.load_facts(tables, split_bytes=-1)
-    assert all(rows(searched[name]) == rows(tables[name]) for name in searched)
-    warehouse.prune(list(searched), keep=1)
-    tables = {**tables, **searched}
-    plain, split = funding_fact(tables), funding_fact(tables, ["A"], ["FEDERAL"])
-    assert rows(plain) == rows(split) and plain.count() == 4
-    assert rows(bridge_fact(BRIDGES[0], tables)) == rows(bridge_fact(BRIDGES[0], tables, ["A"], ["1"]))
-    assert rows(project_fact(searched | tables)) == rows(searched["fact_projeto_investimento"])
+def test_a_key_with_a_third_of_the_rows_is_split(spark):
+    """The plan of a fact splits the hot key's partition, whatever the session was set to before."""
+    size, threshold = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.autoBroadcastJoinThreshold"
+    skewed = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+    before = {key: spark.conf.get(key) for key in (size, threshold, skewed, "spark.sql.shuffle.partitions")}
+    try:
+        for key, value in ((size, "16k"), (threshold, "-1"), (skewed, "32k"), ("spark.sql.shuffle.partitions", "64")):
+            spark.conf.set(key, value)
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")
+        adaptive(spark)
+        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("string")
+        funding = spark.range(0, 60_000, 1, 8).select(
+            key.alias("idunico"), F.when(F.col("id") >= 0, "a").alias("origem"), F.col("id").cast("double").alias("valorinvestimentoprevisto")
+        )
+        parents = spark.range(60_000).select(F.col("id").cast("string").alias("idunico"))
+        projects = parents.select(F.col("idunico").cast("int").alias(PROJECT.sk), F.col("idunico").alias(PROJECT.nk))
+        sources = spark.createDataFrame([(1, "A")], f"{FUNDING.sk} int, {FUNDING.nk} string")
+        fact = funding_fact(
+            {PARENT_TABLE: parents, f"{PARENT_TABLE}_fontes_de_recurso": funding, PROJECT.table: projects, FUNDING.table: sources}
+        )
+        assert len(fact.collect()) == 60_000
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and "NestedLoop" not in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_reload_by_state_leaves_other_periods_alone(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"), grain="year")
+    records = [project("A", day="2022-01-01"), project("B", day="2023-01-01", uf="SC"), project("C", day="2023-02-02")]
+    warehouse.replace_all(load_staging(nested(spark, *records), f"{warehouse.root}/first"))
+    axes = tmp_path / "dw" / f"{PARENT_TABLE}_eixos" / "v=1"
+    files = {p.name: p.stat().st_mtime_ns for p in (axes / "periodo=2022").iterdir()}
+    after = run_by_state(warehouse, nested(spark, project("D", day="2024-01-01", uf="SC")), ["SC"])
+    assert rows(after[PARENT_TABLE], "idunico") == [("A",), ("C",), ("D",)]
+    assert rows(after[f"{PARENT_TABLE}_eixos"], "idunico") == [("A",), ("C",), ("D",)]
+    assert {p.name: p.stat().st_mtime_ns for p in (axes / "periodo=2022").iterdir()} == files
+    assert not (tmp_path / "dw" / "run").exists()
+
+
+def test_a_repeated_run_writes_nothing_new(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    records = nested(spark, project("A"), project("B", geometrias=[{"datum": "d"}], day="not a date"))
+    runs = [run_by_date(warehouse, records, execution(spark, ("A", 5.5)), TODAY, 7) for _ in range(3)]
+    assert runs[-1][f"{PARENT_TABLE}_geometria"].count() == 2
+    for name in ("dim_eixo", "fact_projeto_investimento", "fact_projeto_investimento_eixos"):
+        assert complete_versions(spark, warehouse.place(name)) == [1]
+    assert not (tmp_path / "dw" / "run").exists()
+    run_by_date(warehouse, nested(spark, project("A", qdtEmpregosGerados="13")), execution(spark, ("A", 5.5)), TODAY, 7)
+    assert complete_versions(spark, warehouse.place("fact_projeto_investimento")) == [1, 2]
+    assert complete_versions(spark, warehouse.place("dim_eixo")) == [1]
+
+
+def test_load_report_counts_what_is_left_out(spark):
+    records = nested(spark, project("A", dataSituacao="2024-13-01", uf=None), project("B"))
+    report = {(r.check, r.name): r.rows for r in load_report(records, normalize(records)).collect()}
+    assert report["no date", "dataSituacao"] == 1 and report["no natural key", "dim_uf"] == 1
+    assert sum(report.values()) == 2 and len(report) == 18
+
+
+def test_money_counts_to_a_millionth(spark):
+    rows_of = spark.createDataFrame([(0.004,), (0.004,), (0.004,), (2e16,)], "v double")
+    assert rows_of.filter("v < 1").agg(money_sum(F.col("v"))).first()[0] == 0.012
+    assert rows_of.filter("v > 1").agg(money_sum(F.col("v"))).first()[0] == 2e16
+
+
+def test_stream_refuses_broken_records(spark, tmp_path):
+    (tmp_path / "landing" / "param=x").mkdir(parents=True)
+    (tmp_path / "landing" / "param=x" / "a.json").write_text('{"idUnico": oops\n')
+    with pytest.raises(Exception, match="corrupt landing record"):
+        append_landed(spark, Warehouse(spark, str(tmp_path / "dw")), str(tmp_path / "landing"), str(tmp_path / "c"))
 
 
 def test_checks(spark):
