@@ -4,12 +4,12 @@ A byte goes if a string of ``LENGTH`` bytes covers it that also starts anywhere
 
 1. Anchors. In every stretch of ``LENGTH`` bytes the block of ``BLOCK`` bytes with the least hash is an anchor, so equal
    stretches hold the same anchor at the same place. Only anchors whose block occurs twice can lie in a repeat.
-2. Contexts. All stretches around an anchor lie in its context, ``LENGTH`` bytes to the right and ``LENGTH - BLOCK``
-   to the left. A context that occurs twice is covered as a whole. Where an anchor has several contexts, one
-   copy of each goes to the shard of its block.
+2. Contexts. The stretches whose anchor is the same make up its context. A context that occurs twice is covered as
+   a whole. Where an anchor has several contexts, one copy of each goes to the shard of its block.
 3. Shards. Each builds a suffix array of its contexts by Larsson-Sadakane refinement and their common prefixes by
    Kasai's relation; neighbours that share ``LENGTH`` bytes are repeats. A block with very many contexts is cut over
-   several shards, and the sorted distinct stretches of those are merged by their digests.
+   several shards. What these leave open is merged by digests, which each shuffle sorts into ranges: first of what
+   ``STEP`` neighbouring stretches have in common, and where that meets, of the stretches.
 4. The covered spans go back to the texts by their digest.
 """
 
@@ -29,9 +29,9 @@ from starload.llm.common import prepared, stored, text_bytes
 from starload.llm.wordhash import grouped, mixed
 
 LENGTH, BLOCK = 400, 128
-LEFT = LENGTH - BLOCK
 #: A shard's suffix array spans about so many bytes; a block with more contexts than PIECE is cut.
 SHARD_BYTES, PIECE = 1 << 19, 2048
+STEP = 8
 
 _RNG = np.random.default_rng(20240711)
 BYTES = _RNG.integers(1, 1 << 63, 256, np.uint64)
@@ -49,10 +49,10 @@ def block_hashes(data: np.ndarray) -> np.ndarray:
     return mixed(h)
 
 
-def anchors(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, block hashes and text numbers of the anchors of the texts between ``cuts``."""
+def anchors(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the texts between ``cuts``: each anchor's place, block hash, text, and the first and last stretch it stands for."""
     if len(data) < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
+        return tuple(np.empty(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64, np.int64))
     hashes = block_hashes(data)
     mask = (np.uint64(1) << PLACE_BITS) - np.uint64(1)
     # of equal hashes the last place wins
@@ -67,27 +67,33 @@ def anchors(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     long = ends > starts
     inside[starts[long]] += 1
     inside[ends[long]] -= 1
-    chosen = (mask - (least[np.cumsum(inside)[: len(least)] > 0] & mask)).astype(np.int64)
-    if not len(chosen):
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
-    places = chosen[np.flatnonzero(np.diff(chosen, prepend=-1))]
-    return places, hashes[places], np.searchsorted(cuts, places, "right") - 1
+    stretches = np.flatnonzero(np.cumsum(inside)[: len(least)] > 0)
+    chosen = (mask - (least[stretches] & mask)).astype(np.int64)
+    # the stretches of an anchor follow each other
+    fresh = np.flatnonzero(np.diff(chosen, prepend=-1))
+    last = np.append(fresh[1:], len(chosen)) - 1
+    places = chosen[fresh]
+    return places, hashes[places], np.searchsorted(cuts, places, "right") - 1, stretches[fresh], stretches[last]
+
+
+ANCHORS = "th binary, pos long, kh long, ctx long, lead int, tail int"
 
 
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(th, pos, kh, ctx) of every anchor of rows (th, text)."""
+    """Anchors of rows (th, text); the context goes from ``lead`` bytes before the anchor to ``tail`` bytes after its place."""
     digest = xxhash.xxh64_intdigest
     for batch in batches:
         for a, _, data, cuts in grouped(batch.column(1)):
-            places, hashes, texts = anchors(data, cuts)
+            places, hashes, texts, first, last = anchors(data, cuts)
             if not len(places):
                 continue
             raw = data.tobytes()
-            lo, hi = np.maximum(places - LEFT, cuts[texts]), np.minimum(places + LENGTH, cuts[texts + 1])
-            context = np.fromiter((digest(raw[x:y], z) for x, y, z in zip(lo.tolist(), hi.tolist(), (places - lo).tolist())), np.uint64, len(places))
+            lead, ends = places - first, last + LENGTH
+            context = np.fromiter((digest(raw[x:y], z) for x, y, z in zip(first.tolist(), ends.tolist(), lead.tolist())), np.uint64, len(places))
             columns = [batch.column(0).take(pa.array(a + texts)), pa.array(places - cuts[texts])]
             columns += [pa.array(hashes.view(np.int64)), pa.array(context.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["th", "pos", "kh", "ctx"])
+            columns += [pa.array(lead.astype(np.int32)), pa.array((ends - places).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in ANCHORS.split(", ")])
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,8 +102,8 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         out: list[list] = [[] for _ in range(8)]
         for th, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
             for w in wanted:
-                lo = max(0, w["pos"] - LEFT)
-                row = (w["kh"], w["ctx"], w["n"], w["piece"], th, lo, w["pos"] - lo, text[lo : w["pos"] + LENGTH])
+                lo = w["pos"] - w["lead"]
+                row = (w["kh"], w["ctx"], w["n"], w["piece"], th, lo, w["lead"], text[lo : w["pos"] + w["tail"]])
                 for column, value in zip(out, row):
                     column.append(value)
             if len(out[0]) > 2000:
@@ -129,36 +135,40 @@ def _keys(text: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes in order. Each round sorts only groups not yet apart, by the rank of what follows."""
+    """Starts of the suffixes in order.
+
+    Each round sorts only groups not yet apart, by the ranks of what follows: of the next two parts as long as the
+    one sorted so far, or of one if the text is too long for three ranks in a number.
+    """
     size = len(text)
     key = _keys(text)
     order = np.argsort(key)
     fresh = np.ones(size, bool)
     fresh[1:] = key[order[1:]] != key[order[:-1]]
     slots = np.arange(size)
-    heads = slots[fresh]
-    rank = np.empty(size, np.int64)
-    rank[order] = heads[np.cumsum(fresh) - 1]
-    depth = SYMBOLS
+    rank = np.zeros(size + 1, np.int64)  # the last stands for what is beyond the end
+    rank[order] = slots[fresh][np.cumsum(fresh) - 1] + 1
+    depth, ahead = SYMBOLS, 2 if size < 1 << 20 else 1
+    bits = np.int64(size + 1).item().bit_length()
     while True:
         # a slot is settled if it begins a group and the next slot does too
         alone = fresh.copy()
         alone[:-1] &= fresh[1:]
-        open_slots = slots[~alone]
+        open_slots = np.flatnonzero(~alone)
         if not len(open_slots):
             return order
         starts = order[open_slots]
-        follow = starts + depth
-        second = np.where(follow < size, rank[np.minimum(follow, size - 1)] + 1, 0)
-        both = rank[starts] * (size + 1) + second
+        both = rank[starts]
+        for k in range(1, ahead + 1):
+            both = (both << bits) | rank[np.minimum(starts + k * depth, size)]
         by = np.argsort(both)
         starts, both = starts[by], both[by]
         order[open_slots] = starts
         new = np.ones(len(both), bool)
         new[1:] = both[1:] != both[:-1]
         fresh[open_slots] = new
-        rank[starts] = open_slots[new][np.cumsum(new) - 1]
-        depth *= 2
+        rank[starts] = open_slots[new][np.cumsum(new) - 1] + 1
+        depth *= ahead + 1
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -198,8 +208,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     return by_place[order]
 
 
-def repeated_starts(parts: list[bytes], left: np.ndarray, owner: np.ndarray, start: np.ndarray, often: np.ndarray):
-    """Which stretches of LENGTH bytes over the parts' anchors are repeats.
+def repeated_starts(parts: list[bytes], owner: np.ndarray, start: np.ndarray, often: np.ndarray):
+    """Which stretches of LENGTH bytes of the parts are repeats.
 
     Returns part numbers and offsets of all such stretches, whether each is a repeat, and whether it is the first of its kind.
     ``owner`` and ``start`` say where a part lies, so that a stretch that two parts share is not its own repeat;
@@ -212,7 +222,7 @@ def repeated_starts(parts: list[bytes], left: np.ndarray, owner: np.ndarray, sta
     group = np.cumsum(common_prefixes(text, order) < LENGTH)
     part = np.searchsorted(begin, order, "right") - 1
     offset = order - begin[part]
-    valid = (offset + LENGTH <= sizes[part]) & (offset <= left[part])
+    valid = offset + LENGTH <= sizes[part]
     part, offset, group = part[valid], offset[valid], group[valid]
     if not len(part):
         return part, offset, np.empty(0, bool), np.empty(0, bool)
@@ -228,18 +238,31 @@ def repeated_starts(parts: list[bytes], left: np.ndarray, owner: np.ndarray, sta
 COVERED = "kh long, ctx long, lo long, hi long, digest binary, place long, often boolean"
 
 
+def _covered_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64(), pa.bool_()]
+    names = [x.split()[0] for x in COVERED.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+
+
+def _loose(row: dict, text: bytes, lo: int, hi: int, often: bool) -> tuple:
+    """A row for the bytes that the stretches from offset ``lo`` to ``hi`` of a context have in common."""
+    digest = hashlib.md5(text[hi : lo + LENGTH], usedforsecurity=False).digest()
+    place = xxhash.xxh64_intdigest(row["th"], int(row["start"]) + hi) - (1 << 63)
+    return row["kh"], row["ctx"], lo - row["left"], hi - row["left"] + LENGTH, digest, place, often
+
+
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Covered spans (kh, ctx, lo, hi) relative to the anchor of contexts sorted by (kh, piece).
 
-    For blocks cut over several shards, rows with a digest: the distinct stretches and those not yet found repeated.
+    Contexts of blocks cut over several shards also give rows with a digest: for STEP neighbouring stretches what
+    they have in common, where one of them is the first of its kind or not yet found repeated.
     """
 
-    def settled(rows: list[tuple]) -> pa.RecordBatch:
-        kh, ctx, n, piece, th, start, left, parts = zip(*rows)
-        owners = {t: k for k, t in enumerate(dict.fromkeys(th))}
-        owner, start = np.array([owners[t] for t in th]), np.array(start)
-        left, often = np.array(left), np.array(n) > 1
-        part, offset, repeat, first = repeated_starts(list(parts), left, owner, start, often)
+    def settled(rows: list[dict]) -> pa.RecordBatch:
+        owners = {t: k for k, t in enumerate(dict.fromkeys(r["th"] for r in rows))}
+        owner, start, left = (np.array([f(r) for r in rows]) for f in (lambda r: owners[r["th"]], lambda r: r["start"], lambda r: r["left"]))
+        often, shared = np.array([r["n"] > 1 for r in rows]), np.array([r["piece"] >= 0 for r in rows])
+        part, offset, repeat, first = repeated_starts([r["bytes"] for r in rows], owner, start, often)
         out: list[tuple] = []
         by = np.lexsort((offset[repeat], part[repeat]))
         p, o = part[repeat][by], offset[repeat][by]
@@ -248,54 +271,72 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(p)]):
                 k = int(p[a])
                 if not often[k]:
-                    out.append((kh[k], ctx[k], int(o[a] - left[k]), int(o[b - 1] + LENGTH - left[k]), None, None, None))
-        shared = np.array(piece) >= 0
-        for k in np.flatnonzero(shared[part] & (first | ~repeat)).tolist():
-            c, at = int(part[k]), int(offset[k])
-            digest = hashlib.md5(parts[c][at : at + LENGTH], usedforsecurity=False).digest()
-            place = xxhash.xxh64_intdigest(th[c], int(start[c]) + at) - (1 << 63)
-            out.append((kh[c], ctx[c], at - int(left[c]), at - int(left[c]) + LENGTH, digest, place, bool(repeat[k] or often[c])))
-        kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64(), pa.bool_()]
-        names = [x.split()[0] for x in COVERED.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=names)
-
-    held: list[tuple] = []
+                    row = rows[k]
+                    out.append((row["kh"], row["ctx"], int(o[a] - left[k]), int(o[b - 1] + LENGTH - left[k]), None, None, None))
+        open_ = shared[part] & (first | ~repeat)
+        steps = np.unique(np.stack((part[open_], offset[open_] // STEP)), axis=1) if open_.any() else np.empty((2, 0), int)
+        for k, step in zip(*steps.tolist()):
+            hi = min(step * STEP + STEP - 1, len(rows[k]["bytes"]) - LENGTH)
+            out.append(_loose(rows[k], rows[k]["bytes"], step * STEP, hi, bool(often[k])))
+        return _covered_batch(out)
+
+    held: list[dict] = []
     size, last = 0, None
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if row[:1] + row[3:4] != last and size >= SHARD_BYTES:
+        for row in batch.to_pylist():
+            own = row["kh"], row["piece"]
+            if own != last and size >= SHARD_BYTES:
                 yield settled(held)
                 held, size = [], 0
-            last = row[:1] + row[3:4]
+            last = own
             held.append(row)
-            size += len(row[7])
+            size += len(row["bytes"])
     if held:
         yield settled(held)
 
 
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the digest of each stretch from ``lo`` to ``hi`` (relative to the anchor) of a context."""
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            first, last = row["lo"] + row["left"], row["hi"] + row["left"] - LENGTH
+            out += [_loose(row, row["bytes"], at, at, row["n"] > 1) for at in range(first, last + 1)]
+        yield _covered_batch(out)
+
+
+def _met(loose: DataFrame) -> DataFrame:
+    """The rows whose digest occurs at two places."""
+    shared = loose.groupBy("digest").agg(F.min("place").alias("a"), F.max("place").alias("b"), F.max("often").alias("o"))
+    return loose.join(shared.filter("a <> b OR o").select("digest"), "digest")
+
+
 def covered_spans(docs: DataFrame, piece: int = PIECE) -> DataFrame:
-    """(th, spans): for each text with repeats, by its MD5, the covered spans (lo, hi), which may overlap or pass the end."""
+    """(th, spans): for each text with repeats, by its MD5, the covered spans (lo, hi), which may overlap."""
     texts = docs.select(_digest().alias("th"), text_bytes().alias("text"))
-    found = stored(texts.filter(F.octet_length("text") >= LENGTH).mapInArrow(_find_anchors, "th binary, pos long, kh long, ctx long"), "anchors")
+    found = stored(texts.filter(F.octet_length("text") >= LENGTH).mapInArrow(_find_anchors, ANCHORS), "anchors")
     twice = found.groupBy("kh").count().filter("count > 1")
     found = stored(found.filter(may_hold(bitmap(twice, "kh"), "kh")), "anchors")
-    contexts = found.groupBy("kh", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("th", "pos")).alias("at"))
+    contexts = found.groupBy("kh", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("th", "pos", "lead", "tail")).alias("at"))
     contexts = stored(contexts.select("kh", "ctx", "n", "at.*"), "contexts")
     many = contexts.groupBy("kh").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     cut = F.ceil(F.col("kinds") / piece)
     number = F.when(cut > 1, F.pmod(F.xxhash64("ctx"), cut)).otherwise(-1).cast("int").alias("piece")
-    wanted = contexts.join(many, "kh").select("th", F.struct("pos", "kh", "ctx", "n", number).alias("w"))
+    wanted = contexts.join(many, "kh").select("th", F.struct("pos", "lead", "tail", "kh", "ctx", "n", number).alias("w"))
     wanted = stored(wanted.groupBy("th").agg(F.collect_list("w").alias("wanted")), "wanted")  # as many as a text has anchors
     holders = texts.filter(may_hold(bitmap(wanted.select(F.xxhash64("th").alias("h"))), F.xxhash64("th")))
     holders = holders.groupBy("th").agg(F.any_value("text").alias("text"))
-    pieces = holders.join(wanted, "th").select("th", "text", "wanted").mapInArrow(_cut_contexts, CONTEXTS)
-    spans = stored(pieces.repartition("kh", "piece").sortWithinPartitions("kh", "piece").mapInArrow(_shards, COVERED), "spans")
+    cut_out = stored(holders.join(wanted, "th").select("th", "text", "wanted").mapInArrow(_cut_contexts, CONTEXTS), "cut")
+    spans = stored(cut_out.repartition("kh", "piece").sortWithinPartitions("kh", "piece").mapInArrow(_shards, COVERED), "spans")
     within = spans.filter("digest IS NULL").select("kh", "ctx", "lo", "hi")
-    loose = spans.filter("digest IS NOT NULL")
-    shared = loose.groupBy("digest").agg(F.min("place").alias("a"), F.max("place").alias("b"), F.max("often").alias("often"))
-    across = loose.join(shared.filter("a <> b OR often").select("digest"), "digest").select("kh", "ctx", "lo", "hi")
-    whole = contexts.filter("n > 1").select("kh", "ctx", F.lit(-LEFT).cast("long").alias("lo"), F.lit(LENGTH).cast("long").alias("hi"))
+    # what several shards of a block hold in common, and then the stretches there
+    near = _met(spans.filter("digest IS NOT NULL")).select("kh", "ctx", "lo", "hi")
+    loose = cut_out.filter("piece >= 0").join(near, ["kh", "ctx"]).mapInArrow(_stretches, COVERED)
+    across = _met(stored(loose, "stretches")).select("kh", "ctx", "lo", "hi")
+    whole = contexts.filter("n > 1").select("kh", "ctx", (-F.col("lead")).cast("long").alias("lo"), F.col("tail").cast("long").alias("hi"))
     known = within.union(across).union(whole).groupBy("kh", "ctx").agg(F.collect_list(F.struct("lo", "hi")).alias("s"))
+    # written, so that the join below can be split where many texts share a context
+    known = stored(known, "known")
     there = found.select("th", "pos", "kh", "ctx").distinct().join(known, ["kh", "ctx"])
     placed = F.transform("s", lambda s: F.struct((F.col("pos") + s["lo"]).alias("lo"), (F.col("pos") + s["hi"]).alias("hi")))
     return there.groupBy("th").agg(F.flatten(F.collect_list(placed)).alias("spans"))
