@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.llm.common import packed, prepared, text_bytes, unpacked
+from starload.llm.common import packed, prepared, stored, text_bytes, unpacked
 
 #: The sums of one draw are exact in doubles up to this mean; a greater one is the sum of several draws.
 MOST_RATE = 500.0
+SENT_SOURCES = 5_000
 
 
 def uniform(seed: int, *key: Column) -> Column:
@@ -77,7 +78,10 @@ def drawn(
     rates = source_rates(docs.select("source"), weights, default, factor)
     draws = F.greatest(F.ceil(F.col("rate") / MOST_RATE), F.lit(1)).cast("int")
     rates = rates.select(F.col("source").alias("of"), F.col("rate").alias("source_rate"), draws.alias("draws"))
-    rates = rates.withColumn("terms", _terms(F.col("source_rate") / F.col("draws")))
+    rates = stored(rates.withColumn("terms", _terms(F.col("source_rate") / F.col("draws"))), "rates")
+    if rates.count() <= SENT_SOURCES:
+        # so few sources, each with less than a thousand numbers, go to every task; more of them are joined by a shuffle
+        rates = F.broadcast(rates)
     rows = packed(docs, "doc_id", "source", F.crc32(text_bytes()).alias("crc"))
     rows = rows.join(rates, F.col("source").eqNullSafe(F.col("of")))
     key = (F.col("doc_id"), F.col("crc"))
