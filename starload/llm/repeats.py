@@ -30,7 +30,7 @@ from starload.llm.wordhash import grouped, mixed
 
 LENGTH, BLOCK = 400, 128
 #: A shard's suffix array spans about so many bytes; a block with more contexts than PIECE is cut.
-SHARD_BYTES, PIECE = 1 << 19, 2048
+SHARD_BYTES, PIECE = 1 << 18, 1024
 STEP = 8
 
 _RNG = np.random.default_rng(20240711)
@@ -319,7 +319,8 @@ def covered_spans(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     found = stored(found.filter(may_hold(bitmap(twice, "kh"), "kh")), "anchors")
     contexts = found.groupBy("kh", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("th", "pos", "lead", "tail")).alias("at"))
     contexts = stored(contexts.select("kh", "ctx", "n", "at.*"), "contexts")
-    many = contexts.groupBy("kh").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    # written, so that the join with it can be split where a block has very many contexts
+    many = stored(contexts.groupBy("kh").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "many")
     cut = F.ceil(F.col("kinds") / piece)
     number = F.when(cut > 1, F.pmod(F.xxhash64("ctx"), cut)).otherwise(-1).cast("int").alias("piece")
     wanted = contexts.join(many, "kh").select("th", F.struct("pos", "lead", "tail", "kh", "ctx", "n", number).alias("w"))
