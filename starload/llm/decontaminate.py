@@ -1,30 +1,28 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
-
-1. Every n-gram of the benchmark is counted in the corpus. An item's seeds are those in few documents, and
-   its rarest ones however frequent they are, so no item is without seeds.
-2. A second pass over the texts emits the passages around seeds. Both passes look n-grams up in a Bloom bitmap
-   of fixed size (4 MB), whatever the size of the benchmark; what it lets through by mistake falls out of the join.
-3. Passages join items on seeds, equal passages once. Each pair is aligned word by word, which also scores
-   copies with words changed, added or left out.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
+
+1. Every n-gram of an item is a seed, however frequent it is: which of them an edited or partial copy keeps is not known
+   before, so none is left out.
+2. One pass over the texts emits the passages around seeds. It looks n-grams up in a Bloom bitmap of fixed size (4 MB),
+   whatever the size of the benchmark; what it lets through by mistake falls out of the join.
+3. Passages join items on seeds, equal passages once. A pair is aligned word by word, which also scores copies with words
+   changed, added or left out, unless the item has too few words in the passage to reach the score at all.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from starload.llm.bloom import bitmap, known
 from starload.llm.common import packed, prepared, stored, text_bytes, unpacked
 from starload.llm.wordhash import grouped, ngrams, word_hashes
 
 N = 3
-#: A seed is rare in so small a share of the documents; an item's least frequent ones are seeds in any case.
-RARE_SHARE, RAREST = 1e-4, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: A passage is a copy from this share of the item's best possible score; shorter items must match whole.
 RATIO, SHORT = 0.5, 8
@@ -54,44 +52,10 @@ def item_ngrams(items: DataFrame, n: int = N) -> DataFrame:
     return items.select(F.col("item_id").cast("long"), lower_bytes()).mapInArrow(cut, "item_id long, words binary, hashes array<long>")
 
 
-def _frequencies(docs: DataFrame, bits: np.ndarray, n: int) -> DataFrame:
-    """(h, df): documents that hold each n-gram of the bitmap; each task adds up what it has read first."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def added() -> tuple[np.ndarray, np.ndarray]:
-            h, back = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-            return h, np.bincount(back, np.concatenate([x for _, x in held]), len(h)).astype(np.int64)
-
-        for batch in batches:
-            for _, _, data, cuts in grouped(batch.column(0)):
-                words, texts = word_hashes(data, cuts)
-                h, at = ngrams(words, texts, n)
-                hit = known(h, bits)
-                if hit.any():
-                    once = np.unique(np.rec.fromarrays([h[hit], texts[at[hit]]], names="h,t"))
-                    held.append((once.h, np.ones(len(once))))
-            if len(held) > 50:
-                held = [added()]
-        if held:
-            h, df = added()
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(df)], names=["h", "df"])
-
-    return docs.select(lower_bytes()).mapInArrow(counted, "h long, df long").groupBy("h").agg(F.sum("df").alias("df"))
-
-
-def rare_seeds(ngrams_of: DataFrame, frequencies: DataFrame, documents: int) -> DataFrame:
-    """(item_id, h): of each item's n-grams those in few documents, and its ``RAREST`` in any case."""
-    found = ngrams_of.join(frequencies, "h", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    rank = F.row_number().over(W.partitionBy("item_id").orderBy("df", "h"))
-    return found.withColumn("_rank", rank).filter((F.col("df") <= max(1.0, RARE_SHARE * documents)) | (F.col("_rank") <= RAREST)).select("item_id", "h")
-
-
 def _passages(docs: DataFrame, bits: np.ndarray, reach: int, n: int) -> DataFrame:
     """(doc_id, text_key, text_size, start, passage, words, hashes): stretches of words around seeds.
 
-    A stretch goes ``reach`` words, the length of the longest item, beyond its seeds, so that it holds any copy.
+    A stretch goes ``reach`` words, the most that a copy can be long, beyond its seeds, so that it holds any copy.
     """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,16 +110,35 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out: list[tuple[int, int, int, int]] = []
-        for item, words in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            item, words = np.frombuffer(item, np.uint64), np.frombuffer(words, np.uint64)
-            score, end = align(item, words)
-            _, back = align(item[::-1], words[:end][::-1])
-            out.append((score, len(item), end - back, end))
-        columns = [batch.column(0), batch.column(1), *(pa.array([x[k] for x in out], pa.int64()) for k in range(4))]
-        yield pa.RecordBatch.from_arrays(columns, names=["passage", "item_id", "score", "item_words", "from", "to"])
+def _least(item_words: int, ratio: float) -> float:
+    """The share of its best score that a copy of an item has to reach."""
+    return 1.0 if item_words < SHORT else ratio
+
+
+def _aligned(ratio: float):
+    """Scores of rows (passage, item_id, item, words) that can reach the item's least one."""
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[int] = []
+            out: list[tuple[int, int, int, int]] = []
+            for k, (item, words) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                item, words = np.frombuffer(item, np.uint64), np.frombuffer(words, np.uint64)
+                # no score exceeds that of all the item's words that the passage holds, each matched
+                if np.isin(item, words).sum() / len(item) < _least(len(item), ratio):
+                    continue
+                score, end = align(item, words)
+                if score / (MATCH * len(item)) < _least(len(item), ratio):
+                    continue
+                _, back = align(item[::-1], words[:end][::-1])
+                rows.append(k)
+                out.append((score, len(item), end - back, end))
+            if rows:
+                at = pa.array(rows)
+                columns = [batch.column(0).take(at), batch.column(1).take(at), *(pa.array([x[k] for x in out], pa.int64()) for k in range(4))]
+                yield pa.RecordBatch.from_arrays(columns, names=["passage", "item_id", "score", "item_words", "from", "to"])
+
+    return scored
 
 
 def leaks(docs: DataFrame, items: DataFrame, n: int = N, ratio: float = RATIO) -> DataFrame:
@@ -163,27 +146,26 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = N, ratio: float = RATIO) -
 
     ``docs`` has doc_id and text, ``items`` item_id and text. The best passage of each pair is returned if its
     score reaches ``ratio`` of the item's best possible one; items of fewer than eight words must match whole,
-    and those of fewer than n words cannot be found. Null texts count as empty ones. Words are compared without case and
+    and those of fewer than n words cannot be found, nor copies that keep no n words of the item in a row. Null texts count as empty ones. Words are compared without case and
     punctuation, start_word and end_word count from 0, the end is exclusive. Rows that repeat an id and a text give
     one result; without documents or items there is none.
     """
     prepared(docs.sparkSession)
     known_items = stored(item_ngrams(items, n), "items")
-    exploded = known_items.select("item_id", F.explode(F.array_distinct("hashes")).alias("h")).distinct()
-    all_bits = bitmap(exploded)
-    size = docs.agg(F.count("*")).first()[0]
-    seeds = stored(rare_seeds(exploded, _frequencies(docs, all_bits, n), size), "seeds")
-    reach = (known_items.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
+    seeds = known_items.select("item_id", F.explode(F.array_distinct("hashes")).alias("h")).distinct()
+    seeds = stored(seeds, "seeds")
+    longest = (known_items.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
+    # each word added costs a gap, so a copy of m words' matches has at most 2 (m - ratio * words) added ones
+    reach = longest + math.ceil(2 * max(0.0, 1 - ratio) * longest)
     passages = stored(_passages(docs, bitmap(seeds), reach, n), "passages")
     once = passages.groupBy("passage").agg(F.any_value("words").alias("words"), F.any_value("hashes").alias("hashes"))
     pairs = once.select("passage", F.explode("hashes").alias("h")).join(seeds, "h").select("passage", "item_id").distinct()
     texts = known_items.filter(F.size("hashes") > 0).select("item_id", F.col("words").alias("item")).distinct()
     together = pairs.join(texts, "item_id").join(once.select("passage", "words"), "passage")
     schema = "passage string, item_id long, score long, item_words long, `from` long, `to` long"
-    scored = together.select("passage", "item_id", "item", "words").mapInArrow(_aligned, schema)
+    scored = together.select("passage", "item_id", "item", "words").mapInArrow(_aligned(float(ratio)), schema)
     scored = scored.withColumn("ratio", F.col("score") / (F.lit(MATCH) * F.col("item_words")))
-    least = F.when(F.col("item_words") < SHORT, F.lit(1.0)).otherwise(F.lit(float(ratio)))
-    found = passages.join(scored.filter(F.col("ratio") >= least), "passage")
+    found = passages.join(scored, "passage")
     best = F.max_by(F.struct("score", "ratio", (F.col("start") + F.col("from")).alias("start_word"), (F.col("start") + F.col("to")).alias("end_word")), F.struct("score", -F.col("start"))).alias("best")
     return found.groupBy("doc_id", "text_key", "text_size", "item_id").agg(best).select("doc_id", "item_id", "best.*", "text_key", "text_size")
 

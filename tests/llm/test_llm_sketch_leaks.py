@@ -109,6 +109,27 @@ def test_leaks_find_edited_copies_and_spare_clean_documents(spark):
     assert kept == {d for d, _ in docs} - {d for d, _ in expected} - {1000}
 
 
+def test_leaks_that_miss_the_rarest_ngrams(spark):
+    """Edited copies without the n-grams that stand nowhere else, and parts that many and few documents hold."""
+    rng = random.Random(10)
+
+    def sentence(name, n):
+        return [f"{name}{rng.randrange(10**6)}" for _ in range(n)]
+
+    items = [sentence("a", 30), sentence("b", 30)]
+    edited = [f"new{k}" if k in (6, 13, 20) else w for k, w in enumerate(items[0])]
+    parts = [items[1][:18]] * 6 + [items[1][12:]] * 2
+    docs = [(d, sentence("x", 40) + copy + sentence("y", 40)) for d, copy in enumerate([edited, edited, *parts, []])]
+    # a word added after each but the last three
+    spread = [w for k, word in enumerate(items[0]) for w in ([word] if k > 26 else [word, f"more{k}"])]
+    docs.append((20, sentence("x", 40) + spread))
+    df = spark.createDataFrame([(d, " ".join(t)) for d, t in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in leaks(df, bench).collect()}
+    assert found == {(d, i): s for d in range(2) for i, s in [(0, 27 * 2 - 3)]} | {(d, 1): 36 for d in range(2, 10)} | {(20, 0): 60 - 27}
+    assert {r.doc_id for r in without_leaks(df, bench).collect()} == {10}
+
+
 def test_leaks_awkward_rows(spark):
     df = documents(spark)
     bench = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog"), (2, None), (3, LONG[5000:6000])], "item_id long, text string").withColumn("words", df.schema and __import__("pyspark").sql.functions.lit(0))
