@@ -9,7 +9,7 @@ A byte goes if a string of ``LENGTH`` bytes covers it that also starts anywhere
 3. Shards. Each builds a suffix array of its contexts by Larsson-Sadakane refinement and their common prefixes by
    Kasai's relation; neighbours that share ``LENGTH`` bytes are repeats. A block with very many contexts is cut over
    several shards. What these leave open is merged by digests, which each shuffle sorts into ranges: first of what
-   ``STEP`` neighbouring stretches have in common, and where that meets, of the stretches.
+   ``STEP`` neighbouring stretches, counted from the anchor, have in common, and where that meets, of the stretches.
 4. The covered spans go back to the texts by their digest.
 """
 
@@ -245,17 +245,19 @@ def _covered_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _loose(row: dict, text: bytes, lo: int, hi: int, often: bool) -> tuple:
-    """A row for the bytes that the stretches from offset ``lo`` to ``hi`` of a context have in common."""
+    """A row for the bytes that the stretches from offset ``lo`` to ``hi`` have in common, of which a context may hold only some."""
     digest = hashlib.md5(text[hi : lo + LENGTH], usedforsecurity=False).digest()
     place = xxhash.xxh64_intdigest(row["th"], int(row["start"]) + hi) - (1 << 63)
-    return row["kh"], row["ctx"], lo - row["left"], hi - row["left"] + LENGTH, digest, place, often
+    first, last = max(lo, 0), min(hi, len(text) - LENGTH)
+    return row["kh"], row["ctx"], first - row["left"], last - row["left"] + LENGTH, digest, place, often
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int = SHARD_BYTES) -> Iterator[pa.RecordBatch]:
     """Covered spans (kh, ctx, lo, hi) relative to the anchor of contexts sorted by (kh, piece).
 
     Contexts of blocks cut over several shards also give rows with a digest: for STEP neighbouring stretches what
-    they have in common, where one of them is the first of its kind or not yet found repeated.
+    they have in common, where one of them is the first of its kind or not yet found repeated. Steps are counted from
+    the anchor, so equal stretches are in the same step of their contexts, wherever these begin and end.
     """
 
     def settled(rows: list[dict]) -> pa.RecordBatch:
@@ -274,10 +276,10 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     row = rows[k]
                     out.append((row["kh"], row["ctx"], int(o[a] - left[k]), int(o[b - 1] + LENGTH - left[k]), None, None, None))
         open_ = shared[part] & (first | ~repeat)
-        steps = np.unique(np.stack((part[open_], offset[open_] // STEP)), axis=1) if open_.any() else np.empty((2, 0), int)
+        steps = np.unique(np.stack((part[open_], (offset - left[part])[open_] // STEP)), axis=1) if open_.any() else np.empty((2, 0), int)
         for k, step in zip(*steps.tolist()):
-            hi = min(step * STEP + STEP - 1, len(rows[k]["bytes"]) - LENGTH)
-            out.append(_loose(rows[k], rows[k]["bytes"], step * STEP, hi, bool(often[k])))
+            lo = int(left[k]) + step * STEP
+            out.append(_loose(rows[k], rows[k]["bytes"], lo, lo + STEP - 1, bool(often[k])))
         return _covered_batch(out)
 
     held: list[dict] = []
@@ -285,7 +287,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             own = row["kh"], row["piece"]
-            if own != last and size >= SHARD_BYTES:
+            if own != last and size >= shard_bytes:
                 yield settled(held)
                 held, size = [], 0
             last = own
@@ -311,7 +313,7 @@ def _met(loose: DataFrame) -> DataFrame:
     return loose.join(shared.filter("a <> b OR o").select("digest"), "digest")
 
 
-def covered_spans(docs: DataFrame, piece: int = PIECE) -> DataFrame:
+def covered_spans(docs: DataFrame, piece: int = PIECE, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(th, spans): for each text with repeats, by its MD5, the covered spans (lo, hi), which may overlap."""
     texts = docs.select(_digest().alias("th"), text_bytes().alias("text"))
     found = stored(texts.filter(F.octet_length("text") >= LENGTH).mapInArrow(_find_anchors, ANCHORS), "anchors")
@@ -328,7 +330,8 @@ def covered_spans(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     holders = texts.filter(may_hold(bitmap(wanted.select(F.xxhash64("th").alias("h"))), F.xxhash64("th")))
     holders = holders.groupBy("th").agg(F.any_value("text").alias("text"))
     cut_out = stored(holders.join(wanted, "th").select("th", "text", "wanted").mapInArrow(_cut_contexts, CONTEXTS), "cut")
-    spans = stored(cut_out.repartition("kh", "piece").sortWithinPartitions("kh", "piece").mapInArrow(_shards, COVERED), "spans")
+    sorted_ = cut_out.repartition("kh", "piece").sortWithinPartitions("kh", "piece")
+    spans = stored(sorted_.mapInArrow(lambda batches: _shards(batches, shard_bytes), COVERED), "spans")
     within = spans.filter("digest IS NULL").select("kh", "ctx", "lo", "hi")
     # what several shards of a block hold in common, and then the stretches there
     near = _met(spans.filter("digest IS NOT NULL")).select("kh", "ctx", "lo", "hi")

@@ -60,6 +60,24 @@ def test_removal_equals_brute_force(spark, piece, monkeypatch):
     assert got == plain_removal([(i, (t or "").encode()) for i, t in rows])
 
 
+def test_pieces_settled_alone_equal_brute_force(spark, monkeypatch):
+    """Texts that share 400 bytes and little more around a line of very many contexts, which no shard holds together."""
+    rng = random.Random(11)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+
+    line, rows = noise(160), []
+    for i in range(40):
+        shared = noise(rng.randrange(110, 130)) + line + noise(rng.randrange(110, 130))
+        rows += [(2 * i + k, noise(rng.randrange(300)) + shared[: 400 + i % 5] + noise(rng.randrange(300) if i % 3 else 0)) for k in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr("starload.llm.repeats.covered_spans", lambda d: covered_spans(d, 1, 1))
+    got = sorted((tuple(r) for r in without_repeats(df).drop("kept").collect()), key=str)
+    expected = plain_removal([(i, t.encode()) for i, t in rows])
+    assert got == expected and sum(r[2] > 0 for r in expected) > 10
+
+
 def test_repeats_awkward_rows(spark):
     df = documents(spark)
     result = without_repeats(with_extras(df))
