@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import decontaminate, lm, mainpage, mixing, repeats, secrets, shards, simhash, sketch, toxicity
+from starload.llm import decontaminate, filteraudit, lm, mainpage, mixing, recipes, repeats, secrets, shards, simhash, sketch, toxicity
 from starload.llm.common import query, table
 
 
@@ -72,3 +72,61 @@ def op2_lm(spark: SparkSession, folder: str) -> DataFrame:
     held_out = (F.crc32(F.col("doc_id").cast("string")) % 10 == 0).alias("held_out")
     scored = lm.scores(table(spark, folder, "documents"), "crc32(cast(doc_id as string)) % 10 <> 0")
     return scored.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+AUDIT_SQL = r"""
+WITH marks AS (
+    SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), flags AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+        len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+        100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'),
+        coalesce(doc_id > first, false)] AS f
+    FROM (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM texts)
+    LEFT JOIN marks USING (doc_id)
+), counts AS (
+    SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM flags GROUP BY part, f
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), runs AS (
+    SELECT part, o, f, n, good, toxic, list_position(list_transform(o, lambda x: f[ascii(x) - 64]), true) AS out
+    FROM counts, orders
+), steps AS (
+    SELECT part, array_to_string(o, '') AS filter_order, s.step, o[s.step] AS x,
+        sum(n) FILTER (out IS NULL OR out > s.step) AS kept, sum(n) FILTER (out = s.step) AS removed,
+        sum(n) FILTER (out < s.step AND f[ascii(o[s.step]) - 64]) AS redundant,
+        sum(n) FILTER (f[ascii(o[s.step]) - 64] AND len(list_filter(f, lambda x: x)) = 1) AS unique_fails,
+        sum(good) FILTER (out = s.step) AS good_lost, sum(toxic) FILTER (out = s.step) AS toxic_lost
+    FROM runs, (SELECT unnest([1, 2, 3, 4, 5]) AS step) s GROUP BY part, o, s.step
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+    coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+    coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+    (sum(coalesce(removed, 0)) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM steps
+"""
+
+
+@query("op12_audit", AUDIT_SQL)
+def op12_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filteraudit.audit(filteraudit.corpus_masks(table(spark, folder, "documents"), table(spark, folder, "labels")))
+
+
+RECIPES_SQL = r"""
+WITH normal AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+    row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM normal
+"""
+
+
+@query("op13_recipes", RECIPES_SQL)
+def op13_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    return recipes.exact_groups(table(spark, folder, "documents")).drop("n_chunks")
