@@ -68,10 +68,11 @@ def corpus_masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
     own = sum((f.cast("int") * (1 << k) for k, f in enumerate(fails)), F.lit(0))
     rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("part"), own.alias("own"), F.unhex(F.sha2(text, 256)).alias("digest"))
     rows = stored(rows, "masks")
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    # only texts that occur again are looked up; stored, so that the join can split a text with very many rows
+    first = stored(rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "first-ids")
     marks = labels.filter("doc_id is not null").groupBy("doc_id")
     marks = marks.agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
-    marked = rows.join(first, "digest").join(marks, "doc_id", "left")
+    marked = rows.join(first, "digest", "left").join(marks, "doc_id", "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).cast("int")
     no = F.lit(False)
     return marked.select("part", (F.col("own") + copy * 16).alias("mask"), F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic"))
@@ -90,6 +91,7 @@ def audit(masks: DataFrame, letters: str = FILTERS) -> DataFrame:
         raise ValueError("one to six different letters in ascending order")
     one = F.count(F.lit(1))
     counts = masks.groupBy("part", "mask").agg(one.alias("n"), F.count_if("good").alias("good"), F.count_if("toxic").alias("toxic"))
+    counts = stored(counts, "mask-counts")
     values = ["n", "good", "toxic"]
 
     cells = ", ".join(f"({mask}, {step}, {start}, {end})" for mask, step, start, end in intervals(letters))
