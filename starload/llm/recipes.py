@@ -101,10 +101,14 @@ def exact_groups(docs: DataFrame, bits: int = 64) -> DataFrame:
     """
     ids = identified(recipes(docs, bits), bits)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("least")
-    groups = ids.groupBy("recipe", "variants").agg(least, F.count(F.lit(1)).alias("group_size"))
-    rows = ids.select("key", "doc_id", "text_sha256", "recipe", "variants").join(groups, ["recipe", "variants"])
-    kept = (F.col("key") == F.col("least.key")).alias("kept")
-    return rows.select("doc_id", F.col("least.doc_id").alias("keep_id"), "group_size", kept, "text_sha256", F.size("recipe").alias("n_chunks"))
+    groups = ids.groupBy("recipe", "variants").agg(least, F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # only groups of several rows; stored, so that the join can split one with very many
+    rows = ids.select("key", "doc_id", "text_sha256", "recipe", "variants").join(stored(groups, "copies"), ["recipe", "variants"], "left")
+    alone = F.col("n").isNull()
+    keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("keep_id")
+    kept = (alone | (F.col("key") == F.col("least.key"))).alias("kept")
+    size = F.coalesce("n", F.lit(1).cast("long")).alias("group_size")
+    return rows.select("doc_id", keep_id, size, kept, "text_sha256", F.size("recipe").alias("n_chunks"))
 
 
 def without_copies(docs: DataFrame, bits: int = 64) -> DataFrame:
