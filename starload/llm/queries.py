@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import decontaminate, filteraudit, lm, mainpage, mixing, recipes, repeats, secrets, shards, simhash, sketch, toxicity
+from starload.llm import decontaminate, filteraudit, lm, mainpage, mixing, prefixes, recipes, repeats, secrets, shards, simhash, sketch, toxicity
 from starload.llm.common import query, table
 
 
@@ -130,3 +130,49 @@ FROM normal
 @query("op13_recipes", RECIPES_SQL)
 def op13_recipes(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.exact_groups(table(spark, folder, "documents")).drop("n_chunks")
+
+
+PREFIXES_SQL = r"""
+WITH turns AS (
+    SELECT conv_id AS c, words, x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, x) - 1 AS p
+    FROM (
+        SELECT conv_id, turn, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words,
+            sha256(octet_length(encode(r)) || ':' || r || t) AS x
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL)
+    )
+), bytes AS (
+    SELECT c, list_transform(string_split(c::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT) AS s FROM (SELECT DISTINCT c FROM turns)
+), convs AS (
+    SELECT c, c - c % 20 AS b, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], s), lambda crc, byte:
+        list_reduce(list_concat([xor(crc, byte)], range(8)), lambda v, i: xor(v >> 1, 3988292384 * (v & 1))))) % 4 AS h
+    FROM bytes
+), heads AS (
+    SELECT c.c, c.h, least(c.h, count(t.p)) AS k FROM convs c LEFT JOIN turns t ON t.c = c.b GROUP BY c.c, c.h
+), path AS (
+    SELECT h.c, t.p - h.h + h.k AS p, x, words FROM turns t JOIN heads h ON t.c = h.c WHERE t.p >= h.h
+    UNION ALL
+    SELECT c.c, t.p, x, words FROM turns t JOIN convs c ON t.c = c.b WHERE t.p < c.h
+), members AS (
+    SELECT c, 0 AS d, '' AS path, 0 AS words FROM convs
+    UNION ALL
+    SELECT c, p + 1, string_agg(x, '') OVER (PARTITION BY c ORDER BY p), words FROM path
+), lengths AS (
+    SELECT c, max(d) AS len FROM members GROUP BY c
+), nodes AS (
+    SELECT path, d, any_value(words) AS words, min(c) AS c, count(*) AS n, string_agg(c, ',' ORDER BY c) FILTER (len = d) AS ends
+    FROM members JOIN lengths USING (c) GROUP BY path, d
+), grown AS (
+    SELECT n.*, u.c AS parent, coalesce(k.kids, 0) AS kids FROM nodes n
+    LEFT JOIN nodes u ON u.path = left(n.path, (64 * n.d - 64)::BIGINT) AND u.d = n.d - 1
+    LEFT JOIN (SELECT left(path, (64 * d - 64)::BIGINT) AS path, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY 1) k ON k.path = n.path
+)
+SELECT a.c AS conv_id, a.d::BIGINT AS depth, any_value(a.parent) AS parent_conv_id, any_value(a.n) AS n_convs,
+    any_value(a.kids) AS n_children, count(*) FILTER (b.kids = 0) AS n_leaves, sum((b.n - 1) * b.words)::BIGINT AS saved_tokens,
+    sha256(coalesce(any_value(a.ends), '')) AS ends_sha256
+FROM grown a JOIN grown b ON b.d >= a.d AND left(b.path, (64 * a.d)::BIGINT) = a.path GROUP BY a.c, a.d
+"""
+
+
+@query("op11_prefixes", PREFIXES_SQL)
+def op11_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.trie(*prefixes.rebuilt(*prefixes.numbered(table(spark, folder, "conversations"))))
