@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starload.functions.columns import is_true
 from starload.functions.spines import Window
-from starload.sources.folders import drop_partitions
+from starload.sources.folders import drop_stale_partitions, partition_files
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -58,13 +58,10 @@ def reload_by_parent(
 def overwrite_partitions(df: DataFrame, path: str, partition: str, values: list | None = None) -> None:
     """Replace the partitions present in ``df`` in one job; all others stay.
 
-    ``values`` names all partitions that are replaced: those without a row in ``df`` are emptied.
+    ``values`` names all partitions that are replaced: those without a row in ``df`` are emptied after the write, which evaluates
+    ``df`` once. A run that fails between the two keeps their old rows until it is repeated.
     """
-    emptied = []
-    if values is not None:
-        # one value for each partition replaced reaches the driver
-        filled = {row[0] for row in df.select(F.col(partition).cast("string")).distinct().collect()}
-        emptied = [value for value in values if (None if value is None else str(value)) not in filled]
+    before = partition_files(df.sparkSession, path, partition, values or [])
     (
         df.hint("rebalance", partition)
         .write.mode("overwrite")
@@ -72,4 +69,4 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str, values: list
         .partitionBy(partition)
         .parquet(path)
     )
-    drop_partitions(df.sparkSession, path, partition, emptied)
+    drop_stale_partitions(df.sparkSession, path, partition, before)

@@ -150,6 +150,41 @@ def test_an_empty_extraction_empties_its_parameter(spark, tmp_path):
     assert rows(read_landed(spark, folder, RECORD)) == [(3, "z", "q")]
 
 
+class Counted(Script):
+    """Leaves a file for every request made, in whatever process."""
+
+    def __init__(self, folder, pages):
+        super().__init__(pages)
+        self.folder = folder
+
+    def __call__(self, param, page, size):
+        import pathlib
+        import uuid
+
+        pathlib.Path(self.folder, uuid.uuid4().hex).touch()
+        return super().__call__(param, page, size)
+
+
+def test_every_page_is_fetched_once_and_empty_extractions_are_seen(spark, tmp_path):
+    """Two parameters of five pages and one without a record: 13 requests, the ends of each included."""
+    (tmp_path / "calls").mkdir()
+    folder = str(tmp_path / "landing")
+    land_json(spark.createDataFrame([(1, "old", "none"), (2, "old", "kept")], "id long, name string, param string"), folder)
+    requests = read_pages(spark, ["a", "b", "none"], Counted(str(tmp_path / "calls"), {"a": 50, "b": 45}), 10, **FAST)
+    land_json(page_records(requests, RECORD), folder, params=["a", "b", "none"])
+    assert len(list((tmp_path / "calls").iterdir())) == 6 + 6 + 1
+    landed = read_landed(spark, folder, RECORD)
+    assert rows(landed.groupBy("param").count()) == [("a", 50), ("b", 45), ("kept", 1)]
+
+
+def test_partitions_of_odd_names_are_emptied(spark, tmp_path):
+    folder, schema = str(tmp_path / "landing"), "id long, name string, param string"
+    odd = ["a b", "c%d", "e=f", "g:h"]
+    land_json(spark.createDataFrame([(i, "x", p) for i, p in enumerate(odd)], schema), folder)
+    land_json(spark.createDataFrame([(9, "y", "c%d")], schema), folder, params=odd)
+    assert rows(read_landed(spark, folder, RECORD)) == [(9, "y", "c%d")]
+
+
 def test_broken_records_can_be_set_aside(spark, tmp_path):
     (tmp_path / "in.json").write_text('{"id": 1, "name": "a"}\n{"id": oops\n{"id": 2, "name": "b"}\n')
     kept = set_aside_corrupt(spark, str(tmp_path / "in.json"), RECORD, str(tmp_path / "aside"))
