@@ -13,6 +13,7 @@ from starload.queries.projects import LINES_OF_ORDERS as _FROM, landing
 from starload.queries.registry import query, table
 from starload.schemas import PROJECT_LANDING
 from starload.session import scratch_dir
+from starload.sources.drift import evolved, read_json, read_records, unknown_fields
 from starload.sources.files import (
     file_lineage, file_lineage_fixed, read_all_json, read_chosen_json, read_csv_text, read_required_json, write_parquet,
 )
@@ -122,6 +123,57 @@ def landed(spark: SparkSession, folder: str) -> DataFrame:
     return read_landed(spark, path, PROJECT_LANDING)
 
 
+# Fields of newer records that the schema does not know ---------------------------------------------------------
+
+def _newer(spark: SparkSession, folder: str) -> str:
+    """Landing files whose records have fields of their own: some a text, some an object, all one more in every axis."""
+    records = landing(spark, folder).withColumns({
+        "novo": F.when(F.col("descricao").startswith("1"), F.col("descricao")),
+        "contrato": F.when(F.col("isModeladaPorBim"), F.struct(F.lit(True).alias("ativo"), F.col("populacaoBeneficiada").cast("bigint").alias("numero"))),
+        "eixos": F.transform("eixos", lambda e: e.withField("peso", 2 * e["id"])),
+        "param": F.substring("dataCadastro", 1, 4),
+    })
+    path = scratch_dir(spark, "newer")
+    land_json(records, path)
+    return path
+
+
+_NEWER_SQL = """select json_merge_patch(json_object('idUnico', l_orderkey),
+      case when o_orderpriority like '1%' then json_object('novo', o_orderpriority) else json('{}') end,
+      case when l_tax > 0.04 then json_object('contrato', json_object('ativo', true, 'numero', l_partkey)) else json('{}') end,
+      json_object('eixos', [json_object('id', l_linenumber, 'descricao', 'Axis', 'peso', 2 * l_linenumber)])) as j
+    from lineitem join orders on l_orderkey = o_orderkey"""
+
+
+@query(
+    "schema_drift",
+    f"""with records as ({_NEWER_SQL}),
+    fields as (
+      select k as path, json_type(j, '$.' || k) as t from (select j, unnest(json_keys(j)) as k from records) top
+      union all
+      select 'eixos[].' || k, json_type(j, '$.eixos[0].' || k) from (select j, unnest(json_keys(j, '$.eixos[0]')) as k from records) axes)
+    select path, case any_value(t) when 'VARCHAR' then 'STRING' when 'OBJECT' then 'OBJECT<ativo: BOOLEAN, numero: BIGINT>' else 'BIGINT' end as kind,
+      count(*) as occurrences, count(*) as records
+    from fields where path not in ('idUnico', 'eixos', 'eixos[].id', 'eixos[].descricao') group by path""",
+)
+def _schema_drift(spark, folder):
+    return unknown_fields(read_records(spark, _newer(spark, folder), partition="param"), PROJECT_LANDING)
+
+
+@query(
+    "landing_evolved",
+    f"""with records as ({_NEWER_SQL})
+    select j->>'$.idUnico' as idUnico, j->>'$.novo' as novo, cast(j->'$.contrato.numero' as bigint) as numero,
+      cast(j->'$.eixos[0].peso' as bigint) as peso from records""",
+)
+def _landing_evolved(spark, folder):
+    """The same files read with the schema that their report leads to, which leaves nothing unknown."""
+    path = _newer(spark, folder)
+    schema = evolved(PROJECT_LANDING, unknown_fields(read_records(spark, path, partition="param"), PROJECT_LANDING))
+    records = read_json(spark, path, schema, "error", partition="param")
+    return records.select("idUnico", "novo", "contrato.numero", F.get("eixos", 0)["peso"].alias("peso"))
+
+
 _RAW_KEYS = "cast(l_orderkey as varchar) as idUnico, strftime(o_orderdate, '%Y-%m-%d') as dataCadastro"
 
 
