@@ -138,9 +138,3 @@ def load_dimension(
     numbered = number_rows(kept, [dimension.nk], "_number", only=F.col(dimension.sk).isNull(), counted=added)
     sk = F.coalesce(dimension.sk, (base + F.col("_number")).cast("int")).alias(dimension.sk)
     return numbered.select(sk, dimension.nk, *names)
-
-
-def left_out(dimension: Dimension, staging: DataFrame) -> DataFrame:
-    """(table, rows): the staging rows that give the dimension no member, for want of a natural key."""
-    missing = staging.select(dimension.natural_key().alias("nk")).agg(F.count_if(F.col("nk").isNull()).alias("rows"))
-    return missing.select(F.lit(dimension.table).alias("table"), "rows")

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from starload.functions.columns import any_null, is_true
 from starload.functions.spines import GRAINS, Window, period, period_of
-from starload.operators.changes import difference
+from starload.operators.changes import INSERT, OP, UPDATE, difference
 from starload.operators.dedupe import keep_first
 from starload.operators.reload import delete_window, overwrite_partitions
 from starload.sources.folders import matching, place, remove
@@ -57,13 +57,15 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest version, or None if there is none yet."""
+def read_snapshot(spark: SparkSession, root: str, keep_period: bool = False) -> DataFrame | None:
+    """The newest version, or None if there is none yet; the period of its rows is left out unless asked for."""
     path = newest(spark, root)
-    return _read(spark, path).drop(PERIOD) if path else None
+    if path is None:
+        return None
+    return _read(spark, path) if keep_period else _read(spark, path).drop(PERIOD)
 
 
-def write_snapshot(df: DataFrame, root: str, partition: str | None = None) -> DataFrame:
+def write_snapshot(df: DataFrame, root: str, partition: str | None = None, keep_period: bool = False) -> DataFrame:
     """Write the next version and return it as read back."""
     spark = df.sparkSession
     versions = complete_versions(spark, root)
@@ -73,7 +75,7 @@ def write_snapshot(df: DataFrame, root: str, partition: str | None = None) -> Da
     else:
         df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(path)
     _keep_schema(spark, path, df.schema)
-    return _read(spark, path).drop(PERIOD)
+    return _read(spark, path) if keep_period else _read(spark, path).drop(PERIOD)
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
@@ -82,11 +84,6 @@ def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
         remove(spark, f"{root}/v={version}")
 
 
-def drop_newest(spark: SparkSession, root: str) -> None:
-    """Remove the newest version, so that the one before it is in force again."""
-    remove(spark, newest(spark, root))
-
-
 def with_period(df: DataFrame, day: str, grain: str) -> DataFrame:
     return df.withColumn(PERIOD, period(F.col(day), grain))
 
@@ -143,6 +140,47 @@ def replace_by_key(fresh: DataFrame, path: str, doomed: DataFrame, key: str, day
         overwrite_partitions(kept.unionByName(dated), path, PERIOD, periods)
 
 
+def read_periods(spark: SparkSession, path: str, periods: list) -> DataFrame:
+    """The rows of some periods of one version, with their period; files of other periods are not read."""
+    return _read(spark, path).filter(_in_periods(periods) if periods else F.lit(False))
+
+
+def periods_of(spark: SparkSession, path: str, key: str, among: DataFrame) -> list:
+    """The periods that hold a key of ``among``, found by reading the key column alone."""
+    held = _read(spark, path).select(key, PERIOD).join(among, key, "left_semi")
+    # one value per period concerned reaches the driver
+    return [row[0] for row in held.select(PERIOD).distinct().collect()]
+
+
+def changed_rows(current: DataFrame, now: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``now`` that ``current`` lacks or holds with other values, with ``old_periodo`` and ``_op``.
+
+    Both have the columns of the table and its period; a row of another period counts as changed.
+    """
+    rest = [name for name in now.columns if name not in keys]
+    before = current.select(*keys, F.struct(*rest).alias("_old"))
+    known = F.col("_old").isNotNull()
+    same = F.col("_old").eqNullSafe(F.struct(*rest))
+    joined = now.join(before, keys, "left").filter(~(known & same))
+    op = F.when(known, UPDATE).otherwise(INSERT).alias(OP)
+    return joined.select(*now.columns, F.col(f"_old.{PERIOD}").alias(f"old_{PERIOD}"), op)
+
+
+def merge_periods(path: str, delta: DataFrame, keys: list[str]) -> list:
+    """Bring the rows of ``delta``, as ``changed_rows`` gives them, into one version; returns the periods written.
+
+    Only periods that lose or get a row are read and written again.
+    """
+    spark = delta.sparkSession
+    places = delta.select(PERIOD).union(delta.filter(F.col(OP) == UPDATE).select(f"old_{PERIOD}")).distinct()
+    # one value per period concerned reaches the driver
+    periods = [row[0] for row in places.collect()]
+    if periods:
+        kept = read_periods(spark, path, periods).join(delta.select(*keys), keys, "left_anti")
+        overwrite_partitions(kept.unionByName(delta.select(*kept.columns)), path, PERIOD, periods)
+    return periods
+
+
 def remove_copies(
     spark: SparkSession, root: str, partition: str, keys: list[str] | None = None, among: DataFrame | None = None
 ) -> list:

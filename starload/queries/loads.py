@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from starload.functions.columns import MONEY
 from starload.functions.suffix import suffix_udf, with_suffix
-from starload.operators.normalize import normalize
 from starload.operators.quality import (
     key_violations, max_lengths, null_counts, orphans, rejected_dates, too_long,
 )
@@ -415,9 +414,8 @@ def _run_by_date_twice(spark, folder):
     % ", ".join(f"'{name}'" for name in _ALL_DIMENSIONS if name != "dim_uf"),
 )
 def _load_report(spark, folder):
-    """What a load of the landing records leaves out."""
-    records = landing(spark, folder)
-    return load_report(records, normalize(records))
+    """What a load of the landing records leaves out, counted as they are landed."""
+    return load_report(landing(spark, folder), scratch_dir(spark, "load_report"))
 
 
 @query(

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from conftest import rows
@@ -6,7 +7,6 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from starload.functions.columns import money_sum
-from starload.operators.normalize import normalize
 from starload.operators.quality import key_violations, max_lengths, null_counts, orphans, rejected_dates, too_long
 from starload.plans.constraints import FOREIGN_KEYS, PRIMARY_KEYS, check_tables
 from starload.plans.dimensions import BY_TABLE, DIMENSIONS, load_dimension, members
@@ -210,24 +210,161 @@ def test_reload_by_state_leaves_other_periods_alone(spark, tmp_path):
     assert not (tmp_path / "dw" / "run").exists()
 
 
+def files_of(tmp_path, table):
+    """Every data file of a table's newest version, with its time."""
+    root = tmp_path / "dw" / table
+    newest = max(root.glob("v=*"), key=lambda p: int(p.name[2:]))
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in newest.rglob("part-*")}
+
+
 def test_a_repeated_run_writes_nothing_new(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "dw"))
     records = nested(spark, project("A"), project("B", geometrias=[{"datum": "d"}], day="not a date"))
-    runs = [run_by_date(warehouse, records, execution(spark, ("A", 5.5)), TODAY, 7) for _ in range(3)]
+    names = ("dim_eixo", "dim_projeto_investimento", "fact_projeto_investimento", "fact_projeto_investimento_eixos")
+    first = run_by_date(warehouse, records, execution(spark, ("A", 5.5)), TODAY, 7)
+    before = {name: files_of(tmp_path, name) for name in names}
+    runs = [first] + [run_by_date(warehouse, records, execution(spark, ("A", 5.5)), TODAY, 7) for _ in range(2)]
     assert runs[-1][f"{PARENT_TABLE}_geometria"].count() == 2
-    for name in ("dim_eixo", "fact_projeto_investimento", "fact_projeto_investimento_eixos"):
-        assert complete_versions(spark, warehouse.place(name)) == [1]
-    assert not (tmp_path / "dw" / "run").exists()
+    for name in names:
+        assert complete_versions(spark, warehouse.place(name)) == [1] and files_of(tmp_path, name) == before[name]
+    assert not (tmp_path / "dw" / "run").exists() and not (tmp_path / "dw" / "changes").exists()
     run_by_date(warehouse, nested(spark, project("A", qdtEmpregosGerados="13")), execution(spark, ("A", 5.5)), TODAY, 7)
-    assert complete_versions(spark, warehouse.place("fact_projeto_investimento")) == [1, 2]
-    assert complete_versions(spark, warehouse.place("dim_eixo")) == [1]
+    assert files_of(tmp_path, "fact_projeto_investimento") != before["fact_projeto_investimento"]
+    assert files_of(tmp_path, "fact_projeto_investimento_eixos") == before["fact_projeto_investimento_eixos"]
+    assert warehouse.measures.found()["fact_projeto_investimento", "change", "UPDATE"] == 1
+
+
+def test_reload_of_one_month_leaves_the_facts_of_others_unread_and_unwritten(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    old = [project("A", "2023-11-05"), project("B", "2024-01-05"), project("C", "2024-03-05"), project("D", "2024-03-06")]
+    run_by_date(warehouse, nested(spark, *old), execution(spark, ("A", 1.0), ("C", 2.0)), TODAY, 200)
+    facts = [table for table in PRIMARY_KEYS if table.startswith("fact_")]
+    others = [p for table in facts for p in (tmp_path / "dw" / table / "v=1").rglob("part-*") if "periodo=202403" not in str(p)]
+    assert len(others) == 2 * len(facts)
+    for file in others:
+        file.write_bytes(b"whoever reads this file fails")
+    fresh = nested(spark, project("C", "2024-03-05", populacaoBeneficiada="9", eixos=[{"id": 1, "descricao": "Social"}, {"id": 7, "descricao": "New"}]), project("E", "2024-03-09"))
+    run_by_date(warehouse, fresh, execution(spark, ("A", 1.0), ("C", 2.5)), TODAY, 7)
+    assert all(file.read_bytes() == b"whoever reads this file fails" for file in others)
+    sk = {r.nk_projeto_investimento: r.sk_projeto_investimento for r in warehouse.current("dim_projeto_investimento").collect()}
+    march = spark.read.parquet(f"{warehouse.place('fact_projeto_investimento')}/v=1/periodo=202403")
+    found = {r.sk_projeto_investimento: (r.pop_beneficiada, r.valor_execucao) for r in march.collect()}
+    # D is gone from staging, a fact of it stays
+    assert found == {sk["C"]: (9, 2.5), sk["D"]: (None, 0.0), sk["E"]: (None, 0.0)}
+    axes = spark.read.parquet(f"{warehouse.place('fact_projeto_investimento_eixos')}/v=1/periodo=202403")
+    assert axes.filter(F.col("sk_projeto_investimento") == sk["C"]).count() == 2
+
+
+def rebuilt_facts(tables, before):
+    """All facts as a full computation over staging and dimensions leaves them."""
+    specs = {"fact_projeto_investimento": project_fact(tables), "fact_projeto_investimento_fonte_recurso": unique_funding(funding_fact(tables), "sum")}
+    specs |= {bridge.table: bridge_fact(bridge, tables) for bridge in BRIDGES}
+    found = {}
+    for table, rows_now in specs.items():
+        keys = PRIMARY_KEYS[table]
+        now = {tuple(r[k] for k in keys): tuple(r) for r in rows_now.collect()}
+        found[table] = {**before.get(table, {}), **now}
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_incremental_facts_equal_full_ones(spark, tmp_path, seed):
+    """Random reloads: projects come, change, move to other months, lose children; booked amounts change in any month."""
+    rng = random.Random(seed)
+    warehouse, expected = Warehouse(spark, str(tmp_path / "dw")), {}
+
+    def some(key, day):
+        axes = [{"id": i, "descricao": f"axis {i}"} for i in rng.sample(range(4), rng.randrange(4))]
+        money = [{"origem": o, "valorInvestimentoPrevisto": rng.choice([None, 1.5, 7.25])} for o in rng.sample(["Federal", "federal", "Local"], rng.randrange(3))]
+        return project(key, day, eixos=axes, fontesDeRecurso=money, populacaoBeneficiada=str(rng.randrange(5)), uf=rng.choice(["PR", None]))
+
+    for month, days in ((3, 300), (4, 20), (5, 45)):
+        last = dt.date(2024, month, 10)
+        records = [some(rng.choice("ABCDEFGHIJ"), str(last - dt.timedelta(days=rng.randrange(1, days)))) for _ in range(8)]
+        records.append(some("undated", "no date"))
+        spent = execution(spark, *[(rng.choice("ABCDEFGHIJ"), rng.randrange(1, 9) / 4) for _ in range(6)], (None, 1.0))
+        built = run_by_date(warehouse, nested(spark, *records), spent, last, days, duplicate_nk="pick", on_duplicate="sum")
+        expected = rebuilt_facts(built, expected)
+        for table, facts in expected.items():
+            keys = PRIMARY_KEYS[table]
+            stored = built[table].collect()
+            assert {tuple(r[k] for k in keys): tuple(r) for r in stored} == facts and len(stored) == len(facts), table
+        dims = {r.nk_projeto_investimento: r for r in built["dim_projeto_investimento"].collect()}
+        assert sorted(r.sk_projeto_investimento for r in dims.values()) == list(range(1, len(dims) + 1))
+    periods = spark.read.schema("sk_projeto_investimento int, periodo int").parquet(f"{warehouse.place('fact_projeto_investimento')}/v=1")
+    wanted = {r.sk_projeto_investimento: r.data_projeto and r.data_projeto.year * 100 + r.data_projeto.month for r in dims.values()}
+    assert all(wanted[r.sk_projeto_investimento] == r.periodo for r in periods.collect())
+
+
+class Killed(Exception):
+    pass
+
+
+def test_a_run_that_died_goes_on_after_its_last_step(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    run_by_date(warehouse, nested(spark, project("A"), project("B", "2024-01-05")), execution(spark, ("B", 1.0)), TODAY, 90)
+    fresh = nested(spark, project("A", populacaoBeneficiada="9"), project("C", "2024-03-01"))
+    load_facts, load_dimensions = Warehouse.load_facts, Warehouse.load_dimensions
+
+    def die(*_, **__):
+        raise Killed
+
+    monkeypatch.setattr(Warehouse, "load_facts", die)
+    with pytest.raises(Killed):
+        run_by_date(warehouse, fresh, execution(spark, ("B", 3.0)), TODAY, 20, run="2024-03-10")
+    monkeypatch.setattr(Warehouse, "load_facts", load_facts)
+    for name in ("load_dimensions", "reload_by_date", "reload_execution", "clean_in_place"):
+        monkeypatch.setattr(Warehouse, name, die)
+    # the source has nothing to give any more: what was landed is used
+    built = run_by_date(warehouse, nested(spark), execution(spark), TODAY, 20, run="2024-03-10")
+    sk = {r.nk_projeto_investimento: r.sk_projeto_investimento for r in built["dim_projeto_investimento"].collect()}
+    found = {r.sk_projeto_investimento: (r.pop_beneficiada, r.valor_execucao) for r in built["fact_projeto_investimento"].collect()}
+    assert found == {sk["A"]: (9, 0.0), sk["B"]: (None, 3.0), sk["C"]: (None, 0.0)}
+    assert not (tmp_path / "dw" / "run").exists()
+    monkeypatch.setattr(Warehouse, "load_dimensions", load_dimensions)
 
 
-def test_load_report_counts_what_is_left_out(spark):
+def test_what_a_dead_run_was_to_touch_is_not_forgotten(spark, tmp_path, monkeypatch):
+    """Without a name the next run starts over; a project that moved before the facts did is still put right."""
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    run_by_date(warehouse, nested(spark, project("A", "2024-01-05"), project("B", "2024-01-06")), execution(spark), TODAY, 90)
+    load_facts = Warehouse.load_facts
+    monkeypatch.setattr(Warehouse, "load_facts", lambda *_, **__: 1 / 0)
+    moved = nested(spark, project("A", "2024-03-02", populacaoBeneficiada="9"))
+    with pytest.raises(ZeroDivisionError):
+        run_by_date(warehouse, moved, execution(spark), TODAY, 80, run="first")
+    monkeypatch.setattr(Warehouse, "load_facts", load_facts)
+    built = run_by_date(warehouse, nested(spark, project("C", "2024-03-03")), execution(spark), TODAY, 3)
+    stored = spark.read.schema("sk_projeto_investimento int, pop_beneficiada int, periodo int").parquet(f"{warehouse.place('fact_projeto_investimento')}/v=1")
+    sk = {r.nk_projeto_investimento: r.sk_projeto_investimento for r in built["dim_projeto_investimento"].collect()}
+    assert rows(stored) == sorted([(sk["A"], 9, 202403), (sk["B"], None, 202401), (sk["C"], None, 202403)], key=str)
+
+
+def test_writes_count_violations_and_changes_on_their_way(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    first = [project("A", especie="x" * 51, dataSituacao="2024-13-01"), project("B", eixos=[{"id": None, "descricao": None}, {"id": 2, "descricao": None}]), project("C", eixos=None, uf=None)]
+    run_by_date(warehouse, nested(spark, *first), execution(spark), TODAY, 7)
+    found = {check: n for check, n in warehouse.measures.found().items() if n}
+    assert found == {
+        ("landing", "no date", "dataSituacao"): 1, ("dim_eixo", "no natural key", "id"): 1, ("dim_uf", "no natural key", "uf"): 1,
+        (f"{PARENT_TABLE}_eixos", "not null", "descricao"): 2, (f"{PARENT_TABLE}_eixos", "not null", "id"): 1,
+        ("dim_projeto_investimento", "length", "especie"): 1, ("dim_eixo", "not null", "descricao"): 1,
+    }
+    run_by_date(warehouse, nested(spark, project("A"), project("D"), project("B", uf="SC")), execution(spark), TODAY, 7)
+    report = {(r.table, r.check, r.column): r.rows for r in warehouse.measures.report().collect()}
+    assert report["dim_projeto_investimento", "change", "INSERT"] == 1 and report["dim_projeto_investimento", "change", "UPDATE"] == 1
+    assert report["dim_uf", "change", "INSERT"] == 1 and report["dim_uf", "change", "UPDATE"] == 0
+    assert report["fact_projeto_investimento", "change", "INSERT"] == 1 and report["dim_projeto_investimento", "length", "especie"] == 0
+    assert len(report) > 100
+
+
+def test_load_report_counts_what_is_left_out(spark, tmp_path):
     records = nested(spark, project("A", dataSituacao="2024-13-01", uf=None), project("B"))
-    report = {(r.check, r.name): r.rows for r in load_report(records, normalize(records)).collect()}
+    report = {(r.check, r.name): r.rows for r in load_report(records, str(tmp_path)).collect()}
     assert report["no date", "dataSituacao"] == 1 and report["no natural key", "dim_uf"] == 1
     assert sum(report.values()) == 2 and len(report) == 18
+    empty = load_report(records.limit(0), str(tmp_path))
+    assert empty.count() == 18 and empty.filter("rows > 0").isEmpty()
 
 
 def test_money_counts_to_a_millionth(spark):
