@@ -306,26 +306,38 @@ def _udf(spark, folder):
 
 _ALL_STAGING = [*STAGING_KEYS, EXECUTION_TABLE]
 _ALL_DIMENSIONS = [d.table for d in BY_TABLE.values()]
-_MEASURES = ("valor_investimento_previsto", "valor_execucao")
-# every table of a warehouse in one row: how many rows, the sum over its keys, the sum over its amounts
+# every table of a warehouse in one row: how many rows, the sum over its keys, the sum over a digest of each whole row
 _KEYS_OF = {name: PRIMARY_KEYS[name] for name in [*_ALL_DIMENSIONS, *FACT_SQL]}
+_AMOUNTS = ("valor_investimento_previsto", "valor_execucao")
+# The measures of the two facts that have any.
+_REST = {
+    **{d.table: [d.nk, *d.columns] for d in BY_TABLE.values()},
+    MAIN_FACT: ["prazo_previsto", "prazo_efetivo", "qtd_empregos_gerados", "pop_beneficiada", *_AMOUNTS],
+    FUNDING_FACT: ["valor_investimento_previsto"],
+}
+
+
+def _text(column: str, text: str) -> str:
+    """A column as text, alike in both engines; amounts to a millionth, which no null equals."""
+    return f"coalesce(cast({f'cast({column} as {MONEY})' if column in _AMOUNTS else column} as {text}), '~')"
+
+
+def _row_text(name: str, text: str) -> str:
+    return f"concat_ws('|', {', '.join(_text(column, text) for column in [*_KEYS_OF[name], *_REST.get(name, [])])})"
 
 
 def _summary_sql(name: str, source: str) -> str:
     keys = " + ".join(f"{k + 1} * cast({key} as bigint)" for k, key in enumerate(_KEYS_OF[name]))
-    money = {MAIN_FACT: " + ".join(f"cast(coalesce({m}, 0) as decimal(38,6))" for m in _MEASURES)}
-    money[FUNDING_FACT] = "cast(coalesce(valor_investimento_previsto, 0) as decimal(38,6))"
-    amount = f"cast(sum({money[name]}) as double)" if name in money else "cast(null as double)"
-    return f"select '{name}' as name, count(*) as n, cast(sum({keys}) as bigint) as keys, {amount} as money from {source}"
+    content = f"cast('0x' || substr(md5({_row_text(name, 'varchar')}), 1, 8) as bigint)"
+    return f"select '{name}' as name, count(*) as n, cast(sum({keys}) as bigint) as keys, cast(sum({content}) as bigint) as content from {source}"
 
 
 def _summary(built: dict[str, DataFrame], names: list[str]) -> DataFrame:
     parts = []
     for name in names:
         keys = reduce(add, [(k + 1) * F.col(key).cast("bigint") for k, key in enumerate(_KEYS_OF[name])])
-        amounts = [F.coalesce(F.col(m).cast(MONEY), F.lit(0).cast(MONEY)) for m in _MEASURES if m in built[name].columns]
-        money = F.sum(reduce(add, amounts)) if amounts else F.lit(None)
-        parts.append(built[name].agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.sum(keys).alias("keys"), money.cast("double").alias("money")))
+        content = F.conv(F.substring(F.md5(F.expr(_row_text(name, "string"))), 1, 8), 16, 10).cast("bigint")
+        parts.append(built[name].agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.sum(keys).alias("keys"), F.sum(content).alias("content")))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -383,16 +395,13 @@ def _by_date(spark, folder):
     return again.select("sk_projeto_investimento", "nk_projeto_investimento", "data_projeto", "descricao_projeto")
 
 
-_TWICE = ["dim_projeto_investimento", "dim_situacao", MAIN_FACT, FUNDING_FACT, "fact_projeto_investimento_eixos"]
-
-
 @query(
     "run_by_date_twice",
-    _summaries_sql(_TWICE, {PARENT_TABLE: _MOVED_SQL})
+    _summaries_sql(list(_KEYS_OF), {PARENT_TABLE: _MOVED_SQL})
     + f""" union all select '{PARENT_TABLE}', count(*), count(*) filter (descricao = lower(descricao)), null from {PARENT_TABLE}""",
 )
 def _run_by_date_twice(spark, folder):
-    """The whole run, and again a year later over the trailing window, whose descriptions have changed."""
+    """The whole run, and again over the trailing window, whose descriptions have changed; all twenty tables and the parents."""
     warehouse = Warehouse(spark, scratch_dir(spark, "run_by_date_twice"), grain="year")
     records, policy = landing(spark, folder), {"duplicate_nk": "pick", "on_duplicate": "sum"}
     run_by_date(warehouse, records, execution(spark, folder), AS_OF, DAYS, **policy)
@@ -400,8 +409,8 @@ def _run_by_date_twice(spark, folder):
     fresh = fresh.withColumn("descricao", F.lower("descricao"))
     built = run_by_date(warehouse, fresh, execution(spark, folder), AS_OF, DAYS, **policy)
     lower = F.count_if(F.col("descricao") == F.lower("descricao"))
-    staged = built[PARENT_TABLE].agg(F.lit(PARENT_TABLE).alias("name"), F.count("*").alias("n"), lower.alias("keys"), F.lit(None).cast("double").alias("money"))
-    return _summary(built, _TWICE).unionAll(staged)
+    staged = built[PARENT_TABLE].agg(F.lit(PARENT_TABLE).alias("name"), F.count("*").alias("n"), lower.alias("keys"), F.lit(None).cast("bigint").alias("content"))
+    return _summary(built, list(_KEYS_OF)).unionAll(staged)
 
 
 @query(
