@@ -1,21 +1,24 @@
-"""Language-model scores by a weighted backoff automaton.
+"""Language-model scores by a weighted backoff automaton over all that the corpus holds.
 
-The model is a backoff trigram model with absolute discounting. Its unigrams are complete: every word of the
-training texts has its count, and one unknown word has the discounted mass. Its longer n-grams are those with at least one in ``ARC_SHARE``
-training tokens, so there are at most that many of each order, whatever the corpus. They become an automaton:
-contexts are states, n-grams are arcs with a log-probability, and a failure arc with a backoff weight leads from
-each state to that of the shorter context. One left-to-right traversal of a text carries the state.
+The model is a bigram model with absolute discounting over complete unigrams. Each word that was followed twice by the same token in
+training is a state; a bigram seen LEAST times or more, at any size of the corpus, is an arc, and a failure arc whose
+weight is what the arcs leave leads from each state to the empty context, where every word has its unigram and one unknown word the discounted mass.
 
-Words with at least one in ``WORD_SHARE`` tokens, at most that many, travel with the tasks. All others
-always lead back to the empty context, so their probabilities only add up: they are found by a join.
+The model is never held whole. Texts are walked in blocks of consecutive rows, and every block asks for the arcs it may need:
 
-N-grams are counted exactly in two passes: one that passes the threshold in the corpus passes it in some
-piece of it, so the pieces name the candidates, and these are counted.
+1. Words are counted, which gives the totals and the few words that hold a large share of the tokens.
+2. A block sends each distinct bigram once, grouped by its first word, with its training count. These requests are dealt out by
+   the first word (by both, if it is one of the few). A bucket adds up what all blocks sent and answers each request in its order:
+   the count of every bigram, and of every first word its count and the mass of its arcs.
+3. Answers and texts of a block meet; one left-to-right traversal of each text carries the state and adds up log-probabilities. In a
+   bigram automaton the state after a token is that token, so the steps of all texts of a block are taken together.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,17 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.bloom import bitmap, known
 from starload.llm.common import prepared, stored, text_bytes
 from starload.llm.wordhash import NOT_SPACE, grouped, mixed, word_hashes
 
-WORD_SHARE, ARC_SHARE = 1 << 20, 1 << 18
-#: Taken off the count of each arc; unigrams use the estimate from the words seen once and twice.
-DISCOUNT = 0.75
+#: An arc's training count at least, and what is taken off it.
+LEAST, DISCOUNT = 2, 0.75
 ADDED = 0.1  # to each count in the base score
 END = np.uint64(0x5EED0F7E47)
-#: Tokens that are counted together before they leave a task.
+#: Tokens that are counted together before they leave a task, and of a block, about.
 PIECE = 1 << 21
+#: Bigrams that a bucket holds, about; buckets grow in number with the corpus.
+BUCKET = 1 << 20
+#: Words with one in so many tokens, at most that many, have their bigrams dealt out by both words.
+SHARE = 1 << 10
 
 
 def token_hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,10 +51,12 @@ def token_hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, begins
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for batch in batches:
-        for _, _, data, cuts in grouped(batch.column(column)):
-            yield token_hashes(data, cuts)
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all texts of a column, and how many each has."""
+    found = [token_hashes(data, cuts) for _, _, data, cuts in grouped(column)]
+    if not found:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate([t for t, _ in found]), np.concatenate([np.diff(b) for _, b in found])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,281 +67,248 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, n = np.unique(np.concatenate(held), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
-    for tokens, _ in _tokens(batches):
+    for batch in batches:
+        tokens, _ = _tokens(batch.column(0))
         held.append(tokens)
         size += len(tokens)
         if size >= PIECE:
             yield counted()
             held, size = [], 0
-    if held:
+    if size:
         yield counted()
 
 
-class Words:
-    """The frequent words: their hashes in order, and so their numbers."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
-
-    def numbers(self, tokens: np.ndarray) -> np.ndarray:
-        """Number of each token, -1 for a word that is not frequent."""
-        if not len(self.hashes):
-            return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == tokens, at, -1)
-
-
-def ngram_keys(numbers: np.ndarray, begins: np.ndarray, order: int) -> np.ndarray:
-    """Keys of the n-grams of frequent words within texts: their numbers, 20 bits each."""
-    size = len(numbers) - order + 1
-    if size <= 0:
-        return np.empty(0, np.int64)
-    key, whole = np.zeros(size, np.int64), np.ones(size, bool)
-    for k in range(order):
-        key = (key << 20) | (numbers[k : k + size] & 0xFFFFF)
-        whole &= numbers[k : k + size] >= 0
-    for k in range(1, order):
-        crossing = begins[1:-1] - k  # n-grams that begin so many tokens before a text
-        whole[crossing[(crossing >= 0) & (crossing < size)]] = False
-    return key[whole]
-
-
-def _candidates(words: Words, share: int):
-    """(o, key): n-grams with at least one in ``share`` of the tokens of a piece."""
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {2: [], 3: []}
-        size = 0
-
-        def frequent() -> Iterator[pa.RecordBatch]:
-            for order, keys in held.items():
-                key, n = np.unique(np.concatenate(keys), return_counts=True)
-                key = key[n * share >= size]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), order)), pa.array(key)], names=["o", "key"])
-                keys.clear()
-
-        for tokens, begins in _tokens(batches):
-            numbers = words.numbers(tokens)
-            for order in held:
-                held[order].append(ngram_keys(numbers, begins, order))
-            size += len(tokens)
-            if size >= PIECE:
-                yield from frequent()
-                size = 0
-        if size:
-            yield from frequent()
-
-    return found
-
-
-def _count_candidates(words: Words, bits: np.ndarray):
-    """(o, key, n) of the n-grams in a bitmap."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {2: [], 3: []}
-
-        def added() -> Iterator[pa.RecordBatch]:
-            for order, keys in held.items():
-                key, n = np.unique(np.concatenate(keys), return_counts=True)
-                columns = [pa.array(np.full(len(key), order)), pa.array(key), pa.array(n.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["o", "key", "n"])
-                keys.clear()
-
-        size = 0
-        for tokens, begins in _tokens(batches):
-            numbers = words.numbers(tokens)
-            for order in held:
-                keys = ngram_keys(numbers, begins, order)
-                held[order].append(keys[known(mixed(keys.view(np.uint64) + np.uint64(order)), bits)])
-            size += len(tokens)
-            if size >= PIECE:
-                yield from added()
-                size = 0
-        if size:
-            yield from added()
-
-    return counted
-
-
-def _hashed(candidates: DataFrame) -> DataFrame:
-    @F.arrow_udf("long")
-    def of_keys(orders: pa.Array, keys: pa.Array) -> pa.Array:
-        h = mixed(keys.to_numpy().view(np.uint64) + orders.to_numpy().astype(np.uint64))
-        return pa.array(h.view(np.int64))
-
-    return candidates.select(of_keys("o", "key").alias("h"))
-
-
-class Automaton:
-    """States, arcs and failure arcs; state 0 is the empty context."""
-
-    def __init__(self, unigrams: np.ndarray, counts: np.ndarray, bigrams: dict[int, int], trigrams: dict[int, int]):
-        """``unigrams`` are probabilities and ``counts`` counts by word number; n-grams are counts by key."""
-        self.unigram = np.log10(unigrams).tolist() if len(unigrams) else []
-        self.fail, self.backoff = [0], [0.0]
-        self.arcs: dict[int, tuple[float, int]] = {}
-        self.of_word: dict[int, int] = {}
-        of_pair: dict[int, int] = {}
-        for key in bigrams:
-            self.of_word.setdefault(key >> 20, len(self.of_word) + 1)
-        for key in trigrams:
-            of_pair.setdefault(key >> 20, len(self.of_word) + len(of_pair) + 1)
-        size = 1 + len(self.of_word) + len(of_pair)
-        self.fail, self.backoff = [0] * size, [0.0] * size
-        for pair, state in of_pair.items():
-            self.fail[state] = self.of_word.get(pair & 0xFFFFF, 0)
-        given2 = {key: (n - DISCOUNT) / counts[key >> 20] for key, n in bigrams.items()}
-        self._weigh({w: (s, {}) for w, s in self.of_word.items()}, given2, lambda key: unigrams[key & 0xFFFFF])
-        for key, p in given2.items():
-            word = key & 0xFFFFF
-            self.arcs[self.of_word[key >> 20] << 20 | word] = (math.log10(p), of_pair.get(key, self.of_word.get(word, 0)))
-        given3 = {key: (n - DISCOUNT) / bigrams[key >> 20] for key, n in trigrams.items()}
-
-        def shorter(key: int) -> float:
-            low = key & (1 << 40) - 1
-            if low in given2:
-                return given2[low]
-            state = self.of_word.get(low >> 20, 0)
-            return 10 ** self.backoff[state] * unigrams[low & 0xFFFFF]
-
-        self._weigh({p: (s, {}) for p, s in of_pair.items()}, given3, shorter)
-        for key, p in given3.items():
-            word = key & 0xFFFFF
-            following = of_pair.get(key & (1 << 40) - 1, self.of_word.get(word, 0))
-            self.arcs[of_pair[key >> 20] << 20 | word] = (math.log10(p), following)
-        self.next_word = [self.of_word.get(w, 0) for w in range(len(unigrams))]
-
-    def _weigh(self, states: dict, given: dict[int, float], lower) -> None:
-        """Backoff weights: what the arcs of a state leave, over what the shorter context gives all other words."""
-        taken: dict[int, float] = {}
-        covered: dict[int, float] = {}
-        for key, p in given.items():
-            context = key >> 20
-            taken[context] = taken.get(context, 0.0) + p
-            covered[context] = covered.get(context, 0.0) + lower(key)
-        for context, (state, _) in states.items():
-            left, rest = max(1e-12, 1 - taken[context]), max(1e-12, 1 - covered[context])
-            self.backoff[state] = math.log10(left / rest)
-
-    def traverse(self, numbers: list[int]) -> float:
-        """Log10 of the probability of a text, without that of the words that have no number."""
-        total, state = 0.0, 0
-        arcs, fail, backoff = self.arcs, self.fail, self.backoff
-        for word in numbers:
-            if word < 0:
-                while state:
-                    total += backoff[state]
-                    state = fail[state]
+class Bigrams:
+    """The distinct bigrams of a block in the order of their requests, the same whenever it is built from the same texts."""
+
+    def __init__(self, tokens: np.ndarray, sizes: np.ndarray, hot: np.ndarray, buckets: int):
+        self.words, number = np.unique(tokens, return_inverse=True)
+        inside = np.ones(len(tokens), bool)
+        inside[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
+        #: places of the tokens that follow another one of their text
+        self.places = np.flatnonzero(inside)
+        self.number = number
+        pairs, self.pair_of = np.unique(number[self.places - 1].astype(np.int64) << 32 | number[self.places], return_inverse=True)
+        first, second = pairs >> 32, pairs & 0xFFFFFFFF
+        v, w = self.words[first], self.words[second]
+        draw = np.where(np.isin(v, hot), mixed(v ^ mixed(w)), v)
+        bucket = ((draw >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        self.bucket, self.first, self.v, self.w = bucket[order], first[order], v[order], w[order]
+        self.rank = np.empty(len(order), np.int64)
+        self.rank[order] = np.arange(len(order))
+        #: where a run of bigrams with one first word in one bucket begins
+        self.runs = np.flatnonzero(np.append(True, (self.v[1:] != self.v[:-1]) | (self.bucket[1:] != self.bucket[:-1]))) if len(order) else np.empty(0, np.int64)
+
+    def counts(self, weights: np.ndarray) -> np.ndarray:
+        """How often each bigram occurs among the weighted tokens."""
+        return np.bincount(self.rank[self.pair_of], weights[self.places], minlength=len(self.v)).astype(np.int64)
+
+
+def _packed(values: np.ndarray, kind) -> bytes:
+    return zlib.compress(values.astype(kind).tobytes(), 1)
+
+
+def _unpacked(data, kind) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind)
+
+
+REQUEST = "bucket int, block long, firsts binary, sizes binary, seconds binary, counts binary"
+ANSWER = "block long, bucket int, counts binary, totals binary, masses binary"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Block, tokens, tokens of each text, and whether it is learned from, of consecutive rows (block, learn, text)."""
+    at, held = None, []
+
+    def whole():
+        return at, *(np.concatenate(part) for part in zip(*held))
+
+    for batch in batches:
+        blocks = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a == b:
                 continue
-            while state:
-                arc = arcs.get(state << 20 | word)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += backoff[state]
-                state = fail[state]
-            else:
-                total += self.unigram[word]
-                state = self.next_word[word]
-        return total
+            if held and blocks[a] != at:
+                yield whole()
+                held = []
+            at = int(blocks[a])
+            part = batch.slice(a, b - a)
+            held.append((*_tokens(part.column(2)), part.column(1).to_numpy(zero_copy_only=False)))
+    if held:
+        yield whole()
+
+
+def _ask(hot: np.ndarray, buckets: int):
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, tokens, sizes, learn in _blocks(batches):
+            found = Bigrams(tokens, sizes, hot, buckets)
+            counts = found.counts(np.repeat(learn.astype(np.float64), sizes))
+            cuts = np.searchsorted(found.bucket, np.unique(found.bucket)).tolist()
+            rows = []
+            for a, b in zip(cuts, [*cuts[1:], len(found.bucket)]):
+                runs = found.runs[np.searchsorted(found.runs, a) : np.searchsorted(found.runs, b)]
+                sizes_of = np.diff(np.append(runs, b))
+                rows.append((found.bucket[a], block, found.v[runs].tobytes(), _packed(sizes_of, np.uint32), found.w[a:b].tobytes(), _packed(counts[a:b], np.uint32)))
+            if rows:
+                kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[x.split()[0] for x in REQUEST.split(", ")])
+
+    return asked
+
+
+def _answer(hot: np.ndarray):
+    """Answers of requests sorted by bucket; rows of block -1 have the words of ``hot`` and the masses of their arcs here."""
+    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 3]
+    names = [x.split()[0] for x in ANSWER.split(", ")]
+
+    def answered(held: list[dict]) -> pa.RecordBatch:
+        bucket = held[0]["bucket"]
+        firsts = [np.frombuffer(r["firsts"], np.uint64) for r in held]
+        sizes = [_unpacked(r["sizes"], np.uint32) for r in held]
+        v = np.concatenate([np.repeat(f, s) for f, s in zip(firsts, sizes)])
+        w = np.concatenate([np.frombuffer(r["seconds"], np.uint64) for r in held])
+        sent = np.concatenate([_unpacked(r["counts"], np.uint32) for r in held]).astype(np.int64)
+        order = np.lexsort((w, v))
+        new = np.append(True, (v[order[1:]] != v[order[:-1]]) | (w[order[1:]] != w[order[:-1]]))
+        group = np.cumsum(new) - 1
+        n = np.bincount(group, sent[order]).astype(np.int64)
+        known, of = np.unique(v[order[new]], return_inverse=True)
+        totals = np.bincount(of, n).astype(np.int64)
+        masses = np.bincount(of, np.where(n >= LEAST, n - DISCOUNT, 0.0))
+        counts = np.empty(len(v), np.int64)
+        counts[order] = n[group]
+        rows, a = [], 0
+        for row, own, size in zip(held, firsts, sizes):
+            b, at = a + int(size.sum()), np.searchsorted(known, own)
+            rows.append((row["block"], bucket, _packed(counts[a:b], np.uint32), _packed(totals[at], np.int64), _packed(masses[at], np.float64)))
+            a = b
+        few = np.isin(known, hot)
+        if few.any():
+            rows.append((-1, bucket, b"", known[few].tobytes(), masses[few].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and row["bucket"] != held[0]["bucket"]:
+                    yield answered(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield answered(held)
 
+    return answers
 
-SCORED = "id long, doc_id long, n_tokens long, n_known long, base double, score double, rare array<struct<h:long,n:long>>"
 
+def traverse(p: np.ndarray, follows: np.ndarray, arc: np.ndarray, total: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """Log10 of the probability of each token, given the state the one before left.
 
-def _score(words: Words, counts: np.ndarray, automaton_of):
-    """Local scores of rows (id, doc_id, text), and the words that are not frequent."""
-    logs = np.log10(counts + ADDED)
+    ``p`` are unigram probabilities of all tokens, ``follows`` the places of those that follow another; of these, ``arc`` is the count of
+    the bigram, ``total`` that of the word before as the state, ``mass`` what the arcs of the state hold. A token
+    without an arc takes the failure arc, weighted by what the arcs leave, and then its unigram.
+    """
+    out = p.copy()
+    lower, seen = p[follows], total > 0
+    count = np.where(seen, total, 1)
+    left = np.where(seen, 1 - mass / count, 1.0)
+    out[follows] = np.where(arc >= LEAST, (arc - DISCOUNT) / count, 0.0) + left * lower
+    return np.log10(out)
+
+
+SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _score(words: int, kinds: int, ends: int, discount: float, hot: np.ndarray, hot_counts: np.ndarray, hot_masses: np.ndarray, buckets: int):
+    """Scores of rows sorted by block: the answers of a block by bucket, and then its texts in the order they were asked for."""
+    base = math.log10(words + ADDED * (kinds + 1))
+    unknown = discount * kinds / words if words else 1.0
+
+    def scored_block(answers: list[dict], texts: list[dict]) -> pa.RecordBatch:
+        tokens, sizes = _tokens(pa.array([t["text"] for t in texts], pa.binary()))
+        found = Bigrams(tokens, sizes, hot, buckets)
+        counts, totals, masses = (
+            np.concatenate([_unpacked(a[name], kind) for a in answers] or [np.empty(0, kind)])
+            for name, kind in (("counts", np.uint32), ("totals", np.int64), ("masses", np.float64))
+        )
+        if len(counts) != len(found.v) or len(totals) != len(found.runs):
+            raise RuntimeError("a block has other texts than it had when it asked for its arcs")
+        # count and arcs of each word; every word but an end begins a bigram
+        count, mass = np.zeros(len(found.words), np.int64), np.zeros(len(found.words))
+        count[found.first[found.runs]], mass[found.first[found.runs]] = totals, masses
+        at = np.minimum(np.searchsorted(found.words, hot), max(len(found.words) - 1, 0))
+        there = found.words[at] == hot if len(found.words) else np.zeros(len(hot), bool)
+        count[at[there]], mass[at[there]] = hot_counts[there], hot_masses[there]
+        count[found.words == END] = ends
+        n = count[found.number]
+        p = np.where(n > 0, (n - discount) / max(words, 1), unknown)
+        before = found.number[found.places - 1]
+        steps = traverse(p, found.places, counts[found.rank[found.pair_of]].astype(np.int64), count[before], mass[before])
+        begin = np.cumsum(sizes) - sizes
+        sums = [np.add.reduceat(values, begin) for values in ((n > 0).astype(np.int64), np.log10(n + ADDED) - base, steps)]
+        columns = [pa.array([t["doc_id"] for t in texts], pa.int64()), pa.array(sizes), *[pa.array(x) for x in sums]]
+        return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCORED.split(", ")])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = automaton_of()
+        at, answers, texts = None, [], []
         for batch in batches:
-            out: list[list] = [[] for _ in range(4)]
-            rare_h, rare_n, rare_cuts = [], [], [0]
-            for _, _, data, cuts in grouped(batch.column(2)):
-                tokens, begins = token_hashes(data, cuts)
-                numbers = words.numbers(tokens)
-                for a, b in zip(begins[:-1].tolist(), begins[1:].tolist()):
-                    own = numbers[a:b]
-                    frequent = own >= 0
-                    h, n = np.unique(tokens[a:b][~frequent], return_counts=True)
-                    rare_h.append(h)
-                    rare_n.append(n)
-                    rare_cuts.append(rare_cuts[-1] + len(h))
-                    row = (b - a, int(frequent.sum()), float(logs[own[frequent]].sum()), automaton.traverse(own.tolist()))
-                    for column, value in zip(out, row):
-                        column.append(value)
-            flat = pa.StructArray.from_arrays(
-                [pa.array(np.concatenate([*rare_h, np.empty(0, np.uint64)]).view(np.int64)), pa.array(np.concatenate([*rare_n, np.empty(0, np.int64)]).astype(np.int64))],
-                names=["h", "n"],
-            )
-            rare = pa.ListArray.from_arrays(pa.array(rare_cuts, pa.int32()), flat)
-            numbers_of = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *numbers_of, rare], names=["id", "doc_id", "n_tokens", "n_known", "base", "score", "rare"])
+            for row in batch.to_pylist():
+                if row["block"] != at:
+                    if texts:
+                        yield scored_block(answers, texts)
+                    at, answers, texts = row["block"], [], []
+                (texts if row["kind"] else answers).append(row)
+        if texts:
+            yield scored_block(answers, texts)
 
     return scored
 
 
+def _comes_again(docs: DataFrame) -> bool:
+    """Whether a second evaluation gives the rows in the same partitions and order: only scans, filters and projections."""
+    plan = docs._jdf.queryExecution().sparkPlan().toString()
+    return not re.search("Exchange|Aggregate|Join|Sort|Python|Arrow|Pandas|Limit|Existing|Window|Generate|Union", plan)
+
+
 def scores(docs: DataFrame, training: str) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs`` (doc_id, text).
 
     ``training`` is a boolean SQL expression over docs: the rows the model learns from. A null text counts as an empty one,
     which is one end token. Repeated rows are counted and scored each. Without training rows every count is
-    zero, and both scores are those of a model that knows only the unknown word.
+    zero, and both scores are those of a model that knows only the unknown word. Extra columns are not read but for ``training``; an
+    empty table gives no row. ``docs`` is read several times; what may come in another order each time is stored first.
     """
     spark = docs.sparkSession
     prepared(spark)
-    learned = docs.filter(training).select(text_bytes().alias("text"))
-    unigrams = stored(learned.mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "unigrams")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"), F.coalesce(F.expr(training), F.lit(False)).alias("learn"))
+    if not _comes_again(rows):
+        rows = stored(rows, "texts")
+    unigrams = stored(rows.filter("learn").select("text").mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "unigrams")
     once, twice = (F.sum((F.col("n") == k).cast("long")) for k in (1, 2))
-    total, kinds, n1, n2 = (x or 0 for x in unigrams.agg(F.sum("n"), F.count("*"), once, twice).first())
+    end = F.sum(F.when(F.col("h") == int(END.view(np.int64)), F.col("n")))
+    total, kinds, n1, n2, ends = (x or 0 for x in unigrams.agg(F.sum("n"), F.count("*"), once, twice, end).first())
     discount = n1 / (n1 + 2 * n2) if n2 else DISCOUNT
-    # at most WORD_SHARE words have so many of the tokens
-    frequent = unigrams.filter(F.col("n") * WORD_SHARE >= max(total, 1)).toArrow()
-    hashes = frequent.column("h").to_numpy().view(np.uint64)
-    by = np.argsort(hashes)
-    words, counts = Words(hashes), frequent.column("n").to_numpy()[by]
-    bigrams, trigrams = _arcs(learned, words, total)
-    unknown = discount * kinds / total if total else 1.0
-
-    def automaton_of() -> Automaton:
-        return Automaton((counts - discount) / max(total, 1), counts, bigrams, trigrams)
-
-    rows = docs.select(F.monotonically_increasing_id().alias("id"), F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    # written, so that the ids stay
-    local = stored(rows.mapInArrow(_score(words, counts, automaton_of), SCORED), "scored")
-    rare = local.select("id", F.explode("rare").alias("r")).select("id", "r.h", F.col("r.n").alias("times"))
-    infrequent = unigrams.filter(F.col("n") * WORD_SHARE < max(total, 1))
-    n = F.coalesce("n", F.lit(0))
-    p = F.when(n > 0, (n - F.lit(discount)) / max(total, 1)).otherwise(F.lit(unknown))
-    sums = rare.join(infrequent, "h", "left").groupBy("id").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("k"),
-        F.sum(F.col("times") * F.log10(n + ADDED)).alias("b"),
-        F.sum(F.col("times") * F.log10(p)).alias("s"),
-    )
-    joined = local.drop("rare").join(sums, "id", "left")
-    each = math.log10(total + ADDED * (kinds + 1))
-    return joined.select(
-        "doc_id",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("b", F.lit(0.0)) - F.col("n_tokens") * F.lit(each)).alias("base_score"),
-        (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score"),
-    )
-
-
-def _arcs(learned: DataFrame, words: Words, total: int) -> tuple[dict[int, int], dict[int, int]]:
-    """Counts of the frequent bigrams and trigrams by key, at most ``ARC_SHARE`` of each order."""
-    candidates = stored(learned.mapInArrow(_candidates(words, ARC_SHARE), "o long, key long").distinct(), "candidates")
-    bits = bitmap(_hashed(candidates))
-    counted = learned.mapInArrow(_count_candidates(words, bits), "o long, key long, n long")
-    counted = counted.groupBy("o", "key").agg(F.sum("n").alias("n"))
-    found = counted.filter((F.col("n") > 1) & (F.col("n") * ARC_SHARE >= total)).toArrow()
-    keys, n = found.column("key").to_pylist(), found.column("n").to_pylist()
-    out: tuple[dict[int, int], dict[int, int]] = ({}, {})
-    for o, key, count in zip(found.column("o").to_pylist(), keys, n):
-        out[o - 2][key] = count
-    # a trigram's context is at least as frequent, unless it ends a text, where no word follows
-    return out
+    # at most SHARE words have so many of the tokens
+    few = unigrams.filter((F.col("n") * SHARE >= total) & (F.col("h") != int(END.view(np.int64)))).toArrow()
+    hot = few.column("h").to_numpy().view(np.uint64)
+    by = np.argsort(hot)
+    hot, hot_counts = hot[by], few.column("n").to_numpy()[by]
+
+    per_row = 1 << max(0, min(20, int(math.log2(PIECE * max(ends, 1) / max(total, 1)))))
+    buckets = max(16, math.ceil(total / BUCKET))
+    numbered = rows.withColumn("id", F.monotonically_increasing_id()).withColumn("block", F.expr(f"id div {per_row}"))
+    asked = numbered.select("block", "learn", "text").mapInArrow(_ask(hot, buckets), REQUEST)
+    sent = asked.repartition("bucket").sortWithinPartitions("bucket")
+    answers = stored(sent.mapInArrow(_answer(hot), ANSWER), "answers")
+    hot_masses = np.zeros(len(hot))
+    # one row of at most SHARE words for each bucket
+    for row in answers.filter("block = -1").select("totals", "masses").toLocalIterator():
+        np.add.at(hot_masses, np.searchsorted(hot, np.frombuffer(row.totals, np.uint64)), np.frombuffer(row.masses, np.float64))
+
+    answered = answers.filter("block >= 0").select("block", F.lit(0).alias("kind"), F.col("bucket").cast("long").alias("place"), "counts", "totals", "masses")
+    texts = numbered.select("block", F.lit(1).alias("kind"), F.col("id").alias("place"), "doc_id", "text")
+    met = answered.unionByName(texts, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind", "place")
+    found = met.mapInArrow(_score(total, kinds, ends, discount, hot, hot_counts, hot_masses, buckets), SCORED)
+    return found.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -85,9 +85,42 @@ def test_repeats_awkward_rows(spark):
     assert without_repeats(df.limit(0)).count() == 0
 
 
-def test_base_scores_equal_the_formula(spark):
-    rng = random.Random(8)
-    words = ["the", "of", "and", "Über", "x y", "Z"] + [f"w{i}" for i in range(300)]
+class PlainAutomaton:
+    """States, arcs and failure arcs as dictionaries, walked token by token."""
+
+    def __init__(self, texts):
+        self.words = Counter(w for t in texts for w in t)
+        pairs = Counter(p for t in texts for p in zip(t, t[1:]))
+        self.total, self.kinds = sum(self.words.values()), len(self.words)
+        once, twice = (sum(n == k for n in self.words.values()) for k in (1, 2))
+        self.discount = once / (once + 2 * twice) if twice else lm.DISCOUNT
+        self.arcs, self.failure = {}, {}
+        for (v, w), n in pairs.items():
+            if n >= 2:
+                self.arcs.setdefault(v, {})[w] = n
+        for v, arcs in self.arcs.items():
+            self.failure[v] = 1 - sum(n - lm.DISCOUNT for n in arcs.values()) / self.words[v]
+
+    def unigram(self, w):
+        n = self.words[w]
+        return (n - self.discount) / self.total if n else self.discount * self.kinds / self.total
+
+    def step(self, state, w):
+        if w in self.arcs.get(state, {}):
+            return (self.arcs[state][w] - lm.DISCOUNT) / self.words[state] + self.failure[state] * self.unigram(w)
+        return self.failure.get(state, 1.0) * self.unigram(w)
+
+    def score(self, text):
+        total, state = 0.0, "no word"
+        for w in text:
+            total += math.log10(self.step(state, w))
+            state = w
+        return total
+
+
+def lm_corpus(n=200, seed=8):
+    rng = random.Random(seed)
+    words = ["the", "of", "and", "Über", "x y", "Z"] + [f"w{i}" for i in range(300)]
 
     def text(n):
         """Most words have a usual follower."""
@@ -96,47 +129,56 @@ def test_base_scores_equal_the_formula(spark):
             out.append((out[-1] * 7 + 1) % len(words) if rng.random() < 0.7 else rng.randrange(len(words)))
         return rng.choice([" ", "\t", "\n "]).join(words[k] for k in out[:n])
 
-    docs = [(i, None if i % 17 == 0 else text(rng.randrange(60))) for i in range(200)]
-    tokens = {i: [*(t or "").encode().lower().split(), None] for i, t in docs}
-    counts = Counter(w for i, ts in tokens.items() if zlib.crc32(str(i).encode()) % 10 for w in ts)
-    total, kinds = sum(counts.values()), len(counts)
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    held = {True: [0.0, 0.0], False: [0.0, 0.0]}
-    for r in lm.scores(df, "crc32(cast(doc_id as string)) % 10 <> 0").collect():
-        own = tokens[r.doc_id]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(counts[w] > 0 for w in own), total)
-        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in own), rel_tol=1e-9)
-        assert r.score <= 0
-        pair = held[zlib.crc32(str(r.doc_id).encode()) % 10 == 0]
-        pair[0] += r.base_score
-        pair[1] += r.score
-    assert held[True][1] > held[True][0]
-
-
-def test_automaton_is_a_distribution_and_backs_off():
-    unigrams, counts = np.array([0.4, 0.3, 0.2, 0.05]), np.array([40, 30, 20, 5])  # the rest is the unknown word
-    bigrams, trigrams = {0 << 20 | 1: 20, 0 << 20 | 2: 5, 1 << 20 | 0: 12}, {(0 << 20 | 1) << 20 | 2: 9, (0 << 20 | 1) << 20 | 0: 4}
-    automaton = lm.Automaton(unigrams, counts, bigrams, trigrams)
-    for context in ([], [0], [1], [2], [0, 1], [1, 0], [2, 3], [3, 0, 1]):
-        known = sum(10 ** (automaton.traverse([*context, w]) - automaton.traverse(context)) for w in range(4))
-        unknown = 0.05 * 10 ** (automaton.traverse([*context, -1]) - automaton.traverse(context))
-        assert math.isclose(known + unknown, 1.0, rel_tol=1e-9), context
-    assert math.isclose(10 ** (automaton.traverse([0, 1, 2]) - automaton.traverse([0, 1])), (9 - lm.DISCOUNT) / 20)
-
-
-def test_frequent_ngrams_are_counted_exactly(spark):
-    rng = random.Random(9)
-    docs = [(i, " ".join(rng.choice("abc") for _ in range(50))) for i in range(40)]
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    found = df.selectExpr("cast(text as binary) as text")
-    hashes, _ = lm.token_hashes(np.frombuffer(b"a b c", np.uint8), np.array([0, 5]))
-    words = lm.Words(hashes)
-    bigrams, trigrams = lm._arcs(found, words, 40 * 51)
-    number = {w: int(words.numbers(hashes)[k]) for k, w in enumerate(["a", "b", "c", None])}
-    expected = Counter(tuple(t[k : k + n]) for _, text in docs for t in [[*text.split(), None]] for n in (2, 3) for k in range(len(t) - n + 1))
-    keys = {key: n for key, n in [*((k, v) for k, v in bigrams.items())]}
-    assert keys == {number[a] << 20 | number[b]: n for (a, b), n in ((g, n) for g, n in expected.items() if len(g) == 2) if n > 1}
-    assert len(trigrams) == sum(len(g) == 3 and n > 1 for g, n in expected.items())
+    return [(i, None if i % 17 == 0 else text(rng.randrange(60))) for i in range(n)]
+
+
+def lower(text):
+    return "".join(c.lower() if c < "\x80" else c for c in text or "")
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_scores_equal_a_plain_automaton(spark, small, monkeypatch):
+    """Small blocks and buckets, and with them most words dealt out by both words of their bigrams."""
+    if small:
+        monkeypatch.setattr(lm, "PIECE", 300)
+        monkeypatch.setattr(lm, "BUCKET", 50)
+    else:
+        monkeypatch.setattr(lm, "SHARE", 20)
+    docs = lm_corpus() + [(1000, "the the the the"), (1000, "the the the the"), (None, "of and of and"), (1001, "never seen before")]
+    tokens = [(i, [*lower(t).split(), None]) for i, t in docs]
+    learned = [ts for i, ts in tokens if i is not None and zlib.crc32(str(i).encode()) % 10]
+    model = PlainAutomaton(learned)
+    expected = Counter()
+    for i, ts in tokens:
+        base = sum(math.log10((model.words[w] + 0.1) / (model.total + 0.1 * (model.kinds + 1))) for w in ts)
+        expected[i, len(ts), sum(model.words[w] > 0 for w in ts), model.total, round(base, 7), round(model.score(ts), 7)] += 1
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = lm.scores(df, "crc32(cast(doc_id as string)) % 10 <> 0").collect()
+    assert Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 7), round(r.score, 7)) for r in found) == expected
+    held = [r for r in found if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 10 == 0]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_the_automaton_is_a_distribution():
+    model = PlainAutomaton([["a", "b", "a", "b", "c", None], ["b", "a", "b", "a", None], ["c", "d", None]])
+    for state in ("a", "b", "c", "d", "no word"):
+        assert math.isclose(sum(model.step(state, w) for w in [*model.words, "unseen"]), 1.0, rel_tol=1e-9)
+
+
+def test_arcs_grow_with_the_corpus(spark, monkeypatch):
+    """Nothing is dropped as the corpus grows: ten times the texts ask for and get all their bigrams."""
+    monkeypatch.setattr(lm, "PIECE", 4000)
+    sizes = []
+    for n in (100, 1000):
+        docs = spark.createDataFrame(lm_corpus(n), "doc_id long, text string")
+        rows = docs.selectExpr("0L as block", "true as learn", "cast(coalesce(text, '') as binary) as text").coalesce(1)
+        asked = rows.mapInArrow(lm._ask(np.empty(0, np.uint64), 4), lm.REQUEST).sortWithinPartitions("bucket").coalesce(1)
+        answers = asked.mapInArrow(lm._answer(np.empty(0, np.uint64)), lm.ANSWER).collect()
+        counts = np.concatenate([lm._unpacked(r.counts, np.uint32) for r in answers])
+        pairs = Counter(p for _, t in lm_corpus(n) for ts in [[*lower(t).split(), None]] for p in zip(ts, ts[1:]))
+        assert sorted(counts.tolist()) == sorted(pairs.values())
+        sizes.append(int((counts >= lm.LEAST).sum()))
+    assert sizes[1] > 2 * sizes[0]
 
 
 def test_lm_awkward_rows(spark):
