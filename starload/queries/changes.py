@@ -14,7 +14,10 @@ from starload.operators.changes import (
     change_counts, change_feed, classify, difference, mirror, rows_to_delete, rows_to_insert, rows_to_update, upsert, upsert_sql,
 )
 from starload.operators.numbering import even_batches, exact_batches
+from starload.operators.replay import numbered_feed, replay, replayable, visible
+from starload.plans.bucketed import merge_bucketed, write_bucketed
 from starload.queries.registry import query, table
+from starload.session import scratch_dir
 
 KEYS = ["l_orderkey"]
 
@@ -134,6 +137,38 @@ def _feed(spark, folder):
     return change_feed(classify(*versions(spark, folder), KEYS), KEYS, delete=True)
 
 
+@query("feed_replay", _UPSERT_SQL)
+def _feed_replay(spark, folder):
+    """The feed of an upsert, applied to the old version twice."""
+    old, new = versions(spark, folder)
+    feed = numbered_feed(change_feed(classify(old, new, KEYS), KEYS), 1)
+    return visible(replay(replay(replayable(old), [feed], KEYS), [feed], KEYS))
+
+
+_LAST_SQL = _version_sql("l_shipdate >= timestamp '1998-06-01' and l_linenumber < 5")
+
+
+@query("feed_replay_late", _LAST_SQL)
+def _feed_replay_late(spark, folder):
+    """Three versions, two feeds with deletes; the later feed arrives first, the earlier one late and twice."""
+    old, new = versions(spark, folder)
+    last = _summary(table(spark, folder, "lineitem").filter("l_shipdate >= timestamp '1998-06-01' and l_linenumber < 5"))
+    first, second = (
+        numbered_feed(change_feed(classify(a, b, KEYS), KEYS, delete=True), seq) for seq, a, b in ((1, old, new), (2, new, last))
+    )
+    state = replay(replayable(old), [second], KEYS)
+    return visible(replay(replay(state, [first], KEYS), [first, second], KEYS))
+
+
+@query("upsert_bucketed", f"{_UPSERT_SQL}")
+def _upsert_bucketed(spark, folder):
+    """The old version as a stored table bucketed by its key; the merge shuffles the new one alone."""
+    root = scratch_dir(spark, "upsert_bucketed")
+    name = f"upsert_{root.rsplit('-', 1)[-1]}"
+    old, new = versions(spark, folder)
+    write_bucketed(old, name, KEYS, root)
+    return merge_bucketed(new, name, KEYS, root)
+
 
 @query(
     "batches",

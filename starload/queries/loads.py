@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.functions.columns import MONEY
-from starload.functions.suffix import suffix_udf, with_suffix
+from starload.functions.suffix import create_suffix_function, suffix_udf, with_suffix
 from starload.operators.quality import (
     key_violations, max_lengths, null_counts, orphans, rejected_dates, too_long,
 )
@@ -288,7 +288,7 @@ def _rejected(spark, folder):
 
 @query(
     "udf_suffix",
-    """select c_custkey, label as by_udf, label as by_expression from (
+    """select c_custkey, label as by_udf, label as by_expression, label as by_sql from (
       select c_custkey, case when c_mktsegment in ('BUILDING', 'MACHINERY') then c_mktsegment
         else c_mktsegment || 'abc' end as label from customer) c where label <> 'BUILDING'""",
 )
@@ -298,6 +298,7 @@ def _udf(spark, folder):
         "c_custkey",
         suffix_udf(keep, "abc")(label).alias("by_udf"),
         with_suffix(label, keep, "abc").alias("by_expression"),
+        F.expr(f"{create_suffix_function(spark)}(c_mktsegment, array('BUILDING', 'MACHINERY'), 'abc')").alias("by_sql"),
     )
     return both.filter("by_expression != 'BUILDING'")
 

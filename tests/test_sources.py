@@ -15,7 +15,7 @@ from starload.sources.files import set_aside_corrupt
 from starload.sources.landing import land_json, read_landed
 from starload.sources.paged import Limits, page_records, read_pages, request_plan, request_url
 from starload.functions.spines import date_spine, literal_spine, year_spine
-from starload.functions.suffix import suffix_udf, with_suffix
+from starload.functions.suffix import create_suffix_function, suffix_udf, with_suffix
 
 # the fetchers below travel by value, workers cannot import this file
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -238,10 +238,20 @@ def test_jdbc_options():
 
 
 def test_suffix(spark):
-    df = spark.createDataFrame([("Social",), ("Roads",)], "d string")
-    both = df.select(with_suffix(F.col("d"), ["Social"], "abc"), suffix_udf(["Social"], "abc")("d"))
-    assert rows(both) == [("Roadsabc", "Roadsabc"), ("Social", "Social")]
+    sql = create_suffix_function(spark)
+    df = spark.createDataFrame([("Social",), ("Roads",), ("",), ("é",)], "d string")
+    every = [with_suffix(F.col("d"), ["Social"], "abc"), suffix_udf(["Social"], "abc")("d"), F.expr(f"{sql}(d, array('Social'), 'abc')")]
+    assert rows(df.select(*every)) == sorted([(x, x, x) for x in ("Roadsabc", "Social", "abc", "éabc")])
+    assert rows(df.select(suffix_udf([], "x")("d"))) == [("Roadsx",), ("Socialx",), ("x",), ("éx",)]
+    plan = df.select(every[2])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
     null = spark.createDataFrame([(None,)], "d string")
-    assert rows(null.select(with_suffix(F.col("d"), ["x"], "abc"))) == [(None,)]
+    assert rows(null.select(every[0], every[2])) == [(None, None)]
     with pytest.raises(Exception, match="NoneType"):
         null.select(suffix_udf(["x"], "abc")("d")).collect()
+
+
+def test_the_udf_is_called_for_arrays_of_rows(spark, tmp_path):
+    """As many calls as Arrow batches, not as rows."""
+    plan = spark.range(10).select(suffix_udf(["1"], "abc")(F.col("id").cast("string")))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
