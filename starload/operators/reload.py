@@ -20,8 +20,12 @@ def delete_window(df: DataFrame, day: str, window: Window) -> DataFrame:
 
 
 def doomed_keys(parent: DataFrame, key: str, condition: Column) -> DataFrame:
-    """Distinct keys of the parents that meet the condition."""
-    return parent.filter(is_true(condition)).select(key).distinct()
+    """Keys of the parents that meet the condition, once for each such row.
+
+    A plain filter over a scan: the condition reaches the files, and a semi join with these keys lets Spark drop the rows of
+    other keys by a Bloom filter of them before it shuffles the larger side.
+    """
+    return parent.filter(condition).select(key)
 
 
 def delete_by_parent(child: DataFrame, parent: DataFrame, key: str, condition: Column) -> DataFrame:
@@ -29,7 +33,7 @@ def delete_by_parent(child: DataFrame, parent: DataFrame, key: str, condition: C
 
     Parents are cut to the distinct keys of the rows to delete before the join.
     """
-    return child.join(doomed_keys(parent, key, condition), key, "left_anti")
+    return child.join(doomed_keys(parent, key, condition).distinct(), key, "left_anti")
 
 
 def reload_window(target: DataFrame, fresh: DataFrame, day: str, window: Window) -> DataFrame:

@@ -133,6 +133,7 @@ def replace_by_key(fresh: DataFrame, path: str, doomed: DataFrame, key: str, day
     dated = with_period(fresh, day, grain)
     stored = spark.read.schema(dated.schema).parquet(path)
     held = stored.select(key, PERIOD).join(doomed, key, "left_semi").select(PERIOD)
+    doomed = doomed.distinct()
     # one value per period concerned reaches the driver
     periods = [row[0] for row in held.union(dated.select(PERIOD)).distinct().collect()]
     if periods:

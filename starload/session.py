@@ -13,6 +13,8 @@ SETTINGS = {
     # a join whose output feeds an aggregation is still split when one partition is skewed
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # a semi join with few keys filters a scan of this size or more before its shuffle
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "256m",
     "spark.ui.enabled": "false",
     # do not capture the Python call site of every column expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -32,7 +34,7 @@ def build_session(app: str = "starload", master: str | None = None, **conf: str)
 def adaptive(spark: SparkSession) -> SparkSession:
     """Put the settings that may change at run time on a session made elsewhere."""
     for key, value in SETTINGS.items():
-        if key.startswith("spark.sql.adaptive."):
+        if key.startswith(("spark.sql.adaptive.", "spark.sql.optimizer.runtime.")):
             spark.conf.set(key, value)
     return spark
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starload.functions.spines import legacy_delete_window, trailing_window
 from starload.operators.dedupe import keep_first
 from starload.operators.reload import (
-    delete_by_parent, delete_where, delete_window, overwrite_partitions, reload_by_parent, reload_window,
+    delete_by_parent, delete_where, delete_window, doomed_keys, overwrite_partitions, reload_by_parent, reload_window,
 )
 from starload.plans.snapshots import (
     complete_versions, drop_old_versions, read_snapshot, remove_copies, replace_window, with_period, write_snapshot,
@@ -107,6 +107,25 @@ def test_copies_are_removed_in_place(spark, tmp_path):
     assert rows(read_snapshot(spark, f"{root}x"), "k", "v", "f") == rows(filed.distinct(), "k", "v", "f")
 
 
+def test_rows_of_other_keys_are_dropped_before_the_shuffle(spark, tmp_path):
+    """The keys of the parents to delete become a Bloom filter over the scan of the children."""
+    threshold, size = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = {key: spark.conf.get(key) for key in (threshold, size)}
+    spark.range(20_000).selectExpr("cast(id as string) as k", "cast(id % 9 as int) as periodo").write.partitionBy("periodo").parquet(str(tmp_path / "c"))
+    spark.range(20_000).selectExpr("cast(id as string) as k", "if(id % 1000 = 0, 'PR', 'SC') as uf").write.parquet(str(tmp_path / "p"))
+    try:
+        for key, value in ((threshold, "-1"), (size, "0")):
+            spark.conf.set(key, value)
+        child, parent = spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "p"))
+        held = child.join(doomed_keys(parent, "k", F.col("uf").isin("PR", "XX")), "k", "left_semi")
+        assert held.count() == 20
+        plan = held._jdf.queryExecution().executedPlan().toString()
+        assert "might_contain" in plan and "bloom_filter_agg" in plan and "In(uf, [PR,XX])" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_unfinished_version_is_not_read(spark, tmp_path):
     root = str(tmp_path / "t")
     assert read_snapshot(spark, root) is None
