@@ -14,9 +14,9 @@ HEX_DIGITS = 3
 
 
 def bucket_digits(spark: SparkSession) -> int:
-    """Digits that give several buckets for each shuffle partition of the session."""
+    """Digits that give two buckets or more for each shuffle partition of the session, and fewer than 32."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(HEX_DIGITS, math.ceil(math.log(8 * partitions, 16)))
+    return max(HEX_DIGITS, math.ceil(math.log(2 * partitions, 16)))
 
 
 def key_digest(keys: list[str]) -> Column:

@@ -113,7 +113,7 @@ def replace_window(fresh: DataFrame, root: str, day: str, window: Window, grain:
 
 
 def add_missing(dated: DataFrame, path: str) -> None:
-    """Append the rows that their periods do not hold yet."""
+    """Append the rows that their periods do not hold yet; rows alike in every column count as one, so repeating adds nothing."""
     # one value per period reaches the driver
     periods = [row[0] for row in dated.select(PERIOD).distinct().collect()]
     if periods:

@@ -28,9 +28,10 @@ from starload.plans.snapshots import (
     PERIOD, add_missing, changed_rows, drop_old_versions, merge_periods, newest, periods_of, read_periods, read_snapshot, remove_copies,
     replace_by_key, replace_window, with_period, write_snapshot,
 )
-from starload.schemas import EXECUTION_TABLE, LINEAGE, PARENT_TABLE
+from starload.schemas import EXECUTION_LANDING, EXECUTION_TABLE, LINEAGE, PARENT_TABLE
 from starload.session import adaptive
-from starload.sources.folders import remove
+from starload.sources.files import file_lineage, read_chosen_json
+from starload.sources.folders import matching, remove
 
 Tables = dict[str, DataFrame]
 FACTS = [MAIN_FACT, FUNDING_FACT, *[bridge.table for bridge in BRIDGES]]
@@ -94,11 +95,12 @@ class Warehouse:
 
     Staging is partitioned by the period of its registration date (``grain``), execution
     rows by their source file, the project dimension and the facts by the period of their project, so that a reload rewrites
-    only what it replaces. ``measures`` counts violations and changes as tables are written.
+    only what it replaces. ``measures`` counts violations and changes as tables are written. With ``enforce`` rows of a
+    dimension or fact that lack a required value or are too long fail the load before the table has them.
     """
 
-    def __init__(self, spark: SparkSession, root: str, grain: str = "month"):
-        self.spark, self.root, self.grain = adaptive(spark), root.rstrip("/"), grain
+    def __init__(self, spark: SparkSession, root: str, grain: str = "month", enforce: bool = False):
+        self.spark, self.root, self.grain, self.enforce = adaptive(spark), root.rstrip("/"), grain, enforce
         self.measures = Measures(spark)
 
     def place(self, table: str) -> str:
@@ -116,7 +118,15 @@ class Warehouse:
         day = next((name for name in DAY_COLUMNS if name in df.columns), None)
         if day is not None:
             df = with_period(df, day, self.grain)
-        return write_snapshot(df, self.place(table), PERIOD if PERIOD in df.columns else None)
+        written = write_snapshot(df, self.place(table), PERIOD if PERIOD in df.columns else None)
+        if self.enforce and table not in STAGING:
+            try:
+                self.measures.require_none(table)
+            except ValueError:
+                # the version before is in force again
+                remove(self.spark, newest(self.spark, self.place(table)))
+                raise
+        return written
 
     def _sliced(self, table: str) -> str | None:
         """Path of the newest version of a table, if it is one of periods."""
@@ -131,11 +141,17 @@ class Warehouse:
         path = self._sliced(table)
         return read_periods(self.spark, path, periods_of(self.spark, path, key, among)).join(among, key, "left_semi")
 
-    def _changes(self, table: str, delta: DataFrame) -> DataFrame:
-        """Changed rows, stored and counted: what is merged is neither computed twice nor read from what it replaces."""
+    def _changes(self, table: str, delta: DataFrame, unset: str | None = None) -> DataFrame:
+        """Changed rows, stored and counted: what is merged is neither computed twice nor read from what it replaces.
+
+        ``unset`` is a column that new rows get later.
+        """
         checks = {(table, "change", op): F.count_if(F.col(OP) == op) for op in (INSERT, UPDATE)}
-        delta = self.measures.watch(delta, {**checks, **row_checks(table, delta.columns)})
-        return write_snapshot(delta, f"{self.root}/changes/{table}", keep_period=True)
+        delta = self.measures.watch(delta, {**checks, **row_checks(table, [name for name in delta.columns if name != unset])})
+        stored = write_snapshot(delta, f"{self.root}/changes/{table}", keep_period=True)
+        if self.enforce:
+            self.measures.require_none(table)
+        return stored
 
     def replace_all(self, tables: Tables) -> Tables:
         return each(self.spark, {name: lambda n=name, d=df: self.replace(n, d) for name, df in tables.items()})
@@ -192,7 +208,7 @@ class Warehouse:
             before = self.rows_of(PROJECT.table, PROJECT.nk, touched.withColumnRenamed("idunico", PROJECT.nk))
         known = before.select(PROJECT.nk, PROJECT.sk)
         now = with_period(found.join(known, PROJECT.nk, "left"), "data_projeto", self.grain)
-        delta = self._changes(PROJECT.table, changed_rows(before.select(*now.columns), now, [PROJECT.nk]))
+        delta = self._changes(PROJECT.table, changed_rows(before.select(*now.columns), now, [PROJECT.nk]), PROJECT.sk)
         added = delta.filter(F.col(OP) == INSERT).drop(PROJECT.sk)
         if not added.isEmpty():
             numbered = assign_surrogates(added, PROJECT.nk, PROJECT.sk, self.current(PROJECT.table).select(PROJECT.sk))
@@ -433,6 +449,18 @@ def run_by_date(
     return built
 
 
+def load_execution(spark: SparkSession, folder: str, years: list, skip_missing: bool = False) -> DataFrame:
+    """Execution rows of the landed files ``<year>.json``, with the year they came from as their lineage.
+
+    A year that was never landed is an error unless ``skip_missing``; a file without a record gives no row, so that a
+    reload by these years empties it.
+    """
+    absent = [year for year in years if not matching(spark, f"{folder}/{year}.json")]
+    if absent and not skip_missing:
+        raise FileNotFoundError(f"no landed file for the years {absent} below {folder}")
+    return read_chosen_json(spark, folder, years, EXECUTION_LANDING).withColumn(LINEAGE, file_lineage())
+
+
 def load_report(nested: DataFrame, root: str) -> DataFrame:
     """(check, name, rows): what a load leaves out: texts that are no dates, and rows without a natural key.
 

@@ -12,7 +12,7 @@ from starload.plans.constraints import FOREIGN_KEYS, PRIMARY_KEYS, check_tables
 from starload.plans.dimensions import BY_TABLE, DIMENSIONS, load_dimension, members
 from starload.plans.facts import BRIDGES, bridge_fact, funding_fact, project_fact, unique_funding
 from starload.plans.snapshots import complete_versions
-from starload.plans.warehouse import Warehouse, load_report, load_staging, run_by_date, run_by_state
+from starload.plans.warehouse import Warehouse, load_execution, load_report, load_staging, run_by_date, run_by_state
 from starload.sources.landing import land_json
 from starload.session import adaptive
 from starload.streaming.landing import append_landed
@@ -358,6 +358,42 @@ def test_writes_count_violations_and_changes_on_their_way(spark, tmp_path):
     assert len(report) > 100
 
 
+def test_violations_fail_an_enforcing_load_before_the_table_has_them(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"), enforce=True)
+    run_by_date(warehouse, nested(spark, project("A")), execution(spark), TODAY, 7)
+    for wrong, table in ((project("B", especie="x" * 51), "dim_projeto_investimento"), (project("B", eixos=[{"id": 5, "descricao": None}]), "dim_eixo")):
+        with pytest.raises(ValueError, match=table):
+            run_by_date(warehouse, nested(spark, project("A"), wrong), execution(spark), TODAY, 7)
+        assert warehouse.current(table).count() == 1
+    built = run_by_date(warehouse, nested(spark, project("A"), project("B", eixos=[{"id": 5, "descricao": "five"}])), execution(spark), TODAY, 7)
+    assert built["dim_eixo"].count() == 2 and built["fact_projeto_investimento"].count() == 2
+    first = Warehouse(spark, str(tmp_path / "first"), enforce=True)
+    with pytest.raises(ValueError, match="dim_projeto_investimento"):
+        run_by_date(first, nested(spark, project("A", especie="x" * 51)), execution(spark), TODAY, 7)
+    assert first.current("dim_projeto_investimento") is None
+
+
+def test_execution_rows_come_from_their_year_files(spark, tmp_path):
+    folder = tmp_path / "execution"
+    folder.mkdir()
+    (folder / "2023.json").write_text('{"idProjetoInvestimento": "A", "valorEmpenho": 2.5, "nomeFavorecido": "x"}\n{"idProjetoInvestimento": "B", "valorEmpenho": 1}\n')
+    (folder / "2024.json").write_text('[{"idProjetoInvestimento": "A", "valorEmpenho": 4.0}]')
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    both = load_execution(spark, str(folder), [2023, 2024])
+    run_by_date(warehouse, nested(spark, project("A"), project("B")), both, TODAY, 7, years=[2023, 2024])
+    fact = {r.sk_projeto_investimento: r.valor_execucao for r in warehouse.current("fact_projeto_investimento").collect()}
+    assert sorted(fact.values()) == [1.0, 6.5]
+    (folder / "2023.json").write_text("[]")
+    again = load_execution(spark, str(folder), [2023])
+    run_by_date(warehouse, nested(spark, project("A"), project("B")), again, TODAY, 7, years=[2023])
+    assert rows(warehouse.current(EXECUTION_TABLE), "idProjetoInvestimento", "nomearquivo") == [("A", "2024")]
+    fact = {r.sk_projeto_investimento: r.valor_execucao for r in warehouse.current("fact_projeto_investimento").collect()}
+    assert sorted(fact.values()) == [0.0, 4.0]
+    with pytest.raises(FileNotFoundError, match="2025"):
+        load_execution(spark, str(folder), [2024, 2025])
+    assert load_execution(spark, str(folder), [2024, 2025], skip_missing=True).count() == 1
+
+
 def test_load_report_counts_what_is_left_out(spark, tmp_path):
     records = nested(spark, project("A", dataSituacao="2024-13-01", uf=None), project("B"))
     report = {(r.check, r.name): r.rows for r in load_report(records, str(tmp_path)).collect()}
