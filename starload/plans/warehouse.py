@@ -20,7 +20,7 @@ from starload.operators.numbering import assign_surrogates
 from starload.operators.reload import doomed_keys, overwrite_partitions
 from starload.plans.dimensions import DIMENSIONS, load_dimension, members
 from starload.plans.facts import (
-    BRIDGES, FUNDING, FUNDING_FACT, MAIN_FACT, PROJECT, bridge_fact, funding_fact, load_fact, project_fact, unique_funding,
+    BRIDGES, FUNDING, FUNDING_FACT, FUNDING_TABLE, MAIN_FACT, PROJECT, bridge_fact, funding_fact, load_fact, project_fact, unique_funding,
 )
 from starload.plans.ledger import Ledger
 from starload.plans.measures import Measures, landing_checks, row_checks
@@ -53,7 +53,7 @@ STAGING = [*CHILD_TABLES, PARENT_TABLE, EXECUTION_TABLE]
 DAY_COLUMNS = ("datacadastro", "data_projeto")
 
 
-def each(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]], at_once: int = 4) -> Tables:
+def each(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]], at_once: int = 8) -> Tables:
     """Run independent writes, a few at a time so that small ones fill the cluster together."""
     with ThreadPoolExecutor(at_once) as pool:
         started = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
@@ -233,7 +233,8 @@ class Warehouse:
             held = None
         else:
             keys = touched.select("idunico").distinct()
-            staged = {name: self.rows_of(name, "idunico", keys).drop(PERIOD) for name in [*CHILD_TABLES, PARENT_TABLE] if name in tables}
+            read = {name for name in [PARENT_TABLE, FUNDING_TABLE, *[bridge.source for bridge in BRIDGES]] if name in tables}
+            staged = each(self.spark, {name: lambda n=name: self.rows_of(n, "idunico", keys).drop(PERIOD) for name in read})
             spent = F.col("idProjetoInvestimento")
             booked = tables[EXECUTION_TABLE].join(keys.select(F.col("idunico").alias("idProjetoInvestimento")), "idProjetoInvestimento", "left_semi")
             projects = self.rows_of(PROJECT.table, PROJECT.nk, keys.withColumnRenamed("idunico", PROJECT.nk))
