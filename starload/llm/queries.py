@@ -64,7 +64,7 @@ def op6_leaks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_repeats")
 def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
+    return repeats.with_passages(table(spark, folder, "documents")).drop("kept")
 
 
 @query("op2_lm")

@@ -23,10 +23,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from starload.llm.bloom import bitmap, may_hold
+from starload.llm.bloom import bitmap, known, may_hold
 from starload.llm.common import prepared, stored, text_bytes
-from starload.llm.wordhash import grouped, mixed
+from starload.llm.wordhash import NOT_SPACE, grouped, mixed, word_hashes
 
 LENGTH, BLOCK = 400, 128
 #: A shard's suffix array spans about so many bytes; a block with more contexts than PIECE is cut.
@@ -49,8 +50,20 @@ def block_hashes(data: np.ndarray) -> np.ndarray:
     return mixed(h)
 
 
-def anchors(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of the texts between ``cuts``: each anchor's place, block hash, text, and the first and last stretch it stands for."""
+def anchors(data: np.ndarray, cuts: np.ndarray, most: int = 1 << 26) -> tuple[np.ndarray, ...]:
+    """Of the texts between ``cuts``: each anchor's place, block hash, text, and the first and last stretch it stands for.
+
+    More than ``most`` bytes are taken in pieces that share LENGTH - 1 bytes, so that each stretch lies in one of them and a place
+    always fits its bits; an anchor whose stretches lie in two pieces comes twice.
+    """
+    if len(data) > most:
+        found = []
+        for a in range(0, len(data) - LENGTH + 1, most):
+            b = min(len(data), a + most + LENGTH - 1)
+            inside = cuts[(cuts > a) & (cuts < b)] - a
+            places, hashes, texts, first, last = anchors(data[a:b], np.concatenate(([0], inside, [b - a])), 2 * most + LENGTH)
+            found.append((places + a, hashes, texts + np.searchsorted(cuts, a, "right") - 1, first + a, last + a))
+        return tuple(np.concatenate(column) for column in zip(*found))
     if len(data) < LENGTH:
         return tuple(np.empty(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64, np.int64))
     hashes = block_hashes(data)
@@ -346,15 +359,95 @@ def covered_spans(docs: DataFrame, piece: int = PIECE, shard_bytes: int = SHARD_
     return there.groupBy("th").agg(F.flatten(F.collect_list(placed)).alias("spans"))
 
 
+#: A passage has more than PASSAGE - 1 words; in every so long run of words, one of its runs of HALF words is an anchor.
+PASSAGE, HALF = 51, 26
+
+
+def passage_anchors(words: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all runs of PASSAGE words within a text, and for each the start of the run of HALF words with the least hash."""
+    size = len(words) - PASSAGE + 1
+    if size <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    hashes = _runs(words, HALF)
+    least, at = hashes[:size].copy(), np.zeros(size, np.int64)
+    for k in range(1, PASSAGE - HALF + 1):
+        less = hashes[k : k + size] < least
+        least[less], at[less] = hashes[k : k + size][less], k
+    starts = np.flatnonzero(texts[:size] == texts[PASSAGE - 1 :])
+    return starts, starts + at[starts]
+
+
+def _runs(words: np.ndarray, length: int) -> np.ndarray:
+    """Hash of each run of so many words."""
+    size = len(words) - length + 1
+    h = np.zeros(size, np.uint64)
+    for k in range(length):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + size]
+    return mixed(h)
+
+
+def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, t) of the anchors of rows (t, text)."""
+    for batch in batches:
+        own = batch.column(0).to_numpy()
+        for a, _, data, cuts in grouped(batch.column(1)):
+            words, texts = word_hashes(data, cuts, NOT_SPACE)
+            _, at = passage_anchors(words, texts)
+            at = np.unique(at)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(_runs(words, HALF)[at].view(np.int64)), pa.array(own[a + texts[at]])], names=["h", "t"])
+
+
+def _passage_rows(bits: np.ndarray):
+    """(h, t, start) of the runs of PASSAGE words, in words from the text's first, whose anchor may be in another text."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0).to_numpy()
+            for a, _, data, cuts in grouped(batch.column(1)):
+                words, texts = word_hashes(data, cuts, NOT_SPACE)
+                starts, at = passage_anchors(words, texts)
+                if not len(starts):
+                    continue
+                starts = starts[known(_runs(words, HALF)[at], bits)]
+                begin = np.searchsorted(texts, texts[starts])
+                columns = [pa.array(_runs(words, PASSAGE)[starts].view(np.int64)), pa.array(own[a + texts[starts]]), pa.array(starts - begin)]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "t", "start"])
+
+    return found
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """(t, n_passages, n_passage_words) of each text, by a hash of its MD5, with a passage of over 50 words that another text holds too.
+
+    n_passages counts the maximal runs of words that such passages cover, n_passage_words their words. Words are what
+    white space parts, A-Z as a-z. Rows that repeat a text are that text; the same passage twice in one text is none. In every 51
+    words the same run of 26 is the anchor wherever they stand, so only passages around anchors of several texts are compared.
+    """
+    texts = docs.select(F.xxhash64(_digest()).alias("t"), text_bytes().alias("text")).filter(F.octet_length("text") >= 2 * PASSAGE - 1)
+
+    def shared(rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy("h").agg(F.min("t").alias("a"), F.max("t").alias("b"))
+        return ends.filter("a <> b").select("h")
+
+    bits = bitmap(shared(texts.select("t", "text").mapInArrow(_anchor_rows, "h long, t long")))
+    rows = stored(texts.select("t", "text").mapInArrow(_passage_rows(bits), "h long, t long, start long"), "passages")
+    # written, so that the join can be split where very many texts hold a passage
+    places = rows.join(stored(shared(rows), "shared-passages"), "h").select("t", "start").distinct()
+    gap = F.col("start") - F.lag("start").over(W.partitionBy("t").orderBy("start"))
+    gap = F.coalesce(gap, F.lit(PASSAGE + 1))
+    return places.withColumn("gap", gap).groupBy("t").agg(F.count_if(F.col("gap") > PASSAGE).alias("n_passages"), F.sum(F.least("gap", F.lit(PASSAGE))).alias("n_passage_words"))
+
+
 def _digest():
     return F.unhex(F.md5(text_bytes()))
 
 
-KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+KEPT = "t long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, text, spans) without the bytes their spans cover."""
+    """Rows (doc_id, text, spans, t) without the bytes their spans cover."""
     for batch in batches:
         sizes, kept, counts = [], [], []
         for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -366,7 +459,7 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(text))
             counts.append(runs)
         left = np.array([len(k) for k in kept], np.int64)
-        columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(sizes, np.int64) - left), pa.array(counts, pa.int64())]
+        columns = [batch.column(3), batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(sizes, np.int64) - left), pa.array(counts, pa.int64())]
         columns += [pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(kept, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in KEPT.split(", ")])
 
@@ -382,18 +475,38 @@ def _merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
     return out
 
 
+def _spanned(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """Rows (doc_id, text, spans) of ``docs`` with the spans to remove; ``spans`` has th and spans."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"), _digest().alias("th"))
+    rows = rows.withColumn("maybe", may_hold(bitmap(spans.select(F.xxhash64("th").alias("h"))), F.xxhash64("th")))
+    # texts surely without spans need no shuffle
+    clean = rows.filter("NOT maybe").select("doc_id", "text", "th", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    return clean.union(rows.filter("maybe").drop("maybe").join(spans, "th", "left").select("doc_id", "text", "th", "spans"))
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for every row of ``docs`` (doc_id, text).
 
     Texts are UTF-8 bytes, a null one has none. Every byte goes that is covered by a string of 400 bytes which also
     starts elsewhere, be it in the same text or in another row; rows that repeat a text are repeats of
-    each other. n_spans counts the maximal removed runs; kept is what is left, and may be cut within a character.
+    each other. n_spans counts the maximal removed runs; kept is what is left, and may be cut within a character. Extra columns are
+    not read; an empty table gives no row.
     """
     prepared(docs.sparkSession)
-    spans = stored(covered_spans(docs), "covered")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"), _digest().alias("th"))
-    rows = rows.withColumn("maybe", may_hold(bitmap(spans.select(F.xxhash64("th").alias("h"))), F.xxhash64("th")))
-    # texts surely without spans need no shuffle
-    clean = rows.filter("NOT maybe").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
-    other = rows.filter("maybe").drop("maybe").join(spans, "th", "left").select("doc_id", "text", "spans")
-    return clean.union(other).mapInArrow(_removed, KEPT)
+    rows = _spanned(docs, stored(covered_spans(docs), "covered"))
+    return rows.select("doc_id", "text", "spans", F.lit(0).cast("long").alias("t")).mapInArrow(_removed, KEPT).drop("t")
+
+
+def with_passages(docs: DataFrame) -> DataFrame:
+    """``without_repeats`` and, for each row, n_passages and n_passage_words as in ``repeated_passages``, zero where there is none.
+
+    A passage of over 50 words may have fewer than 400 bytes: it is then named here and not removed.
+    """
+    prepared(docs.sparkSession)
+    rows = _spanned(docs, stored(covered_spans(docs), "covered"))
+    left = rows.select("doc_id", "text", "spans", F.xxhash64("th").alias("t")).mapInArrow(_removed, KEPT)
+    # written, so that the join can be split where very many rows repeat a text
+    passages = stored(repeated_passages(docs), "passage-counts")
+    counted = left.join(passages, "t", "left")
+    zero = F.lit(0).cast("long")
+    return counted.select(*left.drop("t").columns, *[F.coalesce(c, zero).alias(c) for c in ("n_passages", "n_passage_words")])

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -9,7 +10,7 @@ import pytest
 from awkward import documents, with_extras
 
 from starload.llm import lm
-from starload.llm.repeats import common_prefixes, covered_spans, suffix_array, without_repeats
+from starload.llm.repeats import anchors, common_prefixes, covered_spans, repeated_passages, suffix_array, with_passages, without_repeats
 
 
 @pytest.mark.parametrize("size", [1, 2, 40, 900])
@@ -78,11 +79,68 @@ def test_pieces_settled_alone_equal_brute_force(spark, monkeypatch):
     assert got == expected and sum(r[2] > 0 for r in expected) > 10
 
 
+def plain_passages(rows):
+    """Maximal runs, and their words, of passages of 51 words that another text holds too."""
+    texts = {t: [w for w in re.split("[\\x20\\x09-\\x0D]+", "".join(c.lower() if c < "\x80" else c for c in t)) if w] for t in {t or "" for _, t in rows}}
+    where = {}
+    for t, words in texts.items():
+        for i in range(len(words) - 50):
+            where.setdefault(tuple(words[i : i + 51]), set()).add(t)
+    out = []
+    for i, t in rows:
+        words, covered = texts[t or ""], set()
+        for k in range(len(words) - 50):
+            if len(where[tuple(words[k : k + 51])]) > 1:
+                covered.update(range(k, k + 51))
+        out.append((i, sum(k - 1 not in covered for k in covered), len(covered)))
+    return sorted(out, key=str)
+
+
+def test_passages_equal_brute_force(spark):
+    rng = random.Random(3)
+
+    def some(n):
+        return [rng.choice(["alpha", "Beta", "é", "x"]) + str(rng.randrange(900)) for _ in range(n)]
+
+    passages, rows = [some(n) for n in (50, 51, 52, 60, 75, 76, 77, 130)], []
+    for i in range(60):
+        words = some(rng.randrange(0, 40))
+        for p in rng.sample(passages, rng.randrange(0, 3)):
+            words += p + some(rng.randrange(0, 3))
+        rows.append((i, rng.choice([" ", "\n"]).join(words).swapcase() if i % 7 == 0 else " ".join(words)))
+    alone = " ".join(some(80))
+    rows += [(100, f"{alone} and {alone}"), (101, "w " * 200), (102, "w " * 150), (103, None), (104, ""), (None, rows[3][1]), (3, rows[3][1])]
+    # swapped case changes no word of ASCII letters, but é
+    found = with_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    expected = plain_passages(rows)
+    assert sorted(((r.doc_id, r.n_passages, r.n_passage_words) for r in found.collect()), key=str) == expected
+    assert sum(n > 0 for _, n, _ in expected) > 20 and [x for x in expected if x[0] == 100] == [(100, 0, 0)]
+    kept = without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted(map(str, found.select(columns).collect())) == sorted(map(str, kept.select(columns).collect()))
+
+
+def test_long_texts_are_taken_in_pieces():
+    """Every stretch has the anchor it has when the text is taken whole."""
+    rng = np.random.default_rng(2)
+    data = rng.integers(97, 101, 30_000).astype(np.uint8)
+    cuts = np.array([0, 700, 20_000, 20_100, 30_000])
+
+    def by_stretch(found):
+        return {s: (p, h, t) for p, h, t, a, b in zip(*(x.tolist() for x in found)) for s in range(a, b + 1)}
+
+    whole = by_stretch(anchors(data, cuts))
+    assert by_stretch(anchors(data, cuts, 4096)) == whole and by_stretch(anchors(data, cuts, 1000)) == whole
+
+
 def test_repeats_awkward_rows(spark):
     df = documents(spark)
     result = without_repeats(with_extras(df))
     assert result.count() == df.count() and result.filter("n_removed > 0").isEmpty()
     assert without_repeats(df.limit(0)).count() == 0
+    marked = with_passages(with_extras(df))
+    assert marked.count() == df.count() and marked.filter("n_passages > 0").isEmpty()
+    assert with_passages(df.limit(0)).count() == 0 and repeated_passages(df.limit(0)).count() == 0
 
 
 class PlainAutomaton:
