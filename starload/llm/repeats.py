@@ -359,43 +359,62 @@ def covered_spans(docs: DataFrame, piece: int = PIECE, shard_bytes: int = SHARD_
     return there.groupBy("th").agg(F.flatten(F.collect_list(placed)).alias("spans"))
 
 
-#: A passage has more than PASSAGE - 1 words; in every so long run of words, one of its runs of HALF words is an anchor.
+#: A passage has PASSAGE words or more; of the runs of HALF words in each PASSAGE words one is the anchor.
 PASSAGE, HALF = 51, 26
 
 
-def passage_anchors(words: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of all runs of PASSAGE words within a text, and for each the start of the run of HALF words with the least hash."""
-    size = len(words) - PASSAGE + 1
-    if size <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    hashes = _runs(words, HALF)
-    least, at = hashes[:size].copy(), np.zeros(size, np.int64)
-    for k in range(1, PASSAGE - HALF + 1):
-        less = hashes[k : k + size] < least
-        least[less], at[less] = hashes[k : k + size][less], k
-    starts = np.flatnonzero(texts[:size] == texts[PASSAGE - 1 :])
-    return starts, starts + at[starts]
-
-
-def _runs(words: np.ndarray, length: int) -> np.ndarray:
-    """Hash of each run of so many words."""
-    size = len(words) - length + 1
-    h = np.zeros(size, np.uint64)
-    for k in range(length):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + size]
-    return mixed(h)
+_FACTOR = 0x9E3779B97F4A7C15
+
+
+def _runs(words: np.ndarray, *lengths: int) -> list[np.ndarray]:
+    """Hash of each run of so many words, for every length, put together from runs of powers of two."""
+    powers, doubled = [words], 1
+    while doubled * 2 <= max(lengths):
+        last = powers[-1]
+        powers.append(last[: max(0, len(last) - doubled)] * np.uint64(pow(_FACTOR, doubled, 1 << 64)) + last[doubled:])
+        doubled *= 2
+    out = []
+    for length in lengths:
+        size, left = max(0, len(words) - length + 1), length
+        h, at = np.zeros(size, np.uint64), 0
+        for k in reversed(range(length.bit_length())):
+            if length >> k & 1:
+                left -= 1 << k
+                h += powers[k][at : at + size] * np.uint64(pow(_FACTOR, left, 1 << 64))
+                at += 1 << k
+        out.append(mixed(h))
+    return out
+
+
+def _least(hashes: np.ndarray, window: int) -> np.ndarray:
+    """The least of each ``window`` neighbours."""
+    least, size = hashes, 1
+    while size * 2 <= window:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    return np.minimum(least[: len(hashes) - window + 1], least[window - size :])
+
+
+def passage_hashes(words: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, hash and anchor of all runs of PASSAGE words within a text; the anchor is the least hash of their runs of HALF words."""
+    if len(words) < PASSAGE:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    half, whole = _runs(words, HALF, PASSAGE)
+    starts = np.flatnonzero(texts[: len(whole)] == texts[PASSAGE - 1 :])
+    return starts, whole[starts], _least(half, PASSAGE - HALF + 1)[starts]
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, t) of the anchors of rows (t, text)."""
+    """(h, t) of the anchors of rows (t, text), once for neighbouring passages."""
     for batch in batches:
         own = batch.column(0).to_numpy()
         for a, _, data, cuts in grouped(batch.column(1)):
             words, texts = word_hashes(data, cuts, NOT_SPACE)
-            _, at = passage_anchors(words, texts)
-            at = np.unique(at)
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(_runs(words, HALF)[at].view(np.int64)), pa.array(own[a + texts[at]])], names=["h", "t"])
+            starts, _, anchor = passage_hashes(words, texts)
+            if len(starts):
+                text = texts[starts]
+                new = np.append(True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]))
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), pa.array(own[a + text[new]])], names=["h", "t"])
 
 
 def _passage_rows(bits: np.ndarray):
@@ -406,12 +425,13 @@ def _passage_rows(bits: np.ndarray):
             own = batch.column(0).to_numpy()
             for a, _, data, cuts in grouped(batch.column(1)):
                 words, texts = word_hashes(data, cuts, NOT_SPACE)
-                starts, at = passage_anchors(words, texts)
+                starts, whole, anchor = passage_hashes(words, texts)
                 if not len(starts):
                     continue
-                starts = starts[known(_runs(words, HALF)[at], bits)]
+                may = known(anchor, bits)
+                starts, whole = starts[may], whole[may]
                 begin = np.searchsorted(texts, texts[starts])
-                columns = [pa.array(_runs(words, PASSAGE)[starts].view(np.int64)), pa.array(own[a + texts[starts]]), pa.array(starts - begin)]
+                columns = [pa.array(whole.view(np.int64)), pa.array(own[a + texts[starts]]), pa.array((starts - begin).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=["h", "t", "start"])
 
     return found
@@ -421,8 +441,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """(t, n_passages, n_passage_words) of each text, by a hash of its MD5, with a passage of over 50 words that another text holds too.
 
     n_passages counts the maximal runs of words that such passages cover, n_passage_words their words. Words are what
-    white space parts, A-Z as a-z. Rows that repeat a text are that text; the same passage twice in one text is none. In every 51
-    words the same run of 26 is the anchor wherever they stand, so only passages around anchors of several texts are compared.
+    white space parts, A-Z as a-z. Rows that repeat a text are that text; the same passage twice in one text is none. Every 51
+    words have the same anchor wherever they stand, so only passages whose anchor is in several texts are compared.
     """
     texts = docs.select(F.xxhash64(_digest()).alias("t"), text_bytes().alias("text")).filter(F.octet_length("text") >= 2 * PASSAGE - 1)
 
@@ -431,12 +451,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         return ends.filter("a <> b").select("h")
 
     bits = bitmap(shared(texts.select("t", "text").mapInArrow(_anchor_rows, "h long, t long")))
-    rows = stored(texts.select("t", "text").mapInArrow(_passage_rows(bits), "h long, t long, start long"), "passages")
+    rows = stored(texts.select("t", "text").mapInArrow(_passage_rows(bits), "h long, t long, start int"), "passages")
     # written, so that the join can be split where very many texts hold a passage
     places = rows.join(stored(shared(rows), "shared-passages"), "h").select("t", "start").distinct()
     gap = F.col("start") - F.lag("start").over(W.partitionBy("t").orderBy("start"))
     gap = F.coalesce(gap, F.lit(PASSAGE + 1))
-    return places.withColumn("gap", gap).groupBy("t").agg(F.count_if(F.col("gap") > PASSAGE).alias("n_passages"), F.sum(F.least("gap", F.lit(PASSAGE))).alias("n_passage_words"))
+    return places.withColumn("gap", gap).groupBy("t").agg(F.count_if(F.col("gap") > PASSAGE).alias("n_passages"), F.sum(F.least("gap", F.lit(PASSAGE)).cast("long")).alias("n_passage_words"))
 
 
 def _digest():
