@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,7 @@ from starload.functions.columns import any_null, is_true
 from starload.functions.spines import GRAINS, Window, period, period_of
 from starload.operators.changes import INSERT, OP, UPDATE, difference
 from starload.operators.dedupe import keep_first
-from starload.operators.reload import delete_window, overwrite_partitions
+from starload.operators.reload import delete_where, delete_window, overwrite_partitions
 from starload.sources.folders import matching, place, remove
 
 PERIOD = "periodo"
@@ -129,15 +129,24 @@ def _in_periods(values: list):
 
 def replace_by_key(fresh: DataFrame, path: str, doomed: DataFrame, key: str, day: str, grain: str) -> None:
     """Delete the rows whose key is in ``doomed`` and add ``fresh``, rewriting only the periods concerned."""
-    spark = fresh.sparkSession
+    keys = doomed.distinct()
+    _replace(fresh, path, day, grain, lambda rows: rows.join(doomed, key, "left_semi"), lambda rows: rows.join(keys, key, "left_anti"), [key])
+
+
+def replace_where(fresh: DataFrame, path: str, condition: Column, day: str, grain: str) -> None:
+    """Delete the rows that meet a condition and add ``fresh``, rewriting only the periods concerned; unknown rows stay."""
+    _replace(fresh, path, day, grain, lambda rows: rows.filter(condition), lambda rows: delete_where(rows, condition))
+
+
+def _replace(fresh: DataFrame, path: str, day: str, grain: str, going, staying, columns: list[str] | None = None) -> None:
+    """``going`` and ``staying`` cut a table's rows in two; ``columns`` are all that telling them apart takes."""
     dated = with_period(fresh, day, grain)
-    stored = spark.read.schema(dated.schema).parquet(path)
-    held = stored.select(key, PERIOD).join(doomed, key, "left_semi").select(PERIOD)
-    doomed = doomed.distinct()
+    stored = fresh.sparkSession.read.schema(dated.schema).parquet(path)
+    held = going(stored.select(*columns, PERIOD) if columns else stored).select(PERIOD)
     # one value per period concerned reaches the driver
     periods = [row[0] for row in held.union(dated.select(PERIOD)).distinct().collect()]
     if periods:
-        kept = stored.filter(_in_periods(periods)).join(doomed, key, "left_anti").select(*dated.columns)
+        kept = staying(stored.filter(_in_periods(periods))).select(*dated.columns)
         overwrite_partitions(kept.unionByName(dated), path, PERIOD, periods)
 
 

@@ -26,7 +26,7 @@ from starload.plans.ledger import Ledger
 from starload.plans.measures import Measures, landing_checks, row_checks
 from starload.plans.snapshots import (
     PERIOD, add_missing, changed_rows, drop_old_versions, merge_periods, newest, periods_of, read_periods, read_snapshot, remove_copies,
-    replace_by_key, replace_window, with_period, write_snapshot,
+    replace_by_key, replace_where, replace_window, with_period, write_snapshot,
 )
 from starload.schemas import EXECUTION_LANDING, EXECUTION_TABLE, LINEAGE, PARENT_TABLE
 from starload.session import adaptive
@@ -368,7 +368,7 @@ class Warehouse:
         return each(self.spark, {name: lambda n=name, r=rows: job(n, r) for name, rows in fresh.items()})
 
     def reload_by_state(self, fresh: Tables, states: list[str]) -> Tables:
-        """Replace the projects of the given states and all their child rows.
+        """Replace the parent rows of the given states and all child rows of their projects.
 
         Only the periods that hold such rows, or get fresh ones, are written again. The children go first:
         if a run fails, the parents still name what has to go, and it can be repeated.
@@ -376,13 +376,17 @@ class Warehouse:
         parent = self.current(PARENT_TABLE)
         if parent is None:
             return self.replace_all(fresh)
-        doomed = doomed_keys(parent, "idunico", F.col("uf").isin(states))
+        of_states = F.col("uf").isin(states)
+        doomed = doomed_keys(parent, "idunico", of_states)
 
         def job(name: str, rows: DataFrame) -> DataFrame:
             path = newest(self.spark, self.place(name))
             if path is None:
                 return self.replace(name, rows)
-            replace_by_key(rows, path, doomed, "idunico", "datacadastro", self.grain)
+            if name == PARENT_TABLE:
+                replace_where(rows, path, of_states, "datacadastro", self.grain)
+            else:
+                replace_by_key(rows, path, doomed, "idunico", "datacadastro", self.grain)
             return self.current(name)
 
         children = {name: rows for name, rows in fresh.items() if name != PARENT_TABLE}

@@ -21,7 +21,7 @@ from starload.plans.warehouse import STAGING_KEYS, Warehouse, load_report, load_
 from starload.queries.cleaning import AS_OF, DAYS
 from starload.queries.files import landed
 from starload.queries.projects import (
-    FACT_SQL, STAGING_SQL, clean_sql, dimension_sql, execution, landing, with_relations,
+    FACT_SQL, LINES_OF_ORDERS, STAGING_SQL, clean_sql, dimension_sql, execution, landing, staging_columns, with_relations,
 )
 from starload.queries.registry import query, table
 from starload.schemas import EXECUTION_TABLE, PARENT_TABLE
@@ -428,21 +428,32 @@ def _load_report(spark, folder):
     return load_report(landing(spark, folder), scratch_dir(spark, "load_report"))
 
 
-@query(
-    "warehouse_by_attr",
-    f"""with parent as ({STAGING_SQL[PARENT_TABLE]}), axes as ({STAGING_SQL[f"{PARENT_TABLE}_eixos"]})
-    select * from axes where not exists (select 1 from parent where parent.idunico = axes.idunico and uf = 'P')
-    union all
-    select cast(l_orderkey as varchar), cast(o_orderdate as date), cast(l_linenumber as bigint), 'Axis ' || l_linenumber
-    from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus = 'P' and l_tax <> 0""",
-)
+def _staged_text(name: str, text: str) -> str:
+    columns = [f"cast({c} as {MONEY})" if c == "valorinvestimentoprevisto" else c for c in staging_columns(name)]
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as {text}), '~')" for c in columns) + ")"
+
+
+def _by_attr_sql(name: str) -> str:
+    """A staging table after the reload of one state: rows of other projects, and what the new extraction holds."""
+    chosen = "from (select * from lineitem where l_tax <> 0) l join (select * from orders where o_orderstatus = 'P') o on l_orderkey = o_orderkey"
+    fresh = STAGING_SQL[name].replace(LINES_OF_ORDERS, chosen)
+    # of the parents the rows of the state itself go, of the children those of projects with such a row
+    kept = "s.uf is distinct from 'P'" if name == PARENT_TABLE else "not exists (select 1 from parent where parent.idunico = s.idunico and uf = 'P')"
+    columns = ", ".join(staging_columns(name))
+    content = f"cast('0x' || substr(md5({_staged_text(name, 'varchar')}), 1, 8) as bigint)"
+    return f"""select '{name}' as name, count(*) as n, cast(sum({content}) as bigint) as content
+      from (select {columns} from ({STAGING_SQL[name]}) s where {kept} union all select {columns} from ({fresh}) f) rows"""
+
+
+@query("warehouse_by_attr", f"with parent as ({STAGING_SQL[PARENT_TABLE]}) " + " union all ".join(_by_attr_sql(name) for name in STAGING_SQL))
 def _by_attr(spark, folder):
-    """Projects of one state are replaced by a new extraction; their children go with them."""
+    """Projects of one state are replaced by a new extraction; all their children go with them. Every staging table, summed up."""
     warehouse = Warehouse(spark, scratch_dir(spark, "warehouse_by_attr"), grain="year")
     records = landing(spark, folder)
-    warehouse.replace_all(load_staging(records, f"{warehouse.root}/run1", only=_STATE_TABLES))
-    after = run_by_state(warehouse, records.filter("uf = 'P'"), ["P"], only=_STATE_TABLES)
-    return after[f"{PARENT_TABLE}_eixos"]
-
-
-_STATE_TABLES = {PARENT_TABLE, f"{PARENT_TABLE}_eixos"}
+    warehouse.replace_all(load_staging(records, f"{warehouse.root}/run1"))
+    after = run_by_state(warehouse, records.filter("uf = 'P'"), ["P"])
+    parts = []
+    for name in STAGING_SQL:
+        content = F.conv(F.substring(F.md5(F.expr(_staged_text(name, "string"))), 1, 8), 16, 10).cast("bigint")
+        parts.append(after[name].agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.sum(content).alias("content")))
+    return reduce(DataFrame.unionAll, parts)

@@ -181,7 +181,7 @@ EXECUTION_SQL = """
         from events"""
 
 
-def _columns(name: str) -> list[str]:
+def staging_columns(name: str) -> list[str]:
     """Column order of a staging table: keys of the parent first for children, landing order for the parent."""
     if name == PARENT_TABLE:
         return [f.name.lower() for f in PROJECT_LANDING if f.dataType.typeName() != "array"]
@@ -194,10 +194,10 @@ def clean_sql(name: str) -> str:
     if name not in STAGING_KEYS:
         return STAGING_SQL[name]
     keys = STAGING_KEYS[name]
-    order = ", ".join(f"{c} nulls first" for c in _columns(name) if c not in keys)
+    order = ", ".join(f"{c} nulls first" for c in staging_columns(name) if c not in keys)
     unknown = " or ".join(f"{key} is null" for key in keys)
     return f"""
-        select {', '.join(_columns(name))} from (
+        select {', '.join(staging_columns(name))} from (
           select *, row_number() over (partition by {', '.join(keys)} order by {order}) as copy
           from ({STAGING_SQL[name]}) raw) ranked
         where copy = 1 or {unknown}"""
@@ -229,13 +229,13 @@ def with_relations(staging_names: list[str], dimension_names: list[str], body: s
 
 def _register_staging(name: str) -> None:
     short = name.removeprefix(f"{PARENT_TABLE}_") if name != PARENT_TABLE else "projeto_investimento"
-    select = ", ".join(_columns(name))
+    select = ", ".join(staging_columns(name))
     query(f"stage_{short}", f"select {select} from ({STAGING_SQL[name]}) raw")(
-        lambda spark, folder: staging(spark, folder, {name})[name].select(*_columns(name))
+        lambda spark, folder: staging(spark, folder, {name})[name].select(*staging_columns(name))
     )
     if name in STAGING_KEYS:
         query(f"dedupe_{short}", clean_sql(name))(
-            lambda spark, folder: clean_staging(spark, folder, {name})[name].select(*_columns(name))
+            lambda spark, folder: clean_staging(spark, folder, {name})[name].select(*staging_columns(name))
         )
 
 
