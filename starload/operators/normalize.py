@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from starload.functions.columns import array_columns, lower_names, parse_date
 from starload.schemas import PARENT_DATES, PARENT_TABLE, PROJECT_LANDING
+from starload.sources.drift import UNKNOWN
 
 PARENT_KEYS = ("idUnico", "dataCadastro")
 
@@ -65,7 +66,8 @@ def child_table(df: DataFrame, child: Child, strict_dates: bool = False) -> Data
 
 
 def parent_table(df: DataFrame, strict_dates: bool = False) -> DataFrame:
-    return lower_names(parse_dates(drop_arrays(df), PARENT_DATES, strict_dates))
+    """The records without their arrays; what a reader kept of unknown fields stays in the landed copy."""
+    return lower_names(parse_dates(drop_arrays(df).drop(UNKNOWN), PARENT_DATES, strict_dates))
 
 
 def normalize(

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -13,6 +14,7 @@ from starload.plans.dimensions import BY_TABLE, DIMENSIONS, load_dimension, memb
 from starload.plans.facts import BRIDGES, bridge_fact, funding_fact, project_fact, unique_funding
 from starload.plans.snapshots import complete_versions
 from starload.plans.warehouse import Warehouse, load_execution, load_report, load_staging, run_by_date, run_by_state
+from starload.sources.drift import read_json
 from starload.sources.landing import land_json
 from starload.session import adaptive
 from starload.streaming.landing import append_landed
@@ -357,6 +359,18 @@ def test_writes_count_violations_and_changes_on_their_way(spark, tmp_path):
     assert len(report) > 100
 
 
+def test_a_load_counts_unknown_fields_that_its_reader_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    records = [project("A"), project("B", novo=1, eixos=[{"id": 1, "descricao": "Social", "peso": 2}]), project("C", novo=None)]
+    (tmp_path / "in" / "2024-03-05.json").write_text("\n".join(json.dumps(record) for record in records))
+    kept = read_json(spark, str(tmp_path / "in"), PROJECT_LANDING).withColumn("nomeArquivo", F.lit("2024-03-05"))
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    built = run_by_date(warehouse, kept, execution(spark), TODAY, 7)
+    found = {check: n for check, n in warehouse.measures.found().items() if check[1] == "unknown field"}
+    assert found == {("landing", "unknown field", "records"): 2, ("landing", "unknown field", "values"): 3}
+    assert "_unknown" not in built[PARENT_TABLE].columns and built["fact_projeto_investimento"].count() == 3
+
+
 def test_violations_fail_an_enforcing_load_before_the_table_has_them(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "dw"), enforce=True)
     run_by_date(warehouse, nested(spark, project("A")), execution(spark), TODAY, 7)
