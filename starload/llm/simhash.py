@@ -231,10 +231,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component of near-duplicates, with all columns of ``docs``.
 
     It is the row with the least doc_id (nulls last, then by fingerprint); of rows with equal id and
-    fingerprint one stays.
+    fingerprint one stays. The rows are stored with their fingerprints, which are computed once.
     """
-    marked = with_fingerprint(packed(docs, "doc_id", "text")).drop("text")
-    small = stored(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "fingerprints")
-    keep = fingerprint_components(small).filter("fp = keep_fp").select("fp", F.col("component_id").alias("keep_id"))
+    marked = stored(with_fingerprint(packed(docs, "doc_id", "text")).drop("text"), "fingerprints")
+    keep = fingerprint_components(marked.select("doc_id", "fp")).filter("fp = keep_fp").select("fp", F.col("component_id").alias("keep_id"))
     kept = marked.join(keep, "fp").filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     return unpacked(kept.dropDuplicates(["fp"]))
