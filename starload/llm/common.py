@@ -51,10 +51,13 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table below the shared folder and read it back: cuts the lineage, survives lost executors."""
+def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write a table below the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    ``codec`` is for tables that hold whole texts; others take the session's.
+    """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

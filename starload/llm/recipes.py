@@ -65,7 +65,7 @@ def recipes(docs: DataFrame, bits: int = 64) -> DataFrame:
     """
     prepared(docs.sparkSession)
     cut = docs.select("doc_id", normal_text().alias("normal")).select("doc_id", F.sha2("normal", 256).alias("text_sha256"), chunks(F.col("normal")).alias("chunks"))
-    return stored(cut.select(F.monotonically_increasing_id().alias("key"), "*", F.transform("chunks", lambda c: chunk_hash(c, bits)).alias("recipe")), "recipes")
+    return stored(cut.select(F.monotonically_increasing_id().alias("key"), "*", F.transform("chunks", lambda c: chunk_hash(c, bits)).alias("recipe")), "recipes", "zstd")
 
 
 def ambiguous(stock: DataFrame, bits: int = 64) -> DataFrame:
