@@ -15,6 +15,7 @@ from starload.operators.dedupe import distinct_years, keep_first, repeated_keys
 from starload.operators.reload import (
     delete_by_parent, delete_where, delete_window, overwrite_partitions, reload_by_parent, reload_window,
 )
+from starload.plans.published import Published
 from starload.queries.registry import query, table
 from starload.session import scratch_dir
 
@@ -219,6 +220,26 @@ def _reload_by_year(spark, folder):
     return spark.read.schema(filed.schema).parquet(path)
 
 
+@query(
+    "reload_published",
+    """select o_orderkey, case when year(o_orderdate) in (1998, 1999) then o_totalprice + 1 else o_totalprice end
+      as o_totalprice, cast(year(o_orderdate) as integer) as nomearquivo
+    from orders where year(o_orderdate) <> 2000 and not (o_orderstatus = 'P' and year(o_orderdate) not in (1998, 1999))
+    union all select -o_orderkey, o_totalprice, cast(year(o_orderdate) as integer) from orders where o_orderstatus = 'P'""",
+)
+def _reload_published(spark, folder):
+    """Two reloads behind a view: by file year, one of them empty, then by a condition on the rows."""
+    orders = table(spark, folder, "orders")
+    filed = orders.select("o_orderkey", "o_totalprice", "o_orderstatus", F.year("o_orderdate").alias("nomearquivo"))
+    root = scratch_dir(spark, "published")
+    published = Published(spark, f"published_{root.rsplit('-', 1)[-1]}", root, "nomearquivo")
+    published.replace_all(filed)
+    fresh = filed.filter(F.col("nomearquivo").isin(1998, 1999)).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    published.replace_slices(fresh.withColumn("o_orderstatus", F.lit("R")), [1998, 1999, 2000])
+    again = filed.filter("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey"))
+    return published.replace_where(again, F.col("o_orderstatus") == "P").drop("o_orderstatus")
+
+
 # Spines ---------------------------------------------------------------------------------------------------
 
 @query(
