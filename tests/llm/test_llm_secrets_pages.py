@@ -92,3 +92,46 @@ def test_threshold_parts_two_clusters():
 
     assert 3 < threshold(np.array([1.0, 2, 1, 40, 50])) < 40
     assert (np.full(4, 7.0) >= threshold(np.full(4, 7.0))).all()
+
+
+WORDY = "A paragraph of the article with a good many words, none of which is a link."
+REGIONS = {
+    # sibling articles stay if their lines are mostly content
+    f"<body><article><p>{WORDY} 1</p></article><article><p>{WORDY} 2</p></article><article><a>More</a></article></body>": f"{WORDY} 1 {WORDY} 2",
+    # names that say what an element has mark nothing
+    f"<body><nav>Home</nav><div class='layout has-sidebar'><p>{WORDY}</p><div class='sidebar'>side</div></div></body>": WORDY,
+    f"<div class='page with-menu no-comments'><div id='menu'>a b c</div><p>{WORDY}</p><p>Ok.</p></div>": f"{WORDY} Ok.",
+    # a compound name is overruled by most of the content, and holds otherwise
+    f"<article><h1>T</h1><div class='article-share-wrap'><p>{WORDY}</p></div></article>": f"T {WORDY}",
+    f"<article><p>{WORDY}</p><p>{WORDY}</p><div class='share-bar'><a>Tweet</a></div></article>": f"{WORDY} {WORDY}",
+    f"<div class='site-banner-wrap'><div class='box-ad'>buy</div><p>{WORDY}</p></div>": WORDY,
+    # comments never are the article, however long, also as articles of their own
+    f"<article><p>{WORDY}</p><div class='comments-area'>" + f"<p>{WORDY} Great.</p>" * 9 + "</div></article>": WORDY,
+    f"<article><p>{WORDY}</p><article class='comment'><p>{WORDY} Great.</p></article></article>": WORDY,
+    # neither article nor main: the clusters alone find the region
+    f"<body><div><a>Home</a><br><a>News</a><br><a>Sport</a></div><div><p>{WORDY}</p><p>Ok.</p><p>{WORDY}</p></div><div><a>Imprint</a></div></body>": f"{WORDY} Ok. {WORDY}",
+    f"<body><div><a>Home</a><br><a>News</a><br><a>A</a><br><a>B</a><br><a>C</a></div><div><p>{WORDY}</p><p>{WORDY}</p></div><div><p>{WORDY}</p></div></body>": f"{WORDY} {WORDY} {WORDY}",
+}
+
+
+def test_clusters_choose_the_region():
+    for html, text in REGIONS.items():
+        assert main_text(html) == text, html
+
+
+def test_pages_built_from_a_known_article(spark):
+    """Articles within random wrappers and between random other parts come out whole."""
+    rng = random.Random(8)
+    others = ["<nav><a>Home</a> <a>News</a></nav>", "<div class='ad'>buy this now</div>", "<footer>imprint</footer>", "<aside><p>see also</p></aside>", "<div class='social-links'><a>x</a></div>"]
+    wrappers = ["<div class='has-sidebar'>", "<div id='content-share-wrap'>", "<section>", "<div>", "<article class='post'>", "<main>"]
+    pages, expected = [], {}
+    for i in range(300):
+        parts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "R&amp;D"]) for _ in range(rng.randrange(8, 60))) for _ in range(rng.randrange(1, 9))]
+        body = "".join(f"<p>{p}</p>" + rng.choice(["", "", others[1], others[4]]) for p in parts)
+        for opening in rng.sample(wrappers, rng.randrange(1, 4)):
+            body = opening + body + "</" + opening[1:].split(">")[0].split()[0] + ">"
+        around = [rng.choice(others) for _ in range(rng.randrange(4))]
+        pages.append((i, "<html><body>" + others[0] + body + "".join(around) + "</body></html>"))
+        expected[i] = " ".join(parts).replace("&amp;", "&")
+    result = {r.page_id: r.text for r in with_main_text(spark.createDataFrame(pages, "page_id long, html string")).collect()}
+    assert result == expected
