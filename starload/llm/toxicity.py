@@ -5,8 +5,9 @@ whose documents are toxic almost always is an entry. It is extended for as long
 next letter, and then matches a whole word, or any word that begins with it if the endings vary.
 
 Texts are matched with the product of the trie and the Levenshtein automata of its entries, made deterministic
-as it is used: a state is a set of (trie node, edits so far). Most words fall out of it within a few letters.
-A hit is weaker if it is misspelled or if its window shows quotation; how much weaker is learned too.
+as it is used: a state is a set of (trie node, whether the first letter was edited, edits so far). Edits may stand anywhere,
+at the first letter and within a stem as well. An entry that several ordinary words resemble loses the edits by which they do:
+those at the first letter, or all. A hit is weaker if it is misspelled or if its window shows quotation; how much weaker is learned too.
 """
 
 from __future__ import annotations
@@ -30,11 +31,10 @@ from starload.llm.common import packed, prepared, stored, text_bytes, unpacked
 FIT_ROWS = 20_000
 #: Entries have so many letters, so many toxic documents and contexts, such a share of toxic ones, and so many false entries are expected.
 SHORTEST, LONGEST, SUPPORT, PRECISION, CHANCE = 4, 16, 3, 0.9, 0.3
-#: The lexicon's bound; entries with most toxic documents come first.
-MOST_ENTRIES = 5_000
 #: Words on either side of a hit that are searched for signs of quotation.
 WINDOW = 6
-MEMO = 500_000
+#: Words and places of states that a task remembers before it begins anew.
+MEMO, PLACES = 500_000, 1_000_000
 
 WORD = re.compile(r"[^\W_]+")
 #: Signs of quotation, and words that report speech in the corpus's languages.
@@ -53,17 +53,22 @@ def edits_allowed(length: int) -> int:
 @dataclass
 class Entry:
     text: str
-    stem: bool  # matches every word that begins with it, without edits
+    stem: bool  # matches every word that begins with it
     weight: float
     exact: bool = False  # no edits are allowed
+    rooted: bool = False  # none at the first letter
+
+    @property
+    def allowed(self) -> int:
+        return 0 if self.exact else edits_allowed(len(self.text))
 
 
 @dataclass
 class Model:
-    """Lexicon and weights, small enough to travel with the tasks (at most ``MOST_ENTRIES`` entries)."""
+    """Lexicon and weights. What the labelled sample proves of its words, so it does not grow with the documents."""
 
     entries: list[Entry] = field(default_factory=list)
-    ordinary: set[str] = field(default_factory=set)  # words of clean documents that lie near an entry
+    ordinary: set[str] = field(default_factory=set)  # words of clean documents that lie near an entry, at most one for each of its kinds of edits
     misspelled: float = 0.7
     quoted: float = 0.7
     slope: float = 1.0
@@ -75,67 +80,82 @@ class Matcher:
 
     def __init__(self, entries: list[Entry]):
         self.children: list[dict[str, int]] = [{}]
-        self.ends: list[tuple[int, Entry] | None] = [None]
-        self.most = [0]
+        self.ends: list[Entry | None] = [None]
+        # the most edits that an entry below a node allows: first letter as it stands, first letter edited
+        self.most: list[list[int]] = [[0, 0]]
         for entry in entries:
-            node, allowed = 0, 0 if entry.stem or entry.exact else edits_allowed(len(entry.text))
+            node, path = 0, [0]
             for letter in entry.text:
-                self.most[node] = max(self.most[node], allowed)
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
                     self.children.append({})
                     self.ends.append(None)
-                    self.most.append(0)
+                    self.most.append([0, -1])
                 node = self.children[node][letter]
-            self.most[node] = max(self.most[node], allowed)
-            self.ends[node] = (allowed, entry)
-        self.start = ((0, 0),)
+                path.append(node)
+            for n in path:
+                self.most[n][0] = max(self.most[n][0], entry.allowed)
+                self.most[n][1] = max(self.most[n][1], -1 if entry.rooted else entry.allowed)
+            self.ends[node] = entry
         self.steps: dict[tuple, tuple] = {}
+        self.places = 0
+        self.start = self._closed({(0, 0): 0})
 
-    def _closed(self, places: dict[int, int]) -> tuple:
+    def _closed(self, places: dict[tuple[int, int], int]) -> tuple:
         """Add what missing letters lead to, within the edits the entries below allow."""
-        queue = list(places.items())
+        queue = [(key, edits) for key, edits in places.items()]
         while queue:
-            node, edits = queue.pop()
-            if node and places[node] == edits:
+            (node, first), edits = queue.pop()
+            if places[node, first] == edits:
+                first = first if node else 1
                 for child in self.children[node].values():
-                    if edits < self.most[child] and edits + 1 < places.get(child, 99):
-                        places[child] = edits + 1
-                        queue.append((child, edits + 1))
-        return tuple(sorted(places.items()))
+                    if edits < self.most[child][first] and edits + 1 < places.get((child, first), 99):
+                        places[child, first] = edits + 1
+                        queue.append(((child, first), edits + 1))
+        return tuple(sorted((*key, edits) for key, edits in places.items()))
 
     def step(self, state: tuple, letter: str) -> tuple:
         key = (state, letter)
-        if key not in self.steps:
-            places: dict[int, int] = {}
+        after = self.steps.get(key)
+        if after is None:
+            places: dict[tuple[int, int], int] = {}
 
-            def put(node: int, edits: int) -> None:
-                if edits <= self.most[node]:
-                    places[node] = min(edits, places.get(node, 99))
+            def put(node: int, first: int, edits: int) -> None:
+                if edits <= self.most[node][first] and edits < places.get((node, first), 99):
+                    places[node, first] = edits
 
-            for node, edits in state:
+            for node, first, edits in state:
                 end = self.ends[node]
-                if end and end[1].stem and edits == 0:
-                    put(node, 0)  # whatever follows a stem belongs to it
+                edited = first if node else 1
+                # whatever follows a stem belongs to it
+                put(node, edited, edits if end and end.stem else edits + 1)
                 for own, child in self.children[node].items():
                     if own == letter:
-                        put(child, edits)
-                    elif node:  # the first letter of a word is taken as it stands
-                        put(child, edits + 1)
-                if node:
-                    put(node, edits + 1)
-            self.steps[key] = self._closed(places)
-        return self.steps[key]
-
-    def match(self, word: str) -> tuple[int, Entry] | None:
-        """The entry with the fewest edits, of equals the heaviest, and the edits."""
+                        put(child, first, edits)
+                    else:
+                        put(child, edited, edits + 1)
+            after = self._closed(places)
+            self.places += len(after) + 1
+            if self.places > PLACES:
+                self.steps.clear()
+                self.places = 0
+            self.steps[key] = after
+        return after
+
+    def matches(self, word: str) -> list[tuple[int, int, Entry]]:
+        """(edits, whether the first letter was edited, entry) of all entries within their edits."""
         state = self.start
         for letter in word:
             state = self.step(state, letter)
             if not state:
-                return None
-        found = [(edits, -self.ends[n][1].weight, self.ends[n][1].text, self.ends[n][1]) for n, edits in state if self.ends[n] and edits <= self.ends[n][0]]
-        return (min(found)[0], min(found)[3]) if found else None
+                return []
+        return [(edits, first, self.ends[n]) for n, first, edits in state if self.ends[n]]
+
+    def match(self, word: str) -> tuple[int, Entry] | None:
+        """The entry with the fewest edits, of equals the heaviest, and the edits."""
+        found = [(edits, -entry.weight, entry.text, entry) for edits, _, entry in self.matches(word)]
+        best = min(found, key=lambda f: f[:3], default=None)
+        return (best[0], best[3]) if best else None
 
 
 class Scorer:
@@ -152,7 +172,6 @@ class Scorer:
             if hit == 0:
                 if len(memo) > MEMO:
                     memo.clear()
-                    self.matcher.steps.clear()
                 hit = self.matcher.match(word)
                 if hit and hit[0] and word in self.model.ordinary:
                     hit = None
@@ -170,17 +189,27 @@ class Scorer:
         return out
 
     def strength(self, hits: list[tuple[str, int, bool, Entry]]) -> float:
-        """The strongest hit, and one more for each doubling of the hits, up to eight."""
-        if not hits:
-            return 0.0
-        m = self.model
-        best = max(e.weight * m.misspelled**edits * (m.quoted if quoted else 1) for _, edits, quoted, e in hits)
-        return best + math.log2(min(len(hits), 8))
+        """The strongest hit, and more for further ones, each counting less."""
+        return strength(self.model, len(hits), strongest(hits))
 
     def score(self, text: str) -> float:
         return 1 / (1 + math.exp(-(self.model.slope * self.strength(self.hits(text.lower())) + self.model.intercept)))
 
 
+def strongest(hits: list[tuple[str, int, bool, Entry]]) -> dict[tuple[int, bool], float]:
+    """The greatest weight for each number of edits, quoted or not: all that the score takes from the hits but their number."""
+    out: dict[tuple[int, bool], float] = {}
+    for _, edits, quoted, entry in hits:
+        out[edits, quoted] = max(entry.weight, out.get((edits, quoted), 0.0))
+    return out
+
+
+def strength(model: Model, n: int, weights: dict[tuple[int, bool], float]) -> float:
+    if not n:
+        return 0.0
+    return max(w * model.misspelled**edits * (model.quoted if quoted else 1) for (edits, quoted), w in weights.items()) + 3 * (1 - 1 / n)
+
+
 def _unquoted(text: str) -> tuple[list[str], list[bool]]:
     """The words, and whether no sign of quotation stands in their window: what is quoted teaches no lexicon."""
     if not QUOTES.search(text):
@@ -255,7 +284,7 @@ def lexicon(
         own = words.get(p, (0, 0))
         odds = (prefixes[p][0] + 0.5) / (prefixes[p][1] + 0.5) * (1 - share) / share
         out.append(Entry(p, own[0] < 0.9 * prefixes[p][0], min(6.0, math.log(odds))))
-    return sorted(out, key=lambda e: (-prefixes[e.text][0], e.text))[:MOST_ENTRIES]
+    return sorted(out, key=lambda e: (-prefixes[e.text][0], e.text))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, prior: tuple[float, float]) -> tuple[float, float]:
@@ -298,40 +327,62 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     share = counted.agg(F.sum("toxic") / (F.sum("toxic") + F.sum("clean"))).first()[0]
     model = Model(lexicon(whole[0], whole[1], alike, share))
 
-    @F.arrow_udf("array<struct<word:string,edits:int,quoted:boolean,weight:double,entry:string>>")
-    def hits_of(texts: pa.Array) -> pa.Array:
-        scorer = Scorer(model)
-        found = [[{"word": w, "edits": e, "quoted": q, "weight": x.weight, "entry": x.text} for w, e, q, x in scorer.hits(t.decode("utf-8", "replace").lower())] for t in texts.to_pylist()]
-        return pa.array(found, pa.list_(pa.struct([("word", pa.string()), ("edits", pa.int32()), ("quoted", pa.bool_()), ("weight", pa.float64()), ("entry", pa.string())])))
-
-    seen = rows.select("toxic", hits_of("text").alias("hits")).collect()  # fit_rows rows at most, hits only
-    near = {(h.entry, h.word) for r in seen if not r.toxic for h in r.hits if h.edits}
-    model.ordinary = {word for _, word in near}
-    # an entry that several ordinary words resemble is taken as it is spelled
-    crowded = {entry for entry, n in Counter(entry for entry, _ in near).items() if n > 1}
+    @F.arrow_udf("array<struct<word:string,first:int,entry:string>>")
+    def neighbours_of(texts: pa.Array) -> pa.Array:
+        matcher = Matcher(model.entries)
+        memo: dict[str, list] = {}
+        out = []
+        for t in texts.to_pylist():
+            found = []
+            for word in set(WORD.findall(t.decode("utf-8", "replace").lower())):
+                if word not in memo:
+                    if len(memo) > MEMO:
+                        memo.clear()
+                    hits = matcher.matches(word)
+                    # a word that is an entry's own is no neighbour; the first letter counts as edited only if there is no other way
+                    memo[word] = [] if any(e == 0 for e, _, _ in hits) else [(first, x.text) for _, first, x in hits]
+                found += [{"word": word, "first": first, "entry": entry} for first, entry in memo[word]]
+            out.append(found)
+        return pa.array(out, pa.list_(pa.struct([("word", pa.string()), ("first", pa.int32()), ("entry", pa.string())])))
+
+    # what the ordinary words near each entry are, and how many: two rows for an entry at most
+    near = rows.filter("toxic = 0").select(F.explode(neighbours_of("text")).alias("hit")).groupBy("hit.entry", "hit.first", "hit.word").agg(F.lit(1))
+    near = near.groupBy("entry", "first").agg(F.count("*").alias("n"), F.min("word").alias("word")).collect()
+    crowded = {(r.entry, r.first) for r in near if r.n > 1}
+    model.ordinary = {r.word for r in near if r.n == 1}
     for entry in model.entries:
-        entry.exact = entry.exact or entry.text in crowded
+        entry.exact = (entry.text, 0) in crowded
+        entry.rooted = (entry.text, 1) in crowded
 
-    def kept(hits):
-        return [h for h in hits if not h.edits or h.word not in model.ordinary and h.entry not in crowded]
-
-    def toxic_share(chosen) -> float:
-        y = [r.toxic for r in seen if (hits := kept(r.hits)) and chosen(hits)]
+    @F.arrow_udf("struct<n:int,edits:boolean,quoted:boolean,kinds:array<struct<edits:int,quoted:boolean,weight:double>>>")
+    def summary_of(texts: pa.Array) -> pa.Array:
+        scorer = Scorer(model)
+        out = []
+        for t in texts.to_pylist():
+            hits = scorer.hits(t.decode("utf-8", "replace").lower())
+            kinds = [{"edits": e, "quoted": q, "weight": w} for (e, q), w in strongest(hits).items()]
+            out.append({"n": len(hits), "edits": all(h[1] for h in hits), "quoted": all(h[2] for h in hits), "kinds": kinds})
+        kind = pa.struct([("edits", pa.int32()), ("quoted", pa.bool_()), ("weight", pa.float64())])
+        return pa.array(out, pa.struct([("n", pa.int32()), ("edits", pa.bool_()), ("quoted", pa.bool_()), ("kinds", pa.list_(kind))]))
+
+    # fit_rows rows at most, of six numbers at most for each
+    seen = rows.select("toxic", summary_of("text").alias("hits")).select("toxic", "hits.*").collect()
+
+    def toxic_share(name: str) -> float:
+        y = [r.toxic for r in seen if r.n and r[name]]
         return (sum(y) + 1.4) / (len(y) + 2)
 
-    model.misspelled = toxic_share(lambda hits: all(h.edits for h in hits))
-    model.quoted = toxic_share(lambda hits: all(h.quoted for h in hits))
-
-    def strength(hits) -> float:
-        return max(h.weight * model.misspelled**h.edits * (model.quoted if h.quoted else 1) for h in hits) + math.log2(min(len(hits), 8)) if hits else 0.0
-
-    x = np.array([strength(kept(r.hits)) for r in seen])
+    model.misspelled, model.quoted = toxic_share("edits"), toxic_share("quoted")
+    x = np.array([strength(model, r.n, {(k.edits, k.quoted): k.weight for k in r.kinds}) for r in seen])
     model.slope, model.intercept = _logistic(x, np.array([r.toxic for r in seen], float), (1.5, -3.0))
     return model
 
 
 def with_score(docs: DataFrame, model: Model, name: str = "score", text: str = "text") -> DataFrame:
-    """Add each text's score from 0 to 1; a null text scores as an empty one, which has no hits."""
+    """Add each text's score from 0 to 1; a null text scores as an empty one, which has no hits.
+
+    Texts are read whole, equal ones score alike, and an empty table stays empty.
+    """
     prepared(docs.sparkSession)
 
     @F.arrow_udf("double")

@@ -50,23 +50,67 @@ def distance(a, b):
     return row[-1]
 
 
+def plain_edits(entry, word):
+    """Edits to the word, or to its beginning for a stem, by dynamic programming; None beyond what the entry allows."""
+    ends = range(len(word) + 1) if entry.stem else [len(word)]
+    if entry.rooted:
+        counts = [distance(entry.text[1:], word[1:k]) for k in ends if k and word[0] == entry.text[0]]
+    else:
+        counts = [distance(entry.text, word[:k]) for k in ends]
+    best = min(counts, default=99)
+    return best if best <= entry.allowed else None
+
+
 def test_automata_equal_edit_distance():
-    """Against plain dynamic programming; the first letter of a word is taken as it stands."""
+    """Against plain dynamic programming: whole words and stems, edits anywhere, not at the first letter, or none."""
     rng = random.Random(1)
-    entries = [Entry("".join(rng.choice("abc") for _ in range(n)), False, 1.0) for n in (3, 5, 6, 7, 9, 10, 12)]
-    matcher = Matcher(entries)
-    for _ in range(4000):
-        entry = rng.choice(entries)
-        word = list(entry.text)
-        for _ in range(rng.randrange(4)):
-            at = rng.randrange(len(word) + 1)
-            word[at : at + rng.randrange(2)] = rng.choice(["", "a", "b", "x"])
-        word = "".join(word)
-        allowed = [(d, e.text) for e in entries if word and word[0] == e.text[0] and (d := distance(e.text[1:], word[1:])) <= (0 if len(e.text) < 5 else 1 if len(e.text) < 9 else 2)]
-        found = matcher.match(word)
-        assert (found and (found[0], found[1].text)) == (min(allowed) if allowed else None), word
+    for stem, exact, rooted in [(False, False, False), (True, False, False), (False, False, True), (True, False, True), (True, True, False), (False, True, True)]:
+        texts = {"".join(rng.choice("abc") for _ in range(n)) for n in (5, 6, 7, 9, 10, 12)}
+        entries = [Entry(t, stem, 1.0, exact, rooted) for t in texts if not any(o != t and t.startswith(o) for o in texts)]
+        entries.append(Entry("xyz", False, 1.0))
+        matcher = Matcher(entries)
+        for _ in range(1500):
+            word = list(rng.choice(entries).text)
+            for _ in range(rng.randrange(4)):
+                at = rng.choice([0, rng.randrange(len(word) + 1)])
+                word[at : at + rng.randrange(2)] = rng.choice(["", "a", "b", "x"])
+            word = "".join(word) + rng.choice(["", "", "ab", "cxa"])
+            allowed = [(d, e.text) for e in entries if (d := plain_edits(e, word)) is not None]
+            found = matcher.match(word)
+            assert (found and (found[0], found[1].text)) == (min(allowed) if allowed else None), word
+            every = {}
+            for d, _, e in matcher.matches(word):
+                every[e.text] = min(d, every.get(e.text, 99))
+            assert every == {t: d for d, t in allowed}, word
     stems = Matcher([Entry("schmu", True, 1.0)])
-    assert stems.match("schmutzig") and stems.match("schmu") and not stems.match("schm") and not stems.match("xschmu")
+    assert stems.match("schmutzig") and stems.match("schmu") and stems.match("xschmutz") and stems.match("zchmutzig") and not stems.match("xxschmutz")
+
+
+def test_first_letters_and_stems_may_be_misspelled(spark):
+    docs, labels = corpus(spark)
+    scorer = Scorer(fit(docs, labels))
+    for word in ("dreckswort", "xreckswort", "reckswort", "adreckswort", "fieslinx", "xiesling", "schmutzabc", "schmvtzabc"):
+        assert scorer.score(f"you {word} there") >= 0.5, word
+    assert scorer.score("you there") < 0.5
+
+
+def test_entries_lose_the_edits_of_ordinary_words(spark):
+    """Two ordinary words that differ in the first letter keep that letter fixed; two that differ elsewhere end all edits."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(400):
+        text = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(12)]
+        toxic = i % 4 == 0
+        text += [rng.choice(["wombler", "grottig"])] if toxic else [rng.choice(["bombler", "tombler", "grattig", "grettig", ""])]
+        rng.shuffle(text)
+        rows.append((i, " ".join(text), int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    flags = {e.text: (e.exact, e.rooted) for e in model.entries}
+    assert any("wombler".startswith(t) and f == (False, True) for t, f in flags.items())
+    assert any("grottig".startswith(t) and f[0] for t, f in flags.items())
+    scored = with_score(df, model).collect()
+    assert all((r.score >= 0.5) == bool(r.toxic) for r in scored)
 
 
 def test_awkward_rows(spark):
