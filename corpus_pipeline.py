@@ -18,14 +18,17 @@ SHARDS = 40
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half. Null texts score as empty ones and stay, rows that repeat are judged alike; without labels all stay."""
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints; empty and null texts are one group. Without documents there is no row."""
     return simhash.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a copy of a benchmark item; null texts hold none, rows that repeat are judged alike, without items all stay."""
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
