@@ -16,7 +16,7 @@ from starload.plans.snapshots import complete_versions
 from starload.plans.warehouse import Warehouse, load_execution, load_report, load_staging, run_by_date, run_by_state
 from starload.sources.drift import read_json
 from starload.sources.landing import land_json
-from starload.session import adaptive
+from starload.session import BROADCAST_MOST, adaptive
 from starload.streaming.landing import append_landed
 from starload.schemas import EXECUTION_TABLE, MAX_LENGTHS, PARENT_TABLE, PROJECT_LANDING
 
@@ -199,6 +199,26 @@ def test_a_key_with_a_third_of_the_rows_is_split(spark):
             spark.conf.set(key, value)
 
 
+def test_keys_of_many_projects_are_not_broadcast(spark, tmp_path):
+    """Files of a megabyte unpack to many times that, in the driver, for each join: they are joined by a shuffle. A lower limit stays."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    rows_of = spark.range(300_000).selectExpr("cast(id as int) as sk", "cast(id * 7919 as string) as nk")
+    rows_of.coalesce(1).write.parquet(str(tmp_path / "keys"))
+    keys = spark.read.parquet(str(tmp_path / "keys"))
+    try:
+        for given, left in (("10MB", str(BROADCAST_MOST)), ("16k", "16k"), ("-1", "-1")):
+            spark.conf.set(threshold, given)
+            adaptive(spark)
+            assert spark.conf.get(threshold) == left
+        spark.conf.set(threshold, "10MB")
+        adaptive(spark)
+        joined = spark.range(10**9).selectExpr("cast(id as string) as nk").join(keys, "nk")
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+
+
 def test_reload_by_state_leaves_other_periods_alone(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "dw"), grain="year")
     records = [project("A", day="2022-01-01"), project("B", day="2023-01-01", uf="SC"), project("C", day="2023-02-02")]
