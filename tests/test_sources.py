@@ -255,3 +255,20 @@ def test_the_udf_is_called_for_arrays_of_rows(spark, tmp_path):
     """As many calls as Arrow batches, not as rows."""
     plan = spark.range(10).select(suffix_udf(["1"], "abc")(F.col("id").cast("string")))._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
+
+
+def test_rows_are_dealt_out_before_records_are_made(spark, tmp_path):
+    """What moves between tasks are the rows that records are made of; the folders are sorted for as rows, too."""
+    rows_of = spark.range(0, 1000, 1, 4).select("id", F.concat(F.lit("20"), (F.col("id") % 3).cast("string")).alias("param"))
+    moved = []
+
+    def make(dealt):
+        moved.append(dealt)
+        return dealt.select("id", F.sequence(F.lit(1), F.lit(200)).alias("many"), "param")
+
+    land_json(rows_of, str(tmp_path / "j"), compression="gzip", make=make)
+    assert moved[0].columns == ["id", "param"]
+    plan = moved[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Sort [param") and "RebalancePartitions [param" in plan
+    back = read_landed(spark, str(tmp_path / "j"), T.StructType.fromDDL("id bigint, many array<int>"))
+    assert back.filter("size(many) = 200 and param = concat('20', id % 3)").agg(F.count_distinct("id")).first()[0] == back.count() == 1000
