@@ -12,7 +12,7 @@ from starload.operators.quality import key_violations, max_lengths, null_counts,
 from starload.plans.constraints import FOREIGN_KEYS, PRIMARY_KEYS, check_tables
 from starload.plans.dimensions import BY_TABLE, DIMENSIONS, load_dimension, members
 from starload.plans.facts import BRIDGES, bridge_fact, funding_fact, project_fact, unique_funding
-from starload.plans.snapshots import complete_versions
+from starload.plans.snapshots import complete_versions, read_snapshot
 from starload.plans.warehouse import Warehouse, load_execution, load_report, load_staging, run_by_date, run_by_state
 from starload.sources.drift import read_json
 from starload.sources.landing import land_json
@@ -498,3 +498,11 @@ def test_stream_appends_each_landing_file_once(spark, tmp_path):
         ("A", "2024-03-05"), ("B", "2024-03-05"), ("C", "2024-03-06"),
     ]
     assert warehouse.current(f"{PARENT_TABLE}_tipos").count() == 3
+
+
+def test_arrays_that_no_table_needs_are_not_landed(spark, tmp_path):
+    root = str(tmp_path / "run")
+    staged = load_staging(nested(spark, project("A")), root, only={PARENT_TABLE, "stg_projeto_investimento_eixos"})
+    landed = read_snapshot(spark, f"{root}/landed")
+    assert set(staged) == {PARENT_TABLE, "stg_projeto_investimento_eixos"} and staged[PARENT_TABLE].count() == 1
+    assert "eixos" in landed.columns and not {"tipos", "geometrias", "tomadores"} & set(landed.columns)
