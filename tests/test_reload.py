@@ -5,6 +5,7 @@ from conftest import rows
 
 from pyspark.sql import functions as F
 
+from starload.session import adaptive
 from starload.functions.spines import legacy_delete_window, trailing_window
 from starload.operators.dedupe import keep_first
 from starload.operators.reload import (
@@ -137,3 +138,10 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     assert complete_versions(spark, root) == [1, 2]
     drop_old_versions(spark, root, keep=1)
     assert complete_versions(spark, root) == [2] and read_snapshot(spark, root).count() == 3
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    """A query that is asked for again still has its rows; files of a done query are not left until the driver collects its garbage."""
+    assert adaptive(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    counted = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 10).alias("k")).count()
+    assert rows(counted) == rows(counted) == [(k, 100) for k in range(10)]
