@@ -4,7 +4,9 @@ import json
 import pytest
 from conftest import rows
 
-from starload.functions.columns import array_columns, string_columns
+from pyspark.sql import functions as F
+
+from starload.functions.columns import array_columns, parse_date, string_columns
 from starload.operators.normalize import CHILDREN, drop_arrays, explode_child, normalize
 from starload.schemas import PARENT_TABLE, PROJECT_LANDING
 from starload.sources.files import file_lineage, file_lineage_fixed, read_all_json, read_chosen_json, read_required_json
@@ -105,3 +107,17 @@ def test_columns_by_type(spark):
     df = spark.createDataFrame([("a", 1, ["x"])], "s string, n int, l array<string>")
     assert array_columns(df) == ["l"] and string_columns(df) == ["s"]
     assert drop_arrays(df).columns == ["s", "n"]
+
+
+@pytest.mark.parametrize("policy", ["CORRECTED", "EXCEPTION", "LEGACY"])
+def test_what_cannot_be_a_date_does_not_reach_the_parser(spark, policy):
+    data = [("2024-02-29",), ("2024-02-29T10:00:00",), ("2024-02-29 ",), ("24-2-9",), ("",), (None,), ("+12024-02-29",), ("-0004-02-29",)]
+    texts = spark.createDataFrame(data, "n string").select("n", parse_date(F.col("n")).cast("string").alias("d"))
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", policy)
+    try:
+        found = {r.n: r.d for r in texts.collect()}
+    finally:
+        spark.conf.unset("spark.sql.legacy.timeParserPolicy")
+    signed = {found.pop("+12024-02-29"), found.pop("-0004-02-29")}
+    assert {text for text, date in found.items() if date} == {"2024-02-29"} and found["2024-02-29"] == "2024-02-29"
+    assert policy != "CORRECTED" or signed == {"+12024-02-29", "-0004-02-29"}

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 
@@ -12,13 +13,14 @@ from starload.operators.quality import key_violations, max_lengths, null_counts,
 from starload.plans.constraints import FOREIGN_KEYS, PRIMARY_KEYS, check_tables
 from starload.plans.dimensions import BY_TABLE, DIMENSIONS, load_dimension, members
 from starload.plans.facts import BRIDGES, bridge_fact, funding_fact, project_fact, unique_funding
-from starload.plans.snapshots import complete_versions, read_snapshot
+from starload.plans.measures import landing_checks
+from starload.plans.snapshots import complete_versions, read_snapshot, write_snapshot
 from starload.plans.warehouse import Warehouse, load_execution, load_report, load_staging, run_by_date, run_by_state
 from starload.sources.drift import read_json
 from starload.sources.landing import land_json
 from starload.session import BROADCAST_MOST, adaptive
 from starload.streaming.landing import append_landed
-from starload.schemas import EXECUTION_TABLE, MAX_LENGTHS, PARENT_TABLE, PROJECT_LANDING
+from starload.schemas import EXECUTION_TABLE, MAX_LENGTHS, PARENT_DATES, PARENT_TABLE, PROJECT_LANDING
 
 EIXO, UF, FUNDING = BY_TABLE["dim_eixo"], BY_TABLE["dim_uf"], BY_TABLE["dim_fonte_recurso"]
 PROJECT = BY_TABLE["dim_projeto_investimento"]
@@ -506,3 +508,20 @@ def test_arrays_that_no_table_needs_are_not_landed(spark, tmp_path):
     landed = read_snapshot(spark, f"{root}/landed")
     assert set(staged) == {PARENT_TABLE, "stg_projeto_investimento_eixos"} and staged[PARENT_TABLE].count() == 1
     assert "eixos" in landed.columns and not {"tipos", "geometrias", "tomadores"} & set(landed.columns)
+
+
+def test_dates_are_parsed_once_as_records_are_landed(spark):
+    records = nested(spark, project("A"))
+    counts = [count.alias(f"m{i}") for i, count in enumerate(landing_checks(records).values())]
+    plan = records.observe("landing", *counts)._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(f"gettimestamp({name}#") for name in PARENT_DATES] == [1] * len(PARENT_DATES)
+
+
+def test_only_short_lists_of_values_get_a_dictionary(spark, tmp_path):
+    # four rows for each of 5,000 keys of 32 letters, as records of a project have
+    table = spark.range(0, 20000, 1, 1).select(F.md5((F.col("id") / 4).cast("int").cast("string")).alias("key"), (F.col("id") % 10).alias("code"))
+    write_snapshot(table, str(tmp_path))
+    (file,) = tmp_path.glob("v=1/*.parquet")
+    columns = pq.ParquetFile(file).metadata.row_group(0)
+    encodings = {columns.column(i).path_in_schema: set(columns.column(i).encodings) for i in range(2)}
+    assert "PLAIN" in encodings["key"] and "PLAIN" not in encodings["code"]
