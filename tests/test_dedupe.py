@@ -40,6 +40,13 @@ def test_floating_key_and_partial_tiebreak(spark):
     assert str(keep_first(df.filter("v = 'b'"), ["k"]).first().k) == "-0.0"
 
 
+def test_a_floating_key_alone_is_not_sorted(spark):
+    df = spark.createDataFrame([("a", -0.0), ("a", -0.0), ("b", 1.0), ("b", None), ("b", None)], "k string, n double")
+    found = keep_first(df, ["k", "n"])
+    assert rows(found) == [("a", -0.0), ("b", None), ("b", None), ("b", 1.0)] and str(found.filter("k = 'a'").first().n) == "-0.0"
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_key(spark):
     hot = spark.range(3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("k"), "id")
     assert keep_first(hot, ["k"]).count() == 2001
