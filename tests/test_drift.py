@@ -78,3 +78,26 @@ def test_project_records_and_the_plan(spark, tmp_path):
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and plan.count("Exchange") == 1
     assert rows(report) == [("eixos[].peso", "BIGINT", 1, 1)]
+
+
+def test_names_of_any_kind_and_elements_that_are_none(spark, tmp_path):
+    lines = [
+        {"id": 1, "parts": [None, 5, "x", {"a": 1, "in": [1]}, {"a": {"k": 1}, "in": {"x": 1, "a.b": [], "it's": 2}}], "q?": 1, "a]b": {"c": None}},
+        {"id": 2, "parts": {"b": 1}, "name": {"first": "known fields are not looked into"}, "say \"it\"": True, "": 0, "é": "e"},
+        {"id": 3, "parts": [{"b": 1}, {"b": None}, {"b": 2.5}]},
+        5, None, "text", [None, {"id": 4, "é": "f", "parts": [{"c": [{"d": 1}]}]}],
+    ]
+    (tmp_path / "a.json").write_text("\n".join(json.dumps(line) for line in lines))
+    flat = T.StructType([SCHEMA["id"], SCHEMA["name"], T.StructField("parts", T.ArrayType(T.StructType([ELEMENT["a"]])))])
+    top = [("`a]b`", "OBJECT<c: VOID>", 1, 1), ("`q?`", "BIGINT", 1, 1), ("`say \"it\"`", "BOOLEAN", 1, 1), ("``", "BIGINT", 1, 1), ("`é`", "STRING", 2, 2)]
+    elements = [("parts[].b", "DECIMAL(21,1)", 3, 1), ("parts[].c", "ARRAY<OBJECT<d: BIGINT>>", 1, 1)]
+    records = read_records(spark, str(tmp_path))
+    nested = [("parts[].in.`a.b`", "ARRAY<VOID>", 1, 1), ("parts[].in.`it's`", "BIGINT", 1, 1)]
+    assert sorted(map(tuple, unknown_fields(records, SCHEMA).collect())) == sorted(top + elements + nested)
+    whole = sorted(r.path for r in unknown_fields(records, flat).collect())
+    assert whole == sorted([r[0] for r in top + elements] + ["parts[].in"])
+
+
+def test_texts_are_parsed_once_and_unknown_fields_found_once(spark, folder):
+    plan = unknown_fields(read_records(spark, folder), PROJECT_LANDING)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1 and plan.count("Generate") == 1 and "size(" not in plan
