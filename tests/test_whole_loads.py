@@ -61,3 +61,10 @@ def test_landed_execution_rows_keep_their_values_and_their_year(spark, folder, t
     found = files.landed_execution(spark, folder, f"{tmp_path}/booked")
     assert sorted(map(tuple, found.select(names).collect())) == [("1", 2.5, "1", "2000"), ("2", 1.0, "2", None)]
     assert found.filter(F.col("descricaoEmpenho").isNotNull()).count() == 0
+
+
+def test_landed_copies_go_once_staging_is_written(spark, folder, root):
+    QUERIES["warehouse_end_to_end"](spark, folder).collect()
+    left = {path.name for path in (root / "warehouse").iterdir()}
+    assert "landed" not in left and "stg_projeto_investimento" in left
+    assert not [path for path in (root / "warehouse" / "landing").iterdir()]
