@@ -68,3 +68,9 @@ def test_landed_copies_go_once_staging_is_written(spark, folder, root):
     left = {path.name for path in (root / "warehouse").iterdir()}
     assert "landed" not in left and "stg_projeto_investimento" in left
     assert not [path for path in (root / "warehouse" / "landing").iterdir()]
+
+
+def test_a_reload_by_state_keeps_no_copy_of_the_first_extraction(spark, folder, root):
+    rows = {row.name: row.n for row in QUERIES["warehouse_by_attr"](spark, folder).collect()}
+    left = {path.name for path in (root / "warehouse_by_attr").iterdir()}
+    assert not left & {"run", "run1"} and rows["stg_projeto_investimento"] == 3
