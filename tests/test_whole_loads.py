@@ -7,6 +7,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from starload.plans import warehouse as warehouses
+from starload.plans.warehouse import Warehouse, run_by_date
 from starload.queries import files, loads
 from starload.queries.registry import QUERIES
 from starload.sources.landing import land_json
@@ -74,3 +76,49 @@ def test_a_reload_by_state_keeps_no_copy_of_the_first_extraction(spark, folder,
     rows = {row.name: row.n for row in QUERIES["warehouse_by_attr"](spark, folder).collect()}
     left = {path.name for path in (root / "warehouse_by_attr").iterdir()}
     assert not left & {"run", "run1"} and rows["stg_projeto_investimento"] == 3
+
+
+def _run(warehouse, spark, *records, run=None):
+    from test_warehouse import TODAY, execution, nested
+
+    return run_by_date(warehouse, nested(spark, *records), execution(spark, ("A", 5.5)), TODAY, 90, run=run)
+
+
+def _state(built):
+    return {name: sorted(map(str, df.collect())) for name, df in built.items()}
+
+
+def test_a_first_load_is_written_once_and_without_copies(spark, tmp_path, monkeypatch):
+    from test_warehouse import project
+
+    searched = []
+    remove_copies = warehouses.remove_copies
+
+    def spy(*args, **options):
+        searched.append(args[1])
+        return remove_copies(*args, **options)
+
+    monkeypatch.setattr(warehouses, "remove_copies", spy)
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    copies = [project("A"), project("A", "2024-02-05", nome="Other"), project("A"), project(None), project(None)]
+    built = _run(warehouse, spark, *copies)
+    assert not searched
+    first = _state(built)
+    assert len(first["stg_projeto_investimento"]) == 3 and len(first["stg_projeto_investimento_eixos"]) == 3
+    # geometries have no key, every one stays
+    assert len(first["stg_projeto_investimento_geometria"]) == 5 and len(first["fact_projeto_investimento"]) == 1
+    _run(warehouse, spark, project("B"))
+    assert len(searched) == 9
+
+
+def test_a_first_load_that_died_goes_on_as_a_reload(spark, tmp_path, monkeypatch):
+    from test_warehouse import project
+
+    records = [project("A"), project("A", "2024-02-05", nome="Other"), project("A"), project("B", "2024-01-05")]
+    whole = _state(_run(Warehouse(spark, str(tmp_path / "whole")), spark, *records))
+    warehouse = Warehouse(spark, str(tmp_path / "died"))
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "reload_execution", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            _run(warehouse, spark, *records, run="named")
+    assert _state(_run(warehouse, spark, *records, run="named")) == whole
